@@ -83,16 +83,17 @@ def integration_type(user: Column, batch_user: str) -> Column:
     return F.when(F.coalesce(same, F.lit(False)), "Integration").otherwise("Manual")
 
 
-def apply_rules(
-    ledger: DataFrame, batch_user: str, account: str = VOUCHER_ACCOUNT, countries: Sequence[str] = STORE_CREDIT_COUNTRIES
-) -> DataFrame:
-    """Add `integration_type`, `bridge_category`, `voucher_type` and `needs_lookup`. No shuffle."""
+_WORK = ("_sign", "_batch", "_desc", "_note", "_doc", "_bal", "_kind")
+
+
+def _prepared(ledger: DataFrame, batch_user: str, account: str) -> DataFrame:
+    """Ledger with canonical names, `integration_type` and the working columns of the rules."""
     gl = rename_first_existing(ledger, LEDGER_ALIASES)
     require_columns(gl, ["amount"], "ledger")
     on_account = F.lit(True)
     if "gl_account" in gl.columns:
         on_account = F.coalesce(strip("gl_account") == account, F.lit(False))
-    prepared = gl.withColumn("integration_type", integration_type(column_or_null(gl, ["user_id"]), batch_user)).withColumns({
+    return gl.withColumn("integration_type", integration_type(column_or_null(gl, ["user_id"]), batch_user)).withColumns({
         # Rows of other accounts get sign 0, which no rule accepts.
         "_sign": F.when(on_account, F.signum(amount_column(gl, "amount"))).otherwise(F.lit(0.0)),
         "_batch": F.col("integration_type") == "Integration",
@@ -102,16 +103,25 @@ def apply_rules(
         "_bal": upper_text(column_or_null(gl, ["bal_account_type"])),
         "_kind": upper_text(column_or_null(gl, ["document_type"])),
     })
+
+
+def _claimed(prepared: DataFrame, rules: Sequence[LedgerRule]) -> DataFrame:
     claim = None
-    for rule in ledger_rules(countries):
+    for rule in rules:
         outcome = F.struct(F.lit(rule.category).alias("category"), F.lit(rule.voucher_type).cast("string").alias("type"))
         claim = F.when(rule.condition, outcome) if claim is None else claim.when(rule.condition, outcome)
-    work = ["_sign", "_batch", "_desc", "_note", "_doc", "_bal", "_kind", "_claim"]
     return prepared.withColumn("_claim", claim).withColumns({
         "bridge_category": F.col("_claim.category"),
         "voucher_type": F.nullif(F.col("_claim.type"), F.lit(LOOKUP)),
         "needs_lookup": F.coalesce(F.col("_claim.type") == LOOKUP, F.lit(False)),
-    }).drop(*work)
+    }).drop(*_WORK, "_claim")
+
+
+def apply_rules(
+    ledger: DataFrame, batch_user: str, account: str = VOUCHER_ACCOUNT, countries: Sequence[str] = STORE_CREDIT_COUNTRIES
+) -> DataFrame:
+    """Add `integration_type`, `bridge_category`, `voucher_type` and `needs_lookup`. No shuffle."""
+    return _claimed(_prepared(ledger, batch_user, account), ledger_rules(countries))
 
 
 def classify_ledger(
@@ -124,15 +134,24 @@ def classify_ledger(
 ) -> DataFrame:
     """Ledger rows with `integration_type`, `bridge_category` and `voucher_type`.
 
-    Only usage rows need the voucher lookup; the others bypass its two shuffles.
+    Only rows that meet the condition of a lookup rule go through the two shuffles of the voucher
+    lookup. The split uses those conditions alone: they are short and reach the scan, while a
+    filter on the outcome would repeat the whole CASE. A row claimed by an earlier rule carries
+    no key into the lookup.
     """
-    ruled = apply_rules(ledger, batch_user, account, countries)
-    waiting = ruled.filter("needs_lookup")
-    found = lookup_voucher_type(
-        waiting, issuance, usage, column_or_null(ruled, ["voucher_no"]), column_or_null(ruled, ["document_no"]),
-        [c for c in ruled.columns if c not in ("integration_type", "bridge_category", "voucher_type", "needs_lookup")],
-    ).withColumn("voucher_type", F.nullif(F.col("lookup_type"), F.lit("")))
-    settled = ruled.filter("not needs_lookup")
+    rules = ledger_rules(countries)
+    prepared = _prepared(ledger, batch_user, account)
+    may_look_up = F.lit(False)
+    for rule in rules:
+        if rule.voucher_type == LOOKUP:
+            may_look_up = may_look_up | rule.condition
+    waiting = _claimed(prepared.filter(may_look_up), rules)
+    settled = _claimed(prepared.filter(~may_look_up), rules)
+    wanted = lambda name: F.when(F.col("needs_lookup"), column_or_null(waiting, [name]))
+    spread = [c for c in ("entry_no", "document_no", "voucher_no", "amount", "posting_date") if c in waiting.columns]
+    found = lookup_voucher_type(waiting, issuance, usage, wanted("voucher_no"), wanted("document_no"), spread or waiting.columns).withColumn(
+        "voucher_type", F.when(F.col("needs_lookup"), F.nullif(F.col("lookup_type"), F.lit(""))).otherwise(F.col("voucher_type"))
+    )
     return settled.drop("needs_lookup").unionByName(found.drop("needs_lookup", "lookup_stage", "lookup_type"))
 
 
@@ -162,7 +181,9 @@ def invalid_pairs(classified: DataFrame) -> DataFrame:
     allowed = F.lit(False)
     for category, types in VALID_TYPES.items():
         allowed = allowed | ((F.col("bridge_category") == category) & F.col("voucher_type").isin(*types))
+    # Judged inside the aggregate: as a filter it would be pushed down and repeat the whole cascade per term.
+    judged = F.col("bridge_category").isNull() | F.col("voucher_type").isNull() | allowed
     return (
-        classified.filter(F.col("bridge_category").isNotNull() & F.col("voucher_type").isNotNull())
-        .groupBy("bridge_category", "voucher_type").agg(F.count("*").alias("rows")).filter(~allowed)
+        classified.groupBy("bridge_category", "voucher_type").agg(F.count("*").alias("rows"), F.bool_and(judged).alias("_valid"))
+        .filter("not _valid").drop("_valid")
     )
