@@ -111,7 +111,7 @@ where c.bridge_category is not null and c.voucher_type is not null and v.c1 is n
 sql(
     "lookup_voucher_type", GL,
     """select lookup_stage, lookup_type, count(*) as rows, cast(sum(amount) as double) as amount from (
-select g.amount, case when s1.k is not null then 1::bigint when s2.k is not null then 2 when s3.k is not null then 3 when s4.k is not null then 4 end as lookup_stage,
+select g.amount, case when s1.k is not null then 1 when s2.k is not null then 2 when s3.k is not null then 3 when s4.k is not null then 4 end as lookup_stage,
  case when s1.k is not null then s1.ty when s2.k is not null then s2.ty when s3.k is not null then s3.ty when s4.k is not null then s4.ty end as lookup_type
  from gl_entries g left join s1 on s1.k = trim(g.voucher_no) left join s2 on s2.k = trim(g.voucher_no)
  left join s3 on s3.k = trim(g.document_no) left join s4 on s4.k = trim(g.document_no)) group by lookup_stage, lookup_type""", STAGES,
@@ -342,6 +342,12 @@ sql(
     """select customer_id, business_line_code, cast(b as double) as balance_lcy, n as num_business_lines_for_customer, prime as proposed_primary_business_line,
 case when business_line_code <> prime then cast(b as double) else 0 end as proposed_reclass_amount_lcy, true as review_required from marked where n > 1""", RECLASS,
 )
+sql(
+    "business_line_reasoning", ["cle"],
+    """select customer_id, business_line_code, 'Customer ' || customer_id || ' has ' || n || ' business lines. Proposed primary: ' || prime || ' (largest absolute balance). ' ||
+case when business_line_code <> prime then 'Reclass ' || cast(b as decimal(28,2)) || ' from ' || business_line_code || ' to ' || prime || '.'
+ else 'Current BL is proposed primary. No reclass needed.' end as reasoning from marked where n > 1""", RECLASS,
+)
 sql("adjustment_by_target", ["gl_entries"], "select gl_account, cast(sum(amount) as double) as amount, count(*) as rows from gl_entries where user_id like 'USER%' group by gl_account")
 sql(
     "bridge_summary", [*GL, "ops_usage"],
@@ -573,7 +579,7 @@ row_number() over (partition by company_code, order_nr order by item_no, order_i
 
 sql(
     "dup_rows_left", [],
-    "select l_orderkey, l_linenumber::bigint as l_linenumber, l_partkey, l_suppkey from (select *, count(*) over (partition by l_orderkey, l_linenumber) as n from lineitem) where n > 1",
+    "select l_orderkey, l_linenumber, l_partkey, l_suppkey from (select *, count(*) over (partition by l_orderkey, l_linenumber) as n from lineitem) where n > 1",
 )
 sql(
     "merge_audit", [],

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, IntegerType, StructField, StructType
+from pyspark.sql.types import DateType, DecimalType, StructField, StructType
 
 from closewright.functions import (
     country_to_company, due_month_label, harmonize_voucher_type, is_iso_date, month_first, month_last, number_is_invalid, to_number, to_timestamp,
@@ -16,7 +16,7 @@ from closewright.operators import audit, bridge_rules, bridges, cascade, conform
 from closewright.operators import thresholds as th
 from closewright.operators import variance as var
 from closewright.plans import extracts as ex
-from closewright.sources import io
+from closewright.sources import io, staging
 from closewright.sources.contracts import FAIL_ON_NULL, FILL_ZERO, Contract, Field
 from closewright.sources.sample_views import SampleTables
 
@@ -28,7 +28,6 @@ OVERRIDES = {"C01": "JM_C01", "C02": "JD_C02"}
 COMPANIES = ("JM_C01", "JD_C02", "EC_C04", "EC_C07", "EC_C10", "EC_C15", "EC_C20")
 EXCLUDED = ("EC_C05", "EC_C09")
 GROUPS = ("BUILDING", "MACHINERY", "1-URGENT", "5-LOW")
-CATEGORIES, TYPES = 7, 8
 
 # A country contract with rules of every specificity.
 CONTRACTS = (
@@ -51,14 +50,12 @@ OPS_CONTRACT = Contract("OPS_USAGE", 1, (
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Result types every engine shares: decimals as double, int as bigint, dates as timestamps."""
+    """Result types every engine shares: decimals as double, dates as timestamps."""
     wanted = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, DecimalType):
             c = c.cast("double")
-        elif isinstance(f.dataType, IntegerType):
-            c = c.cast("bigint")
         elif isinstance(f.dataType, DateType):
             c = c.cast("timestamp_ntz")
         wanted.append(c.alias(f.name))
@@ -101,10 +98,12 @@ def buckets(t) -> DataFrame:
     return var.with_status(variance(t), ACCOUNT, CONTRACTS)
 
 
-def bucket_bound(t) -> int | None:
-    """Most buckets there can be: countries × categories × types, with the countries counted."""
-    countries = joins.rows_up_to(t["company"].select("company_code"))
-    return None if countries is None else (countries + 1) * CATEGORIES * TYPES
+def staged_review(t) -> tuple[DataFrame, DataFrame]:
+    """Ledger lines and buckets, each computed once: lines feed the pivot and the drilldown."""
+    lines = pivots.nav_lines(voucher_ledger(t)).select(*pivots.GRAIN, "amount_local", "voucher_no", "document_no")
+    lines = staging.staged(lines, "nav_lines")
+    pivot = var.variance_pivot(pivots.nav_pivot(lines), pivots.target_pivot(target_sources(t)), rates(t), OVERRIDES)
+    return lines, staging.staged(var.with_status(pivot, ACCOUNT, CONTRACTS), "buckets")
 
 
 # --- classification -------------------------------------------------------------------------
@@ -316,16 +315,14 @@ def variance_missing_fx(t):
 
 @query
 def line_items_nav(t):
-    lines = pivots.nav_lines(voucher_ledger(t))
-    return var.line_items(buckets(t), lines, "nav", ACCOUNT, rates(t), CONTRACTS, OVERRIDES, only_material=True, max_buckets=bucket_bound(t))
+    lines, flagged = staged_review(t)
+    return var.line_items(flagged, lines, "nav", ACCOUNT, rates(t), CONTRACTS, OVERRIDES, only_material=True)
 
 
 @query
 def review_table(t):
-    lines = pivots.nav_lines(voucher_ledger(t))
-    return var.review_table(
-        buckets(t), ACCOUNT, rates(t), lines, pivots.target_lines(target_sources(t)), CONTRACTS, OVERRIDES, max_buckets=bucket_bound(t)
-    )
+    lines, flagged = staged_review(t)
+    return var.review_table(flagged, ACCOUNT, rates(t), lines, pivots.target_lines(target_sources(t)), CONTRACTS, OVERRIDES)
 
 
 @query

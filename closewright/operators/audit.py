@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from closewright.operators.bridges import beside
+from closewright.operators.evidence import row_digest
+from closewright.operators.joins import beside, stack_frames
 from closewright.operators.naming import is_numeric, require_columns
 
 
@@ -126,46 +127,77 @@ def table_probe(
 ) -> DataFrame:
     """One row: rows, columns, nulls, duplicated rows, amount sum, date range and distinct keys.
 
-    Whole rows are grouped first; everything that does not count distinct values is carried on
-    the groups, so the table is read once.
+    Rows are grouped by their SHA-256, so the shuffle moves digests and the probed columns, not
+    whole rows. All rows of a group are equal; what does not count distinct values is summed on
+    the way, so the table is read once.
     """
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    nulls = sum((c.isNull().cast("long") for c in columns), F.lit(0).cast("long"))
-    groups = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    nulls = sum((F.col(f"`{c}`").isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
+    keys = [k for k in key_cols if k in df.columns]
+    probed = df.select(
+        F.unhex(row_digest(df)).alias("_digest"), nulls.alias("_nulls"), *[F.col(k).alias(f"_k_{k}") for k in keys],
+        *([F.col(amount_col).alias("_amount")] if amount_col in df.columns else []),
+        *([F.col(date_col).alias("_date")] if date_col in df.columns else []),
+    )
+    partial = [F.count("*").alias("_n"), F.sum("_nulls").alias("_nulls"), *[F.any_value(f"_k_{k}").alias(f"_k_{k}") for k in keys]]
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     facts = [
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"), F.lit(len(df.columns)).cast("long").alias("cols"),
-        F.coalesce(F.sum(nulls * F.col("_n")), F.lit(0)).cast("long").alias("nulls_total"),
-        (F.coalesce(F.sum("_n"), F.lit(0)) - F.count("*")).cast("long").alias("duplicated_rows"),
+        total("_n").alias("rows"), F.lit(len(df.columns)).cast("long").alias("cols"), total("_nulls").alias("nulls_total"),
+        (total("_n") - F.count("*")).alias("duplicated_rows"),
     ]
     if amount_col in df.columns:
-        facts.append(F.sum(F.col(amount_col) * F.col("_n").cast("decimal(19,0)" if not _floating(df, amount_col) else "double")).alias("amount_sum"))
+        partial.append(F.sum("_amount").alias("_amount"))
+        facts.append(F.sum("_amount").alias("amount_sum"))
     if date_col in df.columns:
-        facts += [F.date_format(F.min(date_col), "yyyy-MM-dd").alias("min_date"), F.date_format(F.max(date_col), "yyyy-MM-dd").alias("max_date")]
-    facts += [F.count_distinct(k).alias(f"unique_{k}") for k in key_cols if k in df.columns]
-    return groups.agg(*facts).withColumn("name", F.lit(name))
+        partial += [F.min("_date").alias("_lo"), F.max("_date").alias("_hi")]
+        facts += [F.date_format(F.min("_lo"), "yyyy-MM-dd").alias("min_date"), F.date_format(F.max("_hi"), "yyyy-MM-dd").alias("max_date")]
+    facts += [F.count_distinct(f"_k_{k}").alias(f"unique_{k}") for k in keys]
+    return probed.groupBy("_digest").agg(*partial).agg(*facts).withColumn("name", F.lit(name))
 
 
-def _floating(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.typeName() in ("double", "float")
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+_BRACKET, _ACCURACY = 0.0005, 20_000
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max of each column as rows.
+def exact_quantiles(df: DataFrame, column: str, wanted: dict[str, float] = QUARTILES) -> DataFrame:
+    """One row of exact, linearly interpolated quantiles.
 
-    Quartiles are exact and interpolated, as a percentile over value counts.
+    A first pass brackets each quantile with an approximate percentile, whose rank error is
+    bounded (1 / accuracy) and smaller than the bracket. A second pass counts the values below
+    each bracket and ranks only the values inside it, one row per distinct value. No task holds
+    more than a running total.
     """
+    value = F.col(column).cast("double")
+    points = [max(0.0, min(1.0, p + side)) for p in wanted.values() for side in (-_BRACKET, _BRACKET)]
+    edges = df.agg(F.count(value).alias("n"), F.percentile_approx(value, points, _ACCURACY).alias("edges")).first()
+    if not edges["n"]:
+        return df.agg(*[F.lit(None).cast("double").alias(name) for name in wanted])
+    n = edges["n"]
     frames = []
+    for i, (name, p) in enumerate(wanted.items()):
+        lo, hi = edges["edges"][2 * i], edges["edges"][2 * i + 1]
+        position = (n - 1) * p
+        # Values below the bracket are counted under one marker value; those above are not needed.
+        marked = F.when(value < lo, F.lit(float("-inf"))).otherwise(value)
+        bracket = df.filter(value <= hi).groupBy(marked.alias("v")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ranked = bracket.withColumn("upto", upto)
+        low = F.min(F.when(F.col("upto") > int(position), F.col("v")))
+        high = F.min(F.when(F.col("upto") > -int(-position // 1), F.col("v")))
+        share = position - int(position)
+        frames.append(ranked.agg((low + (high - low) * share).alias(name)))
+    return beside(*frames)
+
+
+def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """count, mean, std, min, quartiles and max of each column, one row per column."""
+    rows = []
     for c in columns:
         value = F.col(c).cast("double")
-        frames.append(df.agg(
-            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"), F.percentile(value, 0.25).alias("p25"), F.percentile(value, 0.5).alias("p50"),
-            F.percentile(value, 0.75).alias("p75"), F.max(value).alias("max"),
-        ))
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.union(frame)
-    return out
+        moments = df.agg(
+            F.count(c).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")
+        )
+        rows.append(beside(moments, exact_quantiles(df, c)).withColumn("column", F.lit(c)))
+    return stack_frames(rows)
 
 
 def table_summary(df: DataFrame, name: str) -> DataFrame:

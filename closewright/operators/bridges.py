@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from closewright.functions.text import MONEY, voucher_key
 from closewright.operators.fx import usd
-from closewright.operators.joins import spread_key, stack_frames
+from closewright.operators.joins import beside, spread_key
 from closewright.operators.naming import (
     CUSTOMER_LEDGER_ALIASES, LEDGER_ALIASES, OPS_USAGE_ALIASES, VOUCHER_ALIASES, amount_column, rename_first_existing,
     require_columns,
@@ -79,9 +79,9 @@ def refund_vouchers(issuance: DataFrame, cutoff: str | None) -> DataFrame:
 
 
 def _cancelling_entries(classified: DataFrame) -> DataFrame:
-    category = F.lower(F.trim("bridge_category"))
+    # One reference to the category: a filter on a derived column repeats its expression per reference.
     ledger = rename_first_existing(classified, LEDGER_ALIASES)
-    return ledger.filter(category.startswith("cancellation") | category.isin("vtc", "vtc manual"))
+    return ledger.filter(F.col("bridge_category").rlike(r"(?i)^\s*(cancellation.*|vtc( manual)?)\s*$"))
 
 
 def cancelled_keys(classified: DataFrame) -> DataFrame:
@@ -135,26 +135,20 @@ def vtc_metrics(issuance: DataFrame, classified: DataFrame, cutoff: str | None)
     return beside(left, cancelled_keys(classified).agg(F.count("*").alias("target_unique_voucher_keys")))
 
 
-def beside(*one_row: DataFrame) -> DataFrame:
-    """One-row totals side by side, without a join: stacked, then folded into one row."""
-    stacked = stack_frames(one_row)
-    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
-
-
 def posting_group_conflicts(customer_ledger: DataFrame) -> DataFrame:
     """Customers with more than one posting group: name and the sorted list of groups.
 
-    Distinct (customer, group) pairs are formed first, so a customer with very many ledger rows
-    reaches the list as its few groups.
+    Distinct (customer, group, name) rows are formed first by a hash aggregate, so a customer with
+    very many ledger rows reaches the list as its few groups.
     """
     known = rename_first_existing(customer_ledger, CUSTOMER_LEDGER_ALIASES)
     require_columns(known, ["customer_id", "customer_name", "posting_group"], "customer ledger")
-    pairs = known.filter("customer_id is not null").groupBy("customer_id", "posting_group").agg(F.min("customer_name").alias("name"))
-    return (
-        pairs.groupBy("customer_id").agg(
-            F.min("name").alias("customer_name"), F.count("posting_group").alias("group_count"),
-            F.array_join(F.array_sort(F.collect_list("posting_group")), ", ").alias("posting_groups"),
-        ).filter("group_count > 1")
+    distinct_rows = known.filter("customer_id is not null").select("customer_id", "posting_group", "customer_name").distinct()
+    groups = F.array_sort(F.collect_set("posting_group"))
+    return distinct_rows.groupBy("customer_id").agg(F.min("customer_name").alias("customer_name"), groups.alias("_groups")).filter(
+        F.size("_groups") > 1
+    ).select(
+        "customer_id", "customer_name", F.size("_groups").cast("long").alias("group_count"), F.array_join("_groups", ", ").alias("posting_groups")
     )
 
 
@@ -184,12 +178,13 @@ def business_line_reclass(customer_ledger: DataFrame, min_abs_amount: float = 0.
     })
     if not reasoning:
         return out
-    move = F.format_string("Reclass %.2f from %s to %s.", F.col("balance_lcy"), F.col("business_line_code"), F.col("proposed_primary_business_line"))
+    line, primary = F.col("business_line_code"), F.col("proposed_primary_business_line")
+    move = F.concat(
+        F.lit("Reclass "), F.col("balance_lcy").cast("decimal(28,2)").cast("string"), F.lit(" from "), line, F.lit(" to "), primary, F.lit(".")
+    )
     return out.withColumn("reasoning", F.concat(
-        F.format_string(
-            "Customer %s has %d business lines. Proposed primary: %s (largest absolute balance). ",
-            F.col("customer_id"), F.col("num_business_lines_for_customer"), F.col("proposed_primary_business_line"),
-        ),
+        F.lit("Customer "), F.col("customer_id"), F.lit(" has "), F.col("num_business_lines_for_customer").cast("string"),
+        F.lit(" business lines. Proposed primary: "), primary, F.lit(" (largest absolute balance). "),
         F.when(away, move).otherwise("Current BL is proposed primary. No reclass needed."),
     ))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,19 +42,18 @@ class LedgerRule:
 
 def _has(text: str, *parts: str) -> Column:
     """True when the text column holds any of the parts literally (no wildcards)."""
-    out = F.lit(False)
-    for part in parts:
-        out = out | F.col(text).contains(part)
-    return out
+    return reduce(or_, [F.col(text).contains(part) for part in parts])
 
 
 def ledger_rules(countries: Sequence[str] = STORE_CREDIT_COUNTRIES) -> list[LedgerRule]:
     """The cascade in order of priority, over the working columns `_sign`, `_batch`, `_desc`, `_note`, `_doc`, `_bal`, `_kind`."""
     batch, manual = F.col("_batch"), ~F.col("_batch")
     out, back = F.col("_sign") < 0, F.col("_sign") > 0
-    store_credit = F.lit(False)
+    # One IN per code length keeps the generated method small enough for the JIT, unlike a chain of prefixes.
+    by_length: dict[int, list[str]] = {}
     for code in countries:
-        store_credit = store_credit | F.col("_doc").startswith(code)
+        by_length.setdefault(len(code), []).append(code.upper())
+    store_credit = reduce(or_, [F.left("_doc", F.lit(n)).isin(*codes) for n, codes in by_length.items()], F.lit(False))
     refund = ("REFUND", "RF_", "RF ")
     return [
         LedgerRule("bank payout", manual & back & (F.col("_bal") == "BANK ACCOUNT"), "VTC", "Refund"),
@@ -141,10 +142,7 @@ def classify_ledger(
     """
     rules = ledger_rules(countries)
     prepared = _prepared(ledger, batch_user, account)
-    may_look_up = F.lit(False)
-    for rule in rules:
-        if rule.voucher_type == LOOKUP:
-            may_look_up = may_look_up | rule.condition
+    may_look_up = reduce(or_, [rule.condition for rule in rules if rule.voucher_type == LOOKUP])
     waiting = _claimed(prepared.filter(may_look_up), rules)
     settled = _claimed(prepared.filter(~may_look_up), rules)
     wanted = lambda name: F.when(F.col("needs_lookup"), column_or_null(waiting, [name]))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from closewright.functions.dates import cutoff_lit, to_timestamp
 from closewright.functions.text import to_number
 from closewright.operators.audit import key_counts
-from closewright.operators.bridges import beside
+from closewright.operators.joins import beside
 from closewright.operators.naming import OPS_USAGE_ALIASES, is_numeric, rename_first_existing
 
 

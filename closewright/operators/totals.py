@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closewright.functions.text import to_number
-from closewright.operators.bridges import beside
+from closewright.operators.joins import beside
 from closewright.operators.naming import first_existing
 from closewright.operators.thresholds import BUCKET, CONTRACTS, ThresholdContract, resolve_threshold
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from closewright.functions.labels import COMPANY_OVERRIDES, country_to_company
 from closewright.operators.fx import with_usd
-from closewright.operators.joins import broadcast_within
 from closewright.operators.naming import column_or_null
 from closewright.operators.pivots import GRAIN
 from closewright.operators.thresholds import BUCKET, CONTRACTS, LINE_ITEM, ThresholdContract, with_threshold
@@ -61,13 +60,14 @@ def _signed(value: Column, side: str, wanted: str) -> Column:
 def line_items(
     buckets: DataFrame, lines: DataFrame, side: str, gl_account: str, rates: DataFrame,
     contracts: Sequence[ThresholdContract] = CONTRACTS, overrides: Mapping[str, str] = COMPANY_OVERRIDES,
-    only_material: bool = False, max_buckets: int | None = None,
+    only_material: bool = False,
 ) -> DataFrame:
     """Source rows of the flagged buckets with USD amount and materiality.
 
     `side` is "nav" or "tv". One equi-join replaces a loop over buckets. Bucket keys are few and
-    each holds many rows, so shuffling the lines on them would pile rows up: pass `max_buckets`
-    (countries × categories × types) to let the bucket side be broadcast when it is small.
+    each holds many rows, so the lines should not be shuffled on them: pass staged buckets, whose
+    file size lets the optimizer broadcast them. Otherwise adaptive execution decides from the
+    measured size and splits hot buckets.
     """
     flagged = buckets.filter(F.col("status") == INVESTIGATE).select(
         *[F.col(k).alias(f"_{k}") for k in GRAIN], F.col("threshold_usd").alias("bucket_threshold_usd"),
@@ -81,7 +81,7 @@ def line_items(
         (column_or_null(lines, ["document_no"]) if side == "nav" else F.lit(None)).cast("string").alias("document_no"),
         F.coalesce("amount_local", F.lit(0)).alias("amount_local"),
     )
-    hit = source.join(broadcast_within(flagged, max_buckets), match, "inner")
+    hit = source.join(flagged, match, "inner")
     priced = with_usd(hit, {"amount_local": "amount_usd"}, country_to_company(F.col("country_code"), overrides), rates)
     resolved = with_threshold(priced, LINE_ITEM, gl_account, contracts)
     local, in_usd = F.col("amount_local").cast("double"), F.col("amount_usd")
@@ -117,7 +117,7 @@ def bucket_summaries(buckets: DataFrame, gl_account: str) -> DataFrame:
 def review_table(
     buckets: DataFrame, gl_account: str, rates: DataFrame | None = None, nav: DataFrame | None = None,
     targets: DataFrame | None = None, contracts: Sequence[ThresholdContract] = CONTRACTS,
-    overrides: Mapping[str, str] = COMPANY_OVERRIDES, only_material: bool = False, max_buckets: int | None = None,
+    overrides: Mapping[str, str] = COMPANY_OVERRIDES, only_material: bool = False,
 ) -> DataFrame:
     """Flagged buckets and, where line sources are given, their line items.
 
@@ -128,7 +128,7 @@ def review_table(
     out = bucket_summaries(buckets, gl_account)
     for side, lines in (("nav", nav), ("tv", targets)):
         if lines is not None:
-            items = line_items(buckets, lines, side, gl_account, rates, contracts, overrides, only_material, max_buckets)
+            items = line_items(buckets, lines, side, gl_account, rates, contracts, overrides, only_material)
             out = out.unionByName(items)
     return out
 

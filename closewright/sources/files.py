@@ -1,0 +1,29 @@
+"""File reading that keeps the cores busy on small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Below this size per core a file set cannot give every core a split of its own.
+SMALL_SHARE = 16 * 1024 * 1024
+# Below this size the whole table is quicker to read in one task.
+TINY = 1024 * 1024
+
+
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes under a path, from the file system's summary."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """Read parquet; spread the rows of a file too small to split.
+
+    A file of one row group is one task however many cores there are. Only inputs that are small
+    for the session are spread, so large tables keep their scan splits and pay no extra shuffle;
+    filters and column pruning still pass the spread and reach the scan.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    size = folder_size(spark, path)
+    return df.repartition(cores) if TINY < size < cores * SMALL_SHARE else df

@@ -10,6 +10,8 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
+from closewright.sources.files import read_spread
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 VIEWS: dict[str, str] = {}
@@ -416,7 +418,7 @@ class SampleTables:
                 text = VIEWS[name]
                 self._frames[name] = self._spark.sql(text, **{ref: self[ref] for ref in _references(text)})
             else:
-                self._frames[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+                self._frames[name] = read_spread(self._spark, f"{self._folder}/{name}.parquet")
         return self._frames[name]
 
 
