@@ -71,7 +71,8 @@ def good_rows(df: DataFrame) -> DataFrame:
 
 
 def bad_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """Unreadable rows with whatever was parsed; Spark does not serve the raw text column alone."""
+    return df.filter(F.col(CORRUPT).isNotNull())
 
 
 def read_conformed_csv(spark: SparkSession, path: str, contract: Contract | str, strict: bool = True) -> DataFrame:
