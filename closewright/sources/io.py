@@ -52,12 +52,15 @@ def period_params(cutoff: str, countries: Sequence[str] = ()) -> dict[str, objec
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
-    """CSV as text columns plus `_corrupt_record`: unreadable rows are kept apart, not dropped."""
+    """CSV as text columns plus `_corrupt_record`: unreadable rows are kept apart, not dropped.
+
+    Every column is parsed whatever is selected later, since a row is judged by all its fields.
+    """
     schema = StructType()
     for name in [*columns, CORRUPT]:
         schema = schema.add(name, StringType())
-    return spark.read.csv(
-        path, schema=schema, header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, multiLine=False, enforceSchema=True
+    return spark.read.option("columnPruning", "false").csv(
+        path, schema=schema, header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True,
     )
 
 

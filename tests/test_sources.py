@@ -121,7 +121,7 @@ def test_parameters(spark, frame):
 def test_staged_is_a_table(spark):
     df = spark.range(10).select("id", F.lit("x").alias("s"))
     out = staging.staged(df, "probe")
-    assert out.schema == df.schema and out.count() == 10 and out.inputFiles()
+    assert out.dtypes == df.dtypes and out.count() == 10 and out.inputFiles()
     assert staging.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
