@@ -180,6 +180,10 @@ HARMONISED = """case when {0} is null or trim({0}) = '' then 'Unknown' when lowe
  when lower(trim({0})) in ('apology', 'commercial gesture', 'cxp') then 'apology' when lower(trim({0})) in ('jforce', 'pyt_', 'pyt_pf') then 'jforce'
  when lower(trim({0})) in ('expired', 'exp') then 'expired' when lower(trim({0})) in ('vtc', 'voucher to cash') then 'vtc' else 'other' end"""
 sql("harmonise_type", ["voucher_usage"], f"select business_use, {HARMONISED.format('business_use')} as voucher_type, count(*) as rows from voucher_usage group by business_use")
+sql(
+    "gl_account_names", ["gl_entries"],
+    "select gl_account, case gl_account when '18412' then 'Voucher Liabilities' else 'Unknown GL: ' || gl_account end as account_name, count(*) as rows from gl_entries group by gl_account",
+)
 FX_COMPANY = "case {0} when 'C01' then 'JM_C01' when 'C02' then 'JD_C02' else 'EC_' || {0} end"
 sql("country_company_map", ["company"], f"select country_code, {FX_COMPANY.format('country_code')} as fx_company from company")
 
@@ -650,6 +654,15 @@ sql(
     "quality_status", ["gl_entries"],
     """select 'gl_entries' as "table", case when bool_and(passed) then 'PASS' else 'FAIL' end as status, count(*) as rules, count(*) filter (where not passed) as failed_rules from report""", GL_REPORT,
 )
+sql(
+    "catalog_quality", ["gl_balances", "order_items", "refund_no_return", "customer_types"],
+    f"""select 'IPE_10' as "table", 'RowCountCheck' as rule, null as "column", (select count(*) from ({ORACLE['prepayments'][ORACLE['prepayments'].index('select company_code, is_prepayment'):]})) > 0 as passed
+union all select 'IPE_34', 'RowCountCheck', null, (select count(*) from order_items where delivered_date is not null and refund_date between timestamp '1996-01-01' and timestamp '1998-09-30 23:59:59') > 0
+union all select 'IPE_12', 'RowCountCheck', null, false
+union all select 'CR_04', 'RowCountCheck', null, (select count(*) from gl_balances where closing_date = date '1998-09-30' and group_account_no = '18412') > 0
+union all select * from (values ('IPE_10', 'ColumnExistsCheck', 'company_code', true), ('IPE_34', 'ColumnExistsCheck', 'company_code', true), ('IPE_12', 'ColumnExistsCheck', 'company_code', true),
+ ('CR_04', 'ColumnExistsCheck', 'balance_at_date', true), ('CR_04', 'ColumnExistsCheck', 'group_account_no', true))""",
+)
 sql("pk_violations", ["gl_entries"], "select company_code, entry_no, count(*) as rows from gl_entries group by company_code, entry_no having count(*) > 1")
 sql(
     "control_totals", ["vouchers"],

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, StructField, StructType
 
 from closewright.functions import (
-    country_to_company, due_month_label, harmonize_voucher_type, is_iso_date, month_first, month_last, number_is_invalid, to_number, to_timestamp,
+    country_to_company, due_month_label, gl_description, harmonize_voucher_type, is_iso_date, month_first, month_last, number_is_invalid, to_number, to_timestamp,
     voucher_key, year_month_text, yyyymm,
 )
 from closewright.operators import audit, bridge_rules, bridges, cascade, conform, evidence, fx, joins, lookup, naming, pivots, quality, scope, totals
@@ -251,6 +251,11 @@ def harmonise_type(t):
     return t["voucher_usage"].select("business_use", harmonize_voucher_type("business_use").alias("voucher_type")).groupBy("business_use", "voucher_type").agg(F.count("*").alias("rows"))
 
 
+@query
+def gl_account_names(t):
+    return t["gl_entries"].select("gl_account", gl_description("gl_account").alias("account_name")).groupBy("gl_account", "account_name").agg(F.count("*").alias("rows"))
+
+
 @query
 def country_company_map(t):
     return t["company"].select("country_code", country_to_company("country_code", OVERRIDES).alias("fx_company"))
@@ -565,6 +570,14 @@ def quality_status(t):
     return quality.quality_status(quality.run_quality(t["gl_entries"], GL_RULES, "gl_entries"))
 
 
+@query
+def catalog_quality(t):
+    made = {
+        "IPE_10": prepayments(t), "IPE_34": refund_liability(t), "IPE_12": packages_unreconciled(t).filter("company_code is null"), "CR_04": balances_at_date(t),
+    }
+    return joins.stack_frames([quality.run_quality(df, ex.catalog_rules(name), name) for name, df in made.items()]).select("table", "rule", "column", "passed")
+
+
 @query
 def pk_violations(t):
     return quality.primary_key_violations(t["gl_entries"], ["company_code", "entry_no"])

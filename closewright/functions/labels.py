@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from closewright.functions.text import strip
 
-__all__ = ["harmonize_voucher_type", "country_to_company", "COMPANY_OVERRIDES", "COUNTRY_COMPANY", "COUNTRY_CURRENCY"]
+__all__ = [
+    "harmonize_voucher_type", "country_to_company", "gl_description", "COMPANY_OVERRIDES", "COUNTRY_COMPANY", "COUNTRY_CURRENCY", "GL_DESCRIPTIONS",
+]
 
 # Source labels of each harmonised voucher type.
 VOUCHER_TYPE_LABELS = {
@@ -36,6 +38,27 @@ COUNTRY_CURRENCY = {
     "UG": "UGX", "DZ": "DZD", "EG": "EGP", "MA": "MAD", "US": "USD",
 }
 
+# Names of the reconciled ledger accounts.
+GL_DESCRIPTIONS = {
+    "13003": "Customer AR - Trade",
+    "13004": "Customer AR - Other",
+    "13005": "Packages Delivered Not Reconciled",
+    "13009": "Customer AR - Allowance for Doubtful Accounts",
+    "13024": "Packages Not Reconciled - Other",
+    "18317": "Marketplace Refund Liability",
+    "18350": "Customer Prepayments",
+    "18412": "Voucher Liabilities",
+}
+
+
+def gl_description(c: Column | str) -> Column:
+    """Name of a ledger account; an unlisted one is spelled out."""
+    code = F.col(c) if isinstance(c, str) else c
+    out = F.when(code.isNull(), None)
+    for account, name in GL_DESCRIPTIONS.items():
+        out = out.when(code == account, name)
+    return out.otherwise(F.concat(F.lit("Unknown GL: "), code))
+
 
 def harmonize_voucher_type(c: Column | str) -> Column:
     """Canonical voucher type; blank is "Unknown", an unlisted label is "other"."""

@@ -158,33 +158,37 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 _BRACKET, _ACCURACY = 0.0005, 20_000
 
 
-def exact_quantiles(df: DataFrame, column: str, wanted: dict[str, float] = QUARTILES) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, wanted: dict[str, float] = QUARTILES, keep: int = 1_000_000) -> DataFrame:
     """One row of exact, linearly interpolated quantiles.
 
-    A first pass brackets each quantile with an approximate percentile, whose rank error is
-    bounded (1 / accuracy) and smaller than the bracket. A second pass counts the values below
-    each bracket and ranks only the values inside it, one row per distinct value. No task holds
-    more than a running total.
+    The wanted ranks are bracketed by approximate percentiles, whose rank error is bounded
+    (1 / accuracy) and smaller than the bracket, and the bracket is narrowed pass by pass until
+    at most `keep` rows, or one value, lie in it. Only those are ranked, one row per value, so
+    no task sees more than that. Each pass returns a few numbers to the driver.
     """
-    value = F.col(column).cast("double")
-    points = [max(0.0, min(1.0, p + side)) for p in wanted.values() for side in (-_BRACKET, _BRACKET)]
-    edges = df.agg(F.count(value).alias("n"), F.percentile_approx(value, points, _ACCURACY).alias("edges")).first()
-    if not edges["n"]:
+    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
+    n = values.count()
+    if n == 0:
         return df.agg(*[F.lit(None).cast("double").alias(name) for name in wanted])
-    n = edges["n"]
     frames = []
-    for i, (name, p) in enumerate(wanted.items()):
-        lo, hi = edges["edges"][2 * i], edges["edges"][2 * i + 1]
+    for name, p in wanted.items():
         position = (n - 1) * p
-        # Values below the bracket are counted under one marker value; those above are not needed.
-        marked = F.when(value < lo, F.lit(float("-inf"))).otherwise(value)
-        bracket = df.filter(value <= hi).groupBy(marked.alias("v")).agg(F.count("*").alias("n"))
-        upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ranked = bracket.withColumn("upto", upto)
-        low = F.min(F.when(F.col("upto") > int(position), F.col("v")))
-        high = F.min(F.when(F.col("upto") > -int(-position // 1), F.col("v")))
-        share = position - int(position)
-        frames.append(ranked.agg((low + (high - low) * share).alias(name)))
+        first, last = int(position), -int(-position // 1)
+        below, inside, part = 0, n, values
+        while inside > keep:
+            points = [max(0.0, (first - below) / inside - _BRACKET), min(1.0, (last + 1 - below) / inside + _BRACKET)]
+            lo, hi = part.agg(F.percentile_approx("v", points, _ACCURACY)).first()[0]
+            within = F.col("v").between(lo, hi)
+            counted = values.agg(F.count_if(F.col("v") < lo).alias("below"), F.count_if(within).alias("inside")).first()
+            stuck = lo == hi or counted["inside"] == inside
+            below, inside, part = counted["below"], counted["inside"], values.filter(within)
+            if stuck:
+                break
+        running = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ranked = part.groupBy("v").agg(F.count("*").alias("n")).withColumn("upto", running + below)
+        low = F.min(F.when(F.col("upto") > first, F.col("v")))
+        high = F.min(F.when(F.col("upto") > last, F.col("v")))
+        frames.append(ranked.agg((low + (high - low) * (position - first)).alias(name)))
     return beside(*frames)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closewright.functions.text import MONEY, voucher_key
@@ -138,16 +138,16 @@ def vtc_metrics(issuance: DataFrame, classified: DataFrame, cutoff: str | None)
 def posting_group_conflicts(customer_ledger: DataFrame) -> DataFrame:
     """Customers with more than one posting group: name and the sorted list of groups.
 
-    Distinct (customer, group, name) rows are formed first by a hash aggregate, so a customer with
-    very many ledger rows reaches the list as its few groups.
+    Both aggregates combine on the map side, so a customer with very many ledger rows reaches the
+    shuffle as its few groups.
     """
     known = rename_first_existing(customer_ledger, CUSTOMER_LEDGER_ALIASES)
     require_columns(known, ["customer_id", "customer_name", "posting_group"], "customer ledger")
-    distinct_rows = known.filter("customer_id is not null").select("customer_id", "posting_group", "customer_name").distinct()
     groups = F.array_sort(F.collect_set("posting_group"))
-    return distinct_rows.groupBy("customer_id").agg(F.min("customer_name").alias("customer_name"), groups.alias("_groups")).filter(
-        F.size("_groups") > 1
-    ).select(
+    per_customer = known.filter("customer_id is not null").groupBy("customer_id").agg(
+        F.min("customer_name").alias("customer_name"), groups.alias("_groups")
+    )
+    return per_customer.filter(F.size("_groups") > 1).select(
         "customer_id", "customer_name", F.size("_groups").cast("long").alias("group_count"), F.array_join("_groups", ", ").alias("posting_groups")
     )
 
@@ -155,8 +155,9 @@ def posting_group_conflicts(customer_ledger: DataFrame) -> DataFrame:
 def business_line_reclass(customer_ledger: DataFrame, min_abs_amount: float = 0.01, reasoning: bool = True) -> DataFrame:
     """Customers holding balances on several lines; the largest absolute balance is the proposed primary.
 
-    Balances are summed by customer and line first. The primary line (ties: alphabetical) and the
-    line count come from one further aggregate, joined back by customer; no task collects a group.
+    Balances are summed by customer and line first, so the window by customer only sees one row
+    per business line, however many ledger rows a customer has. Ties go to the first line in
+    alphabetical order.
     """
     known = rename_first_existing(customer_ledger, CUSTOMER_LEDGER_ALIASES)
     require_columns(known, ["customer_id", "business_line_code", "amount_lcy"], "customer ledger")
@@ -164,15 +165,14 @@ def business_line_reclass(customer_ledger: DataFrame, min_abs_amount: float = 0.
     balances = rows.groupBy("customer_id", "business_line_code").agg(F.sum("_amount").alias("balance_lcy")).filter(
         F.abs("balance_lcy") >= F.lit(str(min_abs_amount)).cast("decimal(18,6)")
     )
-    order = F.struct((-F.abs("balance_lcy")).alias("order"), F.col("business_line_code").alias("line"))
-    customers = balances.groupBy(F.col("customer_id").alias("_customer")).agg(
-        F.count("*").alias("num_business_lines_for_customer"), F.min(order).alias("first")
-    ).filter("num_business_lines_for_customer > 1")
+    largest_first = Window.partitionBy("customer_id").orderBy(F.abs("balance_lcy").desc(), "business_line_code").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
     away = F.col("business_line_code") != F.col("proposed_primary_business_line")
-    out = balances.join(customers, F.col("customer_id") == F.col("_customer")).select(
-        "customer_id", "business_line_code", "balance_lcy", "num_business_lines_for_customer",
-        F.col("first.line").alias("proposed_primary_business_line"),
-    ).withColumns({
+    out = balances.withColumns({
+        "num_business_lines_for_customer": F.count("*").over(largest_first),
+        "proposed_primary_business_line": F.first_value("business_line_code").over(largest_first),
+    }).filter("num_business_lines_for_customer > 1").withColumns({
         "proposed_reclass_amount_lcy": F.when(away, F.col("balance_lcy")).otherwise(F.lit(0)),
         "review_required": F.lit(True),
     })

@@ -136,6 +136,12 @@ def conform_report(df: DataFrame, contract: C.Contract) -> DataFrame:
     return df.agg(F.count("*").alias("_rows"), *facts).select(F.inline(F.array(*rows)))
 
 
+def conform_as(df: DataFrame, contract: C.Contract, preset: str) -> tuple[DataFrame, DataFrame | None]:
+    """The conformed frame and, for presets that track, its report."""
+    chosen = PRESETS[preset]
+    return conform(df, contract, strict=chosen.strict), conform_report(df, contract) if chosen.track else None
+
+
 def unknown_columns(df: DataFrame, contract: C.Contract) -> list[str]:
     used = set(resolve_names(df.columns, contract).values())
     return [c for c in df.columns if c not in used]

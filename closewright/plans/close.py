@@ -100,6 +100,11 @@ def run_close(spark: SparkSession, inputs: CloseInputs, settings: CloseSettings,
     return status
 
 
+def missing_results(folder_names: Sequence[str], planned: Mapping[str, object]) -> list[str]:
+    """Planned result tables that are not among the written ones."""
+    return [name for name in planned if name not in set(folder_names)]
+
+
 def overall_status(status: DataFrame) -> DataFrame:
     """ERROR over WARNING over SUCCESS."""
     return status.agg(

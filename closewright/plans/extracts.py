@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from closewright.functions.dates import as_date, cutoff_lit, due_month_label, last_second_before, next_month_first, year_month_text, yyyymm
 from closewright.operators.joins import left_lookup
+from closewright.operators.quality import ColumnExistsCheck, QualityRule, RowCountCheck
 
 Tables = Mapping[str, DataFrame]
 
@@ -158,7 +159,12 @@ def voucher_issuance(
 
 
 def voucher_timing(t: Tables, cutoff: str) -> DataFrame:
-    """Inactive vouchers still valid at the cutoff, with their order item when it is not settled."""
+    """Inactive vouchers still valid at the cutoff, with their unsettled order items, or without any item.
+
+    The left join is written as its two halves: an inner join, whose sides can both be split when
+    one code holds very many items, and the vouchers whose code no item carries. The item
+    conditions then reach the scan.
+    """
     at = cutoff_lit(cutoff)
     vouchers = t["voucher_closing"].filter(
         (_c("created_at") < at) & (F.coalesce(_c("is_active"), F.lit(0)) == 0) & (_c("to_date") >= at)
@@ -167,16 +173,16 @@ def voucher_timing(t: Tables, cutoff: str) -> DataFrame:
         F.lit("inactive").alias("status"), _c("created_at").alias("creation_date"), _c("from_date").alias("start_date"),
         _c("to_date").alias("end_date"), "fk_customer", _c("description").alias("comment"),
     )
-    items = t["order_items"].filter("voucher_code is not null").select(
-        "company_code", _c("voucher_code").alias("code"), "order_item_id", "order_nr", "order_creation_date",
-        _c("delivered_date").alias("order_delivery_date"), _c("cancellation_date").alias("order_cancellation_date"),
-        _c("current_status").alias("order_item_status"), "payment_method",
-    )
+    coded = t["order_items"].filter("voucher_code is not null").withColumnRenamed("voucher_code", "code")
     later = lambda c: _c(c).isNull() | (_c(c) >= at)
-    status = _c("order_item_status")
-    return vouchers.join(items, ["company_code", "code"], "left").filter(
-        (status.isNull() | ~status.isin("delivered", "cancelled", "closed")) & later("order_delivery_date") & later("order_cancellation_date")
+    status = _c("current_status")
+    unsettled = (status.isNull() | ~status.isin("delivered", "cancelled", "closed")) & later("delivered_date") & later("cancellation_date")
+    items = coded.filter(unsettled).select(
+        "company_code", "code", "order_item_id", "order_nr", "order_creation_date", _c("delivered_date").alias("order_delivery_date"),
+        _c("cancellation_date").alias("order_cancellation_date"), _c("current_status").alias("order_item_status"), "payment_method",
     )
+    never_used = vouchers.join(coded.select("company_code", "code").distinct(), ["company_code", "code"], "left_anti")
+    return vouchers.join(items, ["company_code", "code"]).unionByName(never_used, allowMissingColumns=True)
 
 
 def voucher_usage_monthly(t: Tables, cutoff: str, companies: Sequence[str], delivered_after_year: int = 2014) -> DataFrame:
@@ -416,9 +422,28 @@ def channel_of_order(t: Tables) -> DataFrame:
     )
 
 
+# Ledger accounts behind the extracts.
+GL_ACCOUNTS = {
+    "voucher_liability": ("18412",), "gl_accounts_cr_03": ("15010",), "customer_balances": ("13001", "13002", "13003"),
+    "prepayments": ("18650", "18397"), "all_receivables": ("13001", "13002", "13003", "18412", "18650", "18397"),
+}
+
 # Dataset ids of the close and the extract behind each.
 CATALOG = {
     "CR_03": ledger_open_items, "CR_04": balances_at_date, "CR_05": fx_closing, "CR_05a": fx_spot, "IPE_07": customer_open_items,
     "IPE_08": voucher_issuance, "IPE_08_TIMING": voucher_timing, "DOC_VOUCHER_USAGE": voucher_usage_monthly, "IPE_10": prepayments,
     "IPE_11": accrued_revenue, "IPE_12": packages_unreconciled, "IPE_31": collection_open_items, "IPE_34": refund_liability,
 }
+
+# Column that every extract must deliver besides at least one row.
+_EXPECTED = {
+    "CR_03": ("amount",), "CR_04": ("balance_at_date", "group_account_no"), "CR_05": ("company_code", "fx_rate"), "CR_05a": ("rate_amount",),
+    "IPE_07": ("customer_id", "posting_group"), "IPE_08": ("remaining_amount", "id"), "IPE_08_TIMING": ("voucher_id", "status"),
+    "DOC_VOUCHER_USAGE": ("total_amount_used",), "IPE_10": ("company_code",), "IPE_11": ("company_code",), "IPE_12": ("company_code",),
+    "IPE_31": ("company_code",), "IPE_34": ("company_code",),
+}
+
+
+def catalog_rules(dataset: str) -> list[QualityRule]:
+    """Quality rules of an extract: at least one row, and its expected columns."""
+    return [RowCountCheck(1), *[ColumnExistsCheck(c) for c in _EXPECTED[dataset]]]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from closewright.functions import (
-    concat_nulls_as_blank, country_to_company, due_month_label, flag_text, harmonize_voucher_type, in_cutoff_month, in_rolling_year, is_iso_date,
+    concat_nulls_as_blank, country_to_company, due_month_label, flag_text, gl_description, harmonize_voucher_type, in_cutoff_month, in_rolling_year, is_iso_date,
     midnight, next_month_first, rolling_year_start, scrub_line_breaks, to_number, to_timestamp, voucher_key, year_month_text, yyyymm,
 )
 from closewright.functions.dates import as_date, last_second_before
@@ -94,6 +94,11 @@ def test_harmonize(spark, label, want):
     assert one(spark, harmonize_voucher_type(F.lit(label).cast("string"))) == want
 
 
+def test_gl_description(spark):
+    assert one(spark, gl_description(F.lit("18412"))) == "Voucher Liabilities"
+    assert one(spark, gl_description(F.lit("99"))) == "Unknown GL: 99"
+
+
 def test_country_to_company(spark):
     for code, want in (("NG", "EC_NG"), ("eg", "JM_EG"), ("GH", "JD_GH"), ("XX", "EC_XX")):
         assert one(spark, country_to_company(F.lit(code))) == want

@@ -50,6 +50,14 @@ def test_conform(frame):
     assert cf.missing_required(["ID_COMPANY", "Amount"], contract) == ["entry_no", "posting_date"]
 
 
+def test_presets(frame):
+    contract = C.Contract("X", 1, (C.Field("a", "amount", True),))
+    raw = frame([("1",)], "a string")
+    assert cf.conform_as(raw, contract, "strict_lite")[1] is None
+    assert cf.conform_as(raw, contract, "strict_full")[1].count() == 1
+    assert cf.conform_as(raw.drop("a").withColumn("b", F.lit(1)), contract, "audit_mode")[1].first()["violated"]
+
+
 def test_conform_report_and_fills(frame):
     contract = C.Contract("X", 2, (
         C.Field("a", "amount", True, fill=C.FILL_ZERO), C.Field("t", "name", fill=C.FILL_EMPTY), C.Field("d", "date", fill=C.FAIL_ON_NULL), C.Field("m", "id", True),
