@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from closewright.functions.text import null_if_nan
 from closewright.operators.evidence import row_digest
 from closewright.operators.joins import beside, stack_frames
 from closewright.operators.naming import is_numeric, require_columns
@@ -106,12 +107,13 @@ def probe_metrics(df: DataFrame, checkpoint: str, metrics: Sequence[str] = ()) -
     for c in metrics:
         if c not in df.columns:
             continue
-        parts[f"{c}_non_null_count"] = F.count(c).cast("double")
+        value = null_if_nan(c, df.schema[c].dataType)
+        parts[f"{c}_non_null_count"] = F.count(value).cast("double")
         if is_numeric(df, c):
-            parts[f"{c}_sum"] = F.coalesce(F.sum(c).cast("double"), F.lit(0.0))
-            parts[f"{c}_mean"] = F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0))
+            parts[f"{c}_sum"] = F.coalesce(F.sum(value).cast("double"), F.lit(0.0))
+            parts[f"{c}_mean"] = F.sum(value).cast("double") / F.nullif(F.count(value), F.lit(0))
         else:
-            parts[f"{c}_unique_count"] = F.count_distinct(c).cast("double")
+            parts[f"{c}_unique_count"] = F.count_distinct(value).cast("double")
     return unpivot_metrics(df.agg(*[v.alias(k) for k, v in parts.items()]), list(parts)).select(
         F.lit(checkpoint).alias("checkpoint"), "metric", "value"
     )
@@ -131,11 +133,12 @@ def table_probe(
     whole rows. All rows of a group are equal; what does not count distinct values is summed on
     the way, so the table is read once.
     """
-    nulls = sum((F.col(f"`{c}`").isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
+    present = lambda c: null_if_nan(F.col(f"`{c}`"), df.schema[c].dataType)
+    nulls = sum((present(c).isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
     keys = [k for k in key_cols if k in df.columns]
     probed = df.select(
         F.unhex(row_digest(df)).alias("_digest"), nulls.alias("_nulls"), *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *([F.col(amount_col).alias("_amount")] if amount_col in df.columns else []),
+        *([present(amount_col).alias("_amount")] if amount_col in df.columns else []),
         *([F.col(date_col).alias("_date")] if date_col in df.columns else []),
     )
     partial = [F.count("*").alias("_n"), F.sum("_nulls").alias("_nulls"), *[F.any_value(f"_k_{k}").alias(f"_k_{k}") for k in keys]]
@@ -166,7 +169,7 @@ def exact_quantiles(df: DataFrame, column: str, wanted: dict[str, float] = QUART
     at most `keep` rows, or one value, lie in it. Only those are ranked, one row per value, so
     no task sees more than that. Each pass returns a few numbers to the driver.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
+    values = df.select(null_if_nan(column, df.schema[column].dataType).cast("double").alias("v")).filter("v is not null")
     n = values.count()
     if n == 0:
         return df.agg(*[F.lit(None).cast("double").alias(name) for name in wanted])
@@ -196,9 +199,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max of each column, one row per column."""
     rows = []
     for c in columns:
-        value = F.col(c).cast("double")
+        value = null_if_nan(c, df.schema[c].dataType).cast("double")
         moments = df.agg(
-            F.count(c).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")
+            F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")
         )
         rows.append(beside(moments, exact_quantiles(df, c)).withColumn("column", F.lit(c)))
     return stack_frames(rows)

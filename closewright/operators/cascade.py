@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,49 +30,63 @@ LOOKUP = "<lookup>"
 
 @dataclass(frozen=True)
 class LedgerRule:
-    """A claim on ledger rows: the first rule whose condition holds decides category and type."""
+    """A claim on ledger rows: the first rule whose condition holds decides category and type.
+
+    The condition is SQL text over the working columns `_sign`, `_batch`, `_desc`, `_note`,
+    `_doc`, `_bal` and `_kind`.
+    """
 
     name: str
-    condition: Column
+    condition: str
     category: str
     voucher_type: str | None = None
 
 
-def _has(text: str, *parts: str) -> Column:
+def _text(value: str | None) -> str:
+    """A SQL string literal."""
+    if value is None:
+        return "cast(null as string)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _has(column: str, *parts: str) -> str:
     """True when the text column holds any of the parts literally (no wildcards)."""
-    return reduce(or_, [F.col(text).contains(part) for part in parts])
+    return "(" + " or ".join(f"contains({column}, {_text(part)})" for part in parts) + ")"
 
 
-def ledger_rules(countries: Sequence[str] = STORE_CREDIT_COUNTRIES) -> list[LedgerRule]:
-    """The cascade in order of priority, over the working columns `_sign`, `_batch`, `_desc`, `_note`, `_doc`, `_bal`, `_kind`."""
-    batch, manual = F.col("_batch"), ~F.col("_batch")
-    out, back = F.col("_sign") < 0, F.col("_sign") > 0
-    # One IN per code length keeps the generated method small enough for the JIT, unlike a chain of prefixes.
+def _starts_with_any(column: str, codes: Sequence[str]) -> str:
+    """One IN per code length; a chain of prefixes would make the generated method too long for the JIT."""
     by_length: dict[int, list[str]] = {}
-    for code in countries:
-        by_length.setdefault(len(code), []).append(code.upper())
-    store_credit = reduce(or_, [F.left("_doc", F.lit(n)).isin(*codes) for n, codes in by_length.items()], F.lit(False))
+    for code in codes:
+        by_length.setdefault(len(code), []).append(_text(code.upper()))
+    return "(" + " or ".join(f"left({column}, {n}) in ({', '.join(group)})" for n, group in by_length.items()) + ")" if codes else "false"
+
+
+def ledger_rules(countries: Sequence[str] = STORE_CREDIT_COUNTRIES) -> list[LedgerRule]:
+    """The cascade in order of priority."""
+    batch_out, batch_back = "_batch and _sign < 0", "_batch and _sign > 0"
+    manual_out, manual_back = "not _batch and _sign < 0", "not _batch and _sign > 0"
     refund = ("REFUND", "RF_", "RF ")
     return [
-        LedgerRule("bank payout", manual & back & (F.col("_bal") == "BANK ACCOUNT"), "VTC", "Refund"),
-        LedgerRule("batch refund", batch & out & _has("_desc", *refund), "Issuance", "Refund"),
-        LedgerRule("batch gesture", batch & out & _has("_desc", "COMMERCIAL GESTURE"), "Issuance", "Apology"),
-        LedgerRule("batch jforce", batch & out & _has("_desc", "PYT_"), "Issuance", "JForce"),
-        LedgerRule("batch issuance", batch & out, "Issuance"),
-        LedgerRule("manual store credit", manual & out & store_credit, "Issuance", "Store Credit"),
-        LedgerRule("manual refund", manual & out & _has("_desc", "RFN", *refund), "Issuance", "Refund"),
-        LedgerRule("manual apology", manual & out & _has("_desc", "COMMERCIAL", "CXP", "APOLOGY"), "Issuance", "Apology"),
-        LedgerRule("manual jforce", manual & out & _has("_desc", "PYT_"), "Issuance", "JForce"),
-        LedgerRule("manual issuance", manual & out, "Issuance"),
-        LedgerRule("accrual release", batch & back & _has("_desc", "VOUCHER ACCRUAL"), "Cancellation", "Apology"),
-        LedgerRule("batch usage", batch & back, "Usage", LOOKUP),
-        LedgerRule("expired apology", manual & back & _has("_desc", "EXPR_APLGY"), "Expired", "Apology"),
-        LedgerRule("expired jforce", manual & back & _has("_desc", "EXPR_JFORCE"), "Expired", "JForce"),
-        LedgerRule("expired store credit", manual & back & _has("_desc", "EXPR_STR CRDT", "EXPR_STR_CRDT"), "Expired", "Store Credit"),
-        LedgerRule("expired", manual & back & _has("_desc", "EXPR"), "Expired"),
-        LedgerRule("manual payout", manual & back & (_has("_desc", "MANUAL RND") | (_has("_desc", "PYT_") & _has("_note", "GTB"))), "VTC", "Refund"),
-        LedgerRule("credit memo", manual & back & (F.col("_kind") == "CREDIT MEMO"), "Cancellation", "Store Credit"),
-        LedgerRule("item price credit", manual & back & _has("_desc", "ITEMPRICECREDIT"), "Usage", LOOKUP),
+        LedgerRule("bank payout", f"{manual_back} and _bal = 'BANK ACCOUNT'", "VTC", "Refund"),
+        LedgerRule("batch refund", f"{batch_out} and {_has('_desc', *refund)}", "Issuance", "Refund"),
+        LedgerRule("batch gesture", f"{batch_out} and {_has('_desc', 'COMMERCIAL GESTURE')}", "Issuance", "Apology"),
+        LedgerRule("batch jforce", f"{batch_out} and {_has('_desc', 'PYT_')}", "Issuance", "JForce"),
+        LedgerRule("batch issuance", batch_out, "Issuance"),
+        LedgerRule("manual store credit", f"{manual_out} and {_starts_with_any('_doc', countries)}", "Issuance", "Store Credit"),
+        LedgerRule("manual refund", f"{manual_out} and {_has('_desc', 'RFN', *refund)}", "Issuance", "Refund"),
+        LedgerRule("manual apology", f"{manual_out} and {_has('_desc', 'COMMERCIAL', 'CXP', 'APOLOGY')}", "Issuance", "Apology"),
+        LedgerRule("manual jforce", f"{manual_out} and {_has('_desc', 'PYT_')}", "Issuance", "JForce"),
+        LedgerRule("manual issuance", manual_out, "Issuance"),
+        LedgerRule("accrual release", f"{batch_back} and {_has('_desc', 'VOUCHER ACCRUAL')}", "Cancellation", "Apology"),
+        LedgerRule("batch usage", batch_back, "Usage", LOOKUP),
+        LedgerRule("expired apology", f"{manual_back} and {_has('_desc', 'EXPR_APLGY')}", "Expired", "Apology"),
+        LedgerRule("expired jforce", f"{manual_back} and {_has('_desc', 'EXPR_JFORCE')}", "Expired", "JForce"),
+        LedgerRule("expired store credit", f"{manual_back} and {_has('_desc', 'EXPR_STR CRDT', 'EXPR_STR_CRDT')}", "Expired", "Store Credit"),
+        LedgerRule("expired", f"{manual_back} and {_has('_desc', 'EXPR')}", "Expired"),
+        LedgerRule("manual payout", f"{manual_back} and ({_has('_desc', 'MANUAL RND')} or ({_has('_desc', 'PYT_')} and {_has('_note', 'GTB')}))", "VTC", "Refund"),
+        LedgerRule("credit memo", f"{manual_back} and _kind = 'CREDIT MEMO'", "Cancellation", "Store Credit"),
+        LedgerRule("item price credit", f"{manual_back} and {_has('_desc', 'ITEMPRICECREDIT')}", "Usage", LOOKUP),
     ]
 
 
@@ -107,11 +119,10 @@ def _prepared(ledger: DataFrame, batch_user: str, account: str) -> DataFrame:
 
 
 def _claimed(prepared: DataFrame, rules: Sequence[LedgerRule]) -> DataFrame:
-    claim = None
-    for rule in rules:
-        outcome = F.struct(F.lit(rule.category).alias("category"), F.lit(rule.voucher_type).cast("string").alias("type"))
-        claim = F.when(rule.condition, outcome) if claim is None else claim.when(rule.condition, outcome)
-    return prepared.withColumn("_claim", claim).withColumns({
+    branches = " ".join(
+        f"when {r.condition} then named_struct('category', {_text(r.category)}, 'type', {_text(r.voucher_type)})" for r in rules
+    )
+    return prepared.withColumn("_claim", F.expr(f"case {branches} end")).withColumns({
         "bridge_category": F.col("_claim.category"),
         "voucher_type": F.nullif(F.col("_claim.type"), F.lit(LOOKUP)),
         "needs_lookup": F.coalesce(F.col("_claim.type") == LOOKUP, F.lit(False)),
@@ -142,7 +153,7 @@ def classify_ledger(
     """
     rules = ledger_rules(countries)
     prepared = _prepared(ledger, batch_user, account)
-    may_look_up = reduce(or_, [rule.condition for rule in rules if rule.voucher_type == LOOKUP])
+    may_look_up = F.expr(" or ".join(f"({rule.condition})" for rule in rules if rule.voucher_type == LOOKUP))
     waiting = _claimed(prepared.filter(may_look_up), rules)
     settled = _claimed(prepared.filter(~may_look_up), rules)
     wanted = lambda name: F.when(F.col("needs_lookup"), column_or_null(waiting, [name]))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closewright.functions.dates import cutoff_lit, to_timestamp
-from closewright.functions.text import to_number
+from closewright.functions.text import null_if_nan, to_number
 from closewright.operators.audit import key_counts
 from closewright.operators.joins import beside
 from closewright.operators.naming import OPS_USAGE_ALIASES, is_numeric, rename_first_existing
@@ -76,7 +76,7 @@ class NumericSumCheck(QualityRule):
         if not is_numeric(df, self.column):
             return _failed("column is not numeric")
         return Outcome(
-            {"s": F.coalesce(F.sum(self.column), F.lit(0))},
+            {"s": F.coalesce(F.sum(null_if_nan(self.column, df.schema[self.column].dataType)), F.lit(0))},
             lambda get: (get("s") == 0) if self.should_be_zero else (get("s") != 0),
             lambda get: F.concat(F.lit("sum "), get("s").cast("string")),
         )
@@ -88,7 +88,7 @@ class NoNullsCheck(QualityRule):
 
     def plan(self, df):
         return Outcome(
-            {"nulls": F.count_if(F.col(self.column).isNull()), "n": F.count("*")}, lambda get: get("nulls") == 0,
+            {"nulls": F.count_if(null_if_nan(self.column, df.schema[self.column].dataType).isNull()), "n": F.count("*")}, lambda get: get("nulls") == 0,
             lambda get: F.concat(get("nulls").cast("string"), F.lit(" nulls of "), get("n").cast("string"), F.lit(" rows")),
         )
 
@@ -149,7 +149,7 @@ class SemanticValidityCheck(QualityRule):
     tag: str
 
     def plan(self, df):
-        c = F.col(self.column)
+        c = null_if_nan(self.column, df.schema[self.column].dataType)
         n = F.count("*")
         if self.tag in ("amount", "date"):
             value = to_number(c, df.schema[self.column].dataType) if self.tag == "amount" else _as_date(df, self.column)

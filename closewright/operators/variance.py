@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closewright.functions.labels import COMPANY_OVERRIDES, country_to_company
 from closewright.operators.fx import with_usd
-from closewright.operators.naming import column_or_null
+from closewright.operators.naming import column_or_null, first_existing, require_columns
 from closewright.operators.pivots import GRAIN
 from closewright.operators.thresholds import BUCKET, CONTRACTS, LINE_ITEM, ThresholdContract, with_threshold
 
@@ -73,15 +75,19 @@ def line_items(
         *[F.col(k).alias(f"_{k}") for k in GRAIN], F.col("threshold_usd").alias("bucket_threshold_usd"),
         "threshold_contract_version", "threshold_contract_hash",
     )
-    match = F.lit(True)
-    for key in GRAIN:
-        match = match & (F.col(key) == F.col(f"_{key}"))
+    use = first_existing(lines, ["business_use", "business_use_formatted"])
+    if side == "tv" and "voucher_type" not in lines.columns and use:
+        lines = lines.withColumn("voucher_type", F.lower(use))
+    # A source without one of the keys matches every bucket on the others.
+    present = [k for k in GRAIN if k in lines.columns]
+    require_columns(lines, ["amount_local", "country_code"], f"{side} lines")
+    match = reduce(and_, [F.col(k) == F.col(f"_{k}") for k in present])
     source = lines.select(
-        *GRAIN, column_or_null(lines, ["voucher_no"] if side == "nav" else ["id", "voucher_id", "voucher_no"]).cast("string").alias("voucher_id"),
+        *present, column_or_null(lines, ["voucher_no"] if side == "nav" else ["id", "voucher_id", "voucher_no"]).cast("string").alias("voucher_id"),
         (column_or_null(lines, ["document_no"]) if side == "nav" else F.lit(None)).cast("string").alias("document_no"),
         F.coalesce("amount_local", F.lit(0)).alias("amount_local"),
     )
-    hit = source.join(flagged, match, "inner")
+    hit = source.join(flagged, match, "inner").withColumns({k: F.col(f"_{k}") for k in GRAIN})
     priced = with_usd(hit, {"amount_local": "amount_usd"}, country_to_company(F.col("country_code"), overrides), rates)
     resolved = with_threshold(priced, LINE_ITEM, gl_account, contracts)
     local, in_usd = F.col("amount_local").cast("double"), F.col("amount_usd")

@@ -22,6 +22,8 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, app: str = "clos
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Call-site capture on every Column call costs more than the small queries themselves.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -69,6 +69,14 @@ def test_quality_rules(frame):
     assert rows(q.quality_status(report)) == [("t", "FAIL", 15, 9)]
 
 
+def test_nan_counts_as_missing(frame):
+    df = frame([(1.0,), (float("nan"),), (None,)], "x double")
+    report = q.run_quality(df, [q.NumericSumCheck("x", False), q.NoNullsCheck("x")])
+    assert rows(report, "detail") == [("2 nulls of 3 rows",), ("sum 1.0",)]
+    assert audit.table_probe(df, "t", "x").first()["nulls_total"] == 2 and audit.table_probe(df, "t", "x").first()["amount_sum"] == 1.0
+    assert audit.describe_numeric(df, ["x"]).first()["count"] == 1
+
+
 def test_quality_is_one_pass(frame):
     df = frame([(1, 5.0)], "k int, x double")
     plan = q.run_quality(df, [q.RowCountCheck(1), q.NoNullsCheck("k"), q.NumericSumCheck("x", False)])._jdf.queryExecution().executedPlan().toString()

@@ -119,6 +119,9 @@ def test_status_and_review(frame, rates):
     assert var.review_table(buckets, "18412").count() == 1
     with pytest.raises(ValueError):
         var.review_table(buckets, "18412", nav=nav)
+    by_use = tv.withColumn("voucher_type", F.lit("REFUND")).withColumnRenamed("voucher_type", "business_use")
+    assert rows(var.line_items(buckets, by_use, "tv", "18412", rates), "voucher_id", "voucher_type") == [("T1", "refund")]
+    assert rows(var.line_items(buckets, tv.drop("category"), "tv", "18412", rates), "voucher_id", "category") == [("T1", "Usage")]
 
 
 def test_threshold_is_exclusive(frame, rates):
