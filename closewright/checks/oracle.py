@@ -5,6 +5,8 @@ All texts run on the sample tables; the view list in front of each is the one th
 
 from __future__ import annotations
 
+import re
+
 from closewright.sources.sample_views import view_ctes
 
 ORACLE: dict[str, str] = {}
@@ -698,6 +700,28 @@ sql(
     "select company_code, 'CR_05' as _dataset_id, '1998-10-02T03:04:05' as _extraction_date, '1998-09-30' as _cutoff_date from company",
 )
 
+# The fingerprint text of a ledger row: JSON with the columns in name order and nulls written out.
+ROW_TEXT = """'{' || concat_ws(',', '"amount":' || amount, j('bal_account_type', bal_account_type), j('busline_code', busline_code), j('comment', comment), j('company_code', company_code),
+ j('country_code', country_code), j('description', description), j('document_no', document_no), j('document_type', document_type), '"entry_no":' || entry_no, j('gl_account', gl_account),
+ '"posting_date":"' || strftime(posting_date, '%Y-%m-%dT%H:%M:%S.000') || '"', j('user_id', user_id), j('voucher_no', voucher_no)) || '}'"""
+
+
+def _json_text(text: str) -> str:
+    """Expand j(name, column) to the JSON member of a text column."""
+    return re.sub(r"j\('(\w+)', (\w+)\)", r"""'"\1":' || coalesce('"' || replace(\2, chr(92), chr(92) || chr(92)) || '"', 'null')""", text)
+
+
+LIMBS = ", ".join(f"sum(('0x' || substr(h, {1 + 8 * i}, 8))::ubigint)::varchar as s{i}" for i in range(6))
+GL_COLUMNS = (
+    "amount,bal_account_type,busline_code,comment,company_code,country_code,description,document_no,document_type,entry_no,gl_account,posting_date,user_id,voucher_no"
+)
+sql(
+    "dataset_fingerprint", ["gl_entries"],
+    f"""select 'gl_entries' as dataset, n as data_rows, 14::bigint as data_columns, sha256(concat_ws('|', s0, s1, s2, s3, s4, s5, n::varchar, '{GL_COLUMNS}')) as fingerprint
+from (select count(*) as n, {LIMBS} from digests)""", f"digests as (select sha256({_json_text(ROW_TEXT)}) as h from gl_entries)",
+)
+sql("fingerprint_verified", ["vouchers"], "select 'vouchers' as dataset, count(*) as data_rows, count(*) as recorded_rows, true as verified from vouchers")
+
 # --- totals, sorts and limits ---------------------------------------------------------------
 
 COMPONENTS = f"""actual as (select sum(balance_at_date) as actuals from gl_balances where closing_date = date '1998-09-30' and group_account_no = '18412'),
