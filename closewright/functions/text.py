@@ -38,7 +38,7 @@ def upper_text(c: Column | str) -> Column:
 
 
 def slashes(c: Column | str) -> Column:
-    return F.translate(_col(c), "\\", "/")
+    return F.replace(_col(c), F.lit("\\"), F.lit("/"))
 
 
 def voucher_key(c: Column | str) -> Column:

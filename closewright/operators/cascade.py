@@ -64,17 +64,20 @@ def _starts_with_any(column: str, codes: Sequence[str]) -> str:
 
 def ledger_rules(countries: Sequence[str] = STORE_CREDIT_COUNTRIES) -> list[LedgerRule]:
     """The cascade in order of priority."""
-    batch_out, batch_back = "_batch and _sign < 0", "_batch and _sign > 0"
-    manual_out, manual_back = "not _batch and _sign < 0", "not _batch and _sign > 0"
-    refund = ("REFUND", "RF_", "RF ")
+    # The sign is the cheapest test, so it comes first.
+    batch_out, batch_back = "_sign < 0 and _batch", "_sign > 0 and _batch"
+    manual_out, manual_back = "_sign < 0 and not _batch", "_sign > 0 and not _batch"
+    # "RF " needs a following character: the text counts without its outer whitespace.
+    loose_rf = "(contains(_desc, 'RF ') and _desc rlike r'(?s)RF (?=.*\\S)')"
+    refund = f"({_has('_desc', 'REFUND', 'RF_')} or {loose_rf})"
     return [
         LedgerRule("bank payout", f"{manual_back} and _bal = 'BANK ACCOUNT'", "VTC", "Refund"),
-        LedgerRule("batch refund", f"{batch_out} and {_has('_desc', *refund)}", "Issuance", "Refund"),
+        LedgerRule("batch refund", f"{batch_out} and {refund}", "Issuance", "Refund"),
         LedgerRule("batch gesture", f"{batch_out} and {_has('_desc', 'COMMERCIAL GESTURE')}", "Issuance", "Apology"),
         LedgerRule("batch jforce", f"{batch_out} and {_has('_desc', 'PYT_')}", "Issuance", "JForce"),
         LedgerRule("batch issuance", batch_out, "Issuance"),
         LedgerRule("manual store credit", f"{manual_out} and {_starts_with_any('_doc', countries)}", "Issuance", "Store Credit"),
-        LedgerRule("manual refund", f"{manual_out} and {_has('_desc', 'RFN', *refund)}", "Issuance", "Refund"),
+        LedgerRule("manual refund", f"{manual_out} and ({_has('_desc', 'RFN')} or {refund})", "Issuance", "Refund"),
         LedgerRule("manual apology", f"{manual_out} and {_has('_desc', 'COMMERCIAL', 'CXP', 'APOLOGY')}", "Issuance", "Apology"),
         LedgerRule("manual jforce", f"{manual_out} and {_has('_desc', 'PYT_')}", "Issuance", "JForce"),
         LedgerRule("manual issuance", manual_out, "Issuance"),
@@ -110,8 +113,9 @@ def _prepared(ledger: DataFrame, batch_user: str, account: str) -> DataFrame:
         # Rows of other accounts get sign 0, which no rule accepts.
         "_sign": F.when(on_account, F.signum(amount_column(gl, "amount"))).otherwise(F.lit(0.0)),
         "_batch": F.col("integration_type") == "Integration",
-        "_desc": upper_text(column_or_null(gl, ["description"])),
-        "_note": upper_text(column_or_null(gl, ["comment"])),
+        # Searched for parts only, so the outer whitespace may stay.
+        "_desc": F.coalesce(F.upper(column_or_null(gl, ["description"])), F.lit("")),
+        "_note": F.coalesce(F.upper(column_or_null(gl, ["comment"])), F.lit("")),
         "_doc": upper_text(column_or_null(gl, ["document_no"])),
         "_bal": upper_text(column_or_null(gl, ["bal_account_type"])),
         "_kind": upper_text(column_or_null(gl, ["document_type"])),

@@ -36,6 +36,8 @@ CASES = [
     ({"amount": -1.0, "doc": "XX-1", "desc": "rfn 5"}, ("Manual", "Issuance", "Refund")),
     ({"amount": -1.0, "desc": "ends with rf "}, ("Manual", "Issuance", None)),
     ({"amount": -1.0, "desc": "rf x"}, ("Manual", "Issuance", "Refund")),
+    ({"amount": -1.0, "desc": " rf \n\tx "}, ("Manual", "Issuance", "Refund")),
+    ({"amount": -1.0, "desc": "rf \n\t "}, ("Manual", "Issuance", None)),
     ({"amount": -1.0, "desc": "cxp"}, ("Manual", "Issuance", "Apology")),
     ({"amount": -1.0}, ("Manual", "Issuance", None)),
     ({"bal": " bank account"}, ("Manual", "VTC", "Refund")),
