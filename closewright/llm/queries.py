@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from closewright.llm import bpe, warc
+from closewright.llm import bpe, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +36,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(spark, table(spark, sf_dir, "pages")).drop("payload", "url")
+
+
+@query
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"))

@@ -3,3 +3,26 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op5_top_k"] = """
+with rows as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as cells from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id as vec_id, cast(list_dot_product(q.cells, c.cells) as bigint) as score
+  from rows q join rows c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from scored qualify row_number() over (partition by query_id order by score desc, vec_id) <= 10
+"""
+
+ORACLE["op9_warc"] = """
+with rows as (select page_id, coalesce(html, '') as payload from pages),
+told as (select page_id, strlen(payload) as payload_bytes, sha1(payload) as hex, min(page_id) over (partition by payload) as first_id from rows),
+parts as (select *, list_transform(range(0, 8), lambda g: cast('0x' || substr(hex, 5 * g + 1, 5) as integer)) as fives from told)
+select page_id, cast(payload_bytes as bigint) as payload_bytes,
+  array_to_string(list_transform(fives, lambda v: array_to_string(list_transform([32768, 1024, 32, 1], lambda d: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((v // d) % 32 as integer) + 1, 1)), '')), '') as payload_digest,
+  case when first_id is null or page_id is not distinct from first_id then 'response' else 'revisit' end as record_type,
+  case when first_id is null or page_id is not distinct from first_id then null else first_id end as refers_to
+from parts
+"""
