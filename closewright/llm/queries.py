@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closewright.llm import bpe, decontaminate, langid, topk, warc
+from closewright.llm import bpe, decontaminate, langid, license, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +54,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+@query
+def op8_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.license_scan(table(spark, sf_dir, "documents"))
