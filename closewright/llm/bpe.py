@@ -11,6 +11,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from operator import itemgetter
 from struct import pack
 
 import ahocorasick
@@ -20,9 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words kept per worker process; beyond it the memory is emptied, which changes no result.
-KEPT_WORDS = 250_000
+#: Words kept per worker process in each of two generations; this bounds memory and changes no result.
+KEPT_WORDS = 300_000
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_IDS, _TOKENS = itemgetter(0), itemgetter(1)
 #: str.split() parts at these as well, which are no white space for the tokenizer.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -68,8 +71,11 @@ class PrefixEncoder:
         self.special_at = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._edges: dict[tuple[int, bool], list[tuple[int, float]]] = {}
         self._fits: dict[int, bool] = {}
+        # Two generations each: the older is dropped when the younger is full.
         self._words: dict[str, tuple[int, ...]] = {}
+        self._old_words: dict[str, tuple[int, ...]] = {}
         self._chunks: dict[str, tuple[bytes, str]] = {}
+        self._old_chunks: dict[str, tuple[bytes, str]] = {}
 
     def edge(self, token: int, right: bool) -> list[tuple[int, float]]:
         """Pieces that stand at one edge of a token while it is merged, each with the rank of the merge that ends it."""
@@ -95,7 +101,7 @@ class PrefixEncoder:
                 over = rank.get((a, b))
                 if over is not None and over < a_ends and over <= b_ends:
                     found = False
-        if len(self._fits) > 2 * KEPT_WORDS:
+        if len(self._fits) > 3 * KEPT_WORDS:
             self._fits.clear()
         self._fits[left << 20 | right] = found
         return found
@@ -106,48 +112,61 @@ class PrefixEncoder:
         if whole is not None:
             return (whole,)
         spelled = letters + self.mark
-        n, known = len(spelled), self._fits
-        last: list[int] = [-1] * n
-        size: list[int] = [0] * n
-        for at, (token, length) in self.automaton.iter(spelled):  # of one end, the longest comes first
-            if size[at]:
-                continue
-            before = at - length
-            if before >= 0:
-                if not size[before]:
-                    continue
-                fit = known.get(last[before] << 20 | token)
-                if not (self.fits(last[before], token) if fit is None else fit):
-                    continue
-            last[at], size[at] = token, length
+        n, known, fits = len(spelled), self._fits, self.fits
+        last: list[tuple[int, int] | None] = [None] * n
+        for at, found in self.automaton.iter(spelled):  # of one end, the longest comes first
+            if last[at] is None:
+                token, length = found
+                if at >= length:
+                    before = last[at - length]
+                    if before is None:
+                        continue
+                    fit = known.get(before[0] << 20 | token)
+                    if not (fits(before[0], token) if fit is None else fit):
+                        continue
+                last[at] = found
         ids, at = [], n - 1
         while at >= 0:
-            ids.append(last[at])
-            at -= size[at]
+            token, length = last[at]
+            ids.append(token)
+            at -= length
         return tuple(reversed(ids))
 
     def chunk(self, raw: str) -> tuple[bytes, str]:
         """Ids (as little-endian 32-bit integers) and tokens (joined) of a text without white space."""
-        ids: list[int] = []
-        words = self._words
-        text = raw.lower() if raw.isascii() else unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()
-        for piece in _PIECES.findall(text):
-            known = words.get(piece)
-            if known is None:
-                known = self.encode_word(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.spelling))
-                if len(words) >= KEPT_WORDS:
-                    words.clear()
-                words[piece] = known
-            ids += known
-        found = pack(f"<{len(ids)}I", *ids), " ".join([self.names[i] for i in ids])
+        found = self._old_chunks.get(raw)
+        if found is None:
+            if raw.isascii():
+                text = raw.lower()
+                pieces = (text,) if text.isalpha() else _ASCII_PIECES.findall(text)
+            else:
+                text = unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()
+                pieces = (text,) if text.isalpha() else _PIECES.findall(text)
+            ids: list[int] = []
+            for piece in pieces:
+                ids += self._words.get(piece) or self.word(piece)
+            found = pack(f"<{len(ids)}I", *ids), " ".join([self.names[i] for i in ids])
         if len(self._chunks) >= KEPT_WORDS:
-            self._chunks.clear()
+            self._old_chunks, self._chunks = self._chunks, {}
         self._chunks[raw] = found
         return found
 
+    def word(self, piece: str) -> tuple[int, ...]:
+        found = self._old_words.get(piece)
+        if found is None:
+            found = self.encode_word(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.spelling))
+        if len(self._words) >= KEPT_WORDS // 2:
+            self._old_words, self._words = self._words, {}
+        self._words[piece] = found
+        return found
+
     def known_or_new(self, chunks: list[str]) -> list[tuple[bytes, str]]:
-        known, chunk = self._chunks, self.chunk
-        return [known.get(c) or chunk(c) for c in chunks]
+        got = list(map(self._chunks.get, chunks))
+        if None in got:
+            for k, found in enumerate(got):
+                if found is None:
+                    got[k] = self._chunks.get(chunks[k]) or self.chunk(chunks[k])
+        return got
 
     def chunks(self, text: str) -> list[str]:
         return text.split() if not _NOT_SPACE.search(text) else [x for x in _SPACE.split(text) if x]
@@ -163,7 +182,7 @@ class PrefixEncoder:
             got += self.known_or_new(self.chunks(text[at:]))
         else:
             got = self.known_or_new(self.chunks(text))
-        return b"".join([g[0] for g in got]), " ".join([g[1] for g in got if g[1]])
+        return b"".join(map(_IDS, got)), " ".join(filter(None, map(_TOKENS, got)))
 
     def decode(self, ids: bytes) -> str:
         return " ".join(self.names[i] for i in np.frombuffer(ids, dtype="<u4").tolist())

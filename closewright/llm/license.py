@@ -113,7 +113,7 @@ def recognised(text: str, known: dict[str, str], longest: int, rules: tuple[Rule
     n, leads = 0, {lead(form) for form in known}
     while n < len(starts):
         hit = None
-        if lead(normalised(text[starts[n][0] : starts[n][0] + 96])[0]) not in leads:
+        if lead(normalised(text[starts[n][0] : min(starts[n][0] + 96, starts[n][1])])[0]) not in leads:
             n += 1
             continue
         for last in range(n, len(starts)):
