@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closewright.llm import bpe, cotrain, decontaminate, langid, license, topk, warc
+from closewright.llm import bpe, cotrain, dartminhash, decontaminate, langid, license, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +64,8 @@ def op8_license(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
