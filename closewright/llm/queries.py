@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closewright.llm import bpe, cotrain, dartminhash, decontaminate, langid, license, topk, warc
+from closewright.llm import bpe, cotrain, dartminhash, decontaminate, langid, license, suffix_dedup, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,3 +69,9 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
