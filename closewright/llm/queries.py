@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closewright.llm import bpe, cotrain, dartminhash, decontaminate, langid, license, suffix_dedup, topk, warc
+from closewright.llm import bpe, cotrain, dartminhash, decontaminate, langid, license, pii, suffix_dedup, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +75,9 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
     return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_spans(docs, pii.train(docs))
