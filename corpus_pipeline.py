@@ -3,26 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from closewright.llm import bpe
-from closewright.llm.queries import vocabulary
+from closewright.llm import bpe, dartminhash, decontaminate, langid, pii
+from closewright.llm.queries import table, vocabulary
+from closewright.llm.shared import written
+
+#: A document whose best language is less likely than this is rejected, as is one without a letter.
+LEAST_SCORE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in a language that the network, trained on these documents' labels, recognises."""
+    found = langid.predict(docs, langid.train(docs), prediction="__lang", score="__score")
+    return found.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return dartminhash.one_of_each(docs)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    return decontaminate.without_leaks(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data replaced by its kind."""
+    return pii.redact(docs, pii.train(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document that is left, with the digests of ids and decoded text."""
+    """doc_id, n_tokens and the digests of ids and decoded text of each document that is left."""
     return bpe.digests(bpe.encode_documents(docs, vocabulary()))
 
 
-STAGES = [("bpe", tokens)]
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("benchmark_free", benchmark_free), ("personal_data", without_personal_data), ("bpe", tokens)]
 
-#: The stages train a model, pass messages and run a tokenizer, which SQL cannot express.
+#: The stages train models, pass messages and run a tokenizer, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from closewright.llm.shared import written
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages in order over `documents`; each result but the last is a table in the shared folder."""
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
