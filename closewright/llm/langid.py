@@ -172,11 +172,14 @@ def training_windows(docs: DataFrame, key: str, text: str, label: str) -> DataFr
     """
     rows = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(key)))
     rows = rows.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string"), F.lit("train")).alias("draw"), F.xxhash64(F.col(text)).alias("tie"))
-    common = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).select("label")
-    drawn = rows.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("draw", "tie"))).filter(F.col("n") <= DOCS_PER_LANGUAGE)
+    common = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES)
+    # About four times the wanted number pass by their hash, whatever the corpus; the least of them are taken.
+    chance = F.shiftrightunsigned("draw", 11).cast("double") * 2.0**-53
+    passing = rows.join(F.broadcast(common), "label").filter(chance < 4.0 * DOCS_PER_LANGUAGE / F.col("count"))
+    drawn = passing.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("draw", "tie"))).filter(F.col("n") <= DOCS_PER_LANGUAGE)
     size = F.char_length("text")
     spread = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda i: F.substring(F.col("text"), (F.floor(i * size / WINDOWS_PER_DOC) + 1).cast("int"), F.lit(STEPS)))
-    windows = drawn.join(common, "label", "left_semi").select("label", "draw", "tie", F.explode(F.array_distinct(spread)).alias("window"))
+    windows = drawn.select("label", "draw", "tie", F.explode(F.array_distinct(spread)).alias("window"))
     return windows.orderBy("label", "draw", "tie", "window").select("label", "window")
 
 

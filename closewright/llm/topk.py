@@ -20,6 +20,7 @@ from closewright.llm.shared import written
 SCALE = 1024
 #: Rows of a block of candidates and of queries: what one task holds at a time.
 BLOCK_ROWS, QUERY_ROWS = 2048, 512
+BLOCKS_PER_CELL = 2
 PACKED = "block long, ids array<long>, sizes array<int>, cells binary"
 
 
@@ -92,18 +93,17 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, key: str = "v
     Queries are the rows whose id is divisible by `every`; candidates are all rows with another id. Vectors of
     different length meet in the components both have. Repeated rows are candidates each; a repeated query row is
     one query (its smallest vector). Fewer than k candidates give fewer rows; an empty table gives none. Blocks of
-    queries meet blocks of candidates by an equality join on the block number, so no task holds more than one pair.
+    queries meet blocks of candidates by an equality join on a cell number; a task holds one pair at a time.
     """
     rows = quantised(vectors, key, vector)
     queries = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("cells").alias("cells"))
     data = written(packed(rows, BLOCK_ROWS), "candidate-blocks")
     asked = packed(queries, QUERY_ROWS)
-    blocks = data.select("block")
-    # Each block of queries is dealt to every block of candidates by number.
-    ask = asked.select(F.col("ids").alias("q_ids"), F.col("sizes").alias("q_sizes"), F.col("cells").alias("q_cells"))
-    numbers = blocks.agg(F.collect_list("block").alias("numbers"))
-    dealt = ask.withColumn("one", F.lit(1)).join(numbers.withColumn("one", F.lit(1)), "one").select("q_ids", "q_sizes", "q_cells", F.explode("numbers").alias("block"))
-    pairs = dealt.join(data, "block").select("q_ids", "q_sizes", "q_cells", "ids", "sizes", "cells")
+    # Each block of candidates lies in one cell and each block of queries is dealt to all cells, so every two meet once.
+    cells = max(1, data.count() // BLOCKS_PER_CELL)
+    data = data.withColumn("cell", F.pmod(F.xxhash64("block"), F.lit(cells)))
+    dealt = asked.select(F.col("ids").alias("q_ids"), F.col("sizes").alias("q_sizes"), F.col("cells").alias("q_cells"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell"))
+    pairs = dealt.join(data, "cell").select("q_ids", "q_sizes", "q_cells", "ids", "sizes", "cells")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

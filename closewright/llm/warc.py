@@ -124,11 +124,12 @@ def read_records(index: DataFrame, folder: str, where: Column | None = None) ->
     """Records of the selected index rows (all, without `where`), one row each, in the columns of READ.
 
     Rows are dealt by archive and block of RANGE_BYTES, sorted by offset; within a task neighbours are fetched in
-    one read. An empty selection reads nothing.
+    one read. The number of tasks follows the bytes to read, not those of the index. An empty selection reads nothing.
     """
     chosen = index if where is None else index.filter(where)
     chosen = chosen.select("archive", "offset", "length", F.floor(F.col("offset") / RANGE_BYTES).alias("block"))
-    dealt = chosen.repartition("archive", "block").sortWithinPartitions("archive", "offset")
+    total = chosen.agg(F.sum("length")).first()[0] or 0
+    dealt = chosen.repartition(max(1, -(-total // RANGE_BYTES)), "archive", "block").sortWithinPartitions("archive", "offset")
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
     names = [x.split()[0] for x in READ.split(", ")]
 
