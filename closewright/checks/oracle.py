@@ -660,7 +660,7 @@ sql(
     "catalog_quality", ["gl_balances", "order_items", "refund_no_return", "customer_types"],
     f"""select 'IPE_10' as "table", 'RowCountCheck' as rule, null as "column", (select count(*) from ({ORACLE['prepayments'][ORACLE['prepayments'].index('select company_code, is_prepayment'):]})) > 0 as passed
 union all select 'IPE_34', 'RowCountCheck', null, (select count(*) from order_items where delivered_date is not null and refund_date between timestamp '1996-01-01' and timestamp '1998-09-30 23:59:59') > 0
-union all select 'IPE_12', 'RowCountCheck', null, false
+union all select 'IPE_12', 'RowCountCheck', null, (select count(*) from ({ORACLE['packages_unreconciled']})) > 0
 union all select 'CR_04', 'RowCountCheck', null, (select count(*) from gl_balances where closing_date = date '1998-09-30' and group_account_no = '18412') > 0
 union all select * from (values ('IPE_10', 'ColumnExistsCheck', 'company_code', true), ('IPE_34', 'ColumnExistsCheck', 'company_code', true), ('IPE_12', 'ColumnExistsCheck', 'company_code', true),
  ('CR_04', 'ColumnExistsCheck', 'balance_at_date', true), ('CR_04', 'ColumnExistsCheck', 'group_account_no', true))""",
@@ -720,7 +720,8 @@ sql(
     f"""select 'gl_entries' as dataset, n as data_rows, 14::bigint as data_columns, sha256(concat_ws('|', s0, s1, s2, s3, s4, s5, n::varchar, '{GL_COLUMNS}')) as fingerprint
 from (select count(*) as n, {LIMBS} from digests)""", f"digests as (select sha256({_json_text(ROW_TEXT)}) as h from gl_entries)",
 )
-sql("fingerprint_verified", ["vouchers"], "select 'vouchers' as dataset, count(*) as data_rows, count(*) as recorded_rows, true as verified from vouchers")
+sql("fingerprint_verified", ["vouchers"], """select copy, 'vouchers' as dataset, n as data_rows, n as recorded_rows, copy = 'shuffled' or paid_off = 0 as verified
+from (values ('shuffled'), ('changed')) c(copy), (select count(*) as n, count(*) filter (where is_active <> 1 and remaining_amount <> 0) as paid_off from vouchers)""")
 
 # --- totals, sorts and limits ---------------------------------------------------------------
 

@@ -44,8 +44,8 @@ CONTRACTS = (
 )
 
 OPS_CONTRACT = Contract("OPS_USAGE", 1, (
-    Field("voucher_id", "id", True), Field("amount_used", "amount", True, fill=FILL_ZERO), Field("usage_date", "date", fill=FAIL_ON_NULL),
-    Field("order_id", "id"), Field("status", "code", True),
+    Field("voucher_id", "id", True, ("Voucher Id",)), Field("amount_used", "amount", True, ("Amount Used",), fill=FILL_ZERO), Field("usage_date", "date", False, ("Usage Date",), fill=FAIL_ON_NULL),
+    Field("order_id", "id"), Field("status", "code", True, ("Status",)),
 ), ("voucher_id",))
 
 
@@ -573,7 +573,7 @@ def quality_status(t):
 @query
 def catalog_quality(t):
     made = {
-        "IPE_10": prepayments(t), "IPE_34": refund_liability(t), "IPE_12": packages_unreconciled(t).filter("company_code is null"), "CR_04": balances_at_date(t),
+        "IPE_10": prepayments(t), "IPE_34": refund_liability(t), "IPE_12": packages_unreconciled(t), "CR_04": balances_at_date(t),
     }
     return joins.stack_frames([quality.run_quality(df, ex.catalog_rules(name), name) for name, df in made.items()]).select("table", "rule", "column", "passed")
 
@@ -631,7 +631,9 @@ def dataset_fingerprint(t):
 @query
 def fingerprint_verified(t):
     recorded = evidence.fingerprint(t["vouchers"], "vouchers")
-    return evidence.verify_fingerprint(t["vouchers"].repartition(7, "business_use"), recorded, "vouchers").select("dataset", "data_rows", "recorded_rows", "verified")
+    shuffled, changed = t["vouchers"].repartition(7, "business_use"), t["vouchers"].withColumn("remaining_amount", F.when(F.col("is_active") == 1, F.col("remaining_amount")).otherwise(0).cast("decimal(18,2)"))
+    checked = [evidence.verify_fingerprint(df, recorded, "vouchers").withColumn("copy", F.lit(copy)) for copy, df in (("shuffled", shuffled), ("changed", changed))]
+    return joins.stack_frames(checked).select("copy", "dataset", "data_rows", "recorded_rows", "verified")
 
 
 # --- totals, sorts and limits ---------------------------------------------------------------

@@ -141,7 +141,7 @@ def table_probe(
         *([present(amount_col).alias("_amount")] if amount_col in df.columns else []),
         *([F.col(date_col).alias("_date")] if date_col in df.columns else []),
     )
-    partial = [F.count("*").alias("_n"), F.sum("_nulls").alias("_nulls"), *[F.any_value(f"_k_{k}").alias(f"_k_{k}") for k in keys]]
+    partial = [F.count("*").alias("_n"), F.sum("_nulls").alias("_nulls")]
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     facts = [
         total("_n").alias("rows"), F.lit(len(df.columns)).cast("long").alias("cols"), total("_nulls").alias("nulls_total"),
@@ -154,7 +154,8 @@ def table_probe(
         partial += [F.min("_date").alias("_lo"), F.max("_date").alias("_hi")]
         facts += [F.date_format(F.min("_lo"), "yyyy-MM-dd").alias("min_date"), F.date_format(F.max("_hi"), "yyyy-MM-dd").alias("max_date")]
     facts += [F.count_distinct(f"_k_{k}").alias(f"unique_{k}") for k in keys]
-    return probed.groupBy("_digest").agg(*partial).agg(*facts).withColumn("name", F.lit(name))
+    # Equal rows have equal keys, so grouping by the keys too changes nothing and spares a sort.
+    return probed.groupBy("_digest", *[f"_k_{k}" for k in keys]).agg(*partial).agg(*facts).withColumn("name", F.lit(name))
 
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}

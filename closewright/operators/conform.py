@@ -21,23 +21,14 @@ class MissingColumns(ValueError):
 
 
 def resolve_names(columns: list[str], contract: C.Contract) -> dict[str, str]:
-    """Source column of each canonical name: the name itself, then a like heading, then the aliases in order.
+    """Source column of each canonical name: the name itself, then its declared headings in order, as they are spelled.
 
-    Fields are served in contract order and a source column serves one field.
+    Fields are served in contract order and a source column serves one field. Other headings stay unknown.
     """
-    free = list(columns)
+    free = set(columns)
     chosen: dict[str, str] = {}
-    exact = [f for f in contract.fields if f.name in free]
-    for f in exact:
-        chosen[f.name] = f.name
-        free.remove(f.name)
     for f in contract.fields:
-        if f.name in chosen:
-            continue
-        found = next((c for c in free if C.same_heading(c, f.name)), None)
-        if found is None:
-            spelled = {C.spelling(c): c for c in reversed(free)}
-            found = next((spelled[C.spelling(a)] for a in f.aliases if C.spelling(a) in spelled), None)
+        found = next((name for name in (f.name, *f.aliases) if name in free), None)
         if found is not None:
             chosen[f.name] = found
             free.remove(found)
@@ -52,7 +43,7 @@ def missing_required(columns: list[str], contract: C.Contract) -> list[str]:
 def cast_to_tag(value: Column, source: DataType, field: C.Field) -> Column:
     """The value as its tag asks; unreadable values become null."""
     target = DataType.fromDDL(field.spark_type)
-    if field.tag in (C.AMOUNT, C.RATE, C.FLAG, C.COUNT):
+    if field.tag in (C.AMOUNT, C.RATE, C.FLAG, C.COUNT) or field.spark_type == C.INTEGER:
         if isinstance(source, StringType):
             value = F.translate(value, "$€£₦", "")
         number = to_number(value, source, DataType.fromDDL("double") if field.tag == C.RATE else DataType.fromDDL("decimal(20,2)"))

@@ -17,21 +17,33 @@ def spread_key(key: Column, spread_by: Sequence[Column | str]) -> Column:
     return F.coalesce(key.cast("string"), F.concat(F.lit("\0"), F.xxhash64(*spread_by).cast("string")))
 
 
+def own_shuffle(key: Column) -> Column:
+    """A key equal where `key` is equal, but by which no side is partitioned yet."""
+    return F.concat(key.cast("string"), F.lit("|"))
+
+
 def left_lookup(left: DataFrame, right: DataFrame, key: Column, spread_by: Sequence[str], also_on: Sequence[str] = ()) -> DataFrame:
     """Left join on a text key that may often be null, plus further equal columns.
 
     `right` names its key `lookup_key`; that column is not kept. `also_on` are equal columns
-    present on both sides; the left copy is kept. A hot non-null key is split by adaptive skew
-    join, which applies because only the left side is skewed.
+    present on both sides; the left copy is kept. Both sides join on a key derived from the text:
+    `right` is mostly an aggregate by `lookup_key`, and only a join that shuffles it anew can be
+    split by adaptive skew join where a key is hot.
     """
-    keyed = left.withColumns({"_key": key, "_spread": spread_key(key, spread_by)})
-    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in also_on})
+    keyed = left.withColumns({"_key": key, "_spread": own_shuffle(spread_key(key, spread_by))})
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in also_on}).withColumn("lookup_key", own_shuffle(F.col("lookup_key")))
     condition = (F.col("_spread") == F.col("lookup_key")) & F.col("_key").isNotNull()
     for c in also_on:
         condition = condition & (F.col(c) == F.col(f"_r_{c}"))
     return keyed.join(renamed, condition, "left").drop("_key", "_spread", "lookup_key", *[f"_r_{c}" for c in also_on])
 
 
+def semi_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of `left` whose keys (none null) stand in `right`; a hot key of `left` can be split by adaptive skew join."""
+    key = own_shuffle(F.concat(*[part for k in keys for part in (F.col(k).cast("string"), F.lit("\0"))]))
+    return left.withColumn("_semi", key).join(right.select(key.alias("_semi")), "_semi", "left_semi").drop("_semi")
+
+
 def order_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full sort with nulls last; a range-partitioned sort, so it scales with the cluster."""
     return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys])

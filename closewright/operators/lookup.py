@@ -20,7 +20,8 @@ def _candidates(source: DataFrame, key: str, rank: int) -> DataFrame:
 def _best_per_key(candidates: DataFrame, prefix: str) -> DataFrame:
     """One row per key: lowest source rank, then the first type in alphabetical order, null last."""
     order = F.struct("rank", F.col("type").isNull().alias("no_type"), "type")
-    return candidates.groupBy("lookup_key").agg(F.min(order).alias("best")).select(
+    # Repeated rows go by a hash aggregate; the least of the few left needs a sort, as text does.
+    return candidates.distinct().groupBy("lookup_key").agg(F.min(order).alias("best")).select(
         "lookup_key", F.col("best.rank").alias(f"{prefix}_rank"), F.col("best.type").alias(f"{prefix}_found")
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from closewright.functions.dates import cutoff_lit, to_timestamp
 from closewright.functions.text import null_if_nan, to_number
 from closewright.operators.audit import key_counts
-from closewright.operators.joins import beside
+from closewright.operators.joins import beside, semi_on
 from closewright.operators.naming import OPS_USAGE_ALIASES, is_numeric, rename_first_existing
 
 
@@ -205,7 +205,7 @@ def control_totals(extract: DataFrame, expected: DataFrame, witnesses: DataFrame
     Exclusion: no excluded key is present.
     """
     def present(wanted: DataFrame) -> DataFrame:
-        return extract.join(wanted.select(*keys).distinct(), list(keys), "left_semi").agg(F.count("*").alias("actual"))
+        return semi_on(extract, wanted.select(*keys).distinct(), keys).agg(F.count("*").alias("actual"))
 
     complete = beside(expected.agg(F.count("*").alias("expected")), extract.agg(F.count("*").alias("actual")))
     rows = [

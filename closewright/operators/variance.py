@@ -81,7 +81,7 @@ def line_items(
     # A source without one of the keys matches every bucket on the others.
     present = [k for k in GRAIN if k in lines.columns]
     require_columns(lines, ["amount_local", "country_code"], f"{side} lines")
-    match = reduce(and_, [F.col(k) == F.col(f"_{k}") for k in present])
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in present])
     source = lines.select(
         *present, column_or_null(lines, ["voucher_no"] if side == "nav" else ["id", "voucher_id", "voucher_no"]).cast("string").alias("voucher_id"),
         (column_or_null(lines, ["document_no"]) if side == "nav" else F.lit(None)).cast("string").alias("document_no"),

@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closewright.functions.labels import COMPANY_OVERRIDES
-from closewright.operators import bridges, cascade, evidence, fx, pivots, quality, scope, thresholds, totals, variance
+from closewright.operators import audit, bridges, cascade, evidence, fx, pivots, quality, scope, thresholds, totals, variance
+from closewright.operators.conform import conform_report, contract_rules
+from closewright.plans.extracts import catalog_rules
+from closewright.sources.contract_tables import CONTRACTS
 from closewright.sources.staging import staged
 
 
@@ -26,6 +30,8 @@ class CloseInputs:
     ops_usage: DataFrame | None = None
     customer_ledger: DataFrame | None = None
     totals: Mapping[str, DataFrame] = field(default_factory=dict)
+    #: Extracts by dataset id: each is probed, summarised, checked and reported against its contract.
+    datasets: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -45,58 +51,84 @@ def plan_close(inputs: CloseInputs, settings: CloseSettings) -> dict[str, Callab
     The classified ledger and the judged buckets are staged once, because the pivot, the drilldown
     and the bridges all read them.
     """
-    classified = staged(
-        cascade.classify_ledger(inputs.ledger, inputs.issuance, inputs.usage, settings.batch_user, settings.account, settings.countries), "classified"
-    )
-    vouchers = scope.on_account(classified, settings.account)
-    lines = pivots.nav_lines(vouchers)
-    target_rows = pivots.target_lines(list(inputs.targets))
-    rates = fx.rate_table(inputs.fx_rates)
-    compared = variance.variance_pivot(pivots.nav_pivot(lines), pivots.target_pivot(list(inputs.targets)), rates, settings.company_overrides)
-    buckets = staged(variance.with_status(compared, settings.account, settings.contracts), "buckets")
+    @cache
+    def classified() -> DataFrame:
+        return staged(
+            cascade.classify_ledger(inputs.ledger, inputs.issuance, inputs.usage, settings.batch_user, settings.account, settings.countries), "classified"
+        )
+
+    @cache
+    def vouchers() -> DataFrame:
+        return scope.on_account(classified(), settings.account)
+
+    @cache
+    def buckets() -> DataFrame:
+        compared = variance.variance_pivot(
+            pivots.nav_pivot(pivots.nav_lines(vouchers())), pivots.target_pivot(list(inputs.targets)), rates(), settings.company_overrides
+        )
+        return staged(variance.with_status(compared, settings.account, settings.contracts), "buckets")
+
+    def rates() -> DataFrame:
+        return fx.rate_table(inputs.fx_rates)
+
     results: dict[str, Callable[[], DataFrame]] = {
-        "classified_ledger": lambda: classified,
-        "classification_counts": lambda: cascade.classification_counts(classified),
-        "invalid_pairs": lambda: cascade.invalid_pairs(vouchers),
-        "nav_pivot": lambda: pivots.nav_pivot_with_total(lines),
-        "variance": lambda: buckets,
+        "classified_ledger": classified,
+        "classification_counts": lambda: cascade.classification_counts(classified()),
+        "invalid_pairs": lambda: cascade.invalid_pairs(vouchers()),
+        "nav_pivot": lambda: pivots.nav_pivot_with_total(pivots.nav_lines(vouchers())),
+        "variance": buckets,
         "review_table": lambda: variance.review_table(
-            buckets, settings.account, rates, lines, target_rows, settings.contracts, settings.company_overrides, settings.only_material
+            buckets(), settings.account, rates(), pivots.nav_lines(vouchers()), pivots.target_lines(list(inputs.targets)), settings.contracts, settings.company_overrides, settings.only_material
         ),
-        "vtc_unmatched": lambda: bridges.unmatched_refunds(inputs.issuance, vouchers, settings.cutoff),
-        "vtc_metrics": lambda: bridges.vtc_metrics(inputs.issuance, vouchers, settings.cutoff),
-        "key_violations": lambda: quality.primary_key_violations(classified, [c for c in ("company_code", "entry_no") if c in classified.columns]),
-        "fingerprint": lambda: evidence.fingerprint(classified, "classified_ledger"),
+        "vtc_unmatched": lambda: bridges.unmatched_refunds(inputs.issuance, vouchers(), settings.cutoff),
+        "vtc_metrics": lambda: bridges.vtc_metrics(inputs.issuance, vouchers(), settings.cutoff),
+        "key_violations": lambda: quality.primary_key_violations(classified(), [c for c in ("company_code", "entry_no") if c in inputs.ledger.columns]),
+        "fingerprint": lambda: evidence.fingerprint(classified(), "classified_ledger"),
     }
     if inputs.ops_usage is not None:
         results["timing_bridge"] = lambda: bridges.timing_difference(inputs.ops_usage, inputs.issuance, settings.cutoff)
         results["usage_validation"] = lambda: quality.usage_validation(inputs.ops_usage)
         results["bridge_summary"] = lambda: bridges.bridge_summary([
             ("TIMING_DIFFERENCE", bridges.timing_total(bridges.timing_difference(inputs.ops_usage, inputs.issuance, settings.cutoff)), F.col("variance"), F.col("vouchers")),
-            ("VTC", bridges.vtc_total(bridges.unmatched_refunds(inputs.issuance, vouchers, settings.cutoff)), F.col("amount_local"), F.col("vouchers")),
+            ("VTC", bridges.vtc_total(bridges.unmatched_refunds(inputs.issuance, vouchers(), settings.cutoff)), F.col("amount_local"), F.col("vouchers")),
         ])
     if inputs.customer_ledger is not None:
         results["posting_group_conflicts"] = lambda: bridges.posting_group_conflicts(inputs.customer_ledger)
         results["business_line_reclass"] = lambda: bridges.business_line_reclass(inputs.customer_ledger)
     if inputs.totals:
         results["reconciliation_totals"] = lambda: totals.reconciliation_totals(inputs.totals)
+    for name, df in inputs.datasets.items():
+        contract = CONTRACTS.get(name)
+        rules = [*catalog_rules(name), *(contract_rules(contract) if contract else [])]
+        results[f"quality_{name}"] = lambda df=df, rules=rules, name=name: quality.run_quality(df, rules, name)
+        results[f"probe_{name}"] = lambda df=df, name=name: audit.table_probe(df, name)
+        results[f"summary_{name}"] = lambda df=df, name=name: audit.table_summary(df, name)
+        if contract:
+            results[f"conform_report_{name}"] = lambda df=df, contract=contract: conform_report(df, contract)
     return results
 
 
 def run_close(spark: SparkSession, inputs: CloseInputs, settings: CloseSettings, folder: str) -> DataFrame:
-    """Write every result table under the folder and return the status of each step.
+    """Write every result table under the folder, append the run audit and return the status of each step.
 
-    A failing step becomes an ERROR row and does not stop the others.
+    A failing step becomes an ERROR row and does not stop the others, also where the steps share a failing
+    classification. A quality report with a failed rule makes its step a WARNING.
     """
-    states = []
+    states, started = [], datetime.now(timezone.utc)
     for name, build in plan_close(inputs, settings).items():
         try:
             build().write.mode("overwrite").parquet(f"{folder}/{name}")
-            states.append((name, "SUCCESS", "", datetime.now(timezone.utc)))
+            found = spark.read.parquet(f"{folder}/{name}")
+            failed = name.startswith("quality_") and not found.filter(~F.col("passed")).isEmpty()
+            states.append((name, "WARNING" if failed else "SUCCESS", "a quality rule failed" if failed else "", datetime.now(timezone.utc)))
         except Exception as error:  # noqa: BLE001 - reported as a row
             states.append((name, "ERROR", f"{type(error).__name__}: {str(error).splitlines()[0]}", datetime.now(timezone.utc)))
     status = spark.createDataFrame(states, "step string, status string, message string, finished_at timestamp")
     status.write.mode("overwrite").parquet(f"{folder}/close_status")
+    for name, state, _, _ in states:
+        if state != "ERROR":
+            found = spark.read.parquet(f"{folder}/{name}")
+            evidence.run_record(found, name, name, {"cutoff": settings.cutoff, "account": settings.account}, state, started).write.mode("append").parquet(f"{folder}/run_audit")
     return status
 
 

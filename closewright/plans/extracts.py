@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closewright.functions.dates import as_date, cutoff_lit, due_month_label, last_second_before, next_month_first, year_month_text, yyyymm
-from closewright.operators.joins import left_lookup
+from closewright.operators.joins import left_lookup, semi_on
 from closewright.operators.quality import ColumnExistsCheck, QualityRule, RowCountCheck
 
 Tables = Mapping[str, DataFrame]
@@ -104,10 +104,9 @@ def customer_open_items(t: Tables, cutoff: str, posting_groups: Sequence[str] =
         "auto_integrated", _c("posting_group").alias("current_posting_group"), "stream",
     )
     lines = t["buslines"].withColumnsRenamed({"busline_code": "lookup_key"})
+    open_entries = t["cle"].drop("country_code").filter((_c("posting_date") <= at) & _c("posting_group").isin(*posting_groups)).join(company, "company_code")
     entries = (
-        t["cle"].drop("country_code").filter((_c("posting_date") <= at) & _c("posting_group").isin(*posting_groups))
-        .join(company, "company_code")
-        .join(by_customer.select("company_code", "customer_id"), ["company_code", "customer_id"], "left_semi")
+        semi_on(open_entries, by_customer, ["company_code", "customer_id"])
         .join(by_entry, ["company_code", "entry_no"])
         .join(customers, ["company_code", "customer_id"], "left")
     )

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass
 
+INTEGER = "bigint"
 AMOUNT, DATE, KEY, ID, CODE, NAME, FLAG, COUNT, RATE, OTHER = (
     "amount", "date", "key", "id", "code", "name", "flag", "count", "rate", "other",
 )
@@ -36,74 +35,14 @@ class Contract:
     fields: tuple[Field, ...]
     primary_keys: tuple[str, ...] = ()
 
+    def __post_init__(self) -> None:
+        check_alias_collisions(self)
+
     @property
     def content_hash(self) -> str:
         return hashlib.sha256(json.dumps(asdict(self), sort_keys=True).encode()).hexdigest()
 
 
-def spelling(name: str) -> str:
-    """A heading reduced to lower-case words joined by underscores; "Document No_" is document_no."""
-    return re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_")
-
-
-# Words that stand for each other in headings.
-_WORDS = (
-    ("document", "doc"), ("number", "no"), ("number", "nr"), ("department", "dept"), ("business_line", "busline"), ("bl", "busline"),
-    ("balance", "bal"), ("store_credit", "storecredit"), ("marketplace", "mpl"), ("retail", "rtl"), ("month", "mth"), ("month", "cod_month"),
-    ("minimum", "min"), ("post", "posting"), ("cust", "customer"), ("created_date", "created_at"), ("updated_date", "updated_at"),
-    ("year_month", "ym"), ("group_account", "group_coa_account"),
-)
-
-
-def same_heading(found: str, canonical: str) -> bool:
-    """True when both headings read alike, word variants included."""
-    def reduced(name: str) -> str:
-        text = f"_{spelling(name)}_"
-        for long, short in _WORDS:
-            text = text.replace(f"_{long}_", f"_{short}_")
-        return text.strip("_").replace("_", "")
-
-    return spelling(found) == canonical or reduced(found) == reduced(canonical)
-
-
-_MONEY_WORDS = {"amount", "discount", "storecredit", "remaining", "shipping", "items", "fee", "amt", "totalamountused", "totalremainingamount", "amounttorefund"}
-
-
-def guess_tag(name: str) -> str:
-    """Semantic tag of a canonical column by the words of its name; contracts override it with `:tag`."""
-    words = set(name.split("_"))
-    if "date" in words or name.endswith("_at") or name == "last_time_used":
-        return DATE
-    if name.endswith("_ym") or words & {"name", "description", "reason"}:
-        return NAME
-    if "rate" in words and "type" not in words:
-        return RATE
-    if words & {"is", "flg", "reversed", "open"}:
-        return FLAG
-    if words & {"year", "month", "mth", "times"}:
-        return COUNT
-    if words & {"code", "type", "status", "group"} and "no" not in words:
-        return CODE
-    if words & {"id", "no", "nr", "company"}:
-        return ID
-    return AMOUNT if words & _MONEY_WORDS else OTHER
-
-
-def make_contract(dataset_id: str, version: int, columns: str, primary_keys: Sequence[str], aliases: dict[str, tuple[str, ...]] | None = None) -> Contract:
-    """Build a contract from a text of column names.
-
-    `*` marks a required column and `:tag` overrides the tag read from the name.
-    """
-    fields = []
-    for word in columns.split():
-        name, _, tag = word.rstrip("*").partition(":")
-        required = word.endswith("*")
-        fields.append(Field(name, tag or guess_tag(name), required, tuple((aliases or {}).get(name, ()))))
-    contract = Contract(dataset_id, version, tuple(fields), tuple(primary_keys))
-    check_alias_collisions(contract)
-    return contract
-
-
 def check_alias_collisions(contract: Contract) -> None:
     """An alias may name one field only, and not be another field's canonical name."""
     owner: dict[str, str] = {f.name: f.name for f in contract.fields}
@@ -112,119 +51,3 @@ def check_alias_collisions(contract: Contract) -> None:
             key = alias.strip()
             if owner.setdefault(key, f.name) != f.name:
                 raise ValueError(f"{contract.dataset_id}: alias {alias!r} names both {owner[key]} and {f.name}")
-
-
-# Columns, keys and headings of each dataset.
-_LEDGER = """
-id_company* company_country:code flg_in_conso_scope opco_central:code entry_no:count* document_no external_document_no voucher_no
-posting_date* document_date document_type chart_of_accounts_no account_name group_coa_account_no group_coa_account_name
-document_description amount* remaining_amount busline_code department_code bal_account_type bal_account_no bal_account_name
-reason_code:code source_code reversed user_id g_l_creation_date destination_code partner_code system_created_entry:flag source_type
-source_no ic_partner_code vendortag_code customertag_code service_period level_1_name level_2_name level_3_name entrytype
-"""
-_BALANCES = """
-id_company* company_name:name country_code country_name closing_date* refresh_date group_coa_account_no* group_coa_account_name real_coa
-currency fx_rate balance_at_date:amount* busline_code reporting_country_code reporting_country_name partner_code ic_partner_code is_recharge
-is_retained_earnings conso_account_no conso_account_name ifrs_level_1_name ifrs_level_2_name ifrs_level_3_name is_interco
-"""
-_CUSTOMER = """
-id_company* company_country:code opco_central:code entry_no:count* gl_entry_no:count document_no document_type external_document_no
-posting_date* customer_no* customer_name customer_busline automatically_integrated:flag currentpostinggroup stream
-customer_posting_group* description source_code reason_code:code busline_code busline_vertical_name_1 busline_vertical_name_2
-busline_vertical_name_3 department_code original_amount currency original_amount_lcy rem_amt_lcy* open due_date posted_by
-destination_code partner_code ic_partner_code debit_credit_duemonth
-"""
-_VOUCHER = """
-id_company* id* business_use business_use_formatted template_id template_name description is_active type template_status discount_amount
-from_date to_date expiration_ym is_valid:other created_at creation_ym last_update_ym last_time_used snapshot_date voucher_inactive_date
-template_inactive_date codeinactive_ym templateinactive_ym reason updated_at fk_customer:id used_discount_amount times_used
-remaining_amount voucher_type shipping_discount shipping_storecredit mpl_storecredit rtl_storecredit totalamountused
-totalremainingamount min_inactive_date
-"""
-
-CONTRACTS: dict[str, Contract] = {
-    c.dataset_id: c
-    for c in (
-        make_contract("CR_03", 1, _LEDGER, ("id_company", "entry_no"), {
-            "company_country": ("Country",), "chart_of_accounts_no": ("Account No",), "account_name": ("Account",),
-            "document_description": ("Description",), "remaining_amount": ("rem_bal_LCY",), "user_id": ("User",),
-            "g_l_creation_date": ("Creation Date",), "ic_partner_code": ("Intercompany Partner",), "flg_in_conso_scope": ("In Consolidation Scope",),
-            "level_1_name": ("IFRS Level 1",), "level_2_name": ("IFRS Level 2",), "level_3_name": ("IFRS Level 3",),
-        }),
-        make_contract("CR_04", 2, _BALANCES, ("id_company", "closing_date", "group_coa_account_no"), {
-            "balance_at_date": ("Balance", "Amount"), "ic_partner_code": ("Intercompany Partner",), "is_interco": ("Intercompany",),
-            "ifrs_level_1_name": ("IFRS Level 1",), "ifrs_level_2_name": ("IFRS Level 2",), "ifrs_level_3_name": ("IFRS Level 3",),
-        }),
-        make_contract(
-            "CR_05", 2, "company_code* company_name:name opco_central:code company_country:code is_active rate_type year cod_month:count fx_rate country_name",
-            ("company_code",), {"company_code": ("ID_Company",), "company_country": ("Country Code",), "fx_rate": ("Exchange Rate",)},
-        ),
-        make_contract(
-            "CR_05a", 1, "currency_code* year* month* relational_exch_rate_amount:rate*", ("currency_code", "year", "month"),
-            {"currency_code": ("Currency",), "relational_exch_rate_amount": ("Exchange Rate",)},
-        ),
-        make_contract(
-            "DOC_VOUCHER_USAGE", 1,
-            "id_company* id* transaction_no voucher_type business_use creation_year delivery_mth* shipping_storecredit mpl_storecredit rtl_storecredit totalamountused*",
-            ("id_company", "id", "delivery_mth"), {"id": ("voucher_id",)},
-        ),
-        make_contract("IPE_07", 2, _CUSTOMER, ("id_company", "entry_no"), {
-            "company_country": ("Country",), "customer_name": ("Name",), "automatically_integrated": ("Auto Integrated",),
-            "customer_posting_group": ("Posting Group",), "currency": ("Currency Code",), "busline_code": ("Business Line",),
-            "rem_amt_lcy": ("Remaining Amount", "Amount LCY"), "ic_partner_code": ("Intercompany Partner",),
-        }),
-        make_contract("IPE_08", 2, _VOUCHER, ("id_company", "id"), {
-            "id": ("Voucher_Id", "VoucherId"), "discount_amount": ("Amount Issued", "Amount"), "to_date": ("Expiration Date",),
-            "created_at": ("Creation Date",), "fk_customer": ("Customer ID",), "used_discount_amount": ("Amount Used",), "remaining_amount": ("Balance",),
-        }),
-        make_contract(
-            "IPE_10", 1,
-            "id_company* is_prepayment* cod_oms_sales_order_item:id* order_nr* bob_id_customer current_status is_closed is_marketplace "
-            "payment_method order_creation_date finance_verified_date delivered_date package_delivery_date refund_completed:flag refund_date "
-            "fail_date paid_for_items* paid_price:amount* paid_for_shipping*",
-            ("id_company", "cod_oms_sales_order_item"),
-            {"cod_oms_sales_order_item": ("OMS Sales Order Item",), "bob_id_customer": ("Customer ID",), "current_status": ("Status",)},
-        ),
-        make_contract(
-            "IPE_11", 1,
-            "id_company* sc_created_date* sc_id_transaction* sc_transaction_no sc_transaction_type sc_asg_name sc_nav_type sc_nav_message "
-            "sc_transaction_amount* sc_created_manually:flag sc_vendor_no bob_id_vendor sc_vendor_name is_global sc_id_sales_order_item "
-            "oms_id_sales_order_item bob_id_sales_order_item order_nr sc_id_account_statement sc_transaction_statement_no sc_start_date "
-            "sc_end_date sc_paid:flag sc_paid_date asg_level_1 asg_level_2 asg_level_3 asg_level_4",
-            ("id_company", "sc_id_transaction"),
-            {"sc_nav_message": ("ERP_Name",), "sc_vendor_no": ("Vendor Short Code",), "sc_created_date": ("Created Date",),
-             "sc_transaction_amount": ("Transaction Amount",), "sc_paid": ("Paid",), "sc_transaction_statement_no": ("Statement No",)},
-        ),
-        make_contract(
-            "IPE_12", 1,
-            "id_company* cod_oms_id_package* payment_method is_marketplace order_nr package_number:id voucher_type bob_id_customer "
-            "order_creation_date shipped_date delivered_date package_delivery_date is_prepayment mtr_shipping_fee_modification tracking_number:id "
-            "oms_package_status customer_type amount_expected amount_received fk_package_status delivered_update_date delivery_date "
-            "fk_collection_partner last_mile package_status_cashrec payment_method_confirmed:other troubleshoot_resolution_date amount_paid* "
-            "paid_price:amount* paid_shipping*",
-            ("id_company", "cod_oms_id_package"),
-            {"cod_oms_id_package": ("OMS Package ID",), "bob_id_customer": ("Customer ID",), "package_status_cashrec": ("package_status",)},
-        ),
-        make_contract(
-            "IPE_31", 1,
-            "id_company* event_date* cp:code* transaction_type* related_entity:id* amount* service_provider type erp_name company_country:code closing_date g_l_bank_account_no",
-            ("id_company", "event_date", "cp", "transaction_type", "related_entity"),
-            {"cp": ("Collection_Partner",), "type": ("CP_Type",), "company_country": ("Country",), "g_l_bank_account_no": ("Bank Account No",)},
-        ),
-        make_contract(
-            "IPE_34", 1,
-            "id_company* current_status case_type* is_marketplace order_nr* bob_id_customer return_date is_global finance_verified_date "
-            "refund_date oms_type customer_type_l1 amounttorefund*",
-            ("id_company", "order_nr", "case_type"),
-            {"current_status": ("Status",), "bob_id_customer": ("Customer ID",), "customer_type_l1": ("Customer Type",)},
-        ),
-        make_contract(
-            "OPS_USAGE", 1, "voucher_id* amount_used* usage_date order_id customer_id status", ("voucher_id",),
-            {"voucher_id": ("id", "voucher"), "amount_used": ("amount", "Ordered Amount"), "usage_date": ("Date Used", "Transaction Date"),
-             "status": ("Voucher Status",)},
-        ),
-    )
-}
-
-# The second id under which a dataset may be supplied.
-DATASET_ALIASES = {"IPE_08": "IPE_08_ISSUANCE", "DOC_VOUCHER_USAGE": "IPE_08_USAGE"}

@@ -14,7 +14,8 @@ from closewright.functions.text import scrub_line_breaks
 from closewright.operators.conform import conform
 from closewright.operators.joins import head_rows, tail_rows
 from closewright.operators.naming import OPS_USAGE_ALIASES, rename_first_existing
-from closewright.sources.contracts import CONTRACTS, DATASET_ALIASES, Contract
+from closewright.sources.contract_tables import CONTRACTS, DATASET_ALIASES
+from closewright.sources.contracts import Contract
 
 CORRUPT = "_corrupt_record"
 

@@ -11,19 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's shared folder, from `spark.checkpoint.dir`.
-
-    Where it is unset, a local session gets a folder of its own and a cluster session none.
-    """
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder named by `spark.checkpoint.dir`. Only a local session may go without: it gets one of its own."""
+    folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="closewright-")
-        spark.conf.set(_SETTING, folder)
-        return folder
-    return None
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {_SETTING} to a folder that the driver and all executors share")
+    folder = "file://" + tempfile.mkdtemp(prefix="closewright-")
+    spark.conf.set(_SETTING, folder)
+    return folder
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -31,11 +28,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
     Consumers then share one computation, a lost executor never recomputes it, columns are pruned
     on reading, and the optimizer knows the size: a small staged frame is broadcast because its
-    files are small. Without a shared folder the frame stays lazy.
+    files are small. The caller owns the table: `release` removes it.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = os.path.join(folder, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove the tables of staged frames, once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,37 +7,54 @@ from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from closewright.operators import conform as cf, joins, naming
 from closewright.sources import contracts as C, io, staging
+from closewright.sources.contract_tables import CONTRACTS
 from tests.conftest import rows
 
 
 def test_every_contract_is_consistent():
-    assert len(C.CONTRACTS) == 13
-    for contract in C.CONTRACTS.values():
+    assert len(CONTRACTS) == 13
+    for contract in CONTRACTS.values():
         names = [f.name for f in contract.fields]
         assert len(names) == len(set(names)) and set(contract.primary_keys) <= set(names)
         assert {f.name for f in contract.fields if f.required} & set(names)
-    tags = {f.name: f.tag for f in C.CONTRACTS["CR_03"].fields}
-    assert (tags["amount"], tags["posting_date"], tags["document_no"], tags["reversed"]) == ("amount", "date", "id", "flag")
+        # Every declared heading, alone, is bound to its field.
+        for f in contract.fields:
+            assert all(cf.resolve_names([alias], contract) == {f.name: alias} for alias in f.aliases)
+            assert cf.resolve_names([f"not {f.name}"], contract) == {}
 
 
-def test_alias_collision_is_refused():
-    with pytest.raises(ValueError):
-        C.make_contract("X", 1, "a b", (), {"a": ("Same",), "b": ("Same",)})
-    with pytest.raises(ValueError):
-        C.make_contract("X", 1, "a b", (), {"a": ("b",)})
+@pytest.mark.parametrize("dataset,column,tag,kind,required", [
+    ("CR_03", "entry_no", "id", "bigint", True), ("CR_03", "flg_in_conso_scope", "code", "bigint", False), ("CR_03", "bal_account_no", "code", "string", False),
+    ("CR_03", "amount", "amount", "decimal(18,2)", True), ("CR_03", "posting_date", "date", "timestamp_ntz", True), ("CR_05", "fx_rate", "rate", "double", False),
+    ("IPE_07", "entry_no", "id", "bigint", True), ("IPE_11", "sc_vendor_name", "name", "string", False), ("OPS_USAGE", "amount_used", "amount", "decimal(18,2)", True),
+])
+def test_declared_tags(dataset, column, tag, kind, required):
+    f = next(f for f in CONTRACTS[dataset].fields if f.name == column)
+    assert (f.tag, f.spark_type, f.required) == (tag, kind, required)
 
 
-@pytest.mark.parametrize("found,canonical", [
-    ("Document No_", "document_no"), ("Doc Number", "document_no"), ("ID_COMPANY", "id_company"), ("Business Line Code", "busline_code"), ("G_L Creation Date", "g_l_creation_date"),
-    ("Post Date", "posting_date"), ("Opco/Central_?", "opco_central"), ("TotalAmountUsed", "totalamountused"), ("Total Amount Used", "totalamountused"), ("Entry Number", "entry_no"),
+@pytest.mark.parametrize("dataset,heading,column", [
+    ("IPE_11", "Transaction No", "sc_transaction_no"), ("IPE_11", "Vendor Name", "sc_vendor_name"), ("IPE_11", "ASG L1", "asg_level_1"), ("IPE_10", "Order Number", "order_nr"),
+    ("IPE_12", "Order Number", "order_nr"), ("IPE_34", "Order Number", "order_nr"), ("CR_03", "Vendor Tag", "vendortag_code"), ("CR_05", "Month Code", "cod_month"), ("IPE_31", "Type", "transaction_type"),
 ])
-def test_same_heading(found, canonical):
-    assert C.same_heading(found, canonical)
+def test_declared_headings(dataset, heading, column):
+    assert cf.resolve_names([heading], CONTRACTS[dataset]) == {column: heading}
+
+
+def test_first_declared_heading_wins():
+    assert cf.resolve_names(["Entry Number", "Entry No_"], CONTRACTS["CR_03"]) == {"entry_no": "Entry No_"}
+
+
+def test_alias_collision_is_refused():
+    with pytest.raises(ValueError):
+        C.Contract("X", 1, (C.Field("a", aliases=("Same",)), C.Field("b", aliases=("Same",))))
+    with pytest.raises(ValueError):
+        C.Contract("X", 1, (C.Field("a", aliases=("b",)), C.Field("b")))
 
 
 def test_conform(frame):
     raw = frame([(" EC_NG ", "12", "2025-09-30 10:00:00", "$1,234.50", "nan", "x"), ("", "x", "bad", "n/a", "V1", "y")], "ID_COMPANY string, `Entry No_` string, `Posting Date` string, Amount string, `Voucher No_` string, extra string")
-    contract = C.CONTRACTS["CR_03"]
+    contract = CONTRACTS["CR_03"]
     out = cf.conform(raw, contract)
     assert out.columns == ["id_company", "entry_no", "voucher_no", "posting_date", "amount", "extra"]
     assert rows(out) == [(None, None, "V1", None, None, "y"), ("EC_NG", 12, None, datetime(2025, 9, 30), Decimal("1234.50"), "x")]
@@ -60,7 +77,7 @@ def test_presets(frame):
 
 def test_conform_report_and_fills(frame):
     contract = C.Contract("X", 2, (
-        C.Field("a", "amount", True, fill=C.FILL_ZERO), C.Field("t", "name", fill=C.FILL_EMPTY), C.Field("d", "date", fill=C.FAIL_ON_NULL), C.Field("m", "id", True),
+        C.Field("a", "amount", True, ("A",), fill=C.FILL_ZERO), C.Field("t", "name", fill=C.FILL_EMPTY), C.Field("d", "date", fill=C.FAIL_ON_NULL), C.Field("m", "id", True),
     ))
     raw = frame([("1", None, "2025-01-01"), ("bad", "x", None), (None, "y", "nope")], "A string, t string, d string")
     assert rows(cf.conform(raw, contract, strict=False), "a", "t") == [(Decimal("0.00"), "x"), (Decimal("0.00"), "y"), (Decimal("1.00"), "")]
