@@ -723,6 +723,13 @@ from (select count(*) as n, {LIMBS} from digests)""", f"digests as (select sha25
 sql("fingerprint_verified", ["vouchers"], """select copy, 'vouchers' as dataset, n as data_rows, n as recorded_rows, copy = 'shuffled' or paid_off = 0 as verified
 from (values ('shuffled'), ('changed')) c(copy), (select count(*) as n, count(*) filter (where is_active <> 1 and remaining_amount <> 0) as paid_off from vouchers)""")
 
+from closewright.checks.queries import EXTRACTS  # noqa: E402
+
+# Every extract has all its rows under its contract, and its company or currency in each.
+ORACLE["conformed_extracts"] = " union all ".join(
+    f"select '{dataset}' as dataset_id, count(*) as rows, count({'currency_code' if dataset == 'CR_05a' else 'company_code'}) as keyed_rows from ({ORACLE[name]})" for dataset, name in EXTRACTS.items()
+)
+
 # --- totals, sorts and limits ---------------------------------------------------------------
 
 COMPONENTS = f"""actual as (select sum(balance_at_date) as actuals from gl_balances where closing_date = date '1998-09-30' and group_account_no = '18412'),

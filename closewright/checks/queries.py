@@ -17,6 +17,7 @@ from closewright.operators import thresholds as th
 from closewright.operators import variance as var
 from closewright.plans import extracts as ex
 from closewright.sources import io, staging
+from closewright.sources.contract_tables import CONTRACTS as DECLARED
 from closewright.sources.contracts import FAIL_ON_NULL, FILL_ZERO, Contract, Field
 from closewright.sources.sample_views import SampleTables
 
@@ -636,13 +637,32 @@ def fingerprint_verified(t):
     return joins.stack_frames(checked).select("copy", "dataset", "data_rows", "recorded_rows", "verified")
 
 
+EXTRACTS = {
+    "CR_03": "ledger_open_items", "CR_04": "balances_at_date", "CR_05": "fx_closing", "CR_05a": "fx_spot", "IPE_07": "customer_open_items", "IPE_08": "voucher_issuance",
+    "DOC_VOUCHER_USAGE": "voucher_usage_monthly", "IPE_10": "prepayments", "IPE_11": "accrued_revenue", "IPE_12": "packages_unreconciled", "IPE_31": "collection_open_items",
+    "IPE_34": "refund_liability",
+}
+
+
+def conformed_extract(t, dataset: str) -> DataFrame:
+    """An extract under its contract: names, required columns, types."""
+    return conform.conform(ex.in_contract_names(dataset, QUERIES[EXTRACTS[dataset]](t)), DECLARED[dataset], drop_unknown=True)
+
+
+@query
+def conformed_extracts(t):
+    """Rows of each extract that conforms to its contract; a missing required column would raise."""
+    counted = [conformed_extract(t, name).agg(F.count("*").alias("rows"), *[F.count(k).alias(f"k{n}") for n, k in enumerate(DECLARED[name].primary_keys[:1])]) for name in EXTRACTS]
+    return joins.stack_frames([df.select(F.lit(name).alias("dataset_id"), "rows", F.col("k0").alias("keyed_rows")) for name, df in zip(EXTRACTS, counted)])
+
+
 # --- totals, sorts and limits ---------------------------------------------------------------
 
 def close_datasets(t) -> dict[str, DataFrame]:
     return {
         "CR_04": ex.balances_at_date(t, CUTOFF, ["18412"]), "IPE_08": t["vouchers"].select("id", "remaining_amount"),
         "IPE_10": ex.prepayments(t, CUTOFF, since="1995-06-01").withColumnRenamed("paid_price", "Amount"),
-        "IPE_31": ex.collection_open_items(t, CUTOFF, excluded_countries=("C05", "C09")), "IPE_12": t["company"].withColumn("Amount", F.lit("n/a")),
+        "IPE_31": ex.collection_open_items(t, CUTOFF, excluded_countries=("C05", "C09")), "IPE_07": customer_open_items(t), "IPE_12": packages_unreconciled(t), "IPE_34": refund_liability(t),
     }
 
 

@@ -162,50 +162,63 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 _BRACKET, _ACCURACY = 0.0005, 20_000
 
 
-def exact_quantiles(df: DataFrame, column: str, wanted: dict[str, float] = QUARTILES, keep: int = 1_000_000) -> DataFrame:
-    """One row of exact, linearly interpolated quantiles.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], wanted: dict[str, float] = QUARTILES) -> DataFrame:
+    """One row per column of exact, linearly interpolated quantiles; null where a column has no value.
 
-    The wanted ranks are bracketed by approximate percentiles, whose rank error is bounded
-    (1 / accuracy) and smaller than the bracket, and the bracket is narrowed pass by pass until
-    at most `keep` rows, or one value, lie in it. Only those are ranked, one row per value, so
-    no task sees more than that. Each pass returns a few numbers to the driver.
+    The ranks of all columns are bracketed by approximate percentiles, whose rank error (1 / accuracy) is smaller
+    than the bracket, twice in a row: two passes of percentiles and two of counts, however many columns. About a
+    millionth of the rows is then ranked, one row per value, by column and quantile.
     """
-    values = df.select(null_if_nan(column, df.schema[column].dataType).cast("double").alias("v")).filter("v is not null")
-    n = values.count()
-    if n == 0:
-        return df.agg(*[F.lit(None).cast("double").alias(name) for name in wanted])
-    frames = []
-    for name, p in wanted.items():
-        position = (n - 1) * p
-        first, last = int(position), -int(-position // 1)
-        below, inside, part = 0, n, values
-        while inside > keep:
-            points = [max(0.0, (first - below) / inside - _BRACKET), min(1.0, (last + 1 - below) / inside + _BRACKET)]
-            lo, hi = part.agg(F.percentile_approx("v", points, _ACCURACY)).first()[0]
-            within = F.col("v").between(lo, hi)
-            counted = values.agg(F.count_if(F.col("v") < lo).alias("below"), F.count_if(within).alias("inside")).first()
-            stuck = lo == hi or counted["inside"] == inside
-            below, inside, part = counted["below"], counted["inside"], values.filter(within)
-            if stuck:
-                break
-        running = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ranked = part.groupBy("v").agg(F.count("*").alias("n")).withColumn("upto", running + below)
-        low = F.min(F.when(F.col("upto") > first, F.col("v")))
-        high = F.min(F.when(F.col("upto") > last, F.col("v")))
-        frames.append(ranked.agg((low + (high - low) * (position - first)).alias(name)))
-    return beside(*frames)
+    value = {c: null_if_nan(c, df.schema[c].dataType).cast("double") for c in columns}
+    sought = [(c, name, p) for c in columns for name, p in wanted.items()]
+    n = df.agg(*[F.count(value[c]).alias(f"n{k}") for k, c in enumerate(columns)]).first()
+    counts = {c: n[f"n{k}"] for k, c in enumerate(columns)}
+    place = {}
+    for c, name, p in sought:
+        position = (counts[c] - 1) * p
+        place[c, name] = (position, int(position), -int(-position // 1))
+    inside = {(c, name): F.lit(True) for c, name, _ in sought}
+    below, total = {key: 0 for key in inside}, {key: counts[key[0]] for key in inside}
+    held = [key for key in inside if counts[key[0]]]
+    if not held:
+        return df.sparkSession.createDataFrame([(c, *[None] * len(wanted)) for c in columns], "column string, " + ", ".join(f"{name} double" for name in wanted))
+    for _ in range(2):
+        points = []
+        for key in held:
+            _, first, last = place[key]
+            share = [max(0.0, (first - below[key]) / total[key] - _BRACKET), min(1.0, (last + 1 - below[key]) / total[key] + _BRACKET)]
+            points.append(F.percentile_approx(F.when(inside[key], value[key[0]]), share, _ACCURACY))
+        ends = dict(zip(held, df.agg(*points).first(), strict=True))
+        inside = {key: value[key[0]].between(*ends[key]) for key in held}
+        got = df.agg(*[F.count_if(value[key[0]] < ends[key][0]) for key in held], *[F.count_if(inside[key]) for key in held]).first()
+        below, total = dict(zip(held, got[: len(held)], strict=True)), dict(zip(held, got[len(held) :], strict=True))
+    facts = F.array(*[F.when(inside[key], F.struct(F.lit(key[0]).alias("column"), F.lit(key[1]).alias("name"), value[key[0]].alias("v"))) for key in held])
+    kept = df.select(F.explode(F.array_compact(facts)).alias("x")).groupBy("x.column", "x.name", "x.v").agg(F.count("*").alias("n"))
+    running = F.sum("n").over(Window.partitionBy("column", "name").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    known = F.create_map(*[F.lit(x) for key in held for x in (f"{key[0]}\0{key[1]}", below[key])])
+    ranked = kept.withColumn("upto", running + known[F.concat("column", F.lit("\0"), "name")])
+    picked = []
+    for name in wanted:
+        parts = []
+        for c in columns:
+            if counts[c]:
+                position, first, last = place[c, name]
+                here = (F.col("column") == c) & (F.col("name") == name)
+                low, high = (F.min(F.when(here & (F.col("upto") > at), F.col("v"))) for at in (first, last))
+                parts.append((low + (high - low) * (position - first)).alias(f"{c}\0{name}"))
+        picked += parts
+    one = ranked.agg(*picked)
+    rows = [F.struct(F.lit(c).alias("column"), *[(F.col(f"`{c}\0{name}`") if counts[c] else F.lit(None).cast("double")).alias(name) for name in wanted]) for c in columns]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max of each column, one row per column."""
-    rows = []
-    for c in columns:
-        value = null_if_nan(c, df.schema[c].dataType).cast("double")
-        moments = df.agg(
-            F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")
-        )
-        rows.append(beside(moments, exact_quantiles(df, c)).withColumn("column", F.lit(c)))
-    return stack_frames(rows)
+    value = {c: null_if_nan(c, df.schema[c].dataType).cast("double") for c in columns}
+    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    one = df.agg(*[fn(value[c]).alias(f"{name}{k}") for k, c in enumerate(columns) for name, fn in moments.items()])
+    rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"{name}{k}").alias(name) for name in moments]) for k, c in enumerate(columns)]
+    return one.select(F.inline(F.array(*rows))).join(exact_quantiles(df, columns), "column")
 
 
 def table_summary(df: DataFrame, name: str) -> DataFrame:

@@ -121,18 +121,17 @@ def vtc_total(unmatched: DataFrame, rates: DataFrame | None = None) -> DataFrame
 def vtc_metrics(issuance: DataFrame, classified: DataFrame, cutoff: str | None) -> DataFrame:
     """One row of counters on how refund vouchers meet ledger cancellations.
 
-    Both sides become per-key counts first; two one-row totals are then put side by side.
+    Both sides become per-key counts first; one full join of these answers everything.
     """
     source = refund_vouchers(issuance, cutoff).groupBy("voucher_key").agg(F.count("*").alias("n"))
-    marked = source.join(cancelled_keys(classified).withColumn("hit", F.lit(1)), F.col("voucher_key") == F.col("ledger_key"), "left")
-    matched = F.col("hit").isNotNull()
+    both = source.join(cancelled_keys(classified), F.col("voucher_key") == F.col("ledger_key"), "full")
+    matched = F.col("ledger_key").isNotNull()
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    left = marked.agg(
+    return both.agg(
         zero(F.sum("n")).alias("refund_vouchers"), F.count("voucher_key").alias("source_unique_voucher_keys"),
         zero(F.sum(F.when(matched, F.col("n")))).alias("matched_source_vouchers"),
-        zero(F.sum(F.when(~matched, F.col("n")))).alias("unmatched_vouchers"),
+        zero(F.sum(F.when(~matched, F.col("n")))).alias("unmatched_vouchers"), F.count("ledger_key").alias("target_unique_voucher_keys"),
     )
-    return beside(left, cancelled_keys(classified).agg(F.count("*").alias("target_unique_voucher_keys")))
 
 
 def posting_group_conflicts(customer_ledger: DataFrame) -> DataFrame:

@@ -446,3 +446,44 @@ _EXPECTED = {
 def catalog_rules(dataset: str) -> list[QualityRule]:
     """Quality rules of an extract: at least one row, and its expected columns."""
     return [RowCountCheck(1), *[ColumnExistsCheck(c) for c in _EXPECTED[dataset]]]
+
+
+# Contract column of each extract column whose names differ; company_code is id_company everywhere but in CR_05.
+CONTRACT_NAMES = {
+    "CR_03": {
+        "group_account_no": "group_coa_account_no", "group_account_name": "group_coa_account_name", "gl_account": "chart_of_accounts_no",
+        "description": "document_description", "in_scope": "flg_in_conso_scope", "entry_type": "entrytype",
+    },
+    "CR_04": {"group_account_no": "group_coa_account_no"},
+    "CR_05": {"country_code": "company_country", "rate_year": "year", "rate_month": "cod_month"},
+    "CR_05a": {"rate_amount": "relational_exch_rate_amount"},
+    "IPE_07": {
+        "customer_id": "customer_no", "posting_group": "customer_posting_group", "remaining_amount_lcy": "rem_amt_lcy", "amount_lcy": "original_amount_lcy",
+        "business_line_code": "busline_code", "auto_integrated": "automatically_integrated", "current_posting_group": "currentpostinggroup",
+        "vertical_1": "busline_vertical_name_1", "vertical_2": "busline_vertical_name_2", "vertical_3": "busline_vertical_name_3",
+        "debit_credit_due_month": "debit_credit_duemonth",
+    },
+    "IPE_08": {"total_amount_used": "totalamountused", "total_remaining_amount": "totalremainingamount"},
+    "DOC_VOUCHER_USAGE": {"total_amount_used": "totalamountused"},
+    "IPE_10": {"order_item_id": "cod_oms_sales_order_item", "customer_id": "bob_id_customer"},
+    "IPE_11": {
+        "transaction_id": "sc_id_transaction", "created_date": "sc_created_date", "transaction_amount": "sc_transaction_amount", "transaction_no": "sc_transaction_no",
+        "transaction_type_name": "sc_transaction_type", "asg_name": "sc_asg_name", "nav_type": "sc_nav_type", "created_manually": "sc_created_manually",
+        "vendor_id": "bob_id_vendor", "vendor_name": "sc_vendor_name", "statement_id": "sc_id_account_statement", "statement_no": "sc_transaction_statement_no",
+        "start_date": "sc_start_date", "end_date": "sc_end_date", "paid": "sc_paid", "level_1": "asg_level_1", "level_2": "asg_level_2", "level_3": "asg_level_3",
+    },
+    "IPE_12": {
+        "package_number": "cod_oms_id_package", "customer_id": "bob_id_customer", "customer_type_l1": "customer_type", "package_status": "package_status_cashrec",
+        "troubleshoot_date": "troubleshoot_resolution_date",
+    },
+    "IPE_31": {"partner_type": "type", "gl_bank_account_no": "g_l_bank_account_no"},
+    "IPE_34": {"customer_id": "bob_id_customer", "amount_to_refund": "amounttorefund"},
+}
+
+
+def in_contract_names(dataset: str, extract: DataFrame) -> DataFrame:
+    """The extract with the column names of its contract; columns without a contract column keep theirs."""
+    names = dict(CONTRACT_NAMES[dataset])
+    if dataset != "CR_05":
+        names["company_code"] = "id_company"
+    return extract.withColumnsRenamed(names)

@@ -46,9 +46,11 @@ def test_exact_quantiles(spark, kind):
         "uniform": [rng.random() for _ in range(4001)], "hot": [1.0] * 3000 + [rng.gauss(1, 3) for _ in range(1500)], "few": [3.0, 1.0, 2.0, 10.0], "single": [4.0],
     }[kind]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
-    for keep in (1_000_000, 20):
-        got = audit.exact_quantiles(df, "x", keep=keep).first()
-        assert [got[k] for k in ("p25", "p50", "p75")] == pytest.approx(list(np.percentile(values, [25, 50, 75])))
+    df = df.withColumns({"y": -df.x, "none": F.lit(None).cast("double")})
+    got = {r["column"]: r for r in audit.exact_quantiles(df, ["x", "y", "none"]).collect()}
+    for c, sign in (("x", 1), ("y", -1)):
+        assert [got[c][k] for k in ("p25", "p50", "p75")] == pytest.approx(list(np.percentile([sign * v for v in values], [25, 50, 75])))
+    assert got["none"]["p50"] is None
 
 
 def test_describe_of_no_values(spark):
