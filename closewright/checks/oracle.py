@@ -730,6 +730,12 @@ ORACLE["conformed_extracts"] = " union all ".join(
     f"select '{dataset}' as dataset_id, count(*) as rows, count({'currency_code' if dataset == 'CR_05a' else 'company_code'}) as keyed_rows from ({ORACLE[name]})" for dataset, name in EXTRACTS.items()
 )
 
+sql("csv_round_trip", ["ops_usage"], "select voucher_id, nullif(amount_used, '') as amount_used from ops_usage")
+sql(
+    "run_audit_row", ["company"],
+    "select 'company' as dataset, count(*) as data_rows, 'select * from company' as query_text, 'account=18412,cutoff=1998-09-30' as params, 'SUCCESS' as validation_status from company",
+)
+
 # --- totals, sorts and limits ---------------------------------------------------------------
 
 COMPONENTS = f"""actual as (select sum(balance_at_date) as actuals from gl_balances where closing_date = date '1998-09-30' and group_account_no = '18412'),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -656,6 +658,22 @@ def conformed_extracts(t):
     return joins.stack_frames([df.select(F.lit(name).alias("dataset_id"), "rows", F.col("k0").alias("keyed_rows")) for name, df in zip(EXTRACTS, counted)])
 
 
+@query
+def csv_round_trip(t):
+    """Operational usage written as CSV into the shared folder, resolved there and read back under its contract."""
+    path = f"{staging.shared_folder(t['ops_usage'].sparkSession)}/ops-usage-{uuid.uuid4().hex}"
+    io.write_csv(t["ops_usage"].select(F.col("voucher_id").alias("Voucher Id"), F.col("amount_used").alias("Amount Used")), path)
+    back = io.read_ops_usage(t["ops_usage"].sparkSession, path)
+    return back.select("voucher_id", F.nullif("amount_used", F.lit("")).alias("amount_used"))
+
+
+@query
+def run_audit_row(t):
+    return evidence.run_record(t["company"], "company", "select * from company", {"cutoff": CUTOFF, "account": ACCOUNT}, "SUCCESS", datetime(1998, 10, 2)).select(
+        "dataset", "data_rows", "query_text", "params", "validation_status"
+    )
+
+
 # --- totals, sorts and limits ---------------------------------------------------------------
 
 def close_datasets(t) -> dict[str, DataFrame]:
