@@ -11,9 +11,10 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -27,6 +28,8 @@ RESPONSE, REVISIT = "response", "revisit"
 GAP_BYTES, RANGE_BYTES = 64 << 10, 8 << 20
 ID_PREFIX = "urn:x-page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+ESCAPED_URI = "X-Target-URI-Escaped"
+_PLAIN_URL = re.compile(r"[^\x00-\x20\x7f-\xa0\ud800-\udfff]+")
 BATCH = 500
 INDEX = "archive string, offset long, length long, page_id long, url string, payload_digest string, record_type string"
 READ = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload string"
@@ -58,7 +61,9 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
     block = http if refers_to is not None else http + payload
     head = ["WARC/1.1", f"WARC-Type: {RESPONSE if refers_to is None else REVISIT}", f"WARC-Record-ID: <{ID_PREFIX}{'' if page_id is None else page_id}>", "WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
-        head.append(f"WARC-Target-URI: {quote(url, safe='')}")
+        # A URL that no header line can hold as it stands is kept escaped.
+        plain = _PLAIN_URL.fullmatch(url)
+        head.append(f"WARC-Target-URI: {url}" if plain else f"{ESCAPED_URI}: {quote(url, safe='')}")
     if refers_to is not None:
         head += [f"WARC-Refers-To: <{ID_PREFIX}{refers_to}>", f"WARC-Profile: {PROFILE}"]
     head += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
@@ -67,8 +72,6 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
 
 def parsed(member: bytes) -> tuple:
     """Fields of one record, in the order of READ; the payload of a revisit is null."""
-    from urllib.parse import unquote
-
     whole = gzip.decompress(member)
     head, _, rest = whole.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
@@ -82,7 +85,7 @@ def parsed(member: bytes) -> tuple:
     kind, digest = told["WARC-Type"], told["WARC-Payload-Digest"].removeprefix("sha1:")
     if kind == RESPONSE and (len(payload) != full or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
         raise ValueError("payload does not match its record")
-    url = unquote(told["WARC-Target-URI"]) if "WARC-Target-URI" in told else None
+    url = unquote(told[ESCAPED_URI]) if ESCAPED_URI in told else told.get("WARC-Target-URI")
     return number("WARC-Record-ID"), url, full, digest, kind, number("WARC-Refers-To"), payload.decode() if kind == RESPONSE else None
 
 
