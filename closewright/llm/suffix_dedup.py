@@ -25,8 +25,8 @@ WINDOW = LENGTH - GRAM + 1
 PART = 1 << 20
 #: Bytes of pieces a task sorts at once.
 BLOCK_BYTES = 4 << 20
-#: Occurrences from which a bucket of unequal pieces is parted by the fingerprint of each whole string.
-HOT_BUCKET = 2000
+#: Unequal pieces (about 6 MB) beyond which a bucket is parted by the fingerprint of each whole string.
+HOT_BUCKET = 20_000
 _POWERS = powers(BASE, PART + LENGTH + 1)
 _INVERSES = powers(pow(BASE, -1, 1 << 64), PART + LENGTH + 1)
 _PLACE_BITS = U64(21)
@@ -202,24 +202,26 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     source = docs.select(F.xxhash64(F.col(key).cast("string")).alias("doc"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     cut = pieces(source)
-    shared = cut.groupBy("key").agg(F.sum("repeats").alias("total"), F.min("content").alias("low"), F.max("content").alias("high")).filter("total > 1")
-    shared = written(shared.select(F.col("key").alias("shared_key"), ((F.col("total") > HOT_BUCKET) & (F.col("low") != F.col("high"))).alias("hot")), "shared-anchors")
+    shared = written(cut.groupBy("key").agg(F.sum("repeats").alias("total")).filter("total > 1").select(F.col("key").alias("shared_key")), "shared-anchors")
     # Both sides get shuffles of their own, so a hot anchor's pieces can be split over tasks.
     held = written(cut.join(shared, cut["key"] == shared["shared_key"]).drop("shared_key"), "shared-pieces")
-    calm, hot = held.filter(~F.col("hot")), held.filter("hot")
 
     # One piece of each content stands for all; its text is fetched from one of its places.
-    one = calm.groupBy("key", "content").agg(F.sum("repeats").alias("weight"), F.min(F.struct("doc", "text_hash", "start", "n")).alias("place"))
+    contents = held.groupBy("key", "content").agg(F.sum("repeats").alias("weight"), F.min(F.struct("doc", "text_hash", "start", "n")).alias("place"))
+    contents = written(contents, "piece-contents")
+    crowded = written(contents.groupBy("key").count().filter(F.col("count") > HOT_BUCKET).select(F.col("key").alias("crowded_key")), "crowded-anchors")
+    one = contents.join(crowded, contents["key"] == crowded["crowded_key"], "left_anti")
+    hot = held.join(crowded, held["key"] == crowded["crowded_key"], "left_semi")
     listed = one.select("place.doc", "place.text_hash", F.struct("key", "content", "weight", "place.start", "place.n").alias("piece")).groupBy("doc", "text_hash").agg(F.collect_list("piece").alias("wanted"))
     runs = sorted_buckets(fetched(source.join(listed, ["doc", "text_hash"]).select("text", "wanted")))
     runs = written(runs.select(F.col("key").alias("k"), F.col("content").alias("c"), "low", "high"), "repeated-runs")
-    marks = calm.join(runs, (calm["key"] == runs["k"]) & (calm["content"] == runs["c"]))
+    marks = held.join(runs, (held["key"] == runs["k"]) & (held["content"] == runs["c"]))
     # A piece repeated behind itself is repeated throughout.
     low = F.when(F.col("repeats") > 1, F.lit(0)).otherwise(F.col("low"))
     high = F.when(F.col("repeats") > 1, F.col("n") * F.col("repeats") - 1).otherwise(F.col("high"))
     marks = marks.select("doc", "text_hash", (F.col("start") + low).alias("first"), (F.col("start") + high).alias("last"))
 
-    # Hot buckets of unequal pieces: every string on its own, counted before it is dealt.
+    # Buckets of very many unequal pieces: every string on its own, counted before it is dealt.
     asked = hot.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("key", "content", "repeats", "start", (F.col("n") * F.col("repeats")).alias("n"))).alias("wanted"))
     prints = written(string_prints(source.join(asked, ["doc", "text_hash"]).select("doc", "text_hash", "text", "wanted")), "hot-strings")
     twice = written(prints.groupBy("one", "two").count().filter("count > 1").select(F.col("one").alias("o"), F.col("two").alias("t")), "hot-repeats")
