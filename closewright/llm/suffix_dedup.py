@@ -24,7 +24,7 @@ WINDOW = LENGTH - GRAM + 1
 #: Starts taken at once: longer texts are cut into overlapping parts, which only cuts pieces.
 PART = 1 << 20
 #: Bytes of pieces a task sorts at once.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Unequal pieces (about 6 MB) beyond which a bucket is parted by the fingerprint of each whole string.
 HOT_BUCKET = 20_000
 _POWERS = powers(BASE, PART + LENGTH + 1)

@@ -98,7 +98,7 @@ def sorted_suffixes(words: np.ndarray, ranks: np.ndarray, starts: np.ndarray, bu
     while (size > width // 2).any():
         ties = np.flatnonzero((size > width // 2) & (size <= width) & (size > 1))
         # Ties of about one size at a time, in pieces of bounded memory.
-        some = max(1, (1 << 20) // width)
+        some = max(1, (1 << 18) // width)
         for at in range(0, len(ties), some):
             first, held = begin[ties[at : at + some]], size[ties[at : at + some]]
             inside = np.arange(width) < held[:, None]
