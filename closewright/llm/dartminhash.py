@@ -24,6 +24,10 @@ SHINGLE_WORDS, LEAST_SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
 COORDINATES = BANDS * BAND_ROWS
 DARTS = COORDINATES * (math.log(COORDINATES) + 2)
+#: Cells looked at at once, and bytes of texts taken at once: these bound a task's memory.
+CELLS, TAKEN_BYTES = 1 << 18, 1 << 19
+#: A pair of similarity 0.8 agrees in at least so many coordinates but for 2e-8 of cases; members of a tile of an open bucket.
+LEAST_AGREEMENT, TILE = 100, 2048
 # Cumulative chances of 0, 1, 2 ... darts in a cell of unit area (Poisson of mean 1).
 _CHANCES = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(20)])
 _GOLDEN = U64(0x9E3779B97F4A7C15)
@@ -43,6 +47,23 @@ def weighted(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndar
     return h[at], o[at], np.diff(np.append(at, len(h)))
 
 
+def throw(out: np.ndarray, h: np.ndarray, o: np.ndarray, w: np.ndarray, count: np.ndarray, low: int, width: int, reach: np.ndarray) -> None:
+    """Put the darts of one layer, `count` cells of each element, into the ranks."""
+    cell = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = np.repeat(np.arange(len(h)), count)
+    seed = mixed(h[at] + _GOLDEN * (cell.astype(np.uint64) * U64(64) + U64(low.bit_length() + 1)))
+    darts = np.searchsorted(_CHANCES, uniform(seed), side="right")
+    hit = np.repeat(np.arange(len(at)), darts)
+    nth = np.arange(len(hit)) - np.repeat(np.cumsum(darts) - darts, darts)
+    thrown = mixed(seed[hit] + _GOLDEN * (nth.astype(np.uint64) + U64(1)))
+    rank = (cell[hit] + uniform(mixed(thrown + U64(1)))) / width
+    place = low + width * uniform(mixed(thrown + U64(2)))
+    element = at[hit]
+    inside = (place < w[element]) & (rank < reach[o[element]])
+    slot = o[element[inside]] * COORDINATES + (thrown[inside] % U64(COORDINATES)).astype(np.int64)
+    np.minimum.at(out, slot, rank[inside])
+
+
 def signatures(elements: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     """n x COORDINATES ranks of the earliest darts (infinite throughout for a document without elements).
 
@@ -60,19 +81,12 @@ def signatures(elements: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: i
         while len(h):
             # Cells of this layer of weights: `width` wide and 1 / width high, so one dart is expected in each.
             count = np.ceil(reach[o] * width).astype(np.int64)
-            cell = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            at = np.repeat(np.arange(len(h)), count)
-            seed = mixed(h[at] + _GOLDEN * (cell.astype(np.uint64) * U64(64) + U64(low.bit_length() + 1)))
-            darts = np.searchsorted(_CHANCES, uniform(seed), side="right")
-            hit = np.repeat(np.arange(len(at)), darts)
-            nth = np.arange(len(hit)) - np.repeat(np.cumsum(darts) - darts, darts)
-            thrown = mixed(seed[hit] + _GOLDEN * (nth.astype(np.uint64) + U64(1)))
-            rank = (cell[hit] + uniform(mixed(thrown + U64(1)))) / width
-            place = low + width * uniform(mixed(thrown + U64(2)))
-            element = at[hit]
-            inside = (place < w[element]) & (rank < reach[o[element]])
-            slot = o[element[inside]] * COORDINATES + (thrown[inside] % U64(COORDINATES)).astype(np.int64)
-            np.minimum.at(out, slot, rank[inside])
+            upto = np.cumsum(count)
+            begin = 0
+            while begin < len(h):  # so many cells at once, whatever the documents' lengths
+                end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + CELLS, side="right")))
+                throw(out, h[begin:end], o[begin:end], w[begin:end], count[begin:end], low, width, reach)
+                begin = end
             low += width
             width = low
             higher = w > low
@@ -94,13 +108,16 @@ def band_values(ranks: np.ndarray) -> np.ndarray:
 def element_groups(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Ranges of texts with the distinct shingles, their owner within the range and their weight."""
     data, offsets = utf8(column)
-    for a, b in groups(offsets):
+    for a, b in groups(offsets, TAKEN_BYTES):
         words, owner, _ = word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         yield a, b, *weighted(*shingles(words, owner, b - a, SHINGLE_WORDS))
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, high, low (a 128-bit hash of the weighted shingles), weight and bands of each document with a word."""
+    """doc_id, text_hash, high, low (a 128-bit hash of the weighted shingles), weight, bands and marks of each document with a word.
+
+    marks holds one byte for each coordinate of the signature.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,10 +134,12 @@ def sketched(docs: DataFrame) -> DataFrame:
                 some = np.flatnonzero(weight > 0)
                 bands = band_values(ranks[some]).astype(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS), pa.array(bands.reshape(-1)))
+                marks = (mixed(ranks[some].view(np.uint64)) >> U64(56)).astype(np.uint8)
+                held = pa.array([m.tobytes() for m in marks], pa.binary())
                 taken = pa.array(some + a)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(sums[0][some]), pa.array(sums[1][some]), pa.array(weight[some]), lists], names=["doc_id", "text_hash", "high", "low", "weight", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(sums[0][some]), pa.array(sums[1][some]), pa.array(weight[some]), lists, held], names=["doc_id", "text_hash", "high", "low", "weight", "bands", "marks"])
 
-    return docs.mapInArrow(sketch, f"doc_id {kind}, text_hash long, high long, low long, weight long, bands array<long>")
+    return docs.mapInArrow(sketch, f"doc_id {kind}, text_hash long, high long, low long, weight long, bands array<long>, marks binary")
 
 
 def shingle_table(texts: DataFrame) -> DataFrame:
@@ -152,6 +171,56 @@ def size_fits(a, b):
     return F.least(a, b) >= F.lit(LEAST_SIMILARITY) * F.greatest(a, b)
 
 
+def agreeing(apart: DataFrame) -> DataFrame:
+    """u, v (the greater number first) of the sets of one bucket and different components whose signatures agree enough.
+
+    A bucket of very many sets is parted into tiles of about TILE sets; each pair of tiles is one group of rows, so
+    no task holds more, and only pairs that agree leave it.
+    """
+    part = F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int")
+    dealt = apart.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select("band", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "sid", "component", "weight", "marks")
+    dealt = dealt.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, one, two), part, sid, component, weight, marks in tiles_of(batches):
+            left, right = np.flatnonzero(part == one), np.flatnonzero(part == two)
+            for at in range(0, len(left), 64):
+                some = left[at : at + 64]
+                near = (component[some][:, None] != component[right]) & (np.minimum(weight[some][:, None], weight[right]) >= LEAST_SIMILARITY * np.maximum(weight[some][:, None], weight[right]))
+                a, b = np.nonzero(near)
+                for k in range(0, len(a), 1 << 15):
+                    x, y = some[a[k : k + (1 << 15)]], right[b[k : k + (1 << 15)]]
+                    x, y = (lambda able: (x[able], y[able]))((marks[x] == marks[y]).sum(axis=1) >= LEAST_AGREEMENT)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(sid[x], sid[y])), pa.array(np.minimum(sid[x], sid[y]))], names=["u", "v"])
+
+    return dealt.mapInArrow(compare, "u long, v long")
+
+
+def tiles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Key and columns of each run of rows with one (band, one, two)."""
+    key, held = None, []
+    for batch in batches:
+        keys = np.column_stack([np.asarray(batch.column(k)).astype(np.int64) for k in range(3)])
+        edges = np.append(0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1) if len(keys) else []
+        for n, a in enumerate(edges):
+            b = int(edges[n + 1]) if n + 1 < len(edges) else len(keys)
+            if held and tuple(keys[a]) != key:
+                yield tile(key, held)
+                held = []
+            key = tuple(keys[a])
+            held.append(batch.slice(int(a), b - int(a)))
+    if held:
+        yield tile(key, held)
+
+
+def tile(key: tuple, held: list[pa.RecordBatch]) -> tuple:
+    rows = pa.Table.from_batches(held)
+    columns = [rows.column(k).to_numpy() for k in range(3, 7)]
+    marks = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint8).reshape(len(rows), COORDINATES)
+    return key, *columns, marks
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text_hash, class (a number), class_id (the smallest doc_id of the class) and class_size of every row.
 
@@ -169,8 +238,9 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     # One row per distinct set; its number is fixed by writing the table.
     sets = seen.groupBy("high", "low", "weight").agg(F.min("text_hash").alias("text_hash")).withColumn("sid", F.monotonically_increasing_id())
     sets = written(sets, "sets")
-    banded = seen.select("high", "low", "text_hash", "bands").join(sets, ["high", "low", "text_hash"]).dropDuplicates(["sid"]).select("sid", "weight", F.explode("bands").alias("band"))
-    banded = written(banded, "bands")
+    firsts = seen.select("high", "low", "text_hash", "bands", "marks").join(sets, ["high", "low", "text_hash"]).dropDuplicates(["sid"]).select("sid", "weight", "bands", "marks")
+    firsts = written(firsts, "first-sketches")
+    banded = firsts.select("sid", "weight", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).filter("least < most")
     buckets = written(buckets.select("band", "least"), "buckets")
     members = written(banded.join(buckets, "band").select("band", "least", "sid", "weight"), "members")
@@ -183,13 +253,11 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     first = first.filter(size_fits(F.col("weight"), F.col("least_weight"))).select(F.col("sid").alias("u"), F.col("least").alias("v"))
     links = written(verified(first, elements), "links")
     parts = written(with_components(involved, links), "components")
-    # Buckets of several components: sets of different components meet.
-    apart = members.select("band", "sid", "weight").join(parts, "sid")
-    open_ = apart.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band")
-    apart = apart.join(open_, "band")
-    a, b = (apart.select("band", *(F.col(c).alias(f"{c}_{n}") for c in ("sid", "weight", "component"))) for n in "ab")
-    cross = a.join(b, "band").filter((F.col("component_a") < F.col("component_b")) & size_fits(F.col("weight_a"), F.col("weight_b")))
-    cross = cross.select(F.greatest("sid_a", "sid_b").alias("u"), F.least("sid_a", "sid_b").alias("v")).distinct()
+    # Buckets of several components: sets of different components meet, tile by tile.
+    apart = members.select("band", "sid").join(parts, "sid")
+    open_ = apart.groupBy("band").agg(F.min("component").alias("lowest"), F.max("component").alias("highest"), F.count("*").alias("n")).filter("lowest < highest")
+    open_ = written(open_.select("band", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "open-buckets")
+    cross = agreeing(apart.join(open_, "band").join(firsts.select("sid", "weight", "marks"), "sid")).distinct()
     cross = cross.join(first.select("u", "v"), ["u", "v"], "left_anti")
     more = written(verified(cross, elements), "links")
     cu, cv = (parts.select(F.col("sid").alias(n), F.col("component").alias(f"c{n}")) for n in "uv")
