@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units become typed placeholders, so a question with other numbers, other names or another
-unit has the same template. Windows of template words of documents and benchmark items are joined by hash; the
-slots of a matching stretch must then be filled consistently: equal fillers of one side are equal on the other.
+unit has the same template. A run of name words or of number parts is one placeholder. Windows of template words of
+documents and benchmark items are joined by hash; those of one stretch count together, also where words were put in
+or left out between them, and its slots must be filled consistently: equal fillers of one side are equal on the other.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ _B = np.arange(256)
 _DIGIT = (_B >= 48) & (_B <= 57)
 _UPPER = (_B >= 65) & (_B <= 90)
 _WORD = _DIGIT | _UPPER | (_B >= 97) & (_B <= 122) | (_B >= 128)
+_LINKS = np.isin(_B, np.frombuffer(b" -/':", np.uint8))
 _ENDS = np.isin(_B, np.frombuffer(b".!?\n:;|", np.uint8))
 _FOLD = np.where(_UPPER, _B + 32, _B).astype(np.uint8)
 
@@ -73,15 +75,15 @@ UNIT_HASHES = _unit_hashes()
 NUMBER, NAME, UNIT = (U64(x) for x in (1, 2, 3))
 
 
-def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text index, template hash, filler hash and whether it is a slot, of each template word.
+def parsed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What `templates` gives, and of each template word whether it is a capitalised sentence opener, and whether it is close to the one before.
 
     Number: a word that begins with a digit (decimal and thousands parts join it). Unit: a word of UNITS. Name: a
     capitalised word, not wholly in capitals, that does not begin a sentence. White space and punctuation do not count.
     """
     first, last, text, hashes, upper = words_of(data, offsets)
     if not len(first):
-        return text, hashes, hashes, np.zeros(0, bool)
+        return text, hashes, hashes, np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, bool)
     digit = _DIGIT[data[first]]
     gap = np.append(1 << 30, first[1:] - last[:-1])
     joins = np.zeros(len(first), bool)
@@ -92,12 +94,31 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     n_upper = np.append(0, np.cumsum(upper))
     capital = upper[first] & (n_upper[last] - n_upper[first] < last - first - (data[first] >= 128))
     unit = UNIT_HASHES[np.searchsorted(UNIT_HASHES, hashes).clip(max=len(UNIT_HASHES) - 1)] == hashes
-    name = capital & ~begins & ~digit & ~unit
+    named = capital & ~digit & ~unit
+    name = named & ~begins
+    close = np.zeros(len(first), bool)
+    close[1:] = (gap[1:] == 1) & (text[1:] == text[:-1]) & _LINKS[data[last[:-1].clip(max=len(data) - 1)]] & (digit[1:] | ~begins[1:])
     shown = np.where(digit, NUMBER, np.where(unit, UNIT, np.where(name, NAME, hashes)))
     whole = ~joins
     # The filler of a number covers its parts.
     filler = np.add.reduceat(hashes * np.where(joins, U64(0x9E3779B97F4A7C15), U64(1)), np.flatnonzero(whole))
-    return text[whole], shown[whole], filler, (digit | unit | name)[whole]
+    return text[whole], shown[whole], filler, (digit | unit | name)[whole], (named & begins)[whole], close[whole]
+
+
+def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text index, template hash, filler hash and whether it is a slot, of each template word."""
+    return parsed(data, offsets)[:4]
+
+
+def collapsed(owner: np.ndarray, shown: np.ndarray, filler: np.ndarray, slot: np.ndarray, close: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First word, template hash, filler hash and slot mark of each run: close names, or close numbers, are one placeholder."""
+    joins = np.zeros(len(owner), bool)
+    joins[1:] = close[1:] & slot[1:] & slot[:-1] & (shown[1:] == shown[:-1]) & ((shown[1:] == NUMBER) | (shown[1:] == NAME))
+    at = np.flatnonzero(~joins)
+    if not len(at):
+        return at, shown, filler, slot
+    nth = np.arange(len(owner)) - np.repeat(at, np.diff(np.append(at, len(owner))))
+    return at, shown[at], np.add.reduceat(filler * WORD_POWERS[nth & 0xFFFF], at), slot[at]
 
 
 def windows(shown: np.ndarray, slot: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,14 +135,16 @@ def windows(shown: np.ndarray, slot: np.ndarray, text: np.ndarray, size: int) ->
     return at, mixed(h[at])
 
 
-FOUND = "place long, size int, hash long, fillers array<long>"
+FOUND = "place long, size int, hash long, fillers array<long>, spots array<long>"
 
 
 def window_rows(rows: DataFrame, keys: list[str], text: str, sizes: list[int] | None, passing: bytes | None = None) -> DataFrame:
-    """keys, place, size, hash and fillers (of the slots, in order) of the windows of each text.
+    """keys, place, size, hash, fillers and places (of the slots, in order) of the windows of each text.
 
-    Without `sizes`, each text has windows of WINDOW words, or one of all its words if it has fewer. `passing` is the
-    filter's bits: other windows are left out, as they can meet no partner in the join.
+    Without `sizes`, each text has windows of WINDOW words, or one of all its words if it has fewer. A capitalised
+    sentence opener may be a name or not: a window with such words is given in both readings. Places count the words
+    before names and numbers are joined. `passing` is the filter's bits: other windows are left out, as they can meet
+    no partner in the join.
     """
     source = rows.select(*keys, F.col(text).alias("__text"))
     declared = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
@@ -131,27 +154,33 @@ def window_rows(rows: DataFrame, keys: list[str], text: str, sizes: list[int] |
         for batch in batches:
             data, offsets = utf8(batch.column(len(keys)))
             for a, b in groups(offsets):
-                owner, shown, filler, slot = templates(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                n_words = np.bincount(owner, minlength=b - a)
-                begin = np.append(0, np.cumsum(n_words))
-                for size in sizes or [WINDOW, *sorted(set(n_words[n_words < WINDOW].tolist()) - {0})]:
-                    at, h = windows(shown, slot, owner, size)
-                    if sizes is None and size < WINDOW:
-                        able = n_words[owner[at]] == size
-                        at, h = at[able], h[able]
-                    if bits is not None:
-                        cell = (h >> U64(64 - FILTER_BITS)).astype(np.int64)
-                        able = (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+                owner, shown, filler, slot, opener, close = parsed(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                begin = np.append(0, np.cumsum(np.bincount(owner, minlength=b - a)))
+                for reading in (False, True) if opener.any() else (False,):
+                    word, shape, fills, gaps = collapsed(owner, np.where(opener, NAME, shown) if reading else shown, filler, slot | opener if reading else slot, close)
+                    of = owner[word]
+                    n_words = np.bincount(of, minlength=b - a)
+                    n_openers = np.append(0, np.cumsum(opener[word]))
+                    for size in sizes or [WINDOW, *sorted(set(n_words[n_words < WINDOW].tolist()) - {0})]:
+                        at, h = windows(shape, gaps, of, size)
+                        able = n_words[of[at]] == size if sizes is None and size < WINDOW else np.ones(len(at), bool)
+                        if reading:
+                            able &= n_openers[at + size] > n_openers[at]
+                        if bits is not None:
+                            cell = (h >> U64(64 - FILTER_BITS)).astype(np.int64)
+                            able &= (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
                         at, h = at[able], h[able]
-                    if not len(at):
-                        continue
-                    mine = owner[at]
-                    slots = [filler[p : p + size][slot[p : p + size]].astype(np.int64).tolist() for p in at.tolist()]
-                    taken = pa.array(mine + a)
-                    yield pa.RecordBatch.from_arrays(
-                        [*(batch.column(k).take(taken) for k in range(len(keys))), pa.array(at - begin[mine]), pa.array(np.full(len(at), size, np.int32)), pa.array(h.astype(np.int64)), pa.array(slots, pa.list_(pa.int64()))],
-                        names=[*keys, "place", "size", "hash", "fillers"],
-                    )
+                        if not len(at):
+                            continue
+                        mine = of[at]
+                        held = [p + np.flatnonzero(gaps[p : p + size]) for p in at.tolist()]
+                        slots = [fills[x].astype(np.int64).tolist() for x in held]
+                        spots = [(word[x] - begin[m]).tolist() for x, m in zip(held, mine.tolist(), strict=True)]
+                        taken = pa.array(mine + a)
+                        yield pa.RecordBatch.from_arrays(
+                            [*(batch.column(k).take(taken) for k in range(len(keys))), pa.array(word[at] - begin[mine]), pa.array(np.full(len(at), size, np.int32)), pa.array(h.astype(np.int64)), pa.array(slots, pa.list_(pa.int64())), pa.array(spots, pa.list_(pa.int64()))],
+                            names=[*keys, "place", "size", "hash", "fillers", "spots"],
+                        )
 
     return source.mapInArrow(find, f"{declared}, {FOUND}")
 
@@ -166,32 +195,71 @@ def filter_bits(hashes: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def sound(met: list[dict]) -> tuple[int, int]:
+    """Number of windows, and of changed fillers, if the slots are filled one to one; else none."""
+    slots = {pair for m in met for pair in zip(m["mine"], m["theirs"], strict=True)}
+    if len({a for a, _ in slots}) < len(slots) or len({b for _, b in slots}) < len(slots):
+        return 0, 0
+    return len(met), sum(a != b for a, b in slots)
+
+
+def stretch(met: list[dict], cell: int, width: int) -> tuple[int, int]:
+    """The most windows of an item, and their changed fillers, that one stretch of a document holds.
+
+    A stretch is an alignment (one shift between the places of item and document), with the nearest other alignment up
+    to `width` words away wherever it lacks a window; its own windows alone are tried as well.
+    """
+    met = sorted(met, key=lambda m: (m["place"], m["shift"], m["mine"], m["theirs"]))
+    best = (0, 0)
+    for shift in sorted({m["shift"] for m in met if m["shift"] // width == cell}):
+        near: dict[int, dict] = {}
+        for m in met:
+            away = abs(m["shift"] - shift)
+            if away <= width and (m["place"] not in near or away < abs(near[m["place"]]["shift"] - shift)):
+                near[m["place"]] = m
+        best = max(best, sound(list(near.values())), sound([m for m in near.values() if m["shift"] == shift]))
+    return best
+
+
+def stretches(lined: DataFrame) -> DataFrame:
+    """doc_id, text_hash, item_id, n_item, n and changed of each row of matches by `stretch`."""
+    keys = ["doc_id", "text_hash", "item_id", "n_item"]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = [stretch(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("met", "cell", "width")), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *(pa.array([x[k] for x in best], pa.int64()) for k in range(2))], names=[*keys, "n", "changed"])
+
+    declared = ", ".join(f"`{k}` {lined.schema[k].dataType.simpleString()}" for k in keys)
+    return lined.mapInArrow(find, f"{declared}, n long, changed long")
+
+
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, text_hash, item_id, n_windows, share, n_reparameterised: the documents that hold benchmark items.
 
-    A pair counts if windows of one alignment, whose slots are filled consistently, cover at least LEAST_SHARE of the
+    A pair counts if windows of one stretch, whose slots are filled consistently, cover at least LEAST_SHARE of the
     item's windows. Items with fewer than LITERALS literal words in every window take no part; null texts are empty
     and hold nothing; repeated rows count once per id and text. No document or item, no row.
     """
     named = items.select(F.col(item_key).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("item_text"))
     known = written(window_rows(named, ["item_id"], "item_text", None).distinct(), "item-windows")
-    total = known.groupBy("item_id").agg(F.countDistinct("place").alias("n_item"))
+    total = known.groupBy(F.col("item_id").alias("__item")).agg(F.countDistinct("place").alias("n_item"), (F.max("place") + WINDOW).alias("width"))
+    sized = known.join(total, F.col("item_id").eqNullSafe(F.col("__item"))).drop("__item")
     sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # at most WINDOW of them
     source = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("doc_text"))
     if not sizes:
         sizes = [WINDOW]
     held = window_rows(source, ["doc_id", "text_hash"], "doc_text", sizes, filter_bits(known))
-    met = held.alias("d").join(known.alias("b"), (F.col("d.hash") == F.col("b.hash")) & (F.col("d.size") == F.col("b.size")) & (F.size("d.fillers") == F.size("b.fillers")))
-    met = met.select("d.doc_id", "d.text_hash", "b.item_id", F.col("b.place").alias("place"), (F.col("d.place") - F.col("b.place")).alias("shift"), F.arrays_zip(F.col("d.fillers").alias("mine"), F.col("b.fillers").alias("theirs")).alias("slots"))
-    # An alignment's windows and slots are bounded by the item's length.
-    lined = met.groupBy("doc_id", "text_hash", "item_id", "shift").agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
-    mine = F.size(F.array_distinct(F.transform("slots", lambda s: s["mine"])))
-    theirs = F.size(F.array_distinct(F.transform("slots", lambda s: s["theirs"])))
-    sound = lined.filter((mine == F.size("slots")) & (theirs == F.size("slots")))
-    changed = F.size(F.filter("slots", lambda s: s["mine"] != s["theirs"]))
-    pairs = sound.groupBy("doc_id", "text_hash", "item_id").agg(F.max(F.struct(F.size("places").alias("n"), changed.alias("changed"))).alias("best"))
+    met = held.alias("d").join(sized.alias("b"), (F.col("d.hash") == F.col("b.hash")) & (F.col("d.size") == F.col("b.size")) & (F.size("d.fillers") == F.size("b.fillers")))
+    shift = F.col("d.place") - F.col("b.place")
+    met = met.select("d.doc_id", "d.text_hash", "b.item_id", "n_item", "width", F.floor(shift / F.col("width")).alias("home"), F.struct(F.col("b.place").alias("place"), shift.alias("shift"), F.col("d.fillers").alias("mine"), F.col("b.fillers").alias("theirs"), F.col("b.spots").alias("spots")).alias("one"))
+    # A cell holds the shifts up to one width away from its own: its windows are bounded by the item's length.
+    dealt = met.select("*", F.explode(F.sequence(F.col("home") - 1, F.col("home") + 1)).alias("cell"))
+    lined = dealt.groupBy("doc_id", "text_hash", "item_id", "n_item", "width", "cell").agg(F.collect_set("one").alias("met"), F.max(F.col("cell") == F.col("home")).alias("own"))
+    lined = lined.filter(F.col("own") & (F.size(F.array_distinct(F.col("met.place"))) / F.col("n_item") >= LEAST_SHARE))
+    pairs = stretches(lined).groupBy("doc_id", "text_hash", "item_id", "n_item").agg(F.max(F.struct("n", "changed")).alias("best"))
     share = F.col("best.n") / F.col("n_item")
-    return pairs.join(total, "item_id").filter(share >= LEAST_SHARE).select("doc_id", "text_hash", "item_id", F.col("best.n").cast("long").alias("n_windows"), share.alias("share"), F.col("best.changed").cast("long").alias("n_reparameterised"))
+    return pairs.filter(share >= LEAST_SHARE).select("doc_id", "text_hash", "item_id", F.col("best.n").alias("n_windows"), share.alias("share"), F.col("best.changed").alias("n_reparameterised"))
 
 
 def without_leaks(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -79,3 +79,18 @@ def test_windows_agree_with_plain_rules():
     for (_, w), x in zip(expected, h.tolist(), strict=True):
         assert by_hash.setdefault(w, x) == x
     assert len(set(by_hash.values())) == len(by_hash)
+
+
+NAMED = "yesterday morning the old baker Alice carried twelve warm loaves over to the market and sold nearly all of them before noon without resting once"
+OPENED = "Alice sells fresh eggs beside the old bridge every morning before school. Bob buys seven of them for his hungry cousins at home."
+
+
+def test_stretches_with_words_put_in_or_left_out(spark):
+    items = [(1, NAMED), (2, OPENED)]
+    words = NAMED.split()
+    docs = [(1, filler(30, 1) + " " + NAMED.replace("Alice", "Mary Ann") + " " + filler(30, 2)), (2, " ".join([*words[:12], "really", *words[12:]])), (3, " ".join(words[:12] + words[13:])),
+            (4, OPENED.replace("Alice", "Carol").replace("Bob", "Dora Lee")), (5, "Once " + OPENED.replace("Alice", "Eve")), (6, " ".join(words[:10]) + " " + filler(400, 3) + " " + " ".join(words[14:])),
+            (7, NAMED + " " + NAMED.replace("Alice", "Zoe"))]
+    got = found(spark, docs, items)
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (7, 1)}
+    assert got[1, 1].n_reparameterised == 1 and got[1, 1].share == 1 and got[4, 2].n_reparameterised == 2
