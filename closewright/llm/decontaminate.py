@@ -3,11 +3,12 @@
 Numbers, names and units become typed placeholders, so a question with other numbers, other names or another
 unit has the same template. A run of name words or of number parts is one placeholder. Windows of template words of
 documents and benchmark items are joined by hash; those of one stretch count together, also where words were put in
-or left out between them, and its slots must be filled consistently: equal fillers of one side are equal on the other.
+or left out between them, and its slots must be filled consistently: equal fillers of the item are equal in the document.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -196,11 +197,17 @@ def filter_bits(hashes: DataFrame) -> bytes:
 
 
 def sound(met: list[dict]) -> tuple[int, int]:
-    """Number of windows, and of changed fillers, if the slots are filled one to one; else none."""
-    slots = {pair for m in met for pair in zip(m["mine"], m["theirs"], strict=True)}
-    if len({a for a, _ in slots}) < len(slots) or len({b for _, b in slots}) < len(slots):
-        return 0, 0
-    return len(met), sum(a != b for a, b in slots)
+    """Number of windows whose slots are filled consistently, and of changed fillers in them, negative: fewer are better.
+
+    Equal fillers of the item are filled equally: each has the filler that more than half of its places hold, or none,
+    and a window with another one does not count. Different fillers of the item may have the same.
+    """
+    places = {x for m in met for x in zip(m["theirs"], m["spots"], m["mine"], strict=True)}
+    votes = Counter((b, a) for b, _, a in places)
+    of = Counter(b for b, _, _ in places)
+    held = {pair for pair, n in votes.items() if 2 * n > of[pair[0]]}
+    kept = [m for m in met if all(x in held for x in zip(m["theirs"], m["mine"], strict=True))]
+    return len(kept), -sum(b != a for b, a in {x for m in kept for x in zip(m["theirs"], m["mine"], strict=True)})
 
 
 def stretch(met: list[dict], cell: int, width: int) -> tuple[int, int]:
@@ -209,7 +216,7 @@ def stretch(met: list[dict], cell: int, width: int) -> tuple[int, int]:
     A stretch is an alignment (one shift between the places of item and document), with the nearest other alignment up
     to `width` words away wherever it lacks a window; its own windows alone are tried as well.
     """
-    met = sorted(met, key=lambda m: (m["place"], m["shift"], m["mine"], m["theirs"]))
+    met = sorted(met, key=lambda m: (m["place"], sum(a != b for a, b in zip(m["mine"], m["theirs"], strict=True)), m["shift"], m["mine"], m["theirs"]))
     best = (0, 0)
     for shift in sorted({m["shift"] for m in met if m["shift"] // width == cell}):
         near: dict[int, dict] = {}
@@ -222,7 +229,7 @@ def stretch(met: list[dict], cell: int, width: int) -> tuple[int, int]:
 
 
 def stretches(lined: DataFrame) -> DataFrame:
-    """doc_id, text_hash, item_id, n_item, n and changed of each row of matches by `stretch`."""
+    """doc_id, text_hash, item_id, n_item, n and changed (negative) of each row of matches by `stretch`."""
     keys = ["doc_id", "text_hash", "item_id", "n_item"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +266,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     lined = lined.filter(F.col("own") & (F.size(F.array_distinct(F.col("met.place"))) / F.col("n_item") >= LEAST_SHARE))
     pairs = stretches(lined).groupBy("doc_id", "text_hash", "item_id", "n_item").agg(F.max(F.struct("n", "changed")).alias("best"))
     share = F.col("best.n") / F.col("n_item")
-    return pairs.filter(share >= LEAST_SHARE).select("doc_id", "text_hash", "item_id", F.col("best.n").alias("n_windows"), share.alias("share"), F.col("best.changed").alias("n_reparameterised"))
+    return pairs.filter(share >= LEAST_SHARE).select("doc_id", "text_hash", "item_id", F.col("best.n").alias("n_windows"), share.alias("share"), (-F.col("best.changed")).alias("n_reparameterised"))
 
 
 def without_leaks(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -94,3 +94,14 @@ def test_stretches_with_words_put_in_or_left_out(spark):
     got = found(spark, docs, items)
     assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (7, 1)}
     assert got[1, 1].n_reparameterised == 1 and got[1, 1].share == 1 and got[4, 2].n_reparameterised == 2
+
+
+SHARED = "if Alice has 12 apples and gives Bob 5 apples then how many of the apples does she still keep in her basket at home for Bob"
+
+
+def test_fillers_that_coincide_and_single_slips(spark):
+    long = "the town of Springfield keeps 40 horses and its people feed them at dawn before they walk down to the wide river near Springfield where the boats wait for grain and salt and wool from the far hills"
+    docs = [(1, SHARED.replace("12", "7").replace("5", "7")), (2, SHARED.replace("Alice", "Eve").replace("Bob", "Eve")), (3, long.replace("near Springfield", "near Shelbyville")), (4, SHARED.replace("gives Bob", "gives Tom", 1))]
+    got = found(spark, docs, [(1, SHARED), (2, long)])
+    assert set(got) >= {(1, 1), (2, 1), (3, 2)}
+    assert got[1, 1].n_reparameterised == 2 and got[1, 1].share == 1 and got[3, 2].share < 1
