@@ -8,8 +8,10 @@ or left out between them, and its slots must be filled consistently: equal fille
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closewright.llm.shared import written
-from closewright.llm.textbytes import BYTE_VALUE, U64, WORD_POWERS, groups, mixed, utf8
+from closewright.llm.textbytes import BASE, BYTE_VALUE, U64, WORD_POWERS, groups, mixed, powers, utf8
 
 #: Template words of a window, and how many of them must stand for themselves.
 WINDOW, LITERALS = 8, 4
@@ -41,12 +43,54 @@ _ENDS = np.isin(_B, np.frombuffer(b".!?\n:;|", np.uint8))
 _FOLD = np.where(_UPPER, _B + 32, _B).astype(np.uint8)
 
 
+# Code points of scripts without spaces between words; each letter is a word there.
+UNSPACED = ((0x0E00, 0x0F00), (0x0F00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x1A00), (0x1A20, 0x1AB0), (0x3005, 0x3008), (0x3040, 0x3130), (0x31A0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xA9E0, 0xAA00), (0xAA60, 0xAAE0), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x20000, 0x40000))
+PART, APART, LETTER, MARK = range(4)
+
+
+@cache
+def char_kinds() -> np.ndarray:
+    """Kind of each code point: of a word, punctuation or space, a letter that is a word, or a mark upon one."""
+    kinds = np.array([APART if unicodedata.category(chr(c))[0] == "P" or unicodedata.category(chr(c)) in ("Zs", "Zl", "Zp", "Cc") else PART for c in range(0x20000)], np.uint8)
+    kinds = np.append(kinds, np.zeros(0x110000 - len(kinds), np.uint8))
+    for a, b in UNSPACED:
+        some = kinds[a:b]
+        marks = np.array([b - a < 0x10000 and unicodedata.category(chr(c))[0] == "M" for c in range(a, b)])
+        some[some == PART] = LETTER
+        some[marks] = MARK
+    return kinds
+
+
+def unicode_words(data: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Marks in `inside` the bytes of non-ASCII punctuation and space as no word's; whether a word begins anew at each byte."""
+    anew = np.zeros(len(data), bool)
+    lead = np.flatnonzero(data >= 0xC0)
+    wide = 2 + (data[lead] >= 0xE0).astype(np.int64) + (data[lead] >= 0xF0)
+    point = data[lead].astype(np.int64) & (0x7F >> wide)
+    for k in range(1, 4):
+        more = wide > k
+        point[more] = point[more] << 6 | data[lead[more] + k] & 0x3F
+    kind = char_kinds()[point]
+    for k in range(4):
+        inside[lead[(kind == APART) & (wide > k)] + k] = False
+    anew[lead[kind == LETTER]] = True
+    after = (lead + wide)[(kind == LETTER) | (kind == MARK)]
+    anew[after[after < len(data)]] = True
+    anew[lead[kind == MARK]] = False
+    return anew
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray):
-    """Words (runs of ASCII letters, digits and non-ASCII bytes) of the texts: first and last byte, text, folded hash, and per-byte marks."""
+    """Words of the texts: first and last byte, text, folded hash, and per-byte marks.
+
+    A word is a run of ASCII letters, digits and non-ASCII characters but punctuation and space; in scripts without
+    spaces it is one letter with its marks.
+    """
     inside = _WORD[data]
+    anew = unicode_words(data, inside) if len(data) and data.max() >= 0xC0 else np.zeros(len(data), bool)
     begins, ends = inside.copy(), inside.copy()
-    begins[1:] &= ~inside[:-1]
-    ends[:-1] &= ~inside[1:]
+    begins[1:] &= ~inside[:-1] | anew[1:]
+    ends[:-1] &= ~inside[1:] | anew[1:]
     border = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
     begins[border] = inside[border]
     ends[border - 1] = inside[border - 1]
@@ -136,13 +180,28 @@ def windows(shown: np.ndarray, slot: np.ndarray, text: np.ndarray, size: int) ->
     return at, mixed(h[at])
 
 
+#: Powers of the hash of whole texts, modulo 2**64, and of its inverse.
+UNBASE = pow(BASE, -1, 1 << 64)
+
+
+def whole_hashes(words: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of each run of `size` words within a text, by differences of running sums: no slot, every word counts."""
+    count = len(words) - size + 1
+    if count <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    sums = np.append(U64(0), np.cumsum(mixed(words) * powers(BASE, len(words)), dtype=np.uint64))
+    at = np.flatnonzero(text[:count] == text[size - 1 :])
+    return at, mixed((sums[at + size] - sums[at]) * powers(UNBASE, count)[at])
+
+
 FOUND = "place long, size int, hash long, fillers array<long>, spots array<long>"
 
 
 def window_rows(rows: DataFrame, keys: list[str], text: str, sizes: list[int] | None, passing: bytes | None = None) -> DataFrame:
     """keys, place, size, hash, fillers and places (of the slots, in order) of the windows of each text.
 
-    Without `sizes`, each text has windows of WINDOW words, or one of all its words if it has fewer. A capitalised
+    Without `sizes`, each text has windows of WINDOW words, or one of all its words if it has fewer. One without
+    such a window, but with a word, is one exact run of its folded words; the size of exact runs is negative. A capitalised
     sentence opener may be a name or not: a window with such words is given in both readings. Places count the words
     before names and numbers are joined. `passing` is the filter's bits: other windows are left out, as they can meet
     no partner in the join.
@@ -157,12 +216,13 @@ def window_rows(rows: DataFrame, keys: list[str], text: str, sizes: list[int] |
             for a, b in groups(offsets):
                 owner, shown, filler, slot, opener, close = parsed(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 begin = np.append(0, np.cumsum(np.bincount(owner, minlength=b - a)))
+                bare = np.ones(b - a, bool)
                 for reading in (False, True) if opener.any() else (False,):
                     word, shape, fills, gaps = collapsed(owner, np.where(opener, NAME, shown) if reading else shown, filler, slot | opener if reading else slot, close)
                     of = owner[word]
                     n_words = np.bincount(of, minlength=b - a)
                     n_openers = np.append(0, np.cumsum(opener[word]))
-                    for size in sizes or [WINDOW, *sorted(set(n_words[n_words < WINDOW].tolist()) - {0})]:
+                    for size in [n for n in sizes if n > 0] if sizes else [WINDOW, *sorted(set(n_words[n_words < WINDOW].tolist()) - {0})]:
                         at, h = windows(shape, gaps, of, size)
                         able = n_words[of[at]] == size if sizes is None and size < WINDOW else np.ones(len(at), bool)
                         if reading:
@@ -174,6 +234,7 @@ def window_rows(rows: DataFrame, keys: list[str], text: str, sizes: list[int] |
                         if not len(at):
                             continue
                         mine = of[at]
+                        bare[mine] = False
                         held = [p + np.flatnonzero(gaps[p : p + size]) for p in at.tolist()]
                         slots = [fills[x].astype(np.int64).tolist() for x in held]
                         spots = [(word[x] - begin[m]).tolist() for x, m in zip(held, mine.tolist(), strict=True)]
@@ -182,6 +243,19 @@ def window_rows(rows: DataFrame, keys: list[str], text: str, sizes: list[int] |
                             [*(batch.column(k).take(taken) for k in range(len(keys))), pa.array(word[at] - begin[mine]), pa.array(np.full(len(at), size, np.int32)), pa.array(h.astype(np.int64)), pa.array(slots, pa.list_(pa.int64())), pa.array(spots, pa.list_(pa.int64()))],
                             names=[*keys, "place", "size", "hash", "fillers", "spots"],
                         )
+                n_words = np.bincount(owner, minlength=b - a)
+                for size in [-n for n in sizes if n < 0] if sizes else sorted(set(n_words[bare].tolist()) - {0}):
+                    at, h = whole_hashes(filler, owner, size)
+                    if sizes is None:
+                        able = bare[owner[at]] & (n_words[owner[at]] == size)
+                    else:
+                        cell = (h >> U64(64 - FILTER_BITS)).astype(np.int64)
+                        able = (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+                    at, h = at[able], h[able]
+                    if len(at):
+                        mine = owner[at]
+                        taken, none = pa.array(mine + a), pa.array([[]] * len(at), pa.list_(pa.int64()))
+                        yield pa.RecordBatch.from_arrays([*(batch.column(k).take(taken) for k in range(len(keys))), pa.array(at - begin[mine]), pa.array(np.full(len(at), -size, np.int32)), pa.array(h.astype(np.int64)), none, none], names=[*keys, "place", "size", "hash", "fillers", "spots"])
 
     return source.mapInArrow(find, f"{declared}, {FOUND}")
 
@@ -245,14 +319,14 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     """doc_id, text_hash, item_id, n_windows, share, n_reparameterised: the documents that hold benchmark items.
 
     A pair counts if windows of one stretch, whose slots are filled consistently, cover at least LEAST_SHARE of the
-    item's windows. Items with fewer than LITERALS literal words in every window take no part; null texts are empty
-    and hold nothing; repeated rows count once per id and text. No document or item, no row.
+    item's windows. An item with fewer than LITERALS literal words in every window is found where all its words stand
+    as they are but for case, however few they are; one without a word cannot be found. Null texts are empty and hold nothing; repeated rows count once per id and text. No document or item, no row.
     """
     named = items.select(F.col(item_key).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("item_text"))
     known = written(window_rows(named, ["item_id"], "item_text", None).distinct(), "item-windows")
     total = known.groupBy(F.col("item_id").alias("__item")).agg(F.countDistinct("place").alias("n_item"), (F.max("place") + WINDOW).alias("width"))
     sized = known.join(total, F.col("item_id").eqNullSafe(F.col("__item"))).drop("__item")
-    sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # at most WINDOW of them
+    sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # WINDOW at most, and the lengths of exact runs
     source = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("doc_text"))
     if not sizes:
         sizes = [WINDOW]

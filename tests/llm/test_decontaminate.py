@@ -105,3 +105,18 @@ def test_fillers_that_coincide_and_single_slips(spark):
     got = found(spark, docs, [(1, SHARED), (2, long)])
     assert set(got) >= {(1, 1), (2, 1), (3, 2)}
     assert got[1, 1].n_reparameterised == 2 and got[1, 1].share == 1 and got[3, 2].share < 1
+
+
+def test_items_without_literal_windows_and_unspaced_scripts(spark):
+    chinese, thai = "小明有十二个苹果，他给了小红五个，请问小明还剩下几个苹果？", "แดงมีส้มสิบสองผลและให้ดำห้าผล"
+    items = [(1, "short item"), (2, "What is 12 + 15?"), (3, "Marie Curie, Pierre Curie, 1903"), (4, chinese), (5, thai), (6, "?!"), (7, "été – hiver")]
+    docs = [(1, filler(30, 1) + " Short  ITEM. " + filler(9, 2)), (2, "Tell me, what is 12 + 15? Thanks."), (3, "They were Marie Curie, Pierre Curie, 1903."), (4, "问题：" + chinese.replace("苹果", "梨子", 1) + "谢谢"), (5, "คำถาม" + thai),
+            (6, "what is 12 and then 15, a shorter item?"), (7, "Été hiver"), (8, "?!")]
+    assert set(found(spark, docs, items)) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (7, 7)}
+
+
+def test_words_of_unicode():
+    text = "a–b “日本c” ดี5 x y café"
+    data = np.frombuffer(text.encode(), np.uint8)
+    first, last, *_ = d.words_of(data, np.array([0, len(data)]))
+    assert [data[a:b].tobytes().decode() for a, b in zip(first, last, strict=True)] == ["a", "b", "日", "本", "c", "ดี", "5", "x", "y", "café"]
