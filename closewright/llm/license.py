@@ -23,16 +23,16 @@ SENTENCES = {
     "mit-released": ("released under the mit license", "licensed under the mit license", "this project is licensed under the mit license", "distributed under the mit license"),
     "mit-grant": ("permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"software\"), to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, and to permit persons to whom the software is furnished to do so, subject to the following conditions: the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",),
     "mit-warranty": ("the software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement",),
-    "apache-licensed": ("licensed under the apache license, version {v}", "licensed under the apache license, version {v} (the \"license\"); you may not use this file except in compliance with the license", "released under the apache license, version {v}"),
+    "apache-licensed": ("licensed under the apache license, version {v}", "licensed under the apache license, version {v} (the \"license\")", "licensed under the apache license, version {v} (the \"license\"); you may not use this file except in compliance with the license", "released under the apache license, version {v}"),
     "apache-copy": ("you may obtain a copy of the license at http://www.apache.org/licenses/license-{v}",),
     "apache-warranty": ("unless required by applicable law or agreed to in writing, software distributed under the license is distributed on an \"as is\" basis, without warranties or conditions of any kind, either express or implied",),
     "gpl-licensed": ("this work is licensed under the gnu general public license, version {v}", "licensed under the gnu general public license, version {v}", "licensed under the gnu general public license v{v}"),
-    "gpl-grant": ("this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation, either version {v} of the license, or (at your option) any later version",),
+    "gpl-grant": ("this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation, either version {v} of the license, or (at your option) any later version", "this program is free software; you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation; either version {v} of the license, or (at your option) any later version", "this program is free software; you can redistribute it and/or modify it under the terms of the gnu general public license version {v} as published by the free software foundation", "this program is free software; you can redistribute it and/or modify it under the terms of the gnu general public license, version {v}, as published by the free software foundation"),
     "gpl-warranty": ("this program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose",),
     "lgpl-licensed": ("licensed under the gnu lesser general public license, version {v}",),
     "agpl-licensed": ("licensed under the gnu affero general public license, version {v}",),
     "mpl-notice": ("this source code form is subject to the terms of the mozilla public license, v. {v}", "licensed under the mozilla public license, version {v}"),
-    "bsd-grant": ("redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",),
+    "bsd-grant": ("redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     "bsd-licensed": ("released under the bsd license", "licensed under the bsd license"),
     "isc-grant": ("permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",),
     "cc-by-nc": ("licensed under cc by-nc {v}", "this work is licensed under cc by-nc {v}"),
@@ -69,11 +69,13 @@ _SPDX = re.compile(r"(spdx-license-identifier:) ?(\S+)$")
 _BREAK = re.compile(r"(?<=[.!?;])[ \t]+|[ \t]*[\r\n]+[ \t]*")
 _GAPS = re.compile(r"\s+")
 _LEADS = "#/*;-> \t"
+#: Where a line ends, with the comment marks that begin the next.
+_LINES = re.compile(r"[ \t]*[\r\n][\s#/*;>-]*")
 
 
 def normalised(sentence: str) -> tuple[str, str]:
-    """The sentence in the form of SENTENCES, and the version or identifier taken out of it."""
-    text = _GAPS.sub(" ", unicodedata.normalize("NFKC", sentence).lower().translate({0x201C: '"', 0x201D: '"'})).strip(_LEADS).rstrip(" .!?;")
+    """The sentence, without comment marks before any of its lines, in the form of SENTENCES, and the version or identifier taken out of it."""
+    text = _GAPS.sub(" ", unicodedata.normalize("NFKC", _LINES.sub(" ", sentence.strip(_LEADS))).lower().translate({0x201C: '"', 0x201D: '"'})).strip(_LEADS).rstrip(" .!?;")
     held = _SPDX.match(text)
     if held:
         return f"{held[1]} {{id}}", held[2]
@@ -100,7 +102,8 @@ def table_of(sentences: dict[str, tuple[str, ...]]) -> tuple[dict[str, str], int
 def recognised(text: str, known: dict[str, str], longest: int, rules: tuple[Rule, ...]) -> list[tuple[str, str, int, int]]:
     """License, version, start and end (code points) of each rule match, left to right, longest first, without overlap.
 
-    A known sentence may span several pieces of the text (lines, or parts up to an end mark), and may stand at the
+    A known sentence may span several pieces of the text (lines, or parts up to an end mark; lines of comment marks
+    alone are none), and may stand at the
     end of other words of its line only if a piece begins there.
     """
     starts, at = [], 0
@@ -108,12 +111,15 @@ def recognised(text: str, known: dict[str, str], longest: int, rules: tuple[Rule
         starts.append((at, m.start()))
         at = m.end()
     starts.append((at, len(text)))
-    starts = [(a, b) for a, b in starts if b > a]
+    starts = [(a, b) for a, b in starts if text[a:b].strip(_LEADS)]
     met: list[tuple[str, str, int, int, int, int]] = []  # identifier, version, first and last piece, place
     n, leads = 0, {lead(form) for form in known}
     while n < len(starts):
         hit = None
-        if lead(normalised(text[starts[n][0] : min(starts[n][0] + 96, starts[n][1])])[0]) not in leads:
+        begun = lead(normalised(text[starts[n][0] : min(starts[n][0] + 96, starts[n][1])])[0])
+        if " " not in begun and n + 1 < len(starts):
+            begun = lead(f"{begun} {normalised(text[starts[n + 1][0] : min(starts[n + 1][0] + 96, starts[n + 1][1])])[0]}")
+        if begun not in leads:
             n += 1
             continue
         for last in range(n, len(starts)):

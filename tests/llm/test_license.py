@@ -30,3 +30,50 @@ def test_ordered_rules_take_the_longest(spark):
     found = lambda t: [x[:2] for x in L.recognised(t, known, longest, rules)]
     assert found("Alpha licence.\nBeta licence 2.1\nbeta licence 3; alpha licence") == [("two", "2.1"), ("three", "3"), ("one", "")]
     assert found("alpha licence. other. beta licence 1") == [("one", ""), ("three", "1")]
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+MIT = """Permission
+is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+
+def test_whole_commented_headers():
+    known, longest = L.table_of(L.SENTENCES)
+    for mark in ("", "# ", "// ", " * ", ";; ", "-- "):
+        for name, version, notice in (("apache", "2.0", APACHE), ("mit", "", MIT), ("gpl", "2", GPL), ("bsd", "", BSD), ("isc", "", ISC)):
+            lines = "\n".join((mark + line).rstrip() for line in notice.split("\n"))
+            text = f"{mark}Copyright 2020 someone\n{mark.rstrip()}\n{lines}\n{mark.rstrip()}\nx = 1\n"
+            got = L.recognised(text, known, longest, L.RULES)
+            assert [g[:2] for g in got] == [(name, version)], (mark, name, got)
+            assert text[got[0][2] : got[0][3]].strip("#/*;- ") == lines.strip("#/*;- ")
+    assert [g[:2] for g in L.recognised('# Licensed under the Apache License, Version 2.0 (the "License");\n# other words', known, longest, L.RULES)] == [("apache", "2.0")]
