@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field that adds spans.
 
 Tokens with a digit or an at sign are nodes. Neighbours in the text share a chain potential, and equal or similar
-tokens anywhere in a document share a skip potential, so a number that is a phone number in one place is one in
+tokens, or runs of number tokens, anywhere in a document share a skip potential, so a number that is a phone number in one place is one in
 another. Loopy message passing gives the labels. Tokens within pattern matches keep their label.
 """
 
@@ -33,6 +33,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\s]*[0-9@][^\s]*")
 _CORE = re.compile(r"[+(]?\w(?:.*\w)?\)?", re.DOTALL)
+_NUMBER = re.compile(r"[+(]?[0-9][0-9().-]*")
 _LOCAL = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -95,7 +96,7 @@ def likeness(token: str) -> str:
     """What similar tokens have in common: the last seven digits, or an address's local part; else nothing."""
     if "@" in token:
         local = token.partition("@")[0].lower()
-        return f"a{local}" if len(local) > 3 else ""
+        return f"a{local}" if local else ""
     digits = re.sub(r"[^0-9]", "", token)
     if len(digits) >= 7:
         return f"d{digits[-7:]}"
@@ -115,7 +116,7 @@ class Nodes:
 
 def nodes_of(text: str, base: list[tuple[int, int, int]]) -> Nodes:
     covered = sorted((a, b, k + 1) for k, a, b in base)
-    out, seen, at = Nodes([], [], [], [], []), {}, 0
+    out, at = Nodes([], [], [], [], []), 0
     for m in _TOKEN.finditer(text):
         core = _CORE.search(m.group())
         if core is None:
@@ -132,16 +133,45 @@ def nodes_of(text: str, base: list[tuple[int, int, int]]) -> Nodes:
                 break
         n, token = len(out.spans), text[a:b]
         out.chain.append(n - 1 if n and a - out.spans[-1][1] <= GAP else -1)
-        like = likeness(token)
-        out.skip.append(seen.get(like, -1) if like else -1)
-        if like:
-            seen[like] = n
         out.spans.append((a, b))
         out.masks.append(features(token))
         out.labels.append(label)
+    out.skip += skip_links([text[a:b] for a, b in out.spans], out.chain)
     return out
 
 
+def skip_links(tokens: list[str], chain: list[int]) -> list[int]:
+    """The earlier token that each token is linked to, or -1: by its likeness, else by that of its run, else by equal text.
+
+    Neighbouring number tokens are a run, alike by their joined digits; its tokens are linked in order from the end.
+    """
+    numbers = [_NUMBER.fullmatch(t) is not None for t in tokens]
+    links, seen, first = [-1] * len(tokens), {}, 0
+    while first < len(tokens):
+        last = first + 1
+        while last < len(tokens) and numbers[first] and numbers[last] and chain[last] == last - 1:
+            last += 1
+        run = range(first, last)
+        joined = re.sub(r"[^0-9]", "", "".join(tokens[first:last])) if last - first > 1 else ""
+        whole = f"d{joined[-7:]}" if len(joined) >= 7 else f"r{joined}" if joined else ""
+        before = seen.get(whole, [])
+        for n in run:
+            own, same = likeness(tokens[n]), f"e{tokens[n].lower()}"
+            if own in seen:
+                links[n] = seen[own][-1]
+            elif before:
+                links[n] = before[max(0, len(before) - (last - n))]
+            else:
+                links[n] = seen.get(same, [-1])[-1]
+            seen[same] = [n]
+            if own:
+                seen[own] = [n]
+        if whole:
+            seen[whole] = list(run)
+        first = last
+    return links
+
+
 @dataclass
 class Field:
     """Log-potentials: features x labels, and labels x labels of chain and skip links (earlier by later)."""

@@ -88,3 +88,14 @@ def test_redaction(spark):
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "mail [EMAIL] or [IP]", "x", 20, 9), (None, None, None, None, 9), (2, "clean 12 text", "y", 13, 9)], key=str)
     assert pii.redacted_text("abcdef", [(0, 1, 3), (2, 2, 5)]) == "a[EMAIL]f"
+
+
+def test_links_of_spaced_numbers_and_short_addresses():
+    parts = ["+44 20 7946 0958", "44 20 7946 0958", "4111 1111 1111 1111", "4111 1111 1111 1111", "10.0.0.1", "10.0.0.1", "a@b.org", "a@c.org", "555 123 4567", "5551234567"]
+    text = " and then ".join(parts)
+    nodes = pii.nodes_of(text, [])
+    tokens = [text[a:b] for a, b in nodes.spans]
+    assert tokens == " ".join(parts).split()
+    assert nodes.skip[4:8] == [0, 1, 2, 3] and nodes.skip[12:16] == [8, 9, 10, 11]
+    assert nodes.skip[17] == 16 and nodes.skip[19] == 18 and nodes.skip[23] == 22
+    assert nodes.chain == [-1 if k in (0, 4, 8, 12, 16, 17, 18, 19, 20, 23) else k - 1 for k in range(24)]
