@@ -21,9 +21,11 @@ UNKNOWN = "und"
 #: Bytes of a window: state is carried both ways within it. Texts are covered by consecutive windows.
 STEPS = 64
 HIDDEN = 8
-#: Training rows: the bound of labelled documents per language, of windows from each, and of languages.
-DOCS_PER_LANGUAGE, WINDOWS_PER_DOC, LANGUAGES = 400, 16, 64
+#: Training rows: the bound of labelled documents per language, of windows from each, and of documents of all
+#: languages; beyond that many each language has fewer, but one at least.
+DOCS_PER_LANGUAGE, WINDOWS_PER_DOC, TRAIN_DOCS = 400, 16, 25_600
 TRAIN_STEPS, TRAIN_BATCH, RATE = 260, 256, 0.02
+#: Windows taken at once, for up to 64 languages; for more, fewer windows in proportion.
 AT_ONCE = 2048
 
 
@@ -118,11 +120,14 @@ def fit(windows: list[bytes], labels: list[str], seed: int = 11) -> Network:
     if len(names) < 2:
         return net
     x, valid = grid(windows)
-    y = np.array([names.index(v) for v in labels])
+    place = {v: k for k, v in enumerate(names)}
+    y = np.array([place[v] for v in labels])
     groups_of = [np.flatnonzero(y == k) for k in range(len(names))]
     random, mean, square = np.random.default_rng(seed), [np.zeros_like(w) for w in net.weights()], [np.zeros_like(w) for w in net.weights()]
     for step in range(1, TRAIN_STEPS + 1):
-        at = np.concatenate([random.choice(g, max(1, TRAIN_BATCH // len(names))) for g in groups_of])
+        # More languages than a batch holds take turns.
+        some = groups_of if len(names) <= TRAIN_BATCH else [groups_of[k] for k in random.choice(len(names), TRAIN_BATCH, replace=False)]
+        at = np.concatenate([random.choice(g, max(1, TRAIN_BATCH // len(names))) for g in some])
         found = gradients(net, x[:, at], y[at], valid[:, at])
         norm = float(np.sqrt(sum(float((g * g).sum()) for g in found)))
         rate = RATE * (1 - 0.9 * step / TRAIN_STEPS)
@@ -155,8 +160,9 @@ def document_probabilities(net: Network, data: np.ndarray, offsets: np.ndarray)
     total = np.zeros((len(sizes), len(net.labels)))
     padded = np.append(data, np.zeros(STEPS, np.uint8))
     steps = np.arange(STEPS)
-    for at in range(0, len(owner), AT_ONCE):
-        some = slice(at, at + AT_ONCE)
+    at_once = max(1, min(AT_ONCE, AT_ONCE * 64 // len(net.labels)))
+    for at in range(0, len(owner), at_once):
+        some = slice(at, at + at_once)
         valid = steps[:, None] < held[some][None, :]
         x = padded[begin[some][None, :] + steps[:, None]] * valid
         found, _ = positions(net, x)
@@ -167,16 +173,19 @@ def document_probabilities(net: Network, data: np.ndarray, offsets: np.ndarray)
 def training_windows(docs: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """label and window of a bounded, deterministic sample of labelled documents outside the held-out quarter.
 
-    At most DOCS_PER_LANGUAGE documents of each of at most LANGUAGES labels (the most frequent), WINDOWS_PER_DOC
-    windows spread over each whole text.
+    At most DOCS_PER_LANGUAGE documents of each label, fewer if all labels together had more than TRAIN_DOCS, but at
+    least one; WINDOWS_PER_DOC windows spread over each whole text.
     """
     rows = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(key)))
     rows = rows.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string"), F.lit("train")).alias("draw"), F.xxhash64(F.col(text)).alias("tie"))
-    common = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES)
-    # About four times the wanted number pass by their hash, whatever the corpus; the least of them are taken.
+    counted = rows.groupBy("label").count()
+    n_labels = counted.agg(F.count(F.lit(1)).alias("n_labels"))
+    wanted = F.greatest(F.lit(1), F.least(F.lit(DOCS_PER_LANGUAGE), F.floor(F.lit(TRAIN_DOCS) / F.col("n_labels")))).cast("int")
+    common = counted.crossJoin(n_labels).select("label", "count", wanted.alias("wanted"))
+    # About four times the wanted number, and 100 more, pass by their hash, whatever the corpus; the least of them are taken.
     chance = F.shiftrightunsigned("draw", 11).cast("double") * 2.0**-53
-    passing = rows.join(F.broadcast(common), "label").filter(chance < 4.0 * DOCS_PER_LANGUAGE / F.col("count"))
-    drawn = passing.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("draw", "tie"))).filter(F.col("n") <= DOCS_PER_LANGUAGE)
+    passing = rows.join(F.broadcast(common), "label").filter(chance < (4.0 * F.col("wanted") + 100) / F.col("count"))
+    drawn = passing.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("draw", "tie"))).filter(F.col("n") <= F.col("wanted"))
     size = F.char_length("text")
     spread = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda i: F.substring(F.col("text"), (F.floor(i * size / WINDOWS_PER_DOC) + 1).cast("int"), F.lit(STEPS)))
     windows = drawn.select("label", "draw", "tie", F.explode(F.array_distinct(spread)).alias("window"))

@@ -9,14 +9,21 @@ from closewright.llm import bpe, dartminhash, decontaminate, langid, pii
 from closewright.llm.queries import table, vocabulary
 from closewright.llm.shared import written
 
-#: A document whose best language is less likely than this is rejected, as is one without a letter.
-LEAST_SCORE = 0.3
+#: A document whose best language is less likely than this is rejected, as is one without a letter. Of more than four
+#: languages it must be LEAST_LIFT times as likely as by chance, which is the same for four.
+LEAST_SCORE, LEAST_LIFT = 0.3, 1.2
+
+
+def least_score(n_labels: int) -> float:
+    """The least probability of the best of so many languages."""
+    return min(LEAST_SCORE, LEAST_LIFT / max(1, n_labels))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in a language that the network, trained on these documents' labels, recognises."""
-    found = langid.predict(docs, langid.train(docs), prediction="__lang", score="__score")
-    return found.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+    net = langid.train(docs)
+    found = langid.predict(docs, net, prediction="__lang", score="__score")
+    return found.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= least_score(len(net.labels)))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

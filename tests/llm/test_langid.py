@@ -87,3 +87,15 @@ def test_gradients_are_those_of_the_loss():
         down = loss()
         w[at] = old
         assert g[at] == pytest.approx((up - down) / (2 * step), rel=0.1, abs=1e-4)
+
+
+def test_every_label_is_learned(spark):
+    docs = [(k, f"word{k} of tongue {k % 70}", f"l{k % 70:02d}") for k in range(700)]
+    assert langid.train(spark.createDataFrame(docs, "doc_id long, text string, lang string")).labels == [f"l{k:02d}" for k in range(70)]
+
+
+def test_rejection_follows_the_number_of_labels():
+    import corpus_pipeline as c
+
+    assert c.least_score(1) == c.least_score(2) == c.least_score(4) == c.LEAST_SCORE
+    assert c.least_score(100) == c.LEAST_LIFT / 100
