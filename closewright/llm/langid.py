@@ -177,7 +177,7 @@ def training_windows(docs: DataFrame, key: str, text: str, label: str) -> DataFr
     least one; WINDOWS_PER_DOC windows spread over each whole text.
     """
     rows = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(key)))
-    rows = rows.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string"), F.lit("train")).alias("draw"), F.xxhash64(F.col(text)).alias("tie"))
+    rows = rows.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string"), F.col(text), F.lit("train")).alias("draw"), F.xxhash64(F.col(text)).alias("tie"))
     counted = rows.groupBy("label").count()
     n_labels = counted.agg(F.count(F.lit(1)).alias("n_labels"))
     wanted = F.greatest(F.lit(1), F.least(F.lit(DOCS_PER_LANGUAGE), F.floor(F.lit(TRAIN_DOCS) / F.col("n_labels")))).cast("int")

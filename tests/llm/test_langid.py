@@ -99,3 +99,8 @@ def test_rejection_follows_the_number_of_labels():
 
     assert c.least_score(1) == c.least_score(2) == c.least_score(4) == c.LEAST_SCORE
     assert c.least_score(100) == c.LEAST_LIFT / 100
+
+
+def test_rows_without_ids_are_drawn_one_by_one(spark):
+    docs = spark.createDataFrame([(None, f"word{k} of tongue {k % 2}", f"l{k % 2}") for k in range(12000)], "doc_id long, text string, lang string")
+    assert {r.label for r in langid.training_windows(docs, "doc_id", "text", "lang").select("label").distinct().collect()} == {"l0", "l1"}
