@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closewright.llm import bpe, cotrain, dartminhash, decontaminate, langid, license, pii, suffix_dedup, topk, warc
+from closewright.llm import bpe, cotrain, dartminhash, decontaminate, langid, license, pii, simhash_trie, suffix_dedup, termscan, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +81,13 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find_spans(docs, pii.train(docs))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return termscan.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_trie.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")

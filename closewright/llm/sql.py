@@ -26,3 +26,24 @@ select page_id, cast(payload_bytes as bigint) as payload_bytes,
   case when first_id is null or page_id is not distinct from first_id then null else first_id end as refers_to
 from parts
 """
+
+ORACLE["op13_ranked_search"] = r"""
+with held as (select row_number() over () as row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents where text is not null),
+docs as (select row, doc_id, len(terms) as n from held where len(terms) > 0),
+told as (select count(*) as n_docs, cast(sum(n) as bigint) as n_terms from docs),
+tf as (select row, term, count(*) as tf from (select row, unnest(terms) as term from held) group by row, term),
+df as (select term, count(*) as df from tf group by term),
+asked as (
+  select item_id, term, count(*) as repeats from (
+    select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select distinct item_id, text from benchmark where text is not null)
+  ) group by item_id, term
+),
+weighed as (select asked.*, cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / cast(2 * df + 1 as double))) as bigint) as w from asked join df using (term), told),
+scored as (
+  select item_id, row, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) as score
+  from weighed join tf using (term) join docs using (row), told group by item_id, row
+)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as integer) as rank, doc_id, cast(score as bigint) as score
+from scored join docs using (row) where score > 0 qualify row_number() over (partition by item_id order by score desc, doc_id nulls last) <= 20
+"""
