@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closewright.llm import bpe, cotrain, dartminhash, decontaminate, langid, license, pii, simhash_trie, suffix_dedup, termscan, topk, warc
+from closewright.llm import bpe, collocations, cotrain, dartminhash, decontaminate, langid, license, pii, simhash_trie, suffix_dedup, termscan, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +91,8 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.ranked_phrases(table(spark, sf_dir, "documents"))

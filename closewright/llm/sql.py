@@ -47,3 +47,27 @@ scored as (
 select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as integer) as rank, doc_id, cast(score as bigint) as score
 from scored join docs using (row) where score > 0 qualify row_number() over (partition by item_id order by score desc, doc_id nulls last) <= 20
 """
+
+ORACLE["op12_collocations"] = r"""
+with rows as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+pieces as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from rows),
+words as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as w from pieces),
+runs as (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase from words, (select unnest(range(1, 6)) as k) where len(w) >= k),
+f as (select lang, k, phrase, count(*) as f from runs group by lang, k, phrase having count(*) >= 100),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+candidates as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k >= 2),
+inner_parts as (
+  select lang, f, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))))) as phrase
+  from (select lang, k, a as f, w from candidates)
+),
+inside as (select lang, phrase, max(f) as most from inner_parts group by lang, phrase),
+cuts as (select c.*, cut, array_to_string(w[1:cut], ' ') as head, array_to_string(w[cut + 1:], ' ') as tail from candidates c, (select unnest(range(1, 5)) as cut) where cut < k),
+scored as (
+  select c.lang, c.phrase, c.a, h.f as l, t.f as r, totals.n, cut, (1000 * cast(c.a as hugeint) * totals.n) // (cast(h.f as hugeint) * t.f) as score
+  from cuts c join f h on h.lang = c.lang and h.phrase = c.head join f t on t.lang = c.lang and t.phrase = c.tail join totals on totals.lang = c.lang
+),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+kept as (select lowest.* from lowest left join inside using (lang, phrase) where most is null or 100 * most < 100 * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r, n, cast(score as bigint) as score
+from kept qualify row_number() over (partition by lang order by score desc, a desc, encode(phrase)) <= 2000
+"""
