@@ -730,7 +730,20 @@ ORACLE["conformed_extracts"] = " union all ".join(
     f"select '{dataset}' as dataset_id, count(*) as rows, count({'currency_code' if dataset == 'CR_05a' else 'company_code'}) as keyed_rows from ({ORACLE[name]})" for dataset, name in EXTRACTS.items()
 )
 
-sql("csv_round_trip", ["ops_usage"], "select voucher_id, nullif(amount_used, '') as amount_used from ops_usage")
+sql(
+    "csv_round_trip", ["gl_entries"],
+    r"""select cast(entry_no as varchar) as entry_no, case entry_no % 8 when 0 then description || chr(10) || 'second line' when 1 then 'say "' || description || '"' || chr(13) || chr(10) || ',end' || chr(10)
+      when 2 then '' when 3 then null when 4 then '  ' || description || ', ;\ ' else description end as note, document_no, 'shared file' as place from gl_entries""",
+)
+sql(
+    "csv_short_rows", ["gl_entries"],
+    "select cast(entry_no as varchar) as entry_no, case when entry_no % 3 <> 0 then document_no end as document_no, cast(null as varchar) as note, entry_no % 3 = 2 as bad from gl_entries",
+)
+sql(
+    "csv_conformed", ["ops_usage"],
+    """select case when trim(voucher_id) not in ('', 'nan', 'None') then trim(voucher_id) end as voucher_id, cast(try_cast(replace(amount_used, ',', '') as decimal(18,2)) as double) as amount_used,
+      'kept' || chr(10) || 'as it is' as note from ops_usage""",
+)
 sql(
     "run_audit_row", ["company"],
     "select 'company' as dataset, count(*) as data_rows, 'select * from company' as query_text, 'account=18412,cutoff=1998-09-30' as params, 'SUCCESS' as validation_status from company",

@@ -658,13 +658,53 @@ def conformed_extracts(t):
     return joins.stack_frames([df.select(F.lit(name).alias("dataset_id"), "rows", F.col("k0").alias("keyed_rows")) for name, df in zip(EXTRACTS, counted)])
 
 
+def awkward_text(t) -> DataFrame:
+    """Ledger lines with line breaks, quotes, separators, padding, empty texts and nulls in their description."""
+    kind = F.pmod(F.col("entry_no"), F.lit(8))
+    text = F.col("description")
+    return t["gl_entries"].select(
+        F.col("entry_no").cast("string").alias("entry_no"),
+        F.when(kind == 0, F.concat(text, F.lit("\nsecond line"))).when(kind == 1, F.concat(F.lit('say "'), text, F.lit('"\r\n,end\n'))).when(kind == 2, F.lit(""))
+        .when(kind == 3, F.lit(None)).when(kind == 4, F.concat(F.lit("  "), text, F.lit(", ;\\ "))).otherwise(text).alias("note"),
+        F.col("document_no"),
+    )
+
+
+def written_and_resolved(t, df: DataFrame, dataset: str) -> DataFrame:
+    """A frame written as CSV into a folder of source files and found there."""
+    spark = t["gl_entries"].sparkSession
+    folder = f"{staging.shared_folder(spark)}/sources-{uuid.uuid4().hex}"
+    io.write_csv(df, f"{folder}/{dataset}.csv")
+    found, place = io.resolve_dataset(spark, dataset, folder=folder, company="C01")
+    return found.withColumn("place", F.lit(place))
+
+
 @query
 def csv_round_trip(t):
-    """Operational usage written as CSV into the shared folder, resolved there and read back under its contract."""
-    path = f"{staging.shared_folder(t['ops_usage'].sparkSession)}/ops-usage-{uuid.uuid4().hex}"
-    io.write_csv(t["ops_usage"].select(F.col("voucher_id").alias("Voucher Id"), F.col("amount_used").alias("Amount Used")), path)
-    back = io.read_ops_usage(t["ops_usage"].sparkSession, path)
-    return back.select("voucher_id", F.nullif("amount_used", F.lit("")).alias("amount_used"))
+    """Texts with line breaks, quotes, empty and null, written as CSV into the shared folder, resolved there and read back."""
+    return written_and_resolved(t, awkward_text(t), "CR_03")
+
+
+@query
+def csv_short_rows(t):
+    """CSV lines with too few fields are filled with nulls; lines with too many are kept apart."""
+    spark = t["gl_entries"].sparkSession
+    path = f"{staging.shared_folder(spark)}/short-rows-{uuid.uuid4().hex}"
+    entry, document = F.col("entry_no").cast("string"), F.col("document_no")
+    line = F.when(F.col("entry_no") % 3 == 0, entry).when(F.col("entry_no") % 3 == 1, F.concat_ws(",", entry, document)).otherwise(F.concat_ws(",", entry, document, F.lit("a"), F.lit("b")))
+    # Each file of lines begins with the header, as in a folder of exports.
+    t["gl_entries"].repartition(4, "entry_no").sortWithinPartitions("entry_no").select(line.alias("entry_no,document_no,note")).write.option("header", True).option("quote", "").csv(path, sep="\u0001")
+    read = io.read_csv(spark, path, ["entry_no", "document_no", "note"])
+    return io.good_rows(read).withColumn("bad", F.lit(False)).union(io.bad_rows(read).select("entry_no", "document_no", F.lit(None).cast("string"), F.lit(True)))
+
+
+@query
+def csv_conformed(t):
+    """Operational usage as CSV under other headings, read back under its contract."""
+    spark = t["ops_usage"].sparkSession
+    path = f"{staging.shared_folder(spark)}/ops-usage-{uuid.uuid4().hex}"
+    io.write_csv(t["ops_usage"].select(F.col("voucher_id").alias("Voucher Id"), F.col("amount_used").alias("Amount Used"), F.lit("kept\nas it is").alias("note")), path)
+    return io.read_conformed_csv(spark, path, "OPS_USAGE").select("voucher_id", "amount_used", "note")
 
 
 @query

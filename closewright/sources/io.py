@@ -16,9 +16,7 @@ from closewright.operators.joins import head_rows, tail_rows
 from closewright.operators.naming import OPS_USAGE_ALIASES, rename_first_existing
 from closewright.sources.contract_tables import CONTRACTS, DATASET_ALIASES
 from closewright.sources.contracts import Contract
-
-CORRUPT = "_corrupt_record"
-
+from closewright.sources.csv_records import CORRUPT, csv_records, parsed
 
 def read_jdbc(spark: SparkSession, url: str, query: str, options: Mapping[str, str] | None = None, split: tuple[str, int, int, int] | None = None) -> DataFrame:
     """A query over JDBC. `split` = (column, lower, upper, partitions) reads it in parallel ranges."""
@@ -53,21 +51,17 @@ def period_params(cutoff: str, countries: Sequence[str] = ()) -> dict[str, objec
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
-    """CSV as text columns plus `_corrupt_record`: unreadable rows are kept apart, not dropped.
+    """CSV as text columns plus `_corrupt_record`: rows with too many fields are kept apart, not dropped.
 
-    Every column is parsed whatever is selected later, since a row is judged by all its fields.
+    Quoted fields may hold line breaks; a large file is still read by many tasks. A short row is filled with nulls, an
+    empty field is null and a quoted empty one is an empty text.
     """
-    schema = StructType()
-    for name in [*columns, CORRUPT]:
-        schema = schema.add(name, StringType())
-    return spark.read.option("columnPruning", "false").csv(
-        path, schema=schema, header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True,
-    )
+    return parsed(csv_records(spark, path, sep), columns, sep)
 
 
 def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     """Column names of a CSV, from its first line only."""
-    return spark.read.csv(path, header=True, sep=sep, inferSchema=False).columns
+    return spark.read.csv(path, header=True, sep=sep, escape='"', inferSchema=False).columns
 
 
 def good_rows(df: DataFrame) -> DataFrame:
@@ -107,7 +101,13 @@ def write_table(df: DataFrame, table: str, mode: str = "append", partition_by: S
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).csv(path, header=True, quoteAll=True)
+    """CSV that `read_csv` reads back as it was: line breaks in quotes, quotes doubled, null empty and empty text quoted.
+
+    A row of one column that is null would be a blank line, so in a frame of one column null is written as empty text.
+    """
+    if len(df.columns) == 1:
+        df = df.select(F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit("")).alias(df.columns[0]))
+    df.write.mode(mode).csv(path, header=True, escape='"', nullValue="", emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", options: Mapping[str, str] | None = None) -> None:
