@@ -26,8 +26,8 @@ COORDINATES = BANDS * BAND_ROWS
 DARTS = COORDINATES * (math.log(COORDINATES) + 2)
 #: Cells looked at at once, and bytes of texts taken at once: these bound a task's memory.
 CELLS, TAKEN_BYTES = 1 << 18, 1 << 19
-#: A pair of similarity 0.8 agrees in at least so many coordinates but for 2e-8 of cases; members of a tile of an open bucket.
-LEAST_AGREEMENT, TILE = 100, 2048
+#: Rounds in which the other components of a bucket meet one set of its largest; sets and shingles of a tile of what is open then.
+REPRESENTATIVES, TILE, TILE_ELEMENTS = 5, 2048, 1 << 21
 # Cumulative chances of 0, 1, 2 ... darts in a cell of unit area (Poisson of mean 1).
 _CHANCES = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(20)])
 _GOLDEN = U64(0x9E3779B97F4A7C15)
@@ -114,10 +114,7 @@ def element_groups(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, high, low (a 128-bit hash of the weighted shingles), weight, bands and marks of each document with a word.
-
-    marks holds one byte for each coordinate of the signature.
-    """
+    """doc_id, text_hash, high, low (a 128-bit hash of the weighted shingles), weight and bands of each document with a word."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,12 +131,10 @@ def sketched(docs: DataFrame) -> DataFrame:
                 some = np.flatnonzero(weight > 0)
                 bands = band_values(ranks[some]).astype(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS), pa.array(bands.reshape(-1)))
-                marks = (mixed(ranks[some].view(np.uint64)) >> U64(56)).astype(np.uint8)
-                held = pa.array([m.tobytes() for m in marks], pa.binary())
                 taken = pa.array(some + a)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(sums[0][some]), pa.array(sums[1][some]), pa.array(weight[some]), lists, held], names=["doc_id", "text_hash", "high", "low", "weight", "bands", "marks"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(sums[0][some]), pa.array(sums[1][some]), pa.array(weight[some]), lists], names=["doc_id", "text_hash", "high", "low", "weight", "bands"])
 
-    return docs.mapInArrow(sketch, f"doc_id {kind}, text_hash long, high long, low long, weight long, bands array<long>, marks binary")
+    return docs.mapInArrow(sketch, f"doc_id {kind}, text_hash long, high long, low long, weight long, bands array<long>")
 
 
 def shingle_table(texts: DataFrame) -> DataFrame:
@@ -171,34 +166,97 @@ def size_fits(a, b):
     return F.least(a, b) >= F.lit(LEAST_SIMILARITY) * F.greatest(a, b)
 
 
-def agreeing(apart: DataFrame) -> DataFrame:
-    """u, v (the greater number first) of the sets of one bucket and different components whose signatures agree enough.
+def against_largest(apart: DataFrame, elements: DataFrame, turn: int) -> DataFrame:
+    """Links between a set of each open bucket's largest component, another one each turn, and the sets of its other components."""
+    crowd = apart.groupBy("band", "component").agg(F.count("*").alias("n"), F.min_by("sid", F.xxhash64("sid", F.lit(turn))).alias("v"))
+    most = crowd.groupBy("band").agg(F.max(F.struct("n", "component", "v")).alias("m")).select(F.struct("band").alias("k"), F.col("m.component").alias("largest"), F.col("m.v").alias("v"))
+    pairs = apart.withColumn("k", F.struct("band")).join(most, "k").filter("component <> largest").select(F.col("sid").alias("u"), "v").distinct()
+    return verified(pairs, elements)
+
+
+def units_of(apart: DataFrame, firsts: DataFrame, elements: DataFrame) -> DataFrame:
+    """The sets of open buckets dealt to units (band, one, two): each two sets of a bucket that are not both of its largest component meet in one.
 
-    A bucket of very many sets is parted into tiles of about TILE sets; each pair of tiles is one group of rows, so
-    no task holds more, and only pairs that agree leave it.
+    The sets of the largest component and the others are parted into tiles by number and by shingles. So where few sets
+    are left beside the largest component, its sets are dealt once or a few times each.
     """
-    part = F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int")
-    dealt = apart.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select("band", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "sid", "component", "weight", "marks")
-    dealt = dealt.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two")
+    crowd = apart.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    most = crowd.groupBy("band").agg(F.max(F.struct("n", "component", "w")).alias("m"), F.sum("n").alias("n"), F.sum("w").alias("w"))
+    tiles = lambda n, w: F.ceil(F.greatest(n / TILE, w / TILE_ELEMENTS)).cast("int")
+    sized = most.select(F.struct("band").alias("k"), F.col("m.component").alias("largest"), tiles(F.col("n") - F.col("m.n"), F.col("w") - F.col("m.w")).alias("others"), tiles(F.col("m.n"), F.col("m.w")).alias("mine"))
+    placed = apart.withColumn("k", F.struct("band")).join(sized, "k").withColumn("top", F.col("component") == F.col("largest"))
+    part = F.when(F.col("top"), F.col("others") + F.pmod(F.xxhash64("sid"), F.col("mine"))).otherwise(F.pmod(F.xxhash64("sid"), F.col("others"))).cast("int")
+    last = F.when(F.col("top"), F.col("others") - 1).otherwise(F.col("others") + F.col("mine") - 1)
+    dealt = placed.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    dealt = dealt.select("band", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "sid", "component")
+    return dealt.join(firsts.select("sid", "bands"), "sid").join(elements, "sid").select("band", "one", "two", "part", "sid", "component", "bands", "elements")
+
+
+class Sets:
+    """The sets of one unit, with their shingles sorted."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        self.part, self.sid, self.component = (rows.column(k).to_numpy() for k in (3, 4, 5))
+        self.bands = rows.column(6).combine_chunks().flatten().to_numpy().reshape(len(rows), BANDS)
+        lists = rows.column(7).combine_chunks()
+        self.elements, self.ends = lists.flatten().to_numpy(), np.append(0, np.cumsum(np.diff(lists.offsets.to_numpy())))
+        self.size = np.diff(self.ends)
+
+    def similar(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Which of the others are at least LEAST_SIMILARITY like x."""
+        mine = np.sort(self.elements[self.ends[x] : self.ends[x + 1]])
+        theirs = np.concatenate([self.elements[self.ends[y] : self.ends[y + 1]] for y in others])
+        place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+        both = np.add.reduceat((mine[place] == theirs).astype(np.int64), np.append(0, np.cumsum(self.size[others])[:-1]))
+        return both >= LEAST_SIMILARITY * (self.size[x] + self.size[others] - both)
+
+
+def joining_pairs(sets: Sets, band: int, one: int, two: int) -> list[tuple[int, int]]:
+    """Similar pairs across the two tiles that join the components to what all similar pairs join them to: fewer than there are sets.
+
+    A pair belongs to the first band its sets share. One set of each component is looked at first, then more, since the
+    first similar one settles the component.
+    """
+    names, root = np.unique(sets.component, return_inverse=True)
+    root = root.astype(np.int64)
+    left, right = np.flatnonzero(sets.part == one), np.flatnonzero(sets.part == two)
+    found = []
+    for n, x in enumerate(left):
+        able = right[n + 1 :] if one == two else right
+        able = able[root[able] != root[x]]
+        able = able[np.minimum(sets.size[able], sets.size[x]) >= LEAST_SIMILARITY * np.maximum(sets.size[able], sets.size[x])]
+        shared = sets.bands[able] == sets.bands[x]
+        able = able[sets.bands[x][shared.argmax(axis=1)] == band] if len(able) else able
+        taken = 1
+        while len(able):
+            order = np.argsort(root[able], kind="stable")
+            able = able[order]
+            nth = np.arange(len(able)) - np.searchsorted(root[able], root[able])
+            some, able = able[nth < taken], able[nth >= taken]
+            for y in some[sets.similar(x, some)]:
+                if root[y] != root[x]:
+                    found.append((int(sets.sid[x]), int(sets.sid[y])))
+                    root[root == root[y]] = root[x]
+            able = able[root[able] != root[x]]
+            taken *= 4
+    return found
+
+
+def across(units: DataFrame) -> DataFrame:
+    """u and v of the similar pairs that join components within each unit."""
+    dealt = units.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, one, two), part, sid, component, weight, marks in tiles_of(batches):
-            left, right = np.flatnonzero(part == one), np.flatnonzero(part == two)
-            for at in range(0, len(left), 64):
-                some = left[at : at + 64]
-                near = (component[some][:, None] != component[right]) & (np.minimum(weight[some][:, None], weight[right]) >= LEAST_SIMILARITY * np.maximum(weight[some][:, None], weight[right]))
-                a, b = np.nonzero(near)
-                for k in range(0, len(a), 1 << 15):
-                    x, y = some[a[k : k + (1 << 15)]], right[b[k : k + (1 << 15)]]
-                    x, y = (lambda able: (x[able], y[able]))((marks[x] == marks[y]).sum(axis=1) >= LEAST_AGREEMENT)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(sid[x], sid[y])), pa.array(np.minimum(sid[x], sid[y]))], names=["u", "v"])
+        for (band, one, two), held in runs_of(batches):
+            pairs = joining_pairs(Sets(held), band, one, two)
+            yield pa.RecordBatch.from_arrays([pa.array([max(p) for p in pairs], pa.int64()), pa.array([min(p) for p in pairs], pa.int64())], names=["u", "v"])
 
     return dealt.mapInArrow(compare, "u long, v long")
 
 
-def tiles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Key and columns of each run of rows with one (band, one, two)."""
+def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:
+    """Key and rows of each run of rows with one (band, one, two)."""
     key, held = None, []
     for batch in batches:
         keys = np.column_stack([np.asarray(batch.column(k)).astype(np.int64) for k in range(3)])
@@ -206,19 +264,12 @@ def tiles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for n, a in enumerate(edges):
             b = int(edges[n + 1]) if n + 1 < len(edges) else len(keys)
             if held and tuple(keys[a]) != key:
-                yield tile(key, held)
+                yield key, held
                 held = []
             key = tuple(keys[a])
             held.append(batch.slice(int(a), b - int(a)))
     if held:
-        yield tile(key, held)
-
-
-def tile(key: tuple, held: list[pa.RecordBatch]) -> tuple:
-    rows = pa.Table.from_batches(held)
-    columns = [rows.column(k).to_numpy() for k in range(3, 7)]
-    marks = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint8).reshape(len(rows), COORDINATES)
-    return key, *columns, marks
+        yield key, held
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,15 +281,16 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     and a null class number.
     Ids may repeat or be null; a class of null ids only has a null class_id.
 
-    Sets in a bucket are compared to its least set first. Only where a bucket still holds several components are the
-    sets of different components compared to one another, so copies never make all pairs and no link is lost.
+    Sets in a bucket are compared to its least set first. Where a bucket still holds several components, those beside the
+    largest are compared to one set of it, another one each round, until nothing more is joined. What is open then meets
+    in tiles, where only pairs that join two components come out. So copies never make all pairs and no link is lost.
     """
     source = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     seen = written(sketched(source.select("doc_id", "text_hash", "text")), "sketches")
     # One row per distinct set; its number is fixed by writing the table.
     sets = seen.groupBy("high", "low", "weight").agg(F.min("text_hash").alias("text_hash")).withColumn("sid", F.monotonically_increasing_id())
     sets = written(sets, "sets")
-    firsts = seen.select("high", "low", "text_hash", "bands", "marks").join(sets, ["high", "low", "text_hash"]).dropDuplicates(["sid"]).select("sid", "weight", "bands", "marks")
+    firsts = seen.select("high", "low", "text_hash", "bands").join(sets, ["high", "low", "text_hash"]).dropDuplicates(["sid"]).select("sid", "weight", "bands")
     firsts = written(firsts, "first-sketches")
     banded = firsts.select("sid", "weight", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("sid").alias("least"), F.max("sid").alias("most")).filter("least < most")
@@ -253,17 +305,16 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     first = first.filter(size_fits(F.col("weight"), F.col("least_weight"))).select(F.col("sid").alias("u"), F.col("least").alias("v"))
     links = written(verified(first, elements), "links")
     parts = written(with_components(involved, links), "components")
-    # Buckets of several components: sets of different components meet, tile by tile.
-    apart = members.select("band", "sid").join(parts, "sid")
-    open_ = apart.groupBy("band").agg(F.min("component").alias("lowest"), F.max("component").alias("highest"), F.count("*").alias("n")).filter("lowest < highest")
-    open_ = written(open_.select("band", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "open-buckets")
-    cross = agreeing(apart.join(open_, "band").join(firsts.select("sid", "weight", "marks"), "sid")).distinct()
-    cross = cross.join(first.select("u", "v"), ["u", "v"], "left_anti")
-    more = written(verified(cross, elements), "links")
-    cu, cv = (parts.select(F.col("sid").alias(n), F.col("component").alias(f"c{n}")) for n in "uv")
-    bridges = more.join(cu, "u").join(cv, "v").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
-    joined = with_components(parts.select(F.col("component").alias("sid")).distinct(), bridges).select(F.col("sid").alias("component"), F.col("component").alias("final"))
-    final = parts.join(joined, "component").select("sid", "final")
+    sized = sets.select("sid", "weight")
+    for turn in range(REPRESENTATIVES):
+        apart = still_apart(members, parts)
+        new = written(against_largest(apart, elements, turn), "links")
+        if new.isEmpty():
+            break
+        parts = joined_parts(parts, new)
+    apart = still_apart(members, parts)
+    more = written(across(units_of(apart.join(sized, "sid"), firsts, elements)), "links")
+    final = joined_parts(parts, more).select("sid", F.col("component").alias("final"))
     named = written(sets.join(final, "sid", "left").select("high", "low", F.coalesce("final", "sid").alias("class")), "set-classes")
     # The sets table has one row per set; a set of very many copies is split by the join on a derived key.
     mine = seen.select("doc_id", "text_hash", F.concat_ws(",", "high", "low").alias("k")).join(named.select(F.concat_ws(",", "high", "low").alias("k"), "class"), "k")
@@ -274,6 +325,22 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return classed.union(wordless)
 
 
+def still_apart(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """band, sid and component of the members of buckets that hold several components."""
+    apart = written(members.select("band", "sid").join(parts, "sid"), "members")
+    open_ = apart.groupBy("band").agg(F.min("component").alias("lowest"), F.max("component").alias("highest")).filter("lowest < highest")
+    return written(apart.withColumn("k", F.struct("band")).join(open_.select(F.struct("band").alias("k")), "k", "left_semi").drop("k"), "open-members")
+
+
+def joined_parts(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after joining those that the links (of sets) join."""
+    cu, cv = (parts.select(F.col("sid").alias(n), F.col("component").alias(f"c{n}")) for n in "uv")
+    bridges = links.join(cu, "u").join(cv, "v").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+    found = components(bridges).select(F.struct("u").alias("k"), F.col("component").alias("lower"))
+    met = parts.withColumn("k", F.struct("component")).join(found.withColumn("k", F.struct(F.col("k.u").alias("component"))), "k", "left")
+    return written(met.select("sid", F.coalesce("lower", "component").alias("component")), "components")
+
+
 def with_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     found = components(links).withColumnRenamed("u", "sid")
     return nodes.join(found, "sid", "left").select("sid", F.coalesce("component", "sid").alias("component"))

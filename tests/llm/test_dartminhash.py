@@ -118,3 +118,56 @@ def test_utf8_of_slices_and_nulls():
 
     data, offsets = utf8(pa.array(["zero", "é", None, "", "last"]).slice(1, 3))
     assert data.tobytes() == "é".encode() and offsets.tolist() == [0, 2, 2, 2]
+
+
+@pytest.mark.parametrize("n", [120, 360])
+def test_compared_rows_grow_with_members(spark, monkeypatch, n):
+    """Near copies of one text, each with its own edits: links are at most linear in the sets, whatever their pairs."""
+    random_ = random.Random(n)
+    text, rows = words(random_, 120), []
+    for k in range(n):
+        copy = list(text)
+        for edit in range(random_.randint(1, 2)):
+            copy[random_.randrange(len(copy))] = f"own{k}x{edit}"
+        rows.append((k, " ".join(copy)))
+    told = []
+    keep = d.written
+
+    def counted(df, name):
+        out = keep(df, name)
+        if name == "links":
+            told.append(out.count())
+        return out
+
+    monkeypatch.setattr(d, "written", counted)
+    got = {r.doc_id: r.class_id for r in d.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and any(similarity(bag(rows[0][1]), bag(t)) < 0.8 for _, t in rows)
+    # The first comparison is to the least set of each of 32 buckets, each later one to one set of a bucket.
+    assert max(told) <= n * d.BANDS / 4 and sum(told) <= n * d.BANDS
+
+
+def test_joining_pairs_join_what_all_pairs_join(monkeypatch):
+    import pyarrow as pa
+
+    random_ = np.random.default_rng(3)
+    rows = []
+    for sid in range(60):
+        base = (sid % 6) * 1000
+        held = np.unique(np.append(base + np.arange(40), base + 40 + random_.integers(0, 400, random_.integers(0, 14))))
+        rows.append((0, 0, 0, 0, sid, sid // 2, [7] * d.BANDS, held.tolist()))
+    names = ["band", "one", "two", "part", "sid", "component", "bands", "elements"]
+    kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    pairs = d.joining_pairs(d.Sets([batch.slice(0, 25), batch.slice(25)]), 7, 0, 0)
+
+    def classes(links):
+        root = {r[4]: r[5] for r in rows}
+        for a, b in links:
+            low, high = sorted((root[a], root[b]))
+            root = {k: low if v == high else v for k, v in root.items()}
+        return root
+
+    sets = {r[4]: set(r[7]) for r in rows}
+    all_pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert classes(pairs) == classes(all_pairs) and len(pairs) < len(rows) and all((min(p), max(p)) in all_pairs for p in pairs)
+    assert d.joining_pairs(d.Sets([batch]), 8, 0, 0) == []
