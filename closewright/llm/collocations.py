@@ -22,9 +22,9 @@ from closewright.llm.textbytes import utf8
 LEAST_COUNT, LONGEST, BEST = 100, 5, 2000
 UNKNOWN = "und"
 #: Words of a block: what a task holds at a time. Bytes of a text split at once.
-BLOCK_WORDS, TAKEN_BYTES = 1 << 21, 1 << 22
-#: Ids on a side of a tile, and pairs from which on a tile is counted densely.
-TILE, DENSE = 512, 1 << 14
+BLOCK_WORDS, TAKEN_BYTES = 1 << 20, 1 << 20
+#: Ids on a side of a tile, tiles on a side that may be crowded, and pairs from which on a tile is counted densely.
+TILE, CROWDED, DENSE = 512, 1024, 1 << 13
 #: Rows of one group of the ranking.
 RANK_ROWS = 100_000
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -114,36 +114,43 @@ def word_blocks(docs: DataFrame, lang: str, text: str) -> DataFrame:
 def tiled_counts(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs a, b with their count n, and the number of each given pair among them.
 
-    Pairs are dealt to tiles of TILE by TILE ids. A tile of at least DENSE pairs has a cell for every pair, counted by
-    bincount; the pairs of all other tiles are sorted as coordinates and counted by runs.
+    Pairs are dealt to tiles of TILE by TILE ids. A tile of at least DENSE pairs, among the CROWDED first of each side,
+    has a cell for every pair, counted by bincount; the pairs of all other tiles are sorted as coordinates and counted
+    by runs.
     """
     none = np.zeros(0, np.int64)
     if not len(first):
         return none, none, none, none
-    tiles, tile = np.unique(np.stack([first // TILE, second // TILE], axis=1), axis=0, return_inverse=True) if first.max() >= TILE or second.max() >= TILE else (np.zeros((1, 2), np.int64), np.zeros(len(first), np.int64))
-    crowd = np.bincount(tile)
+    row, column = first // TILE, second // TILE
+    low = (row < CROWDED) & (column < CROWDED)
+    tile = np.where(low, row * CROWDED + column, CROWDED * CROWDED).astype(np.int32)
+    del row, column, low
+    crowd = np.bincount(tile, minlength=CROWDED * CROWDED + 1)
+    crowd[-1] = 0
     number = np.empty(len(first), np.int64)
     a, b, n, upto = [], [], [], 0
+    sparse = crowd[tile] < DENSE
     for k in np.flatnonzero(crowd >= DENSE):
-        at = np.flatnonzero(tile == k) if len(tiles) > 1 else np.arange(len(first))
+        at = np.flatnonzero(tile == k)
         cell = (first[at] % TILE) * TILE + second[at] % TILE
         counted = np.bincount(cell, minlength=TILE * TILE)
         some = np.flatnonzero(counted)
         name = np.empty(TILE * TILE, np.int64)
         name[some] = np.arange(upto, upto + len(some))
         number[at] = name[cell]
-        a.append(tiles[k, 0] * TILE + some // TILE)
-        b.append(tiles[k, 1] * TILE + some % TILE)
+        a.append(k // CROWDED * TILE + some // TILE)
+        b.append(k % CROWDED * TILE + some % TILE)
         n.append(counted[some])
         upto += len(some)
-    at = np.flatnonzero(crowd[tile] < DENSE)
+    at = np.flatnonzero(sparse)
     if len(at):
         order = np.lexsort((second[at], first[at]))
-        x, y = first[at][order], second[at][order]
+        at = at[order]
+        x, y = first[at], second[at]
         new = np.ones(len(x), bool)
         new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
         starts = np.flatnonzero(new)
-        number[at[order]] = upto + np.cumsum(new) - 1
+        number[at] = upto + np.cumsum(new) - 1
         a.append(x[starts])
         b.append(y[starts])
         n.append(np.diff(np.append(starts, len(x))))
