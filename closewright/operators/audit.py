@@ -11,6 +11,7 @@ from closewright.functions.text import null_if_nan
 from closewright.operators.evidence import row_digest
 from closewright.operators.joins import beside, stack_frames
 from closewright.operators.naming import is_numeric, require_columns
+from closewright.operators.reports import Report
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], name: str = "rows") -> DataFrame:
@@ -223,5 +224,10 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def table_summary(df: DataFrame, name: str) -> DataFrame:
     """One row per column: table, rows, column and type."""
+    return summary_report(df, name).of(df)
+
+
+def summary_report(df: DataFrame, name: str) -> Report:
+    """The rows of `table_summary`, to be gathered by an aggregate or a write."""
     types = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("dtype")) for c, t in df.dtypes])
-    return df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows", F.inline(types))
+    return Report((F.count("*").alias("rows"),), lambda one: one.select(F.lit(name).alias("table"), "rows", F.inline(types)))

@@ -13,6 +13,7 @@ from closewright.functions.text import strip, to_number
 from closewright.operators.quality import (
     ColumnExistsCheck, NoNullsCheck, QualityRule, SemanticValidityCheck,
 )
+from closewright.operators.reports import Report
 from closewright.sources import contracts as C
 
 
@@ -98,6 +99,11 @@ def conform_report(df: DataFrame, contract: C.Contract) -> DataFrame:
 
     All counts come from one aggregate over the frame before the cast.
     """
+    return contract_report(df, contract).of(df)
+
+
+def contract_report(df: DataFrame, contract: C.Contract) -> Report:
+    """The rows of `conform_report`, to be gathered by an aggregate or a write."""
     chosen = resolve_names(df.columns, contract)
     facts, rows = [], []
     for i, f in enumerate(contract.fields):
@@ -124,7 +130,7 @@ def conform_report(df: DataFrame, contract: C.Contract) -> DataFrame:
             *head, F.lit(before).cast("string").alias("type_before"), F.lit(f.spark_type).alias("type_after"),
             *[c.alias(n) for c, n in zip(counts, names)], failed.alias("violated"),
         ))
-    return df.agg(F.count("*").alias("_rows"), *facts).select(F.inline(F.array(*rows)))
+    return Report((F.count("*").alias("_rows"), *facts), lambda one: one.select(F.inline(F.array(*rows))))
 
 
 def conform_as(df: DataFrame, contract: C.Contract, preset: str) -> tuple[DataFrame, DataFrame | None]:

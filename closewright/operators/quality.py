@@ -14,6 +14,7 @@ from closewright.functions.text import null_if_nan, to_number
 from closewright.operators.audit import key_counts
 from closewright.operators.joins import beside, semi_on
 from closewright.operators.naming import OPS_USAGE_ALIASES, is_numeric, rename_first_existing
+from closewright.operators.reports import Report
 
 
 @dataclass(frozen=True)
@@ -171,9 +172,13 @@ class SemanticValidityCheck(QualityRule):
 
 def run_quality(df: DataFrame, rules: Sequence[QualityRule], name: str = "table") -> DataFrame:
     """One row per rule: table, rule_no, rule, column, passed, detail. One aggregate over the table."""
+    return rule_report(df, rules, name).of(df)
+
+
+def rule_report(df: DataFrame, rules: Sequence[QualityRule], name: str = "table") -> Report:
+    """The rows of `run_quality`, to be gathered by an aggregate or a write."""
     plans = [rule.checked_plan(df) for rule in rules]
     facts = [expr.alias(f"f{i}_{key}") for i, plan in enumerate(plans) for key, expr in plan.facts.items()]
-    totals = df.agg(F.count("*").alias("_rows"), *facts)
     rows = []
     for i, (rule, plan) in enumerate(zip(rules, plans)):
         get = lambda key, i=i: F.col(f"f{i}_{key}")
@@ -181,7 +186,7 @@ def run_quality(df: DataFrame, rules: Sequence[QualityRule], name: str = "table"
             F.lit(i).cast("long").alias("rule_no"), F.lit(rule.name).alias("rule"), F.lit(getattr(rule, "column", None)).cast("string").alias("column"),
             plan.passed(get).alias("passed"), plan.detail(get).alias("detail"),
         ))
-    return totals.select(F.lit(name).alias("table"), F.inline(F.array(*rows)))
+    return Report((F.count("*").alias("_rows"), *facts), lambda one: one.select(F.lit(name).alias("table"), F.inline(F.array(*rows))))
 
 
 def quality_status(report: DataFrame) -> DataFrame:

@@ -157,6 +157,33 @@ def resolve_dataset(
     return None, "none"
 
 
+class FolderTables(Mapping):
+    """Source tables of a folder by name, each a Parquet or CSV of that name; read when asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder.rstrip("/")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        for path, read in ((f"{self._folder}/{name}.parquet", self._spark.read.parquet), (f"{self._folder}/{name}.csv", self._csv)):
+            if _exists(self._spark, path):
+                return read(path)
+        raise KeyError(name)
+
+    def _csv(self, path: str) -> DataFrame:
+        return good_rows(read_csv(self._spark, path, header_of(self._spark, path)))
+
+    def __iter__(self):
+        jvm = self._spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(self._folder)
+        for status in target.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target):
+            stem, _, kind = status.getPath().getName().rpartition(".")
+            if kind in ("parquet", "csv"):
+                yield stem
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self)
+
+
 def _other_ids(dataset: str) -> list[str]:
     pairs = {**DATASET_ALIASES, **{v: k for k, v in DATASET_ALIASES.items()}}
     return [pairs[dataset]] if dataset in pairs else []

@@ -9,7 +9,6 @@ import pytest
 
 import __spark_entry__ as entry_point
 from closewright.checks.queries import QUERIES, classified, runner
-from closewright.plans import close
 from closewright.sources.sample_views import BASE_TABLES, SampleTables
 
 FOLDER = os.environ.get("SAMPLE_DIR", "/root/testdata/sf0.001")
@@ -74,16 +73,3 @@ def test_plans_have_no_python_or_cartesian(spark, name):
 def test_filters_reach_the_scan(spark):
     plan = runner("scope_rolling_year")(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan and "o_orderpriority" not in plan.split("FileScan")[1].split("Batched")[0]
-
-
-def test_close_writes_every_result(spark, tmp_path):
-    t = SampleTables(spark, FOLDER)
-    from closewright.checks import queries as q
-
-    inputs = close.CloseInputs(t["gl_entries"], t["vouchers"], t["voucher_usage"], q.target_sources(t), t["fx_rates"], t["ops_usage"], t["cle"], {"IPE_08": t["vouchers"]})
-    settings = close.CloseSettings(q.CUTOFF, q.BATCH_USER, countries=q.STORE_COUNTRIES, contracts=q.CONTRACTS, company_overrides=q.OVERRIDES)
-    status = close.run_close(spark, inputs, settings, str(tmp_path))
-    assert {r["status"] for r in status.collect()} == {"SUCCESS"}
-    assert close.overall_status(status).first()["status"] == "SUCCESS"
-    for name in close.plan_close(inputs, settings):
-        assert os.path.isdir(tmp_path / name)
