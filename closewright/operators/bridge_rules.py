@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closewright.functions.text import flag_text
@@ -99,5 +99,45 @@ def classify_bridges(df: DataFrame, rules: Sequence[BridgeRule] = BRIDGE_RULES)
     return df.withColumn("_claim", claim).withColumns({c: F.col(f"_claim.{c}") for c in out_columns}).drop("_claim")
 
 
+_OUT = ("bridge_key", "bridge_title", "dr_gl_accounts", "cr_gl_accounts", "required_enrichments")
+RULE_SCHEMA = "rule_no int, bridge_key string, bridge_title string, dr_gl_accounts string, cr_gl_accounts string, required_enrichments string, rank int, triggers array<struct<column:string,values:array<string>>>"
+
+
+def rule_table(spark: SparkSession, rules: Sequence[BridgeRule] = BRIDGE_RULES) -> DataFrame:
+    """One row per rule; rule_no is the list order. Users may keep such a table themselves."""
+    rows = [
+        (n, r.key, r.title, ",".join(r.dr_gl_accounts), ",".join(r.cr_gl_accounts), ",".join(r.required_enrichments), r.rank, [(c, list(v)) for c, v in r.triggers.items()])
+        for n, r in enumerate(rules)
+    ]
+    return spark.createDataFrame(rows, RULE_SCHEMA)
+
+
+def classify_by_table(df: DataFrame, rules: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns of `classify_bridges` from a table of rules; `columns` are those a rule may ask for.
+
+    Each (column, value) lists the rules it triggers. The distinct values of the rows' trigger columns look up their
+    lists, hits are counted by rule, and a rule whose hits equal its number of trigger columns matches; the least rank,
+    then list order, wins. A rule that asks for a column the rows lack can never reach its number. Rows join their
+    values' rule by equality, so the plan does not depend on the number of rules, and a value that very many rows share
+    is looked up once.
+    """
+    names = {c.lower(): c for c in df.columns}
+    asked = [c.lower() for c in columns if c.lower() in names]
+    text = {c: F.lower(flag_text(F.col(f"`{names[c]}`"))) for c in asked}
+    # A trigger without a value, which every row has, for rules that ask for nothing.
+    values = F.array(F.struct(F.lit("").alias("column"), F.lit("").alias("value")), *[F.struct(F.lit(c).alias("column"), text[c].alias("value")) for c in asked])
+    keyed = df.withColumn("_values", F.filter(values, lambda v: v["value"].isNotNull())).withColumn("_key", F.to_json("_values"))
+    order = F.struct("rank", "rule_no")
+    number = F.greatest(F.size("triggers"), F.lit(1))
+    each = rules.select(order.alias("order"), number.alias("wanted"), F.explode(F.when(F.size("triggers") > 0, F.col("triggers")).otherwise(F.array(F.struct(F.lit("").alias("column"), F.array(F.lit("")).alias("values"))))).alias("t"))
+    postings = each.select("order", "wanted", F.lower("t.column").alias("column"), F.explode("t.values").alias("value")).select("order", "wanted", F.struct("column", F.lower("value").alias("value")).alias("trigger")).distinct()
+    held = keyed.select("_key", "_values").distinct().select("_key", F.explode("_values").alias("trigger"))
+    hits = held.join(postings, "trigger").groupBy("_key", "order", "wanted").agg(F.count("*").alias("hits")).filter("hits = wanted")
+    first = hits.groupBy("_key").agg(F.min("order").alias("order"))
+    claims = first.join(rules.select(order.alias("order"), *_OUT), "order").select(F.concat("_key", F.lit("|")).alias("_claim"), *_OUT)
+    # Joined on a derived key: rows that share their values with very many others can be split over tasks.
+    return keyed.withColumn("_claim", F.concat("_key", F.lit("|"))).join(claims, "_claim", "left").select(*[F.col(f"`{c}`") for c in df.columns], *_OUT)
+
+
 def bridge_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy("bridge_key").agg(F.count("*").alias("rows"))
