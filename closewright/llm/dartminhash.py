@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ DARTS = COORDINATES * (math.log(COORDINATES) + 2)
 #: Cells looked at at once, and bytes of texts taken at once: these bound a task's memory.
 CELLS, TAKEN_BYTES = 1 << 18, 1 << 19
 #: Rounds in which the other components of a bucket meet one set of its largest; sets and shingles of a tile of what is open then.
-REPRESENTATIVES, TILE, TILE_ELEMENTS = 5, 2048, 1 << 21
+REPRESENTATIVES, TILE, TILE_ELEMENTS = 3, 2048, 1 << 21
 # Cumulative chances of 0, 1, 2 ... darts in a cell of unit area (Poisson of mean 1).
 _CHANCES = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(20)])
 _GOLDEN = U64(0x9E3779B97F4A7C15)
@@ -305,16 +306,15 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     first = first.filter(size_fits(F.col("weight"), F.col("least_weight"))).select(F.col("sid").alias("u"), F.col("least").alias("v"))
     links = written(verified(first, elements), "links")
     parts = written(with_components(involved, links), "components")
-    sized = sets.select("sid", "weight")
+    labels, links = parts, []
     for turn in range(REPRESENTATIVES):
-        apart = still_apart(members, parts)
-        new = written(against_largest(apart, elements, turn), "links")
+        new = written(against_largest(still_apart(members, labels), elements, turn), "links")
         if new.isEmpty():
             break
-        parts = joined_parts(parts, new)
-    apart = still_apart(members, parts)
-    more = written(across(units_of(apart.join(sized, "sid"), firsts, elements)), "links")
-    final = joined_parts(parts, more).select("sid", F.col("component").alias("final"))
+        links.append(new)
+        labels = relabelled(labels, new)
+    links.append(written(across(units_of(still_apart(members, labels).join(sets.select("sid", "weight"), "sid"), firsts, elements)), "links"))
+    final = joined_parts(parts, reduce(DataFrame.union, links)).select("sid", F.col("component").alias("final"))
     named = written(sets.join(final, "sid", "left").select("high", "low", F.coalesce("final", "sid").alias("class")), "set-classes")
     # The sets table has one row per set; a set of very many copies is split by the join on a derived key.
     mine = seen.select("doc_id", "text_hash", F.concat_ws(",", "high", "low").alias("k")).join(named.select(F.concat_ws(",", "high", "low").alias("k"), "class"), "k")
@@ -327,11 +327,23 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def still_apart(members: DataFrame, parts: DataFrame) -> DataFrame:
     """band, sid and component of the members of buckets that hold several components."""
-    apart = written(members.select("band", "sid").join(parts, "sid"), "members")
+    apart = members.select("band", "sid").join(parts, "sid")
     open_ = apart.groupBy("band").agg(F.min("component").alias("lowest"), F.max("component").alias("highest")).filter("lowest < highest")
     return written(apart.withColumn("k", F.struct("band")).join(open_.select(F.struct("band").alias("k")), "k", "left_semi").drop("k"), "open-members")
 
 
+def relabelled(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components, each under the least name among its own and those it is linked to.
+
+    Sets of one name are joined by links; chains of links are not followed to their end, which only the last step does.
+    """
+    cu, cv = (parts.select(F.col("sid").alias(n), F.col("component").alias(f"c{n}")) for n in "uv")
+    met = links.join(cu, "u").join(cv, "v")
+    least = met.select("cu", "cv").union(met.select("cv", "cu")).groupBy("cu").agg(F.min("cv").alias("least")).filter("least < cu")
+    told = parts.withColumn("k", F.struct("component")).join(least.select(F.struct(F.col("cu").alias("component")).alias("k"), "least"), "k", "left")
+    return written(told.select("sid", F.coalesce("least", "component").alias("component")), "components")
+
+
 def joined_parts(parts: DataFrame, links: DataFrame) -> DataFrame:
     """The components after joining those that the links (of sets) join."""
     cu, cv = (parts.select(F.col("sid").alias(n), F.col("component").alias(f"c{n}")) for n in "uv")
