@@ -3,7 +3,7 @@
 One classifier sees only the text's words, the other only the page's metadata. Both are naive Bayes models, so a
 round is one pass that adds up counts: each view labels the documents it is sure of, and those labels enter the
 other view's counts. The calibrated views are combined to score every document. All counts come from all
-documents; only the two-parameter calibrations are fitted on a bounded sample of labelled rows.
+documents but the labelled ones held out for the calibrations, which are fitted on a bounded sample of those.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from closewright.llm.shared import least_hashes, written
 from closewright.llm.textbytes import U64, groups, mixed, utf8, word_hashes
 
 #: Buckets of each view's counts: the size of a model, whatever the corpus.
@@ -23,8 +24,10 @@ TEXT_BITS, META_BITS = 16, 12
 ROUNDS = 2
 #: A view labels a document for the other if its calibrated probability is this far out.
 SURE = 0.95
-#: Labelled rows a calibration is fitted on at most.
-CALIBRATION_ROWS = 20_000
+#: Labelled rows a calibration is fitted on at most; one labelled row of so many is held out of the counts for it.
+CALIBRATION_ROWS, HELD_OUT = 20_000, 5
+#: Bits of the filter of labelled ids.
+FILTER_BITS = 1 << 23
 
 
 @dataclass
@@ -79,16 +82,52 @@ def meta_columns(source: str, lang: str, n_chars: str, text: str) -> list:
     return [F.shiftrightunsigned(F.xxhash64(F.lit(k), f), 64 - META_BITS) for k, f in enumerate(features)]
 
 
-def labelled(docs: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
-    """Documents with their label (0 or 1, else null). Labels that contradict one another for an id are left out."""
-    one = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.min(label).alias("low"), F.max(label).alias("high"))
-    one = one.filter("low = high").select("__key", F.col("low").cast("int").alias("__label"))
-    return docs.join(one, docs[key] == one["__key"], "left").drop("__key")
+def agreed(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """key and label (0 or 1) of the ids whose labels do not contradict one another."""
+    one = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(label).alias("low"), F.max(label).alias("high"))
+    return one.filter("low = high").select("key", F.col("low").cast("int").alias("label"))
+
+
+def label_bits(labels: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits, one set for the hash of each labelled id: a filter of one size, whatever the number of labels."""
+    place = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
+    maps = labels.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros(FILTER_BITS, bool)
+    # Bucket numbers count from 1 for places from 1; place 0 alone lies in bucket 0.
+    for bucket, bits in maps.collect():
+        held = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
+        start = (bucket - 1) * len(held) + 1 if bucket > 0 else 0
+        at = start + np.flatnonzero(held)
+        out[at[at < FILTER_BITS]] = True
+    return out
 
 
 def prepared(docs: DataFrame, labels: DataFrame, key: str, text: str, source: str, lang: str, n_chars: str, label: str) -> DataFrame:
-    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.array(*meta_columns(source, lang, n_chars, text)).alias("meta"))
-    return labelled(rows, labels.select(F.col(key).alias("doc_id"), F.col(label)), "doc_id", label).select("doc_id", "text", "meta", "__label")
+    """doc_id, text, meta, label (null without one) and held (a labelled document that calibrations alone see).
+
+    Only documents whose id may be labelled, by a filter of their hashes, are joined to the labels, once; that is the
+    only shuffle of texts. All others are read where they are.
+    """
+    meta = F.array(*meta_columns(source, lang, n_chars, text))
+    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), meta.alias("meta"), F.coalesce(F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)), F.lit(0)).alias("place"))
+    told = agreed(labels, key, label)
+    bits = label_bits(told)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def where(wanted: bool):
+        def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = bits[batch.column(3).to_numpy()] & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+                yield batch.select([0, 1, 2]).filter(pa.array(hit == wanted))
+
+        return rows.mapInArrow(take, f"doc_id {kind}, text string, meta array<long>")
+
+    # One row is held out of HELD_OUT; rows of equal id and text stand together.
+    held = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text"), F.lit("held out")), F.lit(HELD_OUT)) == 0) & F.col("label").isNotNull()
+    some = where(True)
+    joined = some.join(told, some["doc_id"] == told["key"], "left").drop("key").withColumn("held", held)
+    joined = written(joined, "labelled")
+    return where(False).withColumns({"label": F.lit(None).cast("int"), "held": F.lit(False)}).union(joined)
 
 
 def views(batch: pa.RecordBatch, text: pa.Array, meta: pa.Array) -> Iterator[tuple[int, int, tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]]:
@@ -109,7 +148,9 @@ def counts(rows: DataFrame, model: Model | None) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, width + 2), np.int64)
         for batch in batches:
-            told = batch.column(2).fill_null(-1).to_numpy(zero_copy_only=False)
+            told = batch.column(2).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+            # A held out row has a label, so no view labels it, and counts for neither.
+            told[batch.column(3).to_numpy(zero_copy_only=False)] = 2
             for a, b, (words, w_owner), (meta, m_owner) in views(batch, batch.column(0), batch.column(1)):
                 by_text, by_meta = told[a:b].copy(), told[a:b].copy()
                 if model is not None:
@@ -127,7 +168,7 @@ def counts(rows: DataFrame, model: Model | None) -> np.ndarray:
         c, at = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(at), pa.array(total[c, at])], names=["class", "bucket", "n"])
 
-    summed = rows.select("text", "meta", "__label").mapInArrow(count, "class int, bucket long, n long").groupBy("class", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    summed = rows.select("text", "meta", "label", "held").mapInArrow(count, "class int, bucket long, n long").groupBy("class", "bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((2, width + 2), np.int64)
     out[summed.column("class").to_numpy(), summed.column("bucket").to_numpy()] = summed.column("n").to_numpy()
     return out
@@ -152,7 +193,7 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 30) -> np.ndarray:
 
 
 def raw_scores(rows: DataFrame, model: Model) -> DataFrame:
-    """doc_id, __label and the raw score of both views of each row."""
+    """doc_id, label and the raw score of both views of each row."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,13 +202,17 @@ def raw_scores(rows: DataFrame, model: Model) -> DataFrame:
             text, meta = (np.concatenate([g[k] for g in got]) if got else np.zeros(0) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(text), pa.array(meta)], names=["doc_id", "label", "raw_text", "raw_meta"])
 
-    return rows.select("doc_id", "text", "meta", "__label").mapInArrow(score, f"doc_id {kind}, label int, raw_text double, raw_meta double")
+    return rows.select("doc_id", "text", "meta", "label").mapInArrow(score, f"doc_id {kind}, label int, raw_text double, raw_meta double")
 
 
-def calibrate(rows: DataFrame, model: Model) -> None:
-    """Fit both calibrations and the mix on at most CALIBRATION_ROWS labelled rows, drawn by a hash of the id."""
-    drawn = rows.filter(F.col("__label").isNotNull()).withColumn("draw", F.xxhash64(F.col("doc_id").cast("string"), F.lit("calibrate"))).orderBy("draw", F.xxhash64("text")).limit(CALIBRATION_ROWS).drop("draw")
-    got = raw_scores(drawn, model).toArrow()
+def calibrate(rows: DataFrame, model: Model, share: float) -> None:
+    """Fit both calibrations and the mix on at most CALIBRATION_ROWS held out rows, a `share` of them drawn by a hash.
+
+    Rows are scored where they are; only their two scores and label come together.
+    """
+    draw = F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text"), F.lit("calibrate"))
+    drawn = rows.filter(F.col("held") & (draw <= F.lit(least_hashes(share))))
+    got = raw_scores(drawn, model).orderBy(F.xxhash64("raw_text", "raw_meta", "label")).limit(CALIBRATION_ROWS).toArrow()
     y = got.column("label").to_numpy().astype(float)
     if len(set(y.tolist())) < 2:
         return
@@ -180,12 +225,14 @@ def calibrate(rows: DataFrame, model: Model) -> None:
 def co_train(rows: DataFrame, rounds: int = ROUNDS) -> Model:
     """Start from the labels alone, then exchange pseudo-labels for `rounds` rounds."""
     model: Model | None = None
+    n_held = rows.filter("held").count()
+    share = min(1.0, 1.2 * CALIBRATION_ROWS / max(1, n_held))
     for _ in range(rounds + 1):
         counted = counts(rows, model)
         middle, end = 1 << TEXT_BITS, (1 << TEXT_BITS) + (1 << META_BITS)
         told = [] if model is None else model.rounds
         model = Model(View(TEXT_BITS, log_odds(counted[:, :middle])), View(META_BITS, log_odds(counted[:, middle:end])), rounds=[*told, {"text": counted[:, end].tolist(), "meta": counted[:, end + 1].tolist()}])
-        calibrate(rows, model)
+        calibrate(rows, model, share)
     return model
 
 

@@ -31,3 +31,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def least_hashes(share: float) -> int:
+    """The 64-bit hash up to which a share of all hashes lies."""
+    return min(2**63 - 1, int((2 * share - 1) * 2.0**63))

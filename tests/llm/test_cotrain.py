@@ -37,17 +37,66 @@ def test_views_exchange_labels(spark):
     docs, told = frames(spark, rows, labels)
     model = cotrain.co_train(cotrain.prepared(docs, told, "doc_id", "text", "source", "lang", "n_chars", "quality"))
     first, *later = model.rounds
-    assert sum(first["text"]) == sum(first["meta"]) == len(labels)
+    held = cotrain.prepared(docs, told, "doc_id", "text", "source", "lang", "n_chars", "quality").filter("held").count()
+    assert 0 < held < len(labels) and sum(first["text"]) == sum(first["meta"]) == len(labels) - held
     assert all(sum(r["meta"]) > len(labels) for r in later)
 
 
+def prepare(docs, told):
+    return cotrain.prepared(docs, told, "doc_id", "text", "source", "lang", "n_chars", "quality")
+
+
 def test_counts_are_those_of_all_documents(spark):
     rows, labels, _ = corpus(40)
-    docs, told = frames(spark, rows, labels)
-    whole = cotrain.counts(cotrain.prepared(docs, told, "doc_id", "text", "source", "lang", "n_chars", "quality").repartition(5), None)
-    n_words = sum(2 * len(rows[k][1].split()) + len(rows[k][1].split()) - 1 for k, _, _ in labels)
+    ready = prepare(*frames(spark, rows, labels))
+    whole = cotrain.counts(ready.repartition(5), None)
+    used = [r.doc_id for r in ready.filter("label is not null and not held").collect()]
+    n_words = sum(2 * len(rows[k][1].split()) + len(rows[k][1].split()) - 1 for k in used)
     assert whole[:, : 1 << cotrain.TEXT_BITS].sum() == n_words
-    assert whole[:, 1 << cotrain.TEXT_BITS : -2].sum() == 5 * len(labels)
+    assert whole[:, 1 << cotrain.TEXT_BITS : -2].sum() == 5 * len(used)
+
+
+def test_every_row_is_prepared_once_with_its_label(spark, monkeypatch):
+    rows, labels, _ = corpus(300)
+    rows = rows + rows[:9] + [(None, "no id", "a", "en", 5)]
+    for bits in (1 << 23, 1 << 15):  # with few bits, unlabelled documents pass the filter too
+        monkeypatch.setattr(cotrain, "FILTER_BITS", bits)
+        got = sorted((r.doc_id if r.doc_id is not None else -1, r.text, -1 if r.label is None else r.label) for r in prepare(*frames(spark, rows, labels)).collect())
+        told = {k: q for k, q, _ in labels}
+        assert got == sorted((k if k is not None else -1, t, told.get(k, -1)) for k, t, *_ in rows)
+
+
+def test_scores_against_plain_sums(spark):
+    """The whole co-training once more in plain Python over dictionaries."""
+    rows, labels, _ = corpus(120)
+    docs, told = frames(spark, rows, labels)
+    ready = prepare(docs, told)
+    features = {}
+    for r in ready.collect():
+        data = r.text.encode()
+        words, _ = cotrain.text_features(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        features[r.doc_id] = (words.tolist(), list(r.meta), r.label, r.held)
+
+    def weights(labelled, view, size):
+        count = [[0.5] * size, [0.5] * size]
+        for doc, label in labelled.items():
+            for f in features[doc][view]:
+                count[label][f] += 1
+        total = [sum(c) for c in count]
+        return [np.log(count[1][f] / total[1]) - np.log(count[0][f] / total[0]) if count[0][f] + count[1][f] > 1 else 0.0 for f in range(size)]
+
+    raw = lambda w, doc, view: sum(w[f] for f in features[doc][view]) / max(1, len(features[doc][view]))
+    views, known = (1 << cotrain.TEXT_BITS, 1 << cotrain.META_BITS), {d: f[2] for d, f in features.items() if f[2] is not None and not f[3]}
+    held = {d: f[2] for d, f in features.items() if f[3]}
+    labelled = [dict(known), dict(known)]
+    for turn in range(cotrain.ROUNDS + 1):
+        w = [weights(labelled[v], v, views[v]) for v in (0, 1)]
+        fits = [cotrain.logistic(np.array([[raw(w[v], d, v)] for d in held]), np.array(list(held.values()), float)) if len(set(held.values())) == 2 else (1.0, 0.0) for v in (0, 1)]
+        p = [{d: cotrain.probability(np.clip(fits[v][0] * raw(w[v], d, v) + fits[v][1], -30, 30)) for d in features} for v in (0, 1)]
+        labelled = [known | {d: int(q >= cotrain.SURE) for d, q in p[1 - v].items() if features[d][2] is None and (q >= cotrain.SURE or q <= 1 - cotrain.SURE)} for v in (0, 1)]
+    got = {r.doc_id: r for r in cotrain.quality_scores(docs, told).collect()}
+    for d in features:
+        assert abs(got[d].p_text - p[0][d]) < 1e-6 and abs(got[d].p_meta - p[1][d]) < 1e-6
 
 
 def test_odd_rows(spark):
