@@ -2,7 +2,8 @@
 
 Tokens with a digit or an at sign are nodes. Neighbours in the text share a chain potential, and equal or similar
 tokens, or runs of number tokens, anywhere in a document share a skip potential, so a number that is a phone number in one place is one in
-another. Loopy message passing gives the labels. Tokens within pattern matches keep their label.
+another. Loopy message passing gives the labels. Tokens within pattern matches keep their label. The field is trained with
+labelled mentions repeated in a form that hides their format, so that the skip potential has to carry the label.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from closewright.llm.shared import least_hashes
+
 KINDS = ("email", "ip", "card", "phone")
 #: Labels: 0 is no personal data, then KINDS.
 N_LABELS = len(KINDS) + 1
@@ -77,7 +80,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-FEATURES = ("bias", "at", "domain", "dots3", "plus", "bracket", "dash", "letters", "digits1", "digits2-4", "digits5-8", "digits9-12", "digits13-19", "digits20", "luhn", "octets", "only-digits", "signs")
+FEATURES = ("bias", "at", "domain", "dots3", "plus", "bracket", "dash", "letters", "digits1", "digits2-4", "digits5-8", "digits9-12", "digits13-19", "digits20", "luhn", "octets", "only-digits", "signs", "run-luhn")
+_RUN_LUHN = 1 << FEATURES.index("run-luhn")
 
 
 def features(token: str) -> int:
@@ -87,7 +91,7 @@ def features(token: str) -> int:
     held = (
         True, "@" in token, bool(_DOMAIN.search(token.partition("@")[2])), len(parts) == 4, token.startswith("+"), "(" in token or ")" in token, "-" in token, any(c.isalpha() for c in token),
         n == 1, 2 <= n <= 4, 5 <= n <= 8, 9 <= n <= 12, 13 <= n <= 19, n >= 20, 13 <= n <= 19 and luhn(digits), len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts),
-        n == len(token), any(c in "#$%&*=\"<>" for c in token),
+        n == len(token), any(c in "#$%&*=\"<>" for c in token), False,
     )
     return sum(1 << k for k, h in enumerate(held) if h)
 
@@ -112,11 +116,13 @@ class Nodes:
     labels: list[int]
     chain: list[int]
     skip: list[int]
+    #: Number of the run of number tokens, or of the single token, that each belongs to.
+    runs: list[int]
 
 
 def nodes_of(text: str, base: list[tuple[int, int, int]]) -> Nodes:
     covered = sorted((a, b, k + 1) for k, a, b in base)
-    out, at = Nodes([], [], [], [], []), 0
+    out, at = Nodes([], [], [], [], [], []), 0
     for m in _TOKEN.finditer(text):
         core = _CORE.search(m.group())
         if core is None:
@@ -136,42 +142,89 @@ def nodes_of(text: str, base: list[tuple[int, int, int]]) -> Nodes:
         out.spans.append((a, b))
         out.masks.append(features(token))
         out.labels.append(label)
-    out.skip += skip_links([text[a:b] for a, b in out.spans], out.chain)
+    tokens = [text[a:b] for a, b in out.spans]
+    runs = runs_of(tokens, out.chain)
+    for number, run in enumerate(runs):
+        out.runs += [number] * len(run)
+        if len(run) > 1 and luhn_run(tokens, run):
+            for n in run:
+                out.masks[n] |= _RUN_LUHN
+    out.skip += skip_links(tokens, runs)
     return out
 
 
-def skip_links(tokens: list[str], chain: list[int]) -> list[int]:
-    """The earlier token that each token is linked to, or -1: by its likeness, else by that of its run, else by equal text.
-
-    Neighbouring number tokens are a run, alike by their joined digits; its tokens are linked in order from the end.
-    """
+def runs_of(tokens: list[str], chain: list[int]) -> list[range]:
+    """Runs of neighbouring number tokens, and single tokens. A run that repeats itself is parted into its repeats."""
     numbers = [_NUMBER.fullmatch(t) is not None for t in tokens]
-    links, seen, first = [-1] * len(tokens), {}, 0
+    runs, first = [], 0
     while first < len(tokens):
         last = first + 1
-        while last < len(tokens) and numbers[first] and numbers[last] and chain[last] == last - 1:
+        while last < len(tokens) and numbers[first] and numbers[last] and chain[last] == last - 1 and not tokens[last].startswith("+"):
             last += 1
-        run = range(first, last)
-        joined = re.sub(r"[^0-9]", "", "".join(tokens[first:last])) if last - first > 1 else ""
-        whole = f"d{joined[-7:]}" if len(joined) >= 7 else f"r{joined}" if joined else ""
-        before = seen.get(whole, [])
-        for n in run:
-            own, same = likeness(tokens[n]), f"e{tokens[n].lower()}"
-            if own in seen:
-                links[n] = seen[own][-1]
-            elif before:
-                links[n] = before[max(0, len(before) - (last - n))]
-            else:
-                links[n] = seen.get(same, [-1])[-1]
-            seen[same] = [n]
-            if own:
-                seen[own] = [n]
-        if whole:
-            seen[whole] = list(run)
+        size = last - first
+        some = tokens[first:last]
+        period = next((p for p in range(2, size // 2 + 1) if size % p == 0 and some == some[:p] * (size // p)), size) if size <= 64 else size
+        runs += [range(a, a + period) for a in range(first, last, period)]
         first = last
+    return runs
+
+
+def luhn_run(tokens: list[str], run: range) -> bool:
+    digits = re.sub(r"[^0-9]", "", "".join(tokens[n] for n in run)) if len(run) <= 19 else ""
+    return 13 <= len(digits) <= 19 and luhn(digits)
+
+
+def skip_links(tokens: list[str], runs: list[range]) -> list[int]:
+    """The earlier token that each token is linked to, or -1.
+
+    A run of number tokens is alike another by their joined digits (the last seven, or all of fewer), and its tokens are
+    linked in order from the end, or to the one token that holds all the digits. A single token is linked by its
+    likeness, else by equal text; short numbers within a run are no mention by themselves.
+    """
+    links, seen = [-1] * len(tokens), {}
+    for run in runs:
+        if len(run) > 1:
+            digits = re.sub(r"[^0-9]", "", "".join(tokens[n] for n in run))
+            names = [f"d{digits[-7:]}" if len(digits) >= 7 else f"r{digits}"]
+        else:
+            own, text = likeness(tokens[run[0]]), tokens[run[0]].lower()
+            names = [x for x in (own, f"e{text}") if x]
+        before = next((seen[x] for x in names if x in seen), None)
+        if before is not None:
+            for back in range(1, len(run) + 1):
+                links[run[-back]] = before[-min(back, len(before))]
+        for x in names:
+            seen[x] = list(run)
     return links
 
 
+def hidden(tokens: list[str], nodes: Nodes) -> Nodes:
+    """The nodes, and for each run with a phone or card label, and for as many without one, a repeat whose format is hidden.
+
+    A repeat has the digits without plus sign and brackets, carries the label, is linked to the run as a later mention is
+    and stands in a place of its own. The field sees no more of it than of any number.
+    """
+    out = Nodes(list(nodes.spans), list(nodes.masks), list(nodes.labels), list(nodes.chain), list(nodes.skip), list(nodes.runs))
+    held: dict[int, list[int]] = {}
+    for n, run in enumerate(nodes.runs):
+        held.setdefault(run, []).append(n)
+    told = [run for run in held.values() if all(nodes.labels[n] == nodes.labels[run[0]] and nodes.labels[n] > 2 for n in run)]
+    plain = [run for run in held.values() if all(nodes.labels[n] == 0 and _NUMBER.fullmatch(tokens[n]) for n in run)]
+    for run in told + plain[: max(1, 2 * len(told))]:
+        first = len(out.masks)
+        bare = [tokens[n].replace("+", "").replace("(", "").replace(")", "") for n in run]
+        # A phone's repeat may lack its country code, the first token of several.
+        drop = 1 if nodes.labels[run[0]] == 4 and len(run) > 2 and tokens[run[0]].startswith("+") else 0
+        for k, (n, token) in enumerate(list(zip(run, bare, strict=True))[drop:]):
+            out.spans.append((-1, -1))
+            out.masks.append(features(token))
+            out.labels.append(nodes.labels[n])
+            out.chain.append(first + k - 1 if k else -1)
+            out.skip.append(n)
+            out.runs.append(-1)
+    return out
+
+
 @dataclass
 class Field:
     """Log-potentials: features x labels, and labels x labels of chain and skip links (earlier by later)."""
@@ -200,6 +253,11 @@ def fit(masks, labels, chain, skip, steps: int = 300, rate: float = 0.3) -> Fiel
     links = [(np.flatnonzero(np.asarray(link) >= 0), np.asarray(link)) for link in (chain, skip)]
     weight = np.where(y == 0, 1.0, (y == 0).sum() / max(1, (y > 0).sum()))
     weight = np.clip(weight, 0.05, 20.0) / len(y)
+    # Where a link joins a token with a label to one without, the patterns may just have missed the latter: it tells nothing.
+    later, link = links[1]
+    earlier = link[later]
+    weight[later[(y[earlier] > 0) & (y[later] == 0)]] = 0.0
+    weight[earlier[(y[later] > 0) & (y[earlier] == 0)]] = 0.0
     squares = [1e-8 + np.zeros_like(p) for p in (field.unary, field.chain, field.skip)]
     for _ in range(steps):
         z = x @ field.unary
@@ -255,7 +313,7 @@ def added_spans(nodes: Nodes, chances: np.ndarray, base: list[tuple[int, int, in
         kind = int(best[n])
         if nodes.labels[n] or not kind or chances[n, kind] < LEAST:
             continue
-        if found and nodes.chain[n] == n - 1 and n and not nodes.labels[n - 1] and best[n - 1] == kind and found[-1][0] == kind - 1 and found[-1][2] == nodes.spans[n - 1][1]:
+        if found and nodes.chain[n] == n - 1 and n and not nodes.labels[n - 1] and best[n - 1] == kind and nodes.runs[n - 1] == nodes.runs[n] and found[-1][0] == kind - 1 and found[-1][2] == nodes.spans[n - 1][1]:
             found[-1][2] = b
         else:
             found.append([kind - 1, a, b])
@@ -280,19 +338,27 @@ def telling(text: str):
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Field:
-    """Fit the field to the pattern labels of a bounded, deterministic sample: TRAIN_DOCS texts with a candidate token."""
-    drawn = docs.select(telling(text).alias("t"), F.xxhash64(F.col(key).cast("string"), F.lit("pii")).alias("draw")).filter("t is not null").withColumn("tie", F.xxhash64("t")).orderBy("draw", "tie").limit(TRAIN_DOCS)
+    """Fit the field to the pattern labels of a bounded, deterministic sample: TRAIN_DOCS texts with a candidate token.
+
+    Texts are drawn by the least hashes of id and text. They are thinned to about half as many again, and marked, where
+    they are; only tokens' features come together.
+    """
+    able = docs.select(telling(text).alias("t"), F.xxhash64(F.col(key).cast("string"), F.xxhash64(text), F.lit("pii")).alias("draw")).filter("t is not null")
+    share = min(1.0, 1.5 * TRAIN_DOCS / max(1, able.count()))
+    drawn = able.filter(F.col("draw") <= least_hashes(share)).withColumn("tie", F.xxhash64("t"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t, draw, tie in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 d = nodes_of(t, base_spans(t))
-                n = min(len(d.spans), TRAIN_TOKENS)
+                tokens = [t[a:b] for a, b in d.spans[:TRAIN_TOKENS]]
+                d = hidden(tokens, Nodes(*(x[:TRAIN_TOKENS] for x in (d.spans, d.masks, d.labels, d.chain, d.skip, d.runs))))
+                n = len(d.masks)
                 yield pa.RecordBatch.from_arrays([pa.array([draw]), pa.array([tie]), *(pa.array([x[:n]], pa.list_(pa.int64())) for x in (d.masks, d.labels, d.chain, d.skip))], names=["draw", "tie", "masks", "labels", "chain", "skip"])
 
-    got = drawn.mapInArrow(mark, "draw long, tie long, masks array<long>, labels array<long>, chain array<long>, skip array<long>").orderBy("draw", "tie").toArrow()
+    got = drawn.mapInArrow(mark, "draw long, tie long, masks array<long>, labels array<long>, chain array<long>, skip array<long>").orderBy("draw", "tie").limit(TRAIN_DOCS).toArrow()
     lists = zip(*(got.column(c).to_pylist() for c in ("masks", "labels", "chain", "skip")), strict=True)
-    return fit(*graph([Nodes([], *x) for x in lists]))
+    return fit(*graph([Nodes([], *x, []) for x in lists]))
 
 
 def written_spans(spans: list[tuple[int, int, int]]) -> str:
