@@ -21,14 +21,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words kept per worker process in each of two generations; this bounds memory and changes no result.
-KEPT_WORDS = 300_000
+#: Bytes of texts kept per worker process in each of two generations, and the longest text kept; this bounds memory and changes no result.
+KEPT_BYTES, KEPT_LETTERS = 16 << 20, 48
+#: What an entry takes besides its letters, and neighbouring tokens whose fit is kept.
+_ENTRY, _KEPT_FITS = 320, 200_000
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _IDS, _TOKENS = itemgetter(0), itemgetter(1)
 #: str.split() parts at these as well, which are no white space for the tokenizer.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
-_SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
+_SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 def byte_letters() -> list[str]:
@@ -76,6 +78,7 @@ class PrefixEncoder:
         self._old_words: dict[str, tuple[int, ...]] = {}
         self._chunks: dict[str, tuple[bytes, str]] = {}
         self._old_chunks: dict[str, tuple[bytes, str]] = {}
+        self._chunk_bytes = self._word_bytes = 0
 
     def edge(self, token: int, right: bool) -> list[tuple[int, float]]:
         """Pieces that stand at one edge of a token while it is merged, each with the rank of the merge that ends it."""
@@ -101,7 +104,7 @@ class PrefixEncoder:
                 over = rank.get((a, b))
                 if over is not None and over < a_ends and over <= b_ends:
                     found = False
-        if len(self._fits) > 3 * KEPT_WORDS:
+        if len(self._fits) > _KEPT_FITS:
             self._fits.clear()
         self._fits[left << 20 | right] = found
         return found
@@ -146,18 +149,22 @@ class PrefixEncoder:
             for piece in pieces:
                 ids += self._words.get(piece) or self.word(piece)
             found = pack(f"<{len(ids)}I", *ids), " ".join([self.names[i] for i in ids])
-        if len(self._chunks) >= KEPT_WORDS:
-            self._old_chunks, self._chunks = self._chunks, {}
-        self._chunks[raw] = found
+        if len(raw) <= KEPT_LETTERS:
+            if self._chunk_bytes >= KEPT_BYTES:
+                self._old_chunks, self._chunks, self._chunk_bytes = self._chunks, {}, 0
+            self._chunks[raw] = found
+            self._chunk_bytes += _ENTRY + 8 * len(raw)
         return found
 
     def word(self, piece: str) -> tuple[int, ...]:
         found = self._old_words.get(piece)
         if found is None:
             found = self.encode_word(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.spelling))
-        if len(self._words) >= KEPT_WORDS // 2:
-            self._old_words, self._words = self._words, {}
-        self._words[piece] = found
+        if len(piece) <= KEPT_LETTERS:
+            if self._word_bytes >= KEPT_BYTES // 2:
+                self._old_words, self._words, self._word_bytes = self._words, {}, 0
+            self._words[piece] = found
+            self._word_bytes += _ENTRY + 8 * len(piece)
         return found
 
     def known_or_new(self, chunks: list[str]) -> list[tuple[bytes, str]]:
@@ -205,8 +212,9 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: tuple
     text gives no ids and an empty decoded text; repeated rows each get their row. Other columns are dropped, so
     none can clash. `path` names a tokenizer file present on every executor.
     """
-    source = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     names = list(keep)
+    # By place, so that no name of `keep` can clash.
+    source = docs.select(*[F.col(f"`{k}`").alias(f"k{n}") for n, k in enumerate(names)], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     schema = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -57,7 +57,9 @@ def test_every_token_is_its_own_last_token():
 
 
 def test_full_memory_changes_nothing(monkeypatch, library):
-    monkeypatch.setattr(bpe, "KEPT_WORDS", 2)
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 700)
+    monkeypatch.setattr(bpe, "_KEPT_FITS", 3)
+    monkeypatch.setattr(bpe, "KEPT_LETTERS", 6)
     coder = bpe.PrefixEncoder(vocabulary())
     text = "one two three two one four five one " * 3
     assert np.frombuffer(coder.encode(text)[0], "<u4").tolist() == expected(library, text)[0]
