@@ -365,7 +365,10 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     classes = written(near_classes(docs, key, text), "near-classes")
     least = classes.filter("class is not null").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("m"))
-    kept = least.select(F.col("m.doc_id").alias("__id"), F.col("m.text_hash").alias("__hash")).union(classes.filter("class is null").select("doc_id", "text_hash").distinct())
-    rows = docs.withColumn("__text_hash", F.xxhash64(F.col(text)))
-    held = rows.join(kept, rows["__text_hash"].eqNullSafe(F.col("__hash")) & rows[key].eqNullSafe(F.col("__id")), "left_semi")
-    return held.dropDuplicates([key, "__text_hash"]).drop("__text_hash")
+    # Nulls are told from values in the text of the key, and the row travels in a struct: no column of it can clash.
+    name = lambda one, two: F.to_json(F.struct(one.cast("string").alias("id"), two.alias("hash")), {"ignoreNullFields": "false"})
+    kept = least.select(F.col("m.doc_id"), F.col("m.text_hash")).union(classes.filter("class is null").select("doc_id", "text_hash").distinct())
+    kept = kept.select(name(F.col("doc_id"), F.col("text_hash")).alias("key"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(name(F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))).alias("key"), F.struct(*columns).alias("row"))
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

@@ -344,6 +344,9 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
 
 def without_leaks(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, with all their columns, that hold no item. Rows are told apart by id and text."""
-    marks = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(marks, F.xxhash64(F.col(text)).eqNullSafe(F.col("__hash")) & F.col(key).eqNullSafe(F.col("__id")), "left_anti")
+    """The documents, with all their columns, that hold no item. Rows are told apart by id and text; repeated rows go or stay together."""
+    # Nulls are told from values in the text of the key, and the row travels in a struct: no column of it can clash.
+    name = lambda one, two: F.to_json(F.struct(one.cast("string").alias("id"), two.alias("hash")), {"ignoreNullFields": "false"})
+    marks = found.select(name(F.col("doc_id"), F.col("text_hash")).alias("key")).distinct()
+    rows = docs.select(name(F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(marks, "key", "left_anti").select("row.*")

@@ -39,6 +39,27 @@ def test_stages_on_small_documents(spark, tmp_path):
     assert whole == {k: tuple(r) for k, r in seen["bpe"].items()}
 
 
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, repeated rows, nulls in every column, and columns named as those the stages use."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __score string, __lang string, __id string, __hash string, __text string, lang_found string, row string, key string, t string"
+    extra = ("a", "b", "c", "d", "e", "f", "g", "h", "i")
+    told = [(k, f"the ing and tion number {k} mail a{k}@b.cd the ing", "aa", "s", 40, *extra) for k in range(12)]
+    odd = [(None, None, None, None, None, *[None] * 9), (3, "", "aa", "s", 0, *extra), (None, "the ing and tion without any id", None, None, None, *extra)]
+    spark.createDataFrame([(1, None), (None, "an item that no document holds at all here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for rows in (told + told[:4] + odd * 2, []):
+        docs = spark.createDataFrame(rows, schema)
+        for name, stage in corpus_pipeline.STAGES:
+            after = shared.written(stage(spark, docs, str(tmp_path)), name)
+            if name != "bpe":
+                assert after.schema.names == docs.schema.names and after.dtypes == docs.dtypes
+                kept = [tuple(r)[5:] for r in after.collect()]
+                assert all(k in (extra, (None,) * 9) for k in kept)
+            if name in ("benchmark_free", "personal_data"):
+                assert after.count() == docs.count()
+            docs = after
+        assert {r.doc_id for r in docs.collect()} <= {*range(12), None} and (docs.count() > 0) == bool(rows)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     import duckdb
@@ -54,7 +75,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_a_query_for_every_operator():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_cluster_needs_a_shared_folder(spark, monkeypatch):
