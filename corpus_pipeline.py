@@ -19,30 +19,44 @@ def least_score(n_labels: int) -> float:
     return min(LEAST_SCORE, LEAST_LIFT / max(1, n_labels))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, or one like it that no column has in any spelling."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in a language that the network, trained on these documents' labels, recognises."""
+    """The documents in a language that the network, trained on these documents' labels, recognises.
+
+    Null and empty texts, and texts without a letter, go; repeated rows go or stay together; ties of languages go to the
+    first label; columns of any name are kept as they are.
+    """
     net = langid.train(docs)
-    found = langid.predict(docs, net, prediction="__lang", score="__score")
-    return found.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= least_score(len(net.labels)))).select(*docs.columns)
+    lang, score = free_name(docs, "lang_found"), free_name(docs, "lang_score")
+    found = langid.predict(docs, net, prediction=lang, score=score)
+    kept = found.filter((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= least_score(len(net.labels))))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
+    """One document of each class of near copies: that of the smallest id, then of the smallest text hash; of repeated rows one stays."""
     return dartminhash.one_of_each(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item."""
+    """The documents that hold no benchmark item. Null and empty texts hold none; repeated rows go or stay together."""
     return decontaminate.without_leaks(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with personal data replaced by its kind."""
+    """The documents with personal data replaced by its kind; no row goes, null and empty texts stay as they are."""
     return pii.redact(docs, pii.train(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of ids and decoded text of each document that is left."""
+    """doc_id, n_tokens and the digests of ids and decoded text of each row that is left; a null text has no token."""
     return bpe.digests(bpe.encode_documents(docs, vocabulary()))
 
 
