@@ -723,13 +723,83 @@ from (select count(*) as n, {LIMBS} from digests)""", f"digests as (select sha25
 sql("fingerprint_verified", ["vouchers"], """select copy, 'vouchers' as dataset, n as data_rows, n as recorded_rows, copy = 'shuffled' or paid_off = 0 as verified
 from (values ('shuffled'), ('changed')) c(copy), (select count(*) as n, count(*) filter (where is_active <> 1 and remaining_amount <> 0) as paid_off from vouchers)""")
 
-from closewright.checks.queries import EXTRACTS  # noqa: E402
+from closewright.checks.queries import COMPANIES, EXTRACTS  # noqa: E402
+from closewright.plans.extracts import CONTRACT_NAMES  # noqa: E402
+from closewright.sources.contract_tables import CONTRACTS  # noqa: E402
 
 # Every extract has all its rows under its contract, and its company or currency in each.
 ORACLE["conformed_extracts"] = " union all ".join(
     f"select '{dataset}' as dataset_id, count(*) as rows, count({'currency_code' if dataset == 'CR_05a' else 'company_code'}) as keyed_rows from ({ORACLE[name]})" for dataset, name in EXTRACTS.items()
 )
 
+# Contract columns that an extract does not deliver.
+NOT_DELIVERED = {
+    "CR_03": (
+        "external_document_no document_date account_name department_code bal_account_no bal_account_name reason_code source_code reversed "
+        "g_l_creation_date destination_code partner_code system_created_entry source_type source_no ic_partner_code vendortag_code "
+        "customertag_code service_period"
+    ),
+    "CR_04": (
+        "company_name country_name refresh_date group_coa_account_name real_coa currency fx_rate reporting_country_code "
+        "reporting_country_name partner_code ic_partner_code is_recharge is_retained_earnings conso_account_no conso_account_name "
+        "ifrs_level_1_name ifrs_level_2_name ifrs_level_3_name is_interco"
+    ),
+    "IPE_07": (
+        "gl_entry_no document_type external_document_no description source_code reason_code department_code original_amount currency open "
+        "posted_by destination_code partner_code ic_partner_code"
+    ),
+    "IPE_08": "snapshot_date reason",
+    "DOC_VOUCHER_USAGE": "transaction_no",
+    "IPE_10": "refund_completed fail_date",
+    "IPE_11": "sc_nav_message sc_vendor_no sc_id_sales_order_item oms_id_sales_order_item bob_id_sales_order_item sc_paid_date asg_level_4",
+    "IPE_12": (
+        "package_number mtr_shipping_fee_modification tracking_number oms_package_status fk_package_status delivered_update_date "
+        "fk_collection_partner last_mile payment_method_confirmed"
+    ),
+}
+
+
+def _conformed(dataset: str) -> str:
+    """The extract's rows with its contract's columns, each read as its tag asks."""
+    contract, names = CONTRACTS[dataset], CONTRACT_NAMES[dataset] | ({} if dataset == "CR_05" else {"company_code": "id_company"})
+    source, missing, out = {v: k for k, v in names.items()}, NOT_DELIVERED.get(dataset, "").split(), []
+    for f in contract.fields:
+        if f.name not in missing:
+            c = f'"{source.get(f.name, f.name)}"'
+            if f.spark_type == "bigint":
+                value = f"cast(try_cast({c} as decimal(20,2)) as bigint)"
+            elif f.tag == "amount":
+                value = f"cast(try_cast({c} as decimal(18,2)) as double)"
+            elif f.tag == "rate":
+                value = f"cast({c} as double)"
+            elif f.tag == "date":
+                value = f"date_trunc('day', cast({c} as timestamp))"
+            elif f.tag in ("key", "id", "code"):
+                value = f"case when trim(cast({c} as varchar)) not in ('', 'nan', 'None') then trim(cast({c} as varchar)) end"
+            else:
+                value = f"trim(cast({c} as varchar))"
+            out.append(f"{value} as {f.name}")
+    return f"select {', '.join(out)} from ({ORACLE[EXTRACTS[dataset]]})"
+
+
+for _dataset in EXTRACTS:
+    ORACLE[f"conformed_{_dataset.lower()}"] = _conformed(_dataset)
+
+ORACLE["variance_status_by_table"] = ORACLE["variance_status"]
+ORACLE["rule_bridges_by_table"] = ORACLE["rule_bridges"]
+sql("conform_preset_report", ["ops_usage"], f"""select 'voucher_id' as name, (count(*) - count(voucher_id))::bigint as n from ops_usage union all select 'amount_used', 0 from ops_usage group by 1
+union all select 'usage_date', count(*) - count(usage_date) from ops_usage union all select 'order_id', null union all select 'status', null union all select 'rows', count(*) from ops_usage""")
+sql("ledger_of_periods", ["gl_entries"], f"""select company_code, posting_date, entry_no, cast(amount as double) as amount from gl_entries
+where company_code in {COMPANIES} and posting_date >= timestamp '1995-01-01' and posting_date < timestamp '1997-01-01'""")
+sql("timing_bucketed", ["vouchers", "ops_usage"], """select id, cast(total_amount_used as double) as total_amount_used, cast(coalesce(used, 0) as double) as ops_amount_used
+from vouchers left join (select voucher_id, sum(coalesce(try_cast(replace(amount_used, ',', '') as decimal(18,2)), 0)) as used from ops_usage group by voucher_id) on id = voucher_id""")
+sql("changed_ledger_rows", ["gl_entries"], """select entry_no, 'added' as change from gl_entries where entry_no % 997 = 3
+union all select entry_no, 'changed' from gl_entries where entry_no % 991 = 5 and entry_no % 997 <> 3 and amount is not null
+union all select -entry_no, 'lost' from gl_entries where entry_no % 983 = 7""")
+sql("distinct_by_bitmap", ["gl_entries"], """select company_code, count(distinct document_no) as unique_document_no, count(distinct voucher_no) as unique_voucher_no, count(distinct user_id) as unique_user_id,
+  count(distinct gl_account) as unique_gl_account from gl_entries group by company_code""")
+sql("targets_kept_up", ["vouchers"], """select country_code, 'Issuance' as category, business_use as voucher_type, cast(sum(remaining_amount) as double) as amount, count(remaining_amount) as valued, count(*) as lines
+from vouchers where cast(id as bigint) % 13 <> 0 group by all""")
 sql(
     "csv_round_trip", ["gl_entries"],
     r"""select cast(entry_no as varchar) as entry_no, case entry_no % 8 when 0 then description || chr(10) || 'second line' when 1 then 'say "' || description || '"' || chr(13) || chr(10) || ',end' || chr(10)

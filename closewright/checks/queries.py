@@ -14,11 +14,11 @@ from closewright.functions import (
     country_to_company, due_month_label, gl_description, harmonize_voucher_type, is_iso_date, month_first, month_last, number_is_invalid, to_number, to_timestamp,
     voucher_key, year_month_text, yyyymm,
 )
-from closewright.operators import audit, bridge_rules, bridges, cascade, conform, evidence, fx, joins, lookup, naming, pivots, quality, scope, totals
+from closewright.operators import audit, bridge_rules, bridges, cascade, changes, conform, distinct, evidence, fx, joins, lookup, naming, pivots, quality, scope, threshold_table, totals, upkeep
 from closewright.operators import thresholds as th
 from closewright.operators import variance as var
 from closewright.plans import extracts as ex
-from closewright.sources import io, staging
+from closewright.sources import io, layout, staging
 from closewright.sources.contract_tables import CONTRACTS as DECLARED
 from closewright.sources.contracts import FAIL_ON_NULL, FILL_ZERO, Contract, Field
 from closewright.sources.sample_views import SampleTables
@@ -316,6 +316,13 @@ def variance_status(t):
     return buckets(t)
 
 
+@query
+def variance_status_by_table(t):
+    """The same status with the contracts as a table of rules."""
+    rules = threshold_table.rules_in_force(threshold_table.rule_table(t["company"].sparkSession, CONTRACTS))
+    return var.judge(threshold_table.resolved(variance(t), rules, th.BUCKET, ACCOUNT))
+
+
 @query
 def variance_missing_fx(t):
     return var.missing_fx_by_country(variance(t))
@@ -418,6 +425,15 @@ def rule_bridges(t):
     )
 
 
+@query
+def rule_bridges_by_table(t):
+    """The same bridges with the rules as a table."""
+    rules = bridge_rules.rule_table(t["company"].sparkSession)
+    return bridge_rules.classify_by_table(bridge_rows(t), rules, ("transaction_type", "is_prepayment", "source", "entity")).groupBy(
+        "bridge_key", "bridge_title", "dr_gl_accounts", "cr_gl_accounts", "required_enrichments"
+    ).agg(F.count("*").alias("rows"), F.sum("amount").alias("amount"))
+
+
 @query
 def rule_bridge_counts(t):
     return bridge_rules.bridge_counts(bridge_rules.classify_bridges(bridge_rows(t)))
@@ -651,6 +667,28 @@ def conformed_extract(t, dataset: str) -> DataFrame:
     return conform.conform(ex.in_contract_names(dataset, QUERIES[EXTRACTS[dataset]](t)), DECLARED[dataset], drop_unknown=True)
 
 
+def register_conformed(dataset: str) -> None:
+    def run(t) -> DataFrame:
+        return conformed_extract(t, dataset)
+
+    run.__name__ = f"conformed_{dataset.lower()}"
+    run.__doc__ = f"{dataset} under its contract, all columns."
+    query(run)
+
+
+for _dataset in EXTRACTS:
+    register_conformed(_dataset)
+
+
+@query
+def conform_preset_report(t):
+    """The tracked preset: conformed rows and the report of what changed."""
+    raw = t["ops_usage"].withColumnsRenamed({"voucher_id": "Voucher Id", "amount_used": "Amount Used", "usage_date": "Usage Date"})
+    rows, report = conform.conform_as(raw, OPS_CONTRACT, "audit_mode")
+    counted = rows.groupBy(F.lit("rows").alias("name")).agg(F.count("*").alias("n"))
+    return joins.stack_frames([report.select(F.col("column").alias("name"), F.col("nulls_after").alias("n")), counted])
+
+
 @query
 def conformed_extracts(t):
     """Rows of each extract that conforms to its contract; a missing required column would raise."""
@@ -707,6 +745,50 @@ def csv_conformed(t):
     return io.read_conformed_csv(spark, path, "OPS_USAGE").select("voucher_id", "amount_used", "note")
 
 
+@query
+def ledger_of_periods(t):
+    """Ledger lines written by company and month, read for selected companies and months only."""
+    spark = t["gl_entries"].sparkSession
+    path = f"{staging.shared_folder(spark)}/ledger-by-period-{uuid.uuid4().hex}"
+    layout.write_by_period(t["gl_entries"].select("company_code", "posting_date", "entry_no", "amount"), path)
+    chosen = t["company"].filter(F.col("company_code").isin(*COMPANIES)).select("company_code")
+    return layout.read_by_period(spark, path, chosen, 199501, 199612)
+
+
+@query
+def timing_bucketed(t):
+    """Issued vouchers against their summed use, from tables bucketed by voucher key."""
+    spark = t["vouchers"].sparkSession
+    names = [f"bucketed_{uuid.uuid4().hex}" for _ in range(2)]
+    paths = [f"{staging.shared_folder(spark)}/{name}" for name in names]
+    vouchers = layout.bucketed_vouchers(t["vouchers"].select("id", "total_amount_used"), names[0], 16, paths[0])
+    usage = layout.bucketed_usage(t["ops_usage"], names[1], 16, paths[1])
+    return layout.used_against_issued(vouchers, usage).select("id", "total_amount_used", "ops_amount_used")
+
+
+@query
+def changed_ledger_rows(t):
+    """Lines that were lost, changed or added between two states of the ledger, by a tree of digests over key ranges."""
+    now = t["gl_entries"].select("entry_no", "document_no", "amount")
+    before = now.filter("entry_no % 997 <> 3").withColumn("amount", F.when(F.col("entry_no") % 991 == 5, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,2)"))
+    before = before.union(now.filter("entry_no % 983 = 7").withColumn("entry_no", -F.col("entry_no")))
+    return changes.changed_rows(before, now, changes.digest_tree(before, ["entry_no"]), changes.digest_tree(now, ["entry_no"]), ["entry_no"]).select("entry_no", "change")
+
+
+@query
+def distinct_by_bitmap(t):
+    """Exact distinct counts of several ledger columns by company, in one pass."""
+    return distinct.distinct_counts(t["gl_entries"], ["document_no", "voucher_no", "user_id", "gl_account"], by=["company_code"])
+
+
+@query
+def targets_kept_up(t):
+    """Stored target sums after late vouchers and deleted ones."""
+    lines = t["vouchers"].select("country_code", F.col("business_use").alias("voucher_type"), F.lit("Issuance").alias("category"), F.col("remaining_amount").alias("amount_local"), F.col("id").cast("long").alias("k"))
+    moved = upkeep.changes_of(lines.filter("k % 7 = 0"), lines.filter("k % 13 = 0"))
+    return upkeep.merged(upkeep.sums_of(lines.filter("k % 7 <> 0")), moved)
+
+
 @query
 def run_audit_row(t):
     return evidence.run_record(t["company"], "company", "select * from company", {"cutoff": CUTOFF, "account": ACCOUNT}, "SUCCESS", datetime(1998, 10, 2)).select(

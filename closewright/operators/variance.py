@@ -35,7 +35,11 @@ def variance_pivot(nav: DataFrame, targets: DataFrame, rates: DataFrame, overrid
 
 def with_status(variance: DataFrame, gl_account: str, contracts: Sequence[ThresholdContract] = CONTRACTS) -> DataFrame:
     """Bucket threshold and status; below the threshold is OK, a null variance is investigated."""
-    resolved = with_threshold(variance, BUCKET, gl_account, contracts)
+    return judge(with_threshold(variance, BUCKET, gl_account, contracts))
+
+
+def judge(resolved: DataFrame) -> DataFrame:
+    """Status of buckets whose `threshold` is resolved, by compiled contracts or by a table of rules."""
     below = F.abs(F.col("variance_amount_usd")) < F.col("threshold.value_usd")
     return resolved.withColumns({
         "threshold_usd": F.col("threshold.value_usd"),
