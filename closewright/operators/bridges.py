@@ -18,6 +18,14 @@ from closewright.operators.naming import (
 from closewright.operators.scope import created_in_rolling_year, inactive_in_month, non_marketing
 
 
+# Sentences of a reclass proposal.
+REASONING = {
+    "proposal": "Customer %s has %d business lines. Proposed primary: %s (largest absolute balance). ",
+    "move": "Reclass %s from %s to %s.",
+    "stay": "Current BL is proposed primary. No reclass needed.",
+}
+
+
 def _zero() -> Column:
     return F.lit(0).cast(MONEY)
 
@@ -178,14 +186,10 @@ def business_line_reclass(customer_ledger: DataFrame, min_abs_amount: float = 0.
     if not reasoning:
         return out
     line, primary = F.col("business_line_code"), F.col("proposed_primary_business_line")
-    move = F.concat(
-        F.lit("Reclass "), F.col("balance_lcy").cast("decimal(28,2)").cast("string"), F.lit(" from "), line, F.lit(" to "), primary, F.lit(".")
-    )
-    return out.withColumn("reasoning", F.concat(
-        F.lit("Customer "), F.col("customer_id"), F.lit(" has "), F.col("num_business_lines_for_customer").cast("string"),
-        F.lit(" business lines. Proposed primary: "), primary, F.lit(" (largest absolute balance). "),
-        F.when(away, move).otherwise("Current BL is proposed primary. No reclass needed."),
-    ))
+    count, balance = F.col("num_business_lines_for_customer"), F.col("balance_lcy").cast("decimal(28,2)").cast("string")
+    told = F.format_string(REASONING["proposal"], F.col("customer_id"), count, primary)
+    move = F.format_string(REASONING["move"], balance, line, primary)
+    return out.withColumn("reasoning", F.concat(told, F.when(away, move).otherwise(REASONING["stay"])))
 
 
 def adjustment_by_target(rows: DataFrame, target: str, amount: str) -> DataFrame:

@@ -90,6 +90,17 @@ OPS_USAGE_ALIASES = {
     "voucher_id": ("Voucher Id", "Voucher_Id", "VoucherId", "id", "voucher"),
     "amount_used": ("Amount Used", "Amount_Used", "AmountUsed", "amount"),
 }
+# Headings of a voucher's use, and of the columns of the drilldown view, in order of preference.
+USE_HEADINGS = ("business_use", "business_use_formatted", "BusinessUse", "Business_Use")
+DRILLDOWN_HEADINGS = {
+    "category": ("category", "bridge_category"),
+    "country_code": ("country_code", "company_code", "id_company", "Company_Code"),
+    "voucher_id": ("voucher_id", "voucher_no", "Voucher_ID", "Voucher No_", "Voucher Id", "VoucherId", "Voucher No"),
+    "amount": ("amount_local", "amount_lcy", "amount", "Amount", "Amount_LCY"),
+    "date": ("posting_date", "Posting Date", "Posting_Date", "PostingDate", "Date"),
+    "business_line": ("business_line", "Business Line", "Business_Line", "integration_type"),
+    "details": ("document_description", "Document Description", "description", "Document Type", "document_type"),
+}
 CUSTOMER_LEDGER_ALIASES = {
     "customer_id": ("Customer No_", "customer_no", "cust_no"),
     "customer_name": ("Customer Name", "Name"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from closewright.functions.dates import in_cutoff_month, in_rolling_year, to_timestamp
 from closewright.functions.text import strip
-from closewright.operators.naming import LEDGER_ALIASES, column_or_null, first_existing
+from closewright.operators.naming import DRILLDOWN_HEADINGS, LEDGER_ALIASES, USE_HEADINGS, column_or_null, first_existing
 
 # Voucher uses that are not marketing.
 NON_MARKETING_USES = ("apology_v2", "jforce", "refund", "store_credit", "Jpay store_credit")
@@ -19,7 +19,7 @@ ORDER_DATES = ("Order_Creation_Date", "Order_Delivery_Date", "Order_Cancellation
 
 
 def _use_column(df: DataFrame) -> str | None:
-    return first_existing(df, ["business_use", "business_use_formatted", "BusinessUse", "Business_Use"])
+    return first_existing(df, USE_HEADINGS)
 
 
 def non_marketing(df: DataFrame, column: str | None = None) -> DataFrame:
@@ -63,21 +63,15 @@ def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def drilldown_view(lines: DataFrame, category: str | None = None, country: str | None = None) -> DataFrame:
     """Voucher-level view with seven fixed columns; absent source columns become null."""
-    category_col = first_existing(lines, ["category", "bridge_category"])
-    country_col = first_existing(lines, ["country_code", "company_code", "id_company", "Company_Code"])
+    category_col = first_existing(lines, DRILLDOWN_HEADINGS["category"])
+    country_col = first_existing(lines, DRILLDOWN_HEADINGS["country_code"])
     if category is not None and category_col:
         lines = lines.filter(F.col(category_col) == category)
     if country is not None and country_col:
         lines = lines.filter(F.col(country_col) == country)
-    return lines.select(
-        column_or_null(lines, ["voucher_id", "voucher_no", "Voucher_ID", "Voucher No_", "Voucher Id", "VoucherId", "Voucher No"]).alias("voucher_id"),
-        (F.col(category_col) if category_col else F.lit(None).cast("string")).alias("category"),
-        column_or_null(lines, ["amount_local", "amount_lcy", "amount", "Amount", "Amount_LCY"], "decimal(18,2)").alias("amount"),
-        column_or_null(lines, ["posting_date", "Posting Date", "Posting_Date", "PostingDate", "Date"], "timestamp_ntz").alias("date"),
-        (F.col(country_col) if country_col else F.lit(None).cast("string")).alias("country_code"),
-        column_or_null(lines, ["business_line", "Business Line", "Business_Line", "integration_type"]).alias("business_line"),
-        column_or_null(lines, ["document_description", "Document Description", "description", "Document Type", "document_type"]).alias("details"),
-    )
+    kinds = {"amount": "decimal(18,2)", "date": "timestamp_ntz"}
+    shown = ("voucher_id", "category", "amount", "date", "country_code", "business_line", "details")
+    return lines.select(*[column_or_null(lines, list(DRILLDOWN_HEADINGS[c]), kinds.get(c, "string")).alias(c) for c in shown])
 
 
 def voucher_details(lines: DataFrame, voucher_ids: DataFrame, key: str = "voucher_no") -> DataFrame:
