@@ -316,15 +316,16 @@ def stretches(lined: DataFrame) -> DataFrame:
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """doc_id, text_hash, item_id, n_windows, share, n_reparameterised: the documents that hold benchmark items.
+    """doc_id, text_hash, item_id, n_windows, share, n_reparameterised, exact_words: the documents that hold benchmark items.
 
     A pair counts if windows of one stretch, whose slots are filled consistently, cover at least LEAST_SHARE of the
     item's windows. An item with fewer than LITERALS literal words in every window is found where all its words stand
-    as they are but for case, however few they are; one without a word cannot be found. Null texts are empty and hold nothing; repeated rows count once per id and text. No document or item, no row.
+    as they are but for case, however few they are; exact_words is their number there, and null elsewhere, so that items of
+    a word or two can be told apart. One without a word cannot be found. Null texts are empty and hold nothing; repeated rows count once per id and text. No document or item, no row.
     """
     named = items.select(F.col(item_key).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("item_text"))
     known = written(window_rows(named, ["item_id"], "item_text", None).distinct(), "item-windows")
-    total = known.groupBy(F.col("item_id").alias("__item")).agg(F.countDistinct("place").alias("n_item"), (F.max("place") + WINDOW).alias("width"))
+    total = known.groupBy(F.col("item_id").alias("__item")).agg(F.countDistinct("place").alias("n_item"), (F.max("place") + WINDOW).alias("width"), F.when(F.min("size") < 0, -F.min("size")).alias("exact_words"))
     sized = known.join(total, F.col("item_id").eqNullSafe(F.col("__item"))).drop("__item")
     sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # WINDOW at most, and the lengths of exact runs
     source = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("doc_text"))
@@ -340,7 +341,10 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     lined = lined.filter(F.col("own") & (F.size(F.array_distinct(F.col("met.place"))) / F.col("n_item") >= LEAST_SHARE))
     pairs = stretches(lined).groupBy("doc_id", "text_hash", "item_id", "n_item").agg(F.max(F.struct("n", "changed")).alias("best"))
     share = F.col("best.n") / F.col("n_item")
-    return pairs.filter(share >= LEAST_SHARE).select("doc_id", "text_hash", "item_id", F.col("best.n").alias("n_windows"), share.alias("share"), (-F.col("best.changed")).alias("n_reparameterised"))
+    found = pairs.filter(share >= LEAST_SHARE).select("doc_id", "text_hash", "item_id", F.col("best.n").alias("n_windows"), share.alias("share"), (-F.col("best.changed")).alias("n_reparameterised"))
+    # The items' run lengths: few rows for each item, joined with null items told from values.
+    runs = total.select(F.struct(F.col("__item").isNull().alias("none"), F.coalesce(F.col("__item").cast("string"), F.lit("")).alias("item")).alias("k"), "exact_words")
+    return found.withColumn("k", F.struct(F.col("item_id").isNull().alias("none"), F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"))).join(runs, "k", "left").drop("k")
 
 
 def without_leaks(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

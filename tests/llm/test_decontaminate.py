@@ -120,3 +120,10 @@ def test_words_of_unicode():
     data = np.frombuffer(text.encode(), np.uint8)
     first, last, *_ = d.words_of(data, np.array([0, len(data)]))
     assert [data[a:b].tobytes().decode() for a, b in zip(first, last, strict=True)] == ["a", "b", "日", "本", "c", "ดี", "5", "x", "y", "café"]
+
+
+def test_short_exact_items_can_be_told_apart(spark):
+    docs = spark.createDataFrame([(1, "the bird sings"), (2, "What is 12 + 15?")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "the"), (2, "What is 12 + 15?"), (None, "bird sings")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.exact_words for r in d.leaks(docs, items).collect()}
+    assert got == {(1, 1): 1, (1, None): 2, (2, 2): 4}
