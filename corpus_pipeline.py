@@ -14,6 +14,10 @@ from closewright.llm.shared import written
 LEAST_SCORE, LEAST_LIFT = 0.3, 1.2
 
 
+#: A benchmark item of fewer words, found as an exact run only, rejects no document.
+LEAST_WORDS = 4
+
+
 def least_score(n_labels: int) -> float:
     """The least probability of the best of so many languages."""
     return min(LEAST_SCORE, LEAST_LIFT / max(1, n_labels))
@@ -46,8 +50,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item. Null and empty texts hold none; repeated rows go or stay together."""
-    return decontaminate.without_leaks(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
+    """The documents that hold no benchmark item. Null and empty texts hold none; repeated rows go or stay together.
+
+    Items of fewer than LEAST_WORDS words, which any text may hold, reject no document.
+    """
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.without_leaks(docs, found.filter(F.coalesce(F.col("exact_words") >= LEAST_WORDS, F.lit(True))))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
