@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closewright.functions.text import null_if_nan
+from closewright.operators.distinct import distinct_counts
 from closewright.operators.evidence import row_digest
 from closewright.operators.joins import beside, stack_frames
 from closewright.operators.naming import is_numeric, require_columns
@@ -126,14 +127,18 @@ def unpivot_metrics(one_row: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def table_probe(
-    df: DataFrame, name: str, amount_col: str | None = None, date_col: str | None = None, key_cols: Sequence[str] = ()
+    df: DataFrame, name: str, amount_col: str | None = None, date_col: str | None = None, key_cols: Sequence[str] = (), dictionaries: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
     """One row: rows, columns, nulls, duplicated rows, amount sum, date range and distinct keys.
 
     Rows are grouped by their SHA-256, so the shuffle moves digests and the probed columns, not
     whole rows. All rows of a group are equal; what does not count distinct values is summed on
-    the way, so the table is read once.
+    the way, so the table is read once. Several distinct counts copy each row once per key; with
+    `dictionaries` (dense numbers of the keys' values) they are bitmaps of the numbers instead.
     """
+    if dictionaries:
+        told = table_probe(df, name, amount_col, date_col)
+        return beside(told, distinct_counts(df, [k for k in key_cols if k in df.columns], dictionaries))
     present = lambda c: null_if_nan(F.col(f"`{c}`"), df.schema[c].dataType)
     nulls = sum((present(c).isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
     keys = [k for k in key_cols if k in df.columns]

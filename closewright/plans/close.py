@@ -237,7 +237,8 @@ def run_close(spark: SparkSession, inputs: CloseInputs, settings: CloseSettings,
         df = conformed(name, raw, gathered)
         df = evidence.with_lineage(df, name, started, settings.cutoff)
         df = gathered.watch(df, facts_of(name, raw, df))
-        loaded[name], reports = write(name, df, gathered, f"{name} from {place}")
+        told = f"{CATALOG[name].__name__}({', '.join(f'{k}={v!r}' for k, v in settings.extracts[name].items())})" if place == "live" else f"{name} from {place}"
+        loaded[name], reports = write(name, df, gathered, told)
         failed = False
         for report, rows in reports.items():
             kept = run.write(report, rows)

@@ -60,6 +60,14 @@ def test_distinct_counts_in_one_pass(spark, frame):
     assert tuple(got.first()) == tuple(df.agg(F.count_distinct("s"), F.count_distinct("n"), F.count_distinct("d")).first())
     assert "Expand" not in plan_of(got)
     assert rows(di.distinct_counts(df, ["s", "n", "d"], made, ["g"])) == rows(df.groupBy("g").agg(F.count_distinct("s"), F.count_distinct("n"), F.count_distinct("d")))
+    from closewright.operators.audit import table_probe
+
+    made["n"] = di.numbers_of(df, "n")
+    probe = table_probe(df, "t", "d", None, ["s", "n", "d"], made)
+    assert "Expand" not in plan_of(probe)
+    plain = table_probe(df, "t", "d", None, ["s", "n", "d"])
+    assert rows(probe, *sorted(plain.columns)) == rows(plain, *sorted(plain.columns))
+    del made["n"]
     # Bitmaps of parts merge to those of the whole.
     told = di.numbered(df, made)
     parts = di.bitmaps(told.filter("n % 2 = 0"), ["s_number", "n"]).union(di.bitmaps(told.filter("n % 2 = 1"), ["s_number", "n"]))

@@ -89,6 +89,7 @@ def test_close_from_source_tables(spark, tables, tmp_path):
     audited = {r["dataset"]: r for r in close.run_audit(spark, folder).collect()}
     for name in ("CR_04", "variance"):
         assert audited[name]["fingerprint"] == evidence.fingerprint(published[name], name).first()["fingerprint"]
+    assert audited["CR_04"]["query_text"] == "balances_at_date(cutoff='1998-09-30', accounts=['18412'])"
     # The run once more: no second audit rows.
     close.run_close(spark, inputs, SETTINGS, folder, "1998-09")
     assert close.run_audit(spark, folder).count() == len(audited)
