@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,13 +26,13 @@ UNKNOWN = "und"
 BLOCK_WORDS, TAKEN_BYTES = 1 << 20, 1 << 20
 #: Ids on a side of a tile, tiles on a side that may be crowded, and pairs from which on a tile is counted densely.
 TILE, CROWDED, DENSE = 512, 1024, 1 << 13
-#: Rows of one group of the ranking.
-RANK_ROWS = 100_000
+#: Rows of one group of the ranking, and of a batch that a task passes on.
+RANK_ROWS, ROWS = 100_000, 1 << 16
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 #: Lower case, every mark that ends a piece as a full stop, a tab as a space: then only those part words.
 FOLDED = bytes(46 if b in _ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-# Columns of a block: a number for each place (-1 between pieces), and what each number stands for with its count.
-PLACES, WORDS, PAIRS = "places binary", "lang array<string>, word array<string>, n array<long>", "a array<long>, b array<long>, n array<long>"
+# A block is one row with a number for each place (-1 between pieces), and a row for what each number stands for, with its count.
+BLOCK, WORDS, PAIRS = "block long, places binary, spot int", "lang string, word string, n long", "a long, b long, n long"
 
 
 def parts(text: bytes) -> Iterator[bytes]:
@@ -70,8 +71,18 @@ def joined_runs(ids: np.ndarray) -> np.ndarray:
     return ids[keep]
 
 
+def block_rows(block: int, places: np.ndarray, names: list[str], columns: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """The rows of one block."""
+    none = [pa.nulls(1, c.type) for c in columns]
+    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([places.astype("<i4").tobytes()], pa.binary()), pa.nulls(1, pa.int32()), *none], names=["block", "places", "spot", *names])
+    for at in range(0, len(columns[0]), ROWS):
+        some = [c.slice(at, ROWS) for c in columns]
+        n = len(some[0])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int64)), pa.nulls(n, pa.binary()), pa.array(np.arange(at, at + n, dtype=np.int32)), *some], names=["block", "places", "spot", *names])
+
+
 def word_blocks(docs: DataFrame, lang: str, text: str) -> DataFrame:
-    """Blocks of the documents' words: places, and lang, word and n of each number."""
+    """Blocks of the documents' words: places, and lang, word and n of each number. A block's number tells its task."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text")).filter("text is not null")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,13 +90,13 @@ def word_blocks(docs: DataFrame, lang: str, text: str) -> DataFrame:
         spoken: dict[str, Numbers] = {}
         langs: list[str] = []
         held: list[np.ndarray] = []
+        number, size = TaskContext.get().partitionId() << 33, 0
 
-        def block() -> pa.RecordBatch:
+        def block() -> Iterator[pa.RecordBatch]:
             places = joined_runs(np.concatenate(held))
             n = np.bincount(places[places >= 0], minlength=len(words))
-            return pa.RecordBatch.from_arrays([pa.array([places.astype("<i4").tobytes()], pa.binary()), pa.array([langs], pa.list_(pa.string())), pa.array([[w.decode() for w in words]], pa.list_(pa.string())), pa.array([n], pa.list_(pa.int64()))], names=["places", "lang", "word", "n"])
+            return block_rows(number, places, ["lang", "word", "n"], [pa.array(langs, pa.string()), pa.array([w.decode() for w in words], pa.string()), pa.array(n, pa.int64())])
 
-        size = 0
         for batch in batches:
             spoken_here = batch.column(0).to_pylist()
             data, offsets = utf8(batch.column(1))
@@ -103,12 +114,12 @@ def word_blocks(docs: DataFrame, lang: str, text: str) -> DataFrame:
                 held.append(np.array([-1], np.int32))
                 size += 1
                 if size >= BLOCK_WORDS:
-                    yield block()
-                    words, langs, held, spoken, size = [], [], [], {}, 0
+                    yield from block()
+                    words, langs, held, spoken, size, number = [], [], [], {}, 0, number + 1
         if held:
-            yield block()
+            yield from block()
 
-    return rows.mapInArrow(find, f"{PLACES}, {WORDS}")
+    return rows.mapInArrow(find, f"{BLOCK}, {WORDS}")
 
 
 def tiled_counts(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -160,33 +171,32 @@ def tiled_counts(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.
 def pair_blocks(blocks: DataFrame, known: DataFrame) -> DataFrame:
     """The blocks one round on: places of pairs of neighbouring ids, and a, b and n of each pair.
 
-    `known` has block, spot (a number of the block) and id of what is frequent enough; all else becomes a gap.
+    `known` has block, spot (a number of the block) and id of what is frequent enough; all else becomes a gap. A block and
+    its own ids come together, no more.
     """
-    mine = known.groupBy("block").agg(F.collect_list("spot").alias("spots"), F.collect_list("id").alias("ids"))
-    met = blocks.select("block", "places").join(mine, "block").select("places", "spots", "ids")
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(len(batch)):
-                places = np.frombuffer(batch.column(0)[row].as_py(), "<i4")
-                spots, ids = (np.asarray(batch.column(c)[row].values) for c in (1, 2))
-                names = np.full(int(max(places.max(initial=-1), spots.max(initial=-1))) + 2, -1, np.int64)  # the last stands for -1
-                names[spots] = ids
-                now = joined_runs(names[places])
-                able = np.flatnonzero((now[:-1] >= 0) & (now[1:] >= 0))
-                if not len(able):
-                    continue
+    def find(block: pa.Table, ids: pa.Table) -> pa.Table:
+        out: list[pa.RecordBatch] = []
+        for row in range(len(block) if len(ids) else 0):
+            places = np.frombuffer(block.column("places")[row].as_py(), "<i4")
+            spots = ids.column("spot").to_numpy()
+            names = np.full(int(max(places.max(initial=-1), spots.max(initial=-1))) + 2, -1, np.int64)  # the last stands for -1
+            names[spots] = ids.column("id").to_numpy()
+            now = joined_runs(names[places])
+            able = np.flatnonzero((now[:-1] >= 0) & (now[1:] >= 0))
+            if len(able):
                 a, b, n, number = tiled_counts(now[able], now[able + 1])
-                out = np.full(len(now), -1, np.int32)
-                out[able] = number
-                yield pa.RecordBatch.from_arrays([pa.array([out.astype("<i4").tobytes()], pa.binary())] + [pa.array([x], pa.list_(pa.int64())) for x in (a, b, n)], names=["places", "a", "b", "n"])
+                left = np.full(len(now), -1, np.int32)
+                left[able] = number
+                out += block_rows(block.column("block")[row].as_py(), joined_runs(left), ["a", "b", "n"], [pa.array(x, pa.int64()) for x in (a, b, n)])
+        return pa.Table.from_batches(out) if out else EMPTY
 
-    return met.mapInArrow(find, f"{PLACES}, {PAIRS}")
+    places = blocks.filter("places is not null").select("block", "places")
+    ids = known.select(F.col("block").alias("of"), "spot", "id")
+    return places.groupBy("block").cogroup(ids.groupBy("of")).applyInArrow(find, f"{BLOCK}, {PAIRS}")
 
 
-def numbered(blocks: DataFrame, name: str) -> DataFrame:
-    """The blocks as a table with a number of each."""
-    return written(blocks.withColumn("block", F.monotonically_increasing_id()), name)
+EMPTY = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("spot", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())]).empty_table()
 
 
 def by_frequency(counted: DataFrame, ties: list[str], name: str) -> DataFrame:
@@ -203,10 +213,9 @@ def by_frequency(counted: DataFrame, ties: list[str], name: str) -> DataFrame:
     return written(met.withColumn("id", F.col("begin") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).drop("range", "begin", "place"), name)
 
 
-def spread(blocks: DataFrame, columns: list[str]) -> DataFrame:
+def numbers_of(blocks: DataFrame, columns: list[str]) -> DataFrame:
     """block, spot and the columns of each number of each block; the places are not read."""
-    each = blocks.select("block", F.posexplode(F.arrays_zip(*columns)).alias("spot", "held"))
-    return each.select("block", "spot", *(F.col(f"held.{c}").alias(c) for c in columns))
+    return blocks.filter("spot is not null").select("block", "spot", *columns)
 
 
 def joined_on(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
@@ -221,16 +230,16 @@ def phrases(docs: DataFrame, lang: str, text: str, least: int, longest: int) ->
     A phrase has id, lang, words, n, first and last (how often its first and its last 1, 2, ... words occur), and of
     two words on a and b, the ids of the phrase without its last and without its first word.
     """
-    blocks = numbered(word_blocks(docs, lang, text), "word-blocks")
-    counted = written(spread(blocks, ["lang", "word", "n"]).groupBy("lang", "word").agg(F.sum("n").alias("n")), "word-counts")
+    blocks = written(word_blocks(docs, lang, text), "word-blocks")
+    counted = written(numbers_of(blocks, ["lang", "word", "n"]).groupBy("lang", "word").agg(F.sum("n").alias("n")), "word-counts")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
     ids = by_frequency(counted.filter(F.col("n") >= least), ["lang", "word"], "words")
     none = F.array().cast("array<long>")
     tables = [ids.select("id", "lang", F.array("word").alias("words"), "n", none.alias("first"), none.alias("last"))]
-    known = joined_on(spread(blocks, ["lang", "word"]), ids.select("lang", "word", "id"), ["lang", "word"])
+    known = joined_on(numbers_of(blocks, ["lang", "word"]), ids.select("lang", "word", "id"), ["lang", "word"])
     for _ in range(longest - 1):
-        blocks = numbered(pair_blocks(blocks, known), "pair-blocks")
-        counted = spread(blocks, ["a", "b", "n"]).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        blocks = written(pair_blocks(blocks, known), "pair-blocks")
+        counted = numbers_of(blocks, ["a", "b", "n"]).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
         ids = by_frequency(counted, ["a", "b"], "pairs")
         shorter = tables[-1]
         # A frequent word begins and ends very many phrases: derived keys, as in joined_on.
@@ -238,7 +247,7 @@ def phrases(docs: DataFrame, lang: str, text: str, least: int, longest: int) ->
         after = shorter.select(F.struct(F.col("id").alias("k")).alias("kb"), F.element_at("words", -1).alias("end"), F.array_append("last", F.col("n")).alias("last"))
         met = ids.withColumn("ka", F.struct(F.col("a").alias("k"))).withColumn("kb", F.struct(F.col("b").alias("k"))).join(before, "ka").join(after, "kb")
         tables.append(written(met.select("id", "lang", F.array_append("front", F.col("end")).alias("words"), "n", "first", "last", "a", "b"), "phrases"))
-        known = joined_on(spread(blocks, ["a", "b"]), ids.select("a", "b", "id"), ["a", "b"])
+        known = joined_on(numbers_of(blocks, ["a", "b"]), ids.select("a", "b", "id"), ["a", "b"])
     return totals, tables
 
 
