@@ -125,7 +125,8 @@ def prepared(docs: DataFrame, labels: DataFrame, key: str, text: str, source: st
     # One row is held out of HELD_OUT; rows of equal id and text stand together.
     held = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text"), F.lit("held out")), F.lit(HELD_OUT)) == 0) & F.col("label").isNotNull()
     some = where(True)
-    joined = some.join(told, some["doc_id"] == told["key"], "left").drop("key").withColumn("held", held)
+    # Merged at every size: with few labels broadcast, runs of different sizes would not tell of one another.
+    joined = some.join(told.hint("merge"), some["doc_id"] == told["key"], "left").drop("key").withColumn("held", held)
     joined = written(joined, "labelled")
     return where(False).withColumns({"label": F.lit(None).cast("int"), "held": F.lit(False)}).union(joined)
 
