@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of texts kept per worker process in each of two generations, and the longest text kept; this bounds memory and changes no result.
-KEPT_BYTES, KEPT_LETTERS = 16 << 20, 48
+KEPT_BYTES, KEPT_LETTERS = 48 << 20, 48
 #: What an entry takes besides its letters, and neighbouring tokens whose fit is kept.
 _ENTRY, _KEPT_FITS = 320, 200_000
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
