@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from closewright.llm.shared import written
+from closewright.llm.shared import removed, written
 from closewright.llm.textbytes import utf8
 
 LEAST_COUNT, LONGEST, BEST = 100, 5, 2000
@@ -218,10 +218,13 @@ def numbers_of(blocks: DataFrame, columns: list[str]) -> DataFrame:
     return blocks.filter("spot is not null").select("block", "spot", *columns)
 
 
-def joined_on(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
-    """An inner join on a key derived from the columns, so that what stands in every block can be split over tasks."""
-    key = F.struct(*(F.col(c).alias(f"k_{c}") for c in columns))
-    return left.withColumn("key", key).join(right.withColumn("key", key).drop(*columns), "key").drop("key")
+def ids_in_blocks(numbers: DataFrame, ids: DataFrame, columns: list[str]) -> DataFrame:
+    """block, spot and id of the numbers that have one, merged at every size on a key derived from the columns.
+
+    What stands in every block can so be split over tasks, and only key, block and spot are moved.
+    """
+    key = F.struct(*(F.col(c).alias(f"k_{c}") for c in columns)).alias("key")
+    return numbers.select("block", "spot", key).join(ids.select(key, "id").hint("merge"), "key").select("block", "spot", "id")
 
 
 def phrases(docs: DataFrame, lang: str, text: str, least: int, longest: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -236,18 +239,20 @@ def phrases(docs: DataFrame, lang: str, text: str, least: int, longest: int) ->
     ids = by_frequency(counted.filter(F.col("n") >= least), ["lang", "word"], "words")
     none = F.array().cast("array<long>")
     tables = [ids.select("id", "lang", F.array("word").alias("words"), "n", none.alias("first"), none.alias("last"))]
-    known = joined_on(numbers_of(blocks, ["lang", "word"]), ids.select("lang", "word", "id"), ["lang", "word"])
+    known = ids_in_blocks(numbers_of(blocks, ["lang", "word"]), ids, ["lang", "word"])
     for _ in range(longest - 1):
-        blocks = written(pair_blocks(blocks, known), "pair-blocks")
+        before_blocks, blocks = blocks, written(pair_blocks(blocks, known), "pair-blocks")
+        removed(before_blocks)
         counted = numbers_of(blocks, ["a", "b", "n"]).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
         ids = by_frequency(counted, ["a", "b"], "pairs")
         shorter = tables[-1]
-        # A frequent word begins and ends very many phrases: derived keys, as in joined_on.
+        # A frequent word begins and ends very many phrases: derived keys, as in ids_in_blocks.
         before = shorter.select(F.struct(F.col("id").alias("k")).alias("ka"), "lang", F.col("words").alias("front"), F.array_append("first", F.col("n")).alias("first"))
         after = shorter.select(F.struct(F.col("id").alias("k")).alias("kb"), F.element_at("words", -1).alias("end"), F.array_append("last", F.col("n")).alias("last"))
         met = ids.withColumn("ka", F.struct(F.col("a").alias("k"))).withColumn("kb", F.struct(F.col("b").alias("k"))).join(before, "ka").join(after, "kb")
         tables.append(written(met.select("id", "lang", F.array_append("front", F.col("end")).alias("words"), "n", "first", "last", "a", "b"), "phrases"))
-        known = joined_on(numbers_of(blocks, ["a", "b"]), ids.select("a", "b", "id"), ["a", "b"])
+        known = ids_in_blocks(numbers_of(blocks, ["a", "b"]), ids, ["a", "b"])
+    removed(blocks)
     return totals, tables
 
 

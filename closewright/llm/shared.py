@@ -36,3 +36,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def least_hashes(share: float) -> int:
     """The 64-bit hash up to which a share of all hashes lies."""
     return min(2**63 - 1, int((2 * share - 1) * 2.0**63))
+
+
+def removed(df: DataFrame) -> None:
+    """Remove the table of a frame that `written` gave, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
