@@ -38,9 +38,14 @@ def left_lookup(left: DataFrame, right: DataFrame, key: Column, spread_by: Seque
     return keyed.join(renamed, condition, "left").drop("_key", "_spread", "lookup_key", *[f"_r_{c}" for c in also_on])
 
 
+def keys_as_one(keys: Sequence[str]) -> Column:
+    """One text of several keys, null if one is; a join on it has a shuffle of its own on both sides."""
+    return own_shuffle(F.concat(*[part for k in keys for part in (F.col(k).cast("string"), F.lit("\0"))]))
+
+
 def semi_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `left` whose keys (none null) stand in `right`; a hot key of `left` can be split by adaptive skew join."""
-    key = own_shuffle(F.concat(*[part for k in keys for part in (F.col(k).cast("string"), F.lit("\0"))]))
+    key = keys_as_one(keys)
     return left.withColumn("_semi", key).join(right.select(key.alias("_semi")), "_semi", "left_semi").drop("_semi")
 
 
