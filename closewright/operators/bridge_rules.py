@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closewright.functions.text import flag_text
+from closewright.sources.staging import staged
 
 
 @dataclass(frozen=True)
@@ -135,6 +136,8 @@ def classify_by_table(df: DataFrame, rules: DataFrame, columns: Sequence[str]) -
     hits = held.join(postings, "trigger").groupBy("_key", "order", "wanted").agg(F.count("*").alias("hits")).filter("hits = wanted")
     first = hits.groupBy("_key").agg(F.min("order").alias("order"))
     claims = first.join(rules.select(order.alias("order"), *_OUT), "order").select(F.concat("_key", F.lit("|")).alias("_claim"), *_OUT)
+    # A table, so its size is known before the rows are moved: usually few values occur, and then no row is.
+    claims = staged(claims, "bridge-claims")
     # Joined on a derived key: rows that share their values with very many others can be split over tasks.
     return keyed.withColumn("_claim", F.concat("_key", F.lit("|"))).join(claims, "_claim", "left").select(*[F.col(f"`{c}`") for c in df.columns], *_OUT)
 

@@ -3,6 +3,8 @@
 
 import pytest
 
+from closewright.checks.queries import QUERIES
+from closewright.operators import bridge_rules as br
 from closewright.plans import extracts as ex
 from closewright.sources import sample_views as views
 from tests.conftest import rows
@@ -71,3 +73,20 @@ def test_open_entries_are_moved_by_entry_and_by_customer(frame, no_broadcast):
     assert found.columns[:3] == ["company_code", "customer_id", "entry_no"]
     moves = [line for line in plan(found).splitlines() if "Exchange hashpartitioning" in line]
     assert sum("_customer" in line for line in moves) == 2 and not any("_semi" in line for line in moves)
+
+
+def test_rows_stay_where_they_are_for_a_table_of_rules(spark):
+    df = spark.range(100).selectExpr("id", "case id % 3 when 0 then 'Payment' when 1 then 'REFUND' end as transaction_type")
+    got = br.classify_by_table(df, br.rule_table(spark), ["transaction_type"])
+    assert "hashpartitioning(_claim" not in plan(got)
+    assert rows(got) == rows(br.classify_bridges(df))
+
+
+def test_bridges_of_sums(frame):
+    held = {
+        "company": frame([(1,)], "a int"),
+        "cash_transactions": frame([("X", "Payment", 5), ("X", "Payment", None), ("X", None, 2)], "company_code string, transaction_type string, amount int"),
+        "order_items": frame([("X", None, 1, 7), ("X", None, 1, 7), ("X", None, None, 1)], "company_code string, refund_date timestamp_ntz, is_prepayment int, unit_price int"),
+    }
+    got, wanted = QUERIES["rule_bridges_by_table"](held), QUERIES["rule_bridges"](held)
+    assert rows(got) == rows(wanted) and got.columns == wanted.columns
