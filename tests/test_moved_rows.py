@@ -1,5 +1,6 @@
 """How often rows are moved, and by how many tasks they are written."""
 
+import glob
 
 import pytest
 
@@ -7,6 +8,7 @@ from closewright.checks.queries import QUERIES
 from closewright.operators import bridge_rules as br
 from closewright.plans import extracts as ex
 from closewright.sources import sample_views as views
+from closewright.sources.staging import shared_folder
 from tests.conftest import rows
 
 
@@ -90,3 +92,12 @@ def test_bridges_of_sums(frame):
     }
     got, wanted = QUERIES["rule_bridges_by_table"](held), QUERIES["rule_bridges"](held)
     assert rows(got) == rows(wanted) and got.columns == wanted.columns
+
+
+def test_csv_lines_are_written_by_the_tasks_that_have_them(spark):
+    lines = spark.range(90).selectExpr("id as entry_no", "concat('D', id) as document_no").repartition(9)
+    folder = shared_folder(spark).removeprefix("file://")
+    before = set(glob.glob(f"{folder}/short-rows-*/part-*"))
+    found = QUERIES["csv_short_rows"]({"gl_entries": lines})
+    assert found.count() == 90 and found.filter("bad").count() == 30
+    assert len(set(glob.glob(f"{folder}/short-rows-*/part-*")) - before) == 9
