@@ -57,6 +57,27 @@ def test_lines_meet_their_customer_with_one_move(spark, tables, no_broadcast):
     assert moves_of(tables["line_base"], "l_orderkey") == 1 < moves_of(wanted, "l_orderkey")
 
 
+def test_lines_of_many_views_are_moved_once(tables, no_broadcast):
+    staged = tables.with_lines_staged()
+    kept = staged["line_base"].columns
+    assert {"l_orderkey", "company_code"} <= set(kept) <= set(tables["line_base"].columns)
+    assert rows(staged["line_base"]) == rows(tables["line_base"].select(*kept))
+    assert "Join" in plan(tables["cle"]) and "Join" not in plan(staged["cle"])
+    assert rows(staged["cle_detail"]) == rows(tables["cle_detail"]) and staged["cle_detail"].count() > 0
+
+
+def test_extracts_read_staged_lines():
+    class Asked(Exception):
+        pass
+
+    class Tables:
+        def with_lines_staged(self):
+            raise Asked
+
+    with pytest.raises(Asked):
+        QUERIES["conformed_extracts"](Tables())
+
+
 def test_open_entries_are_moved_by_entry_and_by_customer(frame, no_broadcast):
     at = "1998-09-30"
     entry = "select {} as entry_no, {} as customer_id, 'n' as customer_name, 'BL' as business_line_code, 'UE' as posting_group, 'X' as company_code, 'c' as country_code, cast(1 as decimal(18,2)) as amount_lcy, timestamp_ntz '1998-01-01' as posting_date, timestamp_ntz '1998-01-01' as due_date"
