@@ -3,7 +3,8 @@
 Texts become blocks of word numbers. Words that are frequent enough get ids by falling frequency, so frequent pairs of
 neighbouring ids crowd into few tiles of the id-by-id square: those are counted by a dense bincount, all other tiles
 as sorted coordinates. Frequent pairs are ranked anew and are the ids of the next round, in which two neighbours that
-overlap are a phrase one word longer. A block learns the ids of just its own words and pairs by a join.
+overlap are a phrase one word longer. A block learns the ids of just its own words and pairs: the rows by which it tells
+its counts come back with them.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from closewright.llm.textbytes import utf8
 LEAST_COUNT, LONGEST, BEST = 100, 5, 2000
 UNKNOWN = "und"
 #: Words of a block: what a task holds at a time. Bytes of a text split at once.
-BLOCK_WORDS, TAKEN_BYTES = 1 << 20, 1 << 20
+BLOCK_WORDS, TAKEN_BYTES = 1 << 21, 1 << 20
+#: Buckets in which words or pairs are counted and ranked.
+BUCKETS = 1 << 10
 #: Ids on a side of a tile, tiles on a side that may be crowded, and pairs from which on a tile is counted densely.
 TILE, CROWDED, DENSE = 512, 1024, 1 << 13
 #: Rows of one group of the ranking, and of a batch that a task passes on.
@@ -200,7 +203,10 @@ EMPTY = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("spot", pa.i
 
 
 def by_frequency(counted: DataFrame, ties: list[str], name: str) -> DataFrame:
-    """The rows (n and the columns of ties) with an id from 0 by falling n, then ties: sorted by ranges, so no task holds all."""
+    """The rows (n and the columns of ties) with an id from 0 by falling n, then ties: sorted by ranges, so no task holds all.
+
+    Exact over all rows; `phrases` ranks within buckets instead, which needs no sort of everything.
+    """
     path = written(counted.orderBy(F.desc("n"), *ties).withColumn("place", F.monotonically_increasing_id()), name)
     # Places count from 0 in each range; a range's ids begin after all ranges before it. One row a range.
     ranges = path.groupBy(F.shiftrightunsigned("place", 33).alias("range")).agg(F.count("*").alias("rows"))
@@ -218,13 +224,19 @@ def numbers_of(blocks: DataFrame, columns: list[str]) -> DataFrame:
     return blocks.filter("spot is not null").select("block", "spot", *columns)
 
 
-def ids_in_blocks(numbers: DataFrame, ids: DataFrame, columns: list[str]) -> DataFrame:
-    """block, spot and id of the numbers that have one, merged at every size on a key derived from the columns.
+def frequent(numbers: DataFrame, columns: list[str], least: int) -> DataFrame:
+    """block, spot, id and n of the numbers whose columns occur at least `least` times in all, which is n.
 
-    What stands in every block can so be split over tasks, and only key, block and spot are moved.
+    Rows are moved once, dealt to BUCKETS by their columns: there they are counted, and what is frequent gets ids by
+    falling frequency, those of the buckets interleaved. A group has a row for each block, no more. The columns stand in one
+    row of each id and are null in its others.
     """
-    key = F.struct(*(F.col(c).alias(f"k_{c}") for c in columns)).alias("key")
-    return numbers.select("block", "spot", key).join(ids.select(key, "id").hint("merge"), "key").select("block", "spot", "id")
+    dealt = numbers.withColumn("bucket", F.pmod(F.xxhash64(*columns), F.lit(BUCKETS))).repartition("bucket").withColumn("hash", F.xxhash64(*columns))
+    alike = Window.partitionBy("hash", *columns, "bucket")
+    counted = dealt.withColumns({"total": F.sum("n").over(alike), "least_block": F.min("block").over(alike)}).filter(F.col("total") >= least)
+    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy(F.desc("total"), *columns)).cast("long")
+    told = [F.when(F.col("block") == F.col("least_block"), F.col(c)).alias(c) for c in columns]
+    return counted.withColumn("rank", rank).select("block", "spot", ((F.col("rank") - 1) * BUCKETS + F.col("bucket")).alias("id"), F.col("total").alias("n"), *told)
 
 
 def phrases(docs: DataFrame, lang: str, text: str, least: int, longest: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -234,25 +246,24 @@ def phrases(docs: DataFrame, lang: str, text: str, least: int, longest: int) ->
     two words on a and b, the ids of the phrase without its last and without its first word.
     """
     blocks = written(word_blocks(docs, lang, text), "word-blocks")
-    counted = written(numbers_of(blocks, ["lang", "word", "n"]).groupBy("lang", "word").agg(F.sum("n").alias("n")), "word-counts")
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    ids = by_frequency(counted.filter(F.col("n") >= least), ["lang", "word"], "words")
+    totals = written(numbers_of(blocks, ["lang", "n"]).groupBy("lang").agg(F.sum("n").alias("total")), "word-totals")
+    known = written(frequent(numbers_of(blocks, ["lang", "word", "n"]), ["lang", "word"], least), "frequent-words")
     none = F.array().cast("array<long>")
-    tables = [ids.select("id", "lang", F.array("word").alias("words"), "n", none.alias("first"), none.alias("last"))]
-    known = ids_in_blocks(numbers_of(blocks, ["lang", "word"]), ids, ["lang", "word"])
+    tables = [written(known.filter("word is not null").select("id", "lang", F.array("word").alias("words"), "n", none.alias("first"), none.alias("last")), "words")]
     for _ in range(longest - 1):
         before_blocks, blocks = blocks, written(pair_blocks(blocks, known), "pair-blocks")
         removed(before_blocks)
-        counted = numbers_of(blocks, ["a", "b", "n"]).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        ids = by_frequency(counted, ["a", "b"], "pairs")
+        removed(known)
+        known = written(frequent(numbers_of(blocks, ["a", "b", "n"]), ["a", "b"], least), "frequent-pairs")
+        ids = known.filter("a is not null").select("id", "a", "b", "n")
         shorter = tables[-1]
-        # A frequent word begins and ends very many phrases: derived keys, as in ids_in_blocks.
+        # A frequent word begins and ends very many phrases: with keys derived from the ids, its rows can be split over tasks.
         before = shorter.select(F.struct(F.col("id").alias("k")).alias("ka"), "lang", F.col("words").alias("front"), F.array_append("first", F.col("n")).alias("first"))
         after = shorter.select(F.struct(F.col("id").alias("k")).alias("kb"), F.element_at("words", -1).alias("end"), F.array_append("last", F.col("n")).alias("last"))
         met = ids.withColumn("ka", F.struct(F.col("a").alias("k"))).withColumn("kb", F.struct(F.col("b").alias("k"))).join(before, "ka").join(after, "kb")
         tables.append(written(met.select("id", "lang", F.array_append("front", F.col("end")).alias("words"), "n", "first", "last", "a", "b"), "phrases"))
-        known = ids_in_blocks(numbers_of(blocks, ["a", "b"]), ids, ["a", "b"])
     removed(blocks)
+    removed(known)
     return totals, tables
 
 

@@ -90,3 +90,25 @@ def test_odd_rows(spark):
     docs = [(None, "a b"), ("und", "a b"), ("en", None), ("en", ""), ("en", " . ,"), ("en", "a b")] + [("de", "x y. " * 20000)] * 2
     assert run(spark, docs, 2) == brute(docs, 2)
     assert run(spark, [("en", "a b")], 2) == [] and run(spark, [], 2) == []
+
+
+def test_numbers_learn_their_ids_with_one_move(spark):
+    rows = [(block, spot, lang, f"w{spot}", n) for block in (0, 7) for spot, (lang, n) in enumerate([("x", 9), ("x", 1), ("y", 5), ("y", 2)])] + [(9, 0, "x", "w1", 8), (9, 1, "y", "w1", 9)]
+    numbers = spark.createDataFrame(rows, "block long, spot int, lang string, word string, n long")
+    found = c.frequent(numbers, ["lang", "word"], 10)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    got = sorted((r.block, r.spot, r.n) for r in found.collect())
+    assert got == [(0, 0, 18), (0, 1, 10), (0, 2, 10), (7, 0, 18), (7, 1, 10), (7, 2, 10), (9, 0, 10)]
+    ids = {(r.block, r.spot): r.id for r in found.collect()}
+    assert ids[0, 1] == ids[7, 1] == ids[9, 0] and len(set(ids.values())) == 3
+    assert sorted((r.lang, r.word) for r in found.filter("word is not null").collect()) == [("x", "w0"), ("x", "w1"), ("y", "w2")]
+
+
+def test_ids_fall_with_frequency_in_each_bucket(spark):
+    numbers = spark.range(20_000).selectExpr("0L as block", "cast(id as int) as spot", "id as a", "id % 7 as b", "id + 1 as n")
+    found = c.frequent(numbers, ["a", "b"], 101).collect()
+    assert len(found) == 19_900 and len({r.id for r in found}) == 19_900
+    for bucket in range(0, c.BUCKETS, 100):
+        mine = sorted((r.id, -r.n) for r in found if r.id % c.BUCKETS == bucket)
+        assert mine and [n for _, n in mine] == sorted(n for _, n in mine) and [i // c.BUCKETS for i, _ in mine] == list(range(len(mine)))
