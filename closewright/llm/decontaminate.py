@@ -27,6 +27,8 @@ WINDOW, LITERALS = 8, 4
 LEAST_SHARE = 0.5
 #: Bits of the filter that document windows pass before the join: its size is fixed, whatever the benchmark's.
 FILTER_BITS = 23
+#: Bytes of texts taken at once: a byte takes some 60 bytes of working memory.
+TAKEN_BYTES = 1 << 18
 # Unit words.
 UNITS = (
     "mm cm m km inch inches foot feet ft yard yards mile miles mg g kg lb lbs pound pounds ounce ounces ton tons ml l litre litres liter liters "
@@ -213,7 +215,7 @@ def window_rows(rows: DataFrame, keys: list[str], text: str, sizes: list[int] |
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(len(keys)))
-            for a, b in groups(offsets):
+            for a, b in groups(offsets, TAKEN_BYTES):
                 owner, shown, filler, slot, opener, close = parsed(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 begin = np.append(0, np.cumsum(np.bincount(owner, minlength=b - a)))
                 bare = np.ones(b - a, bool)

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from closewright.llm import decontaminate as d
 
@@ -127,3 +129,25 @@ def test_short_exact_items_can_be_told_apart(spark):
     items = spark.createDataFrame([(1, "the"), (2, "What is 12 + 15?"), (None, "bird sings")], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.exact_words for r in d.leaks(docs, items).collect()}
     assert got == {(1, 1): 1, (1, None): 2, (2, 2): 4}
+
+
+def test_a_batch_of_texts_takes_bounded_memory(spark):
+    class Rows:
+        """Stands for a frame and gives the function that its tasks would run."""
+
+        schema = spark.range(1).schema
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, find, _):
+            return find
+
+    find = d.window_rows(Rows(), ["id"], "text", [d.WINDOW], bytes(1 << (d.FILTER_BITS - 3)))
+    texts = [f"Some words of text number {k} stand here in a row. " * 20 for k in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array(texts)], names=["id", "__text"])
+    tracemalloc.start()
+    assert list(find(iter([batch]))) == []
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 4e6 and peak < 50e6
