@@ -231,7 +231,10 @@ def frequent(numbers: DataFrame, columns: list[str], least: int) -> DataFrame:
     falling frequency, those of the buckets interleaved. A group has a row for each block, no more. The columns stand in one
     row of each id and are null in its others.
     """
-    dealt = numbers.withColumn("bucket", F.pmod(F.xxhash64(*columns), F.lit(BUCKETS))).repartition("bucket").withColumn("hash", F.xxhash64(*columns))
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(BUCKETS))
+    # What is moved is small: the bucket is worked out again, and spot and n, both less than 2**31, share a number.
+    moved = numbers.select("block", (F.shiftleft(F.col("spot").cast("long"), 32) + F.col("n")).alias("both"), *columns).repartition(bucket)
+    dealt = moved.select("block", F.shiftright("both", 32).cast("int").alias("spot"), F.col("both").bitwiseAND(F.lit((1 << 32) - 1)).alias("n"), *columns, bucket.alias("bucket"), F.xxhash64(*columns).alias("hash"))
     alike = Window.partitionBy("hash", *columns, "bucket")
     counted = dealt.withColumns({"total": F.sum("n").over(alike), "least_block": F.min("block").over(alike)}).filter(F.col("total") >= least)
     rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy(F.desc("total"), *columns)).cast("long")
