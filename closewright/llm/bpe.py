@@ -11,7 +11,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from operator import itemgetter
+from itertools import pairwise
 from struct import pack
 
 import ahocorasick
@@ -21,13 +21,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of texts kept per worker process in each of two generations, and the longest text kept; this bounds memory and changes no result.
+from closewright.llm.textbytes import groups, utf8
+
+#: Bytes of texts whose chunks are looked up together.
+TAKEN_BYTES = 1 << 20
+#: Bytes of chunks and ids kept per worker process in each of two generations, and the longest chunk kept; this bounds memory and changes no result.
 KEPT_BYTES, KEPT_LETTERS = 48 << 20, 48
 #: What an entry takes besides its letters, and neighbouring tokens whose fit is kept.
-_ENTRY, _KEPT_FITS = 320, 200_000
+_ENTRY, _KEPT_FITS = 170, 200_000
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_IDS, _TOKENS = itemgetter(0), itemgetter(1)
 #: str.split() parts at these as well, which are no white space for the tokenizer.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -43,6 +46,21 @@ def byte_letters() -> list[str]:
     return letters
 
 
+class Numbers(dict):
+    """A number for each chunk, given out as chunks are met."""
+
+    def __missing__(self, raw: str) -> int:
+        number = self[raw] = len(self)
+        return number
+
+
+def joined(parts: pa.Array, places: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The parts at the places, one after the other, and the byte at which each run of places that `ends` parts begins."""
+    taken = parts.take(pa.array(places))
+    upto = np.frombuffer(taken.buffers()[1], np.int64, len(places) + 1)[ends]
+    return (taken.buffers()[2] or pa.py_buffer(b"")).to_pybytes(), upto
+
+
 class PrefixEncoder:
     """The tokenizer of one vocabulary file: white space dropped, lower case, words ending in a mark."""
 
@@ -71,14 +89,14 @@ class PrefixEncoder:
             self.automaton.add_word(spelled, (i, len(spelled)))
         self.automaton.make_automaton()
         self.special_at = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        self._special = {t: pack("<I", i) for t, i in self.special.items()}
+        self.shown = pa.array([f"{self.names.get(i, '')} ".encode() for i in range(max(self.names) + 1)], pa.large_binary())
         self._edges: dict[tuple[int, bool], list[tuple[int, float]]] = {}
         self._fits: dict[int, bool] = {}
-        # Two generations each: the older is dropped when the younger is full.
-        self._words: dict[str, tuple[int, ...]] = {}
-        self._old_words: dict[str, tuple[int, ...]] = {}
-        self._chunks: dict[str, tuple[bytes, str]] = {}
-        self._old_chunks: dict[str, tuple[bytes, str]] = {}
-        self._chunk_bytes = self._word_bytes = 0
+        # Ids of chunks and of their pieces, in two generations: the older is dropped when the younger is full.
+        self._known: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._bytes = 0
 
     def edge(self, token: int, right: bool) -> list[tuple[int, float]]:
         """Pieces that stand at one edge of a token while it is merged, each with the rank of the merge that ends it."""
@@ -135,9 +153,9 @@ class PrefixEncoder:
             at -= length
         return tuple(reversed(ids))
 
-    def chunk(self, raw: str) -> tuple[bytes, str]:
-        """Ids (as little-endian 32-bit integers) and tokens (joined) of a text without white space."""
-        found = self._old_chunks.get(raw)
+    def chunk(self, raw: str) -> bytes:
+        """Ids (as little-endian 32-bit integers) of a text without white space."""
+        found = self._old.get(raw)
         if found is None:
             if raw.isascii():
                 text = raw.lower()
@@ -145,51 +163,58 @@ class PrefixEncoder:
             else:
                 text = unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()
                 pieces = (text,) if text.isalpha() else _PIECES.findall(text)
-            ids: list[int] = []
-            for piece in pieces:
-                ids += self._words.get(piece) or self.word(piece)
-            found = pack(f"<{len(ids)}I", *ids), " ".join([self.names[i] for i in ids])
-        if len(raw) <= KEPT_LETTERS:
-            if self._chunk_bytes >= KEPT_BYTES:
-                self._old_chunks, self._chunks, self._chunk_bytes = self._chunks, {}, 0
-            self._chunks[raw] = found
-            self._chunk_bytes += _ENTRY + 8 * len(raw)
-        return found
+            found = self.word(text) if len(pieces) == 1 and pieces[0] == text else b"".join([self.word(piece) for piece in pieces])
+        return self.kept(raw, found)
 
-    def word(self, piece: str) -> tuple[int, ...]:
-        found = self._old_words.get(piece)
+    def word(self, piece: str) -> bytes:
+        # An ASCII piece alone is a chunk of the same ids; others may be normalised anew, so they stand behind a space.
+        plain = piece.isascii()
+        key = piece if plain else f" {piece}"
+        found = self._known.get(key)
         if found is None:
-            found = self.encode_word(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.spelling))
-        if len(piece) <= KEPT_LETTERS:
-            if self._word_bytes >= KEPT_BYTES // 2:
-                self._old_words, self._words, self._word_bytes = self._words, {}, 0
-            self._words[piece] = found
-            self._word_bytes += _ENTRY + 8 * len(piece)
+            found = self._old.get(key)
+            if found is None:
+                # Visible ASCII letters stand for themselves.
+                ids = self.encode_word(piece if plain and piece.isprintable() else piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.spelling))
+                found = pack(f"<{len(ids)}I", *ids)
+            self.kept(key, found)
         return found
 
-    def known_or_new(self, chunks: list[str]) -> list[tuple[bytes, str]]:
-        got = list(map(self._chunks.get, chunks))
-        if None in got:
-            for k, found in enumerate(got):
-                if found is None:
-                    got[k] = self._chunks.get(chunks[k]) or self.chunk(chunks[k])
-        return got
+    def kept(self, key: str, found: bytes) -> bytes:
+        if len(key) <= KEPT_LETTERS and key not in self._known:
+            if self._bytes >= KEPT_BYTES:
+                self._old, self._known, self._bytes = self._known, {}, 0
+            self._known[key] = found
+            self._bytes += _ENTRY + len(key) + len(found)
+        return found
 
     def chunks(self, text: str) -> list[str]:
         return text.split() if not _NOT_SPACE.search(text) else [x for x in _SPACE.split(text) if x]
 
+    def pieces(self, text: str) -> list[str]:
+        """The special tokens of a text and its chunks; no chunk holds a special token."""
+        if self.special_at is None or "<|" not in text:
+            return self.chunks(text)
+        got, at = [], 0
+        for m in self.special_at.finditer(text):
+            got += self.chunks(text[at : m.start()])
+            got.append(m.group())
+            at = m.end()
+        return got + self.chunks(text[at:])
+
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids of a text as bytes and its decoded text."""
-        if self.special_at is not None and "<|" in text:
-            got, at = [], 0
-            for m in self.special_at.finditer(text):
-                got += self.known_or_new(self.chunks(text[at : m.start()]))
-                got.append((pack("<I", self.special[m.group()]), m.group()))
-                at = m.end()
-            got += self.known_or_new(self.chunks(text[at:]))
-        else:
-            got = self.known_or_new(self.chunks(text))
-        return b"".join(map(_IDS, got)), " ".join(filter(None, map(_TOKENS, got)))
+        ids, decoded = self.encode_all([text])
+        return ids[0], decoded[0]
+
+    def encode_all(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
+        """Ids of each text as bytes, and the decoded texts. Each distinct chunk of all texts is looked up once."""
+        numbers = Numbers()
+        places = [np.fromiter(map(numbers.__getitem__, self.pieces(t)), np.int32) for t in texts]
+        found = [self._known.get(raw) or self._special.get(raw) or self.chunk(raw) for raw in numbers]
+        ids, at = joined(pa.array(found, pa.large_binary()), np.concatenate(places), np.cumsum([0, *map(len, places)]))
+        decoded, to = joined(self.shown, np.frombuffer(ids, "<i4"), at // 4)
+        return [ids[a:b] for a, b in pairwise(at.tolist())], [decoded[a : max(a, b - 1)].decode() for a, b in pairwise(to.tolist())]
 
     def decode(self, ids: bytes) -> str:
         return " ".join(self.names[i] for i in np.frombuffer(ids, dtype="<u4").tolist())
@@ -221,10 +246,11 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: tuple
         coder = encoder(path)
         for batch in batches:
             texts = batch.column(len(names))
-            for at in range(0, len(texts), 256):
-                got = [coder.encode(t) for t in texts.slice(at, 256).to_pylist()]
+            _, offsets = utf8(texts)
+            for at, end in groups(offsets, TAKEN_BYTES):
+                ids, decoded = coder.encode_all(texts.slice(at, end - at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).slice(at, 256) for k in range(len(names))), pa.array([len(g[0]) // 4 for g in got], pa.int64()), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.string())],
+                    [*(batch.column(k).slice(at, end - at) for k in range(len(names))), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
                     names=[*names, "n_tokens", "ids", "decoded"],
                 )
 

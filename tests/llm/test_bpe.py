@@ -76,3 +76,21 @@ def test_documents(frame, library):
         assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
     assert bpe.encode_documents(docs.limit(0), vocabulary()).count() == 0
+
+
+def test_kept_words_are_encoded_once(monkeypatch):
+    """200,000 distinct words fit in the bytes kept, with all chunks that hold them."""
+    coder, letters, calls = bpe.PrefixEncoder(vocabulary()), "bcdfghjklm", []
+    encode_word = bpe.PrefixEncoder.encode_word
+    monkeypatch.setattr(bpe.PrefixEncoder, "encode_word", lambda self, word: calls.append(word) or encode_word(self, word))
+    text = " ".join("q" + "".join(letters[int(d)] for d in f"{k:06}") for k in range(200_000))
+    first = coder.encode(text)
+    assert len(calls) == 200_000
+    assert coder.encode(text) == first and len(calls) == 200_000
+
+
+def test_many_texts_at_once(library):
+    texts = [*CASES, "", "foo Foo foo, İ̇x foo", "<|endoftext|>", "i̇x İx"]
+    ids, decoded = bpe.PrefixEncoder(vocabulary()).encode_all(texts)
+    for text, i, d in zip(texts, ids, decoded, strict=True):
+        assert (np.frombuffer(i, "<u4").tolist(), d) == expected(library, text)
