@@ -4,7 +4,7 @@ Texts become blocks of word numbers. Words that are frequent enough get ids by f
 neighbouring ids crowd into few tiles of the id-by-id square: those are counted by a dense bincount, all other tiles
 as sorted coordinates. Frequent pairs are ranked anew and are the ids of the next round, in which two neighbours that
 overlap are a phrase one word longer. A block learns the ids of just its own words and pairs: the rows by which it tells
-its counts come back with them.
+its counts come back with them. A block's counts of pairs are sorted and compressed, one row for each bucket.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ LEAST_COUNT, LONGEST, BEST = 100, 5, 2000
 UNKNOWN = "und"
 #: Words of a block: what a task holds at a time. Bytes of a text split at once.
 BLOCK_WORDS, TAKEN_BYTES = 1 << 21, 1 << 20
-#: Buckets in which words or pairs are counted and ranked.
-BUCKETS = 1 << 10
+#: Buckets in which words and pairs are counted and ranked, and a factor that spreads the pairs of one first id over them.
+BUCKETS, PAIR_BUCKETS, SPREAD = 1 << 10, 1 << 11, 769
 #: Ids on a side of a tile, tiles on a side that may be crowded, and pairs from which on a tile is counted densely.
 TILE, CROWDED, DENSE = 512, 1024, 1 << 13
 #: Rows of one group of the ranking, and of a batch that a task passes on.
@@ -34,8 +34,9 @@ RANK_ROWS, ROWS = 100_000, 1 << 16
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 #: Lower case, every mark that ends a piece as a full stop, a tab as a space: then only those part words.
 FOLDED = bytes(46 if b in _ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-# A block is one row with a number for each place (-1 between pieces), and a row for what each number stands for, with its count.
-BLOCK, WORDS, PAIRS = "block long, places binary, spot int", "lang string, word string, n long", "a long, b long, n long"
+# A block is one row with a number for each place (-1 between pieces), and a row for what each number stands for, with its count;
+# pairs have a row for each bucket: its first number, how many there are, and a, b and n of each, packed.
+BLOCK, WORDS, PAIRS = "block long, places binary, spot int", "lang string, word string, n long", "bucket int, size int, pairs binary"
 
 
 def parts(text: bytes) -> Iterator[bytes]:
@@ -64,6 +65,24 @@ class Numbers(dict):
         return number
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Whole numbers of equally long columns, compressed byte by byte of equal weight: small ones take few bytes."""
+    weights = np.stack(columns).astype("<i8").view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)
+    return pa.compress(np.ascontiguousarray(weights), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, columns: int, size: int) -> np.ndarray:
+    """The columns that were packed, as rows of an array."""
+    weights = np.frombuffer(pa.decompress(data, columns * size * 8, codec="zstd", asbytes=True), np.uint8).reshape(columns, 8, size)
+    return np.ascontiguousarray(weights.transpose(0, 2, 1)).view("<i8")[:, :, 0]
+
+
+def place_row(block: int, places: np.ndarray, others: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    """The row of a block's places; spot says how many there are."""
+    none = [pa.nulls(1, kind) for _, kind in others]
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([packed(places)], pa.binary()), pa.array([len(places)], pa.int32()), *none], names=["block", "places", "spot", *(name for name, _ in others)])
+
+
 def joined_runs(ids: np.ndarray) -> np.ndarray:
     """The ids with each run of -1 as one."""
     if not len(ids):
@@ -74,16 +93,33 @@ def joined_runs(ids: np.ndarray) -> np.ndarray:
     return ids[keep]
 
 
-def block_rows(block: int, places: np.ndarray, names: list[str], columns: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-    """The rows of one block."""
-    none = [pa.nulls(1, c.type) for c in columns]
-    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([places.astype("<i4").tobytes()], pa.binary()), pa.nulls(1, pa.int32()), *none], names=["block", "places", "spot", *names])
-    for at in range(0, len(columns[0]), ROWS):
+def word_rows(block: int, places: np.ndarray, langs: list[str], words: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """The rows of one block of words."""
+    columns = [pa.array(langs, pa.string()), pa.array([w.decode() for w in words], pa.string()), pa.array(np.bincount(places[places >= 0], minlength=len(words)), pa.int64())]
+    names = ["lang", "word", "n"]
+    yield place_row(block, places, [(name, c.type) for name, c in zip(names, columns, strict=True)])
+    for at in range(0, len(words), ROWS):
         some = [c.slice(at, ROWS) for c in columns]
         n = len(some[0])
         yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int64)), pa.nulls(n, pa.binary()), pa.array(np.arange(at, at + n, dtype=np.int32)), *some], names=["block", "places", "spot", *names])
 
 
+def pair_rows(block: int, places: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> list[pa.RecordBatch]:
+    """The rows of one block of pairs: its numbers are dealt anew, by bucket, then a, then b."""
+    bucket = (a * SPREAD + b) % PAIR_BUCKETS
+    order = np.lexsort((b, a, bucket))
+    number = np.full(len(a) + 1, -1, np.int32)  # the last stands for -1
+    number[order] = np.arange(len(a))
+    a, high, n, bucket = a[order], b[order] // PAIR_BUCKETS, n[order], bucket[order]
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    sizes = np.diff(np.append(starts, len(a)))
+    # The bucket and a tell what b leaves on division.
+    pairs = [packed(np.diff(a[i : i + k], prepend=0), high[i : i + k], n[i : i + k]) for i, k in zip(starts.tolist(), sizes.tolist(), strict=True)]
+    rows = len(starts)
+    told = [pa.array(np.full(rows, block, np.int64)), pa.nulls(rows, pa.binary()), pa.array(starts, pa.int32()), pa.array(bucket[starts], pa.int32()), pa.array(sizes, pa.int32()), pa.array(pairs, pa.binary())]
+    return [place_row(block, number[places], [("bucket", pa.int32()), ("size", pa.int32()), ("pairs", pa.binary())]), pa.RecordBatch.from_arrays(told, names=["block", "places", "spot", "bucket", "size", "pairs"])]
+
+
 def word_blocks(docs: DataFrame, lang: str, text: str) -> DataFrame:
     """Blocks of the documents' words: places, and lang, word and n of each number. A block's number tells its task."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text")).filter("text is not null")
@@ -96,9 +132,7 @@ def word_blocks(docs: DataFrame, lang: str, text: str) -> DataFrame:
         number, size = TaskContext.get().partitionId() << 33, 0
 
         def block() -> Iterator[pa.RecordBatch]:
-            places = joined_runs(np.concatenate(held))
-            n = np.bincount(places[places >= 0], minlength=len(words))
-            return block_rows(number, places, ["lang", "word", "n"], [pa.array(langs, pa.string()), pa.array([w.decode() for w in words], pa.string()), pa.array(n, pa.int64())])
+            return word_rows(number, joined_runs(np.concatenate(held)), langs, words)
 
         for batch in batches:
             spoken_here = batch.column(0).to_pylist()
@@ -174,32 +208,74 @@ def tiled_counts(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.
 def pair_blocks(blocks: DataFrame, known: DataFrame) -> DataFrame:
     """The blocks one round on: places of pairs of neighbouring ids, and a, b and n of each pair.
 
-    `known` has block, spot (a number of the block) and id of what is frequent enough; all else becomes a gap. A block and
-    its own ids come together, no more.
+    `known` has block, size and ids (spots, which are numbers of the block, and the id of each, packed) of what is frequent
+    enough; all else becomes a gap. A block and its own ids come together, no more.
     """
 
     def find(block: pa.Table, ids: pa.Table) -> pa.Table:
         out: list[pa.RecordBatch] = []
-        for row in range(len(block) if len(ids) else 0):
-            places = np.frombuffer(block.column("places")[row].as_py(), "<i4")
-            spots = ids.column("spot").to_numpy()
+        for row in block.to_pylist() if len(ids) else []:
+            places = unpacked(row["places"], 1, row["size"])[0]
+            some = [unpacked(x["ids"], 2, x["size"]) for x in ids.to_pylist()]
+            spots, found = np.concatenate(some, axis=1)
             names = np.full(int(max(places.max(initial=-1), spots.max(initial=-1))) + 2, -1, np.int64)  # the last stands for -1
-            names[spots] = ids.column("id").to_numpy()
+            names[spots] = found
             now = joined_runs(names[places])
             able = np.flatnonzero((now[:-1] >= 0) & (now[1:] >= 0))
             if len(able):
                 a, b, n, number = tiled_counts(now[able], now[able + 1])
                 left = np.full(len(now), -1, np.int32)
                 left[able] = number
-                out += block_rows(block.column("block")[row].as_py(), joined_runs(left), ["a", "b", "n"], [pa.array(x, pa.int64()) for x in (a, b, n)])
+                out += pair_rows(row["block"], joined_runs(left), a, b, n)
         return pa.Table.from_batches(out) if out else EMPTY
 
-    places = blocks.filter("places is not null").select("block", "places")
-    ids = known.select(F.col("block").alias("of"), "spot", "id")
+    places = blocks.filter("places is not null").select("block", "places", F.col("spot").alias("size"))
+    ids = known.filter("ids is not null").select(F.col("block").alias("of"), "size", "ids")
     return places.groupBy("block").cogroup(ids.groupBy("of")).applyInArrow(find, f"{BLOCK}, {PAIRS}")
 
 
-EMPTY = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("spot", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())]).empty_table()
+EMPTY = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("spot", pa.int32()), ("bucket", pa.int32()), ("size", pa.int32()), ("pairs", pa.binary())]).empty_table()
+
+
+def frequent_pairs(blocks: DataFrame, least: int) -> DataFrame:
+    """Of the pairs that occur at least `least` times in all: a row with id, a, b and n, and rows that tell blocks their ids.
+
+    A bucket's rows, one for each block, come together: there its pairs are counted, and the frequent ones get ids by falling
+    frequency, then a and b, those of the buckets interleaved. Block, size and ids go back (see pair_blocks).
+    """
+    names = ["block", "size", "ids", "id", "a", "b", "n"]
+    kinds = [pa.int64(), pa.int32(), pa.binary(), *[pa.int64()] * 4]
+
+    def find(group: pa.Table) -> pa.Table:
+        bucket, sizes = group.column("bucket")[0].as_py(), group.column("size").to_pylist()
+        a, high, n = np.concatenate([np.concatenate([x[:1].cumsum(axis=1), x[1:]]) for x in (unpacked(p, 3, k) for p, k in zip(group.column("pairs").to_pylist(), sizes, strict=True))], axis=1)
+        b = high * PAIR_BUCKETS + (bucket - a * SPREAD) % PAIR_BUCKETS
+        order = np.lexsort((b, a))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+        starts = np.flatnonzero(new)
+        total = np.add.reduceat(n[order], starts)
+        a, b = a[order][starts], b[order][starts]
+        best = np.lexsort((b, a, -total))
+        best = best[total[best] >= least]
+        if not len(best):
+            return pa.table([pa.nulls(0, kind) for kind in kinds], names=names)
+        ids = np.full(len(starts), -1, np.int64)
+        ids[best] = np.arange(len(best)) * PAIR_BUCKETS + bucket
+        each = np.empty(len(order), np.int64)
+        each[order] = ids[np.cumsum(new) - 1]
+        back, at = [], 0
+        for block, spot, size in zip(group.column("block").to_pylist(), group.column("spot").to_pylist(), sizes, strict=True):
+            own = np.flatnonzero(each[at : at + size] >= 0)
+            if len(own):
+                back.append((block, len(own), packed(own + spot, each[at + own])))
+            at += size
+        told = [pa.array([x[k] for x in back], kinds[k]) for k in range(3)]
+        found = [pa.array(x, pa.int64()) for x in (ids[best], a[best], b[best], total[best])]
+        return pa.concat_tables([pa.table([*told, *[pa.nulls(len(back), kind) for kind in kinds[3:]]], names=names), pa.table([*[pa.nulls(len(best), kind) for kind in kinds[:3]], *found], names=names)])
+
+    rows = blocks.filter("bucket is not null").select("block", "spot", "bucket", "size", "pairs")
+    return rows.groupBy("bucket").applyInArrow(find, "block long, size int, ids binary, id long, a long, b long, n long")
 
 
 def by_frequency(counted: DataFrame, ties: list[str], name: str) -> DataFrame:
@@ -221,7 +297,7 @@ def by_frequency(counted: DataFrame, ties: list[str], name: str) -> DataFrame:
 
 def numbers_of(blocks: DataFrame, columns: list[str]) -> DataFrame:
     """block, spot and the columns of each number of each block; the places are not read."""
-    return blocks.filter("spot is not null").select("block", "spot", *columns)
+    return blocks.filter("places is null").select("block", "spot", *columns)
 
 
 def frequent(numbers: DataFrame, columns: list[str], least: int) -> DataFrame:
@@ -242,6 +318,20 @@ def frequent(numbers: DataFrame, columns: list[str], least: int) -> DataFrame:
     return counted.withColumn("rank", rank).select("block", "spot", ((F.col("rank") - 1) * BUCKETS + F.col("bucket")).alias("id"), F.col("total").alias("n"), *told)
 
 
+def packed_ids(words: DataFrame) -> DataFrame:
+    """block, size and ids of the frequent words (see pair_blocks), packed where their rows are."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block, spot, found = (batch.column(k).to_numpy() for k in range(3))
+            starts = np.flatnonzero(np.append(True, np.diff(block) != 0)) if len(block) else np.zeros(0, np.int64)
+            ends = np.append(starts[1:], len(block))
+            rows = [packed(spot[i:k], found[i:k]) for i, k in zip(starts.tolist(), ends.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(block[starts], pa.int64()), pa.array(ends - starts, pa.int32()), pa.array(rows, pa.binary())], names=["block", "size", "ids"])
+
+    return words.select("block", "spot", "id").sortWithinPartitions("block", "spot").mapInArrow(pack, "block long, size int, ids binary")
+
+
 def phrases(docs: DataFrame, lang: str, text: str, least: int, longest: int) -> tuple[DataFrame, list[DataFrame]]:
     """n of each language, and for each length a table of its frequent phrases.
 
@@ -250,14 +340,15 @@ def phrases(docs: DataFrame, lang: str, text: str, least: int, longest: int) ->
     """
     blocks = written(word_blocks(docs, lang, text), "word-blocks")
     totals = written(numbers_of(blocks, ["lang", "n"]).groupBy("lang").agg(F.sum("n").alias("total")), "word-totals")
-    known = written(frequent(numbers_of(blocks, ["lang", "word", "n"]), ["lang", "word"], least), "frequent-words")
+    words = written(frequent(numbers_of(blocks, ["lang", "word", "n"]), ["lang", "word"], least), "frequent-words")
     none = F.array().cast("array<long>")
-    tables = [written(known.filter("word is not null").select("id", "lang", F.array("word").alias("words"), "n", none.alias("first"), none.alias("last")), "words")]
-    for _ in range(longest - 1):
+    tables = [written(words.filter("word is not null").select("id", "lang", F.array("word").alias("words"), "n", none.alias("first"), none.alias("last")), "words")]
+    known = packed_ids(words)
+    for k in range(longest - 1):
         before_blocks, blocks = blocks, written(pair_blocks(blocks, known), "pair-blocks")
         removed(before_blocks)
-        removed(known)
-        known = written(frequent(numbers_of(blocks, ["a", "b", "n"]), ["a", "b"], least), "frequent-pairs")
+        removed(known if k else words)
+        known = written(frequent_pairs(blocks, least), "frequent-pairs")
         ids = known.filter("a is not null").select("id", "a", "b", "n")
         shorter = tables[-1]
         # A frequent word begins and ends very many phrases: with keys derived from the ids, its rows can be split over tasks.
@@ -266,7 +357,7 @@ def phrases(docs: DataFrame, lang: str, text: str, least: int, longest: int) ->
         met = ids.withColumn("ka", F.struct(F.col("a").alias("k"))).withColumn("kb", F.struct(F.col("b").alias("k"))).join(before, "ka").join(after, "kb")
         tables.append(written(met.select("id", "lang", F.array_append("front", F.col("end")).alias("words"), "n", "first", "last", "a", "b"), "phrases"))
     removed(blocks)
-    removed(known)
+    removed(known if longest > 1 else words)
     return totals, tables
 
 

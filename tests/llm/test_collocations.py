@@ -112,3 +112,24 @@ def test_ids_fall_with_frequency_in_each_bucket(spark):
     for bucket in range(0, c.BUCKETS, 100):
         mine = sorted((r.id, -r.n) for r in found if r.id % c.BUCKETS == bucket)
         assert mine and [n for _, n in mine] == sorted(n for _, n in mine) and [i // c.BUCKETS for i, _ in mine] == list(range(len(mine)))
+
+
+def test_counts_of_pairs_move_packed(spark):
+    """Every pair of 300,000 occurs in both blocks: they take less than 5 bytes each where they are moved, and come back with their ids."""
+    random_ = np.random.default_rng(5)
+    key = np.sort(random_.choice(1 << 26, 300_000, replace=False))
+    a, b, n = key >> 13, key & 8191, random_.integers(1, 4, len(key))
+    batches = [x for block in (3, 8) for x in c.pair_rows(block, np.arange(-1, len(key)), a, b, n)]
+    assert sum(len(p) for x in batches for p in x.column("pairs").to_pylist() if p) < 5 * 2 * len(key)
+    blocks = spark.createDataFrame(c.pa.Table.from_batches(batches))
+    found = c.frequent_pairs(blocks, 4).toArrow()
+    told = {(r["a"], r["b"]): (r["id"], r["n"]) for r in found.filter(c.pa.compute.is_valid(found["a"])).select(["id", "a", "b", "n"]).to_pylist()}
+    assert len({i for i, _ in told.values()}) == len(told)
+    assert {k: m for k, (_, m) in told.items()} == {(x, y): 2 * m for x, y, m in zip(a.tolist(), b.tolist(), n.tolist(), strict=True) if m > 1}
+    number = c.unpacked(batches[0].column("places")[0].as_py(), 1, len(key) + 1)[0]
+    assert number[0] == -1
+    pair_of = dict(zip(number[1:].tolist(), zip(a.tolist(), b.tolist(), strict=True), strict=True))
+    back = [x for x in found.filter(c.pa.compute.is_valid(found["ids"])).select(["block", "size", "ids"]).to_pylist()]
+    for block in (3, 8):
+        spots, ids = np.concatenate([c.unpacked(x["ids"], 2, x["size"]) for x in back if x["block"] == block], axis=1).tolist()
+        assert {pair_of[s]: i for s, i in zip(spots, ids, strict=True)} == {k: i for k, (i, _) in told.items()}
