@@ -21,11 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from closewright.llm.shared import tidied
 from closewright.llm.textbytes import groups, utf8
 
 #: Bytes of texts whose chunks are looked up together.
 TAKEN_BYTES = 1 << 20
-#: Bytes of chunks and ids kept per worker process in each of two generations, and the longest chunk kept; this bounds memory and changes no result.
+#: Bytes of chunks and ids kept per task in each of two generations, and the longest chunk kept; this bounds memory and changes no result.
 KEPT_BYTES, KEPT_LETTERS = 48 << 20, 48
 #: What an entry takes besides its letters, and neighbouring tokens whose fit is kept.
 _ENTRY, _KEPT_FITS = 170, 200_000
@@ -224,7 +225,7 @@ _ENCODERS: dict[str, PrefixEncoder] = {}
 
 
 def encoder(path: str) -> PrefixEncoder:
-    """One per worker process and file; the file is read where the task runs."""
+    """One per process and file, which keeps it to its end; a task has its own."""
     if path not in _ENCODERS:
         _ENCODERS[path] = PrefixEncoder(path)
     return _ENCODERS[path]
@@ -243,7 +244,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: tuple
     schema = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
+        coder = PrefixEncoder(path)  # goes with the task: the worker lives on beside tasks of other operators
         for batch in batches:
             texts = batch.column(len(names))
             _, offsets = utf8(texts)
@@ -254,7 +255,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: tuple
                     names=[*names, "n_tokens", "ids", "decoded"],
                 )
 
-    return source.mapInArrow(encode, f"{schema}, n_tokens long, ids binary, decoded string")
+    return source.mapInArrow(tidied(encode), f"{schema}, n_tokens long, ids binary, decoded string")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closewright.llm.components import components
-from closewright.llm.shared import written
+from closewright.llm.shared import tidied, written
 from closewright.llm.textbytes import U64, groups, mixed, shingles, utf8, word_hashes
 
 SHINGLE_WORDS, LEAST_SIMILARITY = 5, 0.8
@@ -135,7 +135,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 taken = pa.array(some + a)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(sums[0][some]), pa.array(sums[1][some]), pa.array(weight[some]), lists], names=["doc_id", "text_hash", "high", "low", "weight", "bands"])
 
-    return docs.mapInArrow(sketch, f"doc_id {kind}, text_hash long, high long, low long, weight long, bands array<long>")
+    return docs.mapInArrow(tidied(sketch), f"doc_id {kind}, text_hash long, high long, low long, weight long, bands array<long>")
 
 
 def shingle_table(texts: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def shingle_table(texts: DataFrame) -> DataFrame:
                 ends = np.append(0, np.cumsum(np.bincount(o, w, minlength=b - a))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(each))], names=["sid", "elements"])
 
-    return texts.mapInArrow(find, "sid long, elements array<long>")
+    return texts.mapInArrow(tidied(find), "sid long, elements array<long>")
 
 
 def verified(pairs: DataFrame, elements: DataFrame) -> DataFrame:
@@ -253,7 +253,7 @@ def across(units: DataFrame) -> DataFrame:
             pairs = joining_pairs(Sets(held), band, one, two)
             yield pa.RecordBatch.from_arrays([pa.array([max(p) for p in pairs], pa.int64()), pa.array([min(p) for p in pairs], pa.int64())], names=["u", "v"])
 
-    return dealt.mapInArrow(compare, "u long, v long")
+    return dealt.mapInArrow(tidied(compare), "u long, v long")
 
 
 def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closewright.llm.shared import written
+from closewright.llm.shared import tidied, written
 from closewright.llm.textbytes import BASE, BYTE_VALUE, U64, WORD_POWERS, groups, mixed, powers, utf8
 
 #: Template words of a window, and how many of them must stand for themselves.
@@ -259,7 +259,7 @@ def window_rows(rows: DataFrame, keys: list[str], text: str, sizes: list[int] |
                         taken, none = pa.array(mine + a), pa.array([[]] * len(at), pa.list_(pa.int64()))
                         yield pa.RecordBatch.from_arrays([*(batch.column(k).take(taken) for k in range(len(keys))), pa.array(at - begin[mine]), pa.array(np.full(len(at), -size, np.int32)), pa.array(h.astype(np.int64)), none, none], names=[*keys, "place", "size", "hash", "fillers", "spots"])
 
-    return source.mapInArrow(find, f"{declared}, {FOUND}")
+    return source.mapInArrow(tidied(find), f"{declared}, {FOUND}")
 
 
 def filter_bits(hashes: DataFrame) -> bytes:
@@ -314,7 +314,7 @@ def stretches(lined: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *(pa.array([x[k] for x in best], pa.int64()) for k in range(2))], names=[*keys, "n", "changed"])
 
     declared = ", ".join(f"`{k}` {lined.schema[k].dataType.simpleString()}" for k in keys)
-    return lined.mapInArrow(find, f"{declared}, n long, changed long")
+    return lined.mapInArrow(tidied(find), f"{declared}, n long, changed long")
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from closewright.llm.shared import tidied
 from closewright.llm.textbytes import groups, utf8
 
 UNKNOWN = "und"
@@ -231,5 +232,5 @@ def predict(docs: DataFrame, net: Network, text: str = "text", prediction: str =
                 scores += np.where(some, np.clip(part.max(axis=1), 0, 1), 0.0).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["row", prediction, score])
 
-    found = packed.mapInArrow(label, f"row {packed.schema['row'].dataType.simpleString()}, `{prediction}` string, `{score}` double")
+    found = packed.mapInArrow(tidied(label), f"row {packed.schema['row'].dataType.simpleString()}, `{prediction}` string, `{score}` double")
     return found.select("row.*", f"`{prediction}`", f"`{score}`")

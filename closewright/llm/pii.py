@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closewright.llm.shared import least_hashes
+from closewright.llm.shared import least_hashes, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 #: Labels: 0 is no personal data, then KINDS.
@@ -422,6 +422,6 @@ def redact(docs: DataFrame, field: Field, text: str = "text", n_chars: str = "n_
                     texts[n] = redacted_text(t, base + more)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", text])
 
-    found = rows.mapInArrow(hide, f"row {rows.schema['row'].dataType.simpleString()}, `{text}` string")
+    found = rows.mapInArrow(tidied(hide), f"row {rows.schema['row'].dataType.simpleString()}, `{text}` string")
     held = [F.col(f"`{text}`") if c == text else F.char_length(F.col(f"`{text}`")).cast(docs.schema[c].dataType).alias(c) if c == n_chars else F.col(f"row.`{c}`") for c in names]
     return found.select(*held)

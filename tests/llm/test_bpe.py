@@ -1,7 +1,9 @@
+import gc
 import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -94,3 +96,17 @@ def test_many_texts_at_once(library):
     ids, decoded = bpe.PrefixEncoder(vocabulary()).encode_all(texts)
     for text, i, d in zip(texts, ids, decoded, strict=True):
         assert (np.frombuffer(i, "<u4").tolist(), d) == expected(library, text)
+
+
+def test_a_task_leaves_no_encoder_in_its_worker(spark):
+    """Spark's workers live on beside the tasks of other operators, so what a task has kept must go with it."""
+
+    def held(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([sum(isinstance(x, bpe.PrefixEncoder) for x in gc.get_objects())], pa.int64())], names=["n"])
+
+    docs = spark.range(64, numPartitions=8).selectExpr("id AS doc_id", "concat('word', id, ' more') AS text")
+    for _ in range(2):
+        assert bpe.encode_documents(docs, vocabulary()).agg({"n_tokens": "sum"}).first()[0] > 64
+        assert {r.n for r in spark.range(64, numPartitions=8).mapInArrow(held, "n long").collect()} == {0}

@@ -2,6 +2,7 @@ import hashlib
 import subprocess
 import sys
 import zlib
+from pathlib import Path
 
 import pytest
 
@@ -93,6 +94,50 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
         shared.shared_folder(Session())
 
 
+def test_tasks_give_freed_memory_back():
+    """Small blocks that a task has freed below one that is still held do not stay with its process."""
+    told = subprocess.run([sys.executable, "-c", HELD], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[2])
+    assert told.returncode == 0, told.stderr
+    plain, tidied = map(int, told.stdout.split())
+    assert plain > 80 and tidied < 20
+
+
+HELD = """
+import re
+import numpy as np
+from closewright.llm.shared import tidied
+
+def mb():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) // 1024
+
+kept = []
+def task(batches):
+    blocks = [np.ones(8000) for _ in range(2000)]
+    kept.append(np.ones(8000))
+    yield from batches
+
+for run in (task, tidied(task)):
+    before = mb()
+    assert list(run([1, 2])) == [1, 2]
+    print(mb() - before)
+"""
+
+
+def test_a_tidied_task_that_is_left_early_ends():
+    ended = []
+
+    def task(batches):
+        try:
+            yield from batches
+        finally:
+            ended.append(1)
+
+    run = shared.tidied(task)(iter([1, 2]))
+    assert next(run) == 1
+    run.close()
+    assert ended == [1]
+
+
 def test_contract_digest_and_remainder():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442") and zlib.crc32(b"0") % 4 in range(4)
 
