@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from closewright.checks.queries import QUERIES
 from closewright.operators import changes as ch, distinct as di, fx, pivots, thresholds as th, upkeep as up
 from tests.conftest import rows
 
@@ -49,6 +50,44 @@ def test_empty_and_null_keys(spark, frame):
     assert rows(ch.changed_rows(some, empty, *trees[::-1], ["k"]), "k", "change") == [(None, "lost"), (1, "lost")]
 
 
+def test_trees_are_made_once(frame, monkeypatch):
+    trees = [ch.digest_tree(table(frame, [((k, v), "x") for k in range(40)]), ["k"]) for v in (1, 2)]
+    kind, asked = type(trees[0]), []
+    monkeypatch.setattr(kind, "collect", lambda self, collect=kind.collect: asked.append(self) or collect(self))
+    found = ch.differing_ranges(*trees)
+    assert len(asked) == 1 and len(found) == len(set(found)) > 1
+
+
+@pytest.mark.parametrize("stored", [(), ("old",), ("old", "new")])
+def test_rows_of_a_key_are_compared_by_number(spark, frame, tmp_path, stored):
+    old = [((1, 1), "a"), ((1, 1), "a"), ((1, 2), "a"), ((2, 1), "b"), ((2, 2), "b"), ((3, 1), None), ((4, 1), "x"), ((None, 1), "n"), ((None, 2), "n"), ((5, 5), "f"), ((5, 5), "f")]
+    # 1: as many, but others; 2: in another order; 3: a row more, 5: one less; 4 goes, 6 comes; null: a value changed.
+    new = [((1, 1), "a"), ((1, 2), "a"), ((1, 2), "a"), ((2, 2), "b"), ((2, 1), "b"), ((3, 1), None), ((3, 2), None), ((6, 1), "x"), ((None, 1), "n"), ((None, 3), "n"), ((5, 5), "f")]
+    frames = []
+    for name, held in (("old", old), ("new", new)):
+        frames.append(table(frame, held))
+        if name in stored:
+            ch.write_by_range(frames[-1], str(tmp_path / name), ["k"])
+            frames[-1] = ch.read_by_range(spark, str(tmp_path / name))
+    trees = [ch.digest_tree(df, ["k"]) for df in frames]
+    found = ch.changed_rows(*frames, *trees, ["k"])
+    assert rows(found, "k", "change") == [(None, "changed"), (1, "changed"), (3, "changed"), (4, "lost"), (5, "changed"), (6, "added")]
+    assert rows(found, "k", "range") == rows(found, "k", ch.range_of(found, ["k"]))
+    pairs = ch.changed_rows(*frames, *(ch.digest_tree(df, ["t", "k"]) for df in frames), ["t", "k"]) if not stored else None
+    assert not pairs or (pairs.columns, rows(pairs, "k", "t")) == (["t", "k", "range", "change"], [(None, "n"), (1, "a"), (3, None), (4, "x"), (5, "f"), (6, "x")])
+
+
+def test_a_changed_row_is_not_moved_by_a_join(spark, frame):
+    entries = frame(
+        [(1000, "a", 1), (1000, "a", 1), (996, "b", 2), (996, "b", None), (990, "c", 3), (9, "d", None), (9, "d", None), (None, "e", 4), (8, None, 5)], "entry_no long, document_no string, n int"
+    ).selectExpr("entry_no", "document_no", "cast(n as decimal(18,2)) as amount", "'more' as more")
+    moved = entries.join(frame([("more", 1)], "more string, one int").hint("merge"), "more")
+    found = QUERIES["changed_ledger_rows"]({"gl_entries": moved})
+    assert rows(found) == [(None, "added"), (-990, "lost"), (1000, "added"), (996, "changed")]
+    plan = plan_of(found)
+    assert "Join" not in plan and plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 2
+
+
 def test_distinct_counts_in_one_pass(spark, frame):
     r = random.Random(1)
     held = [(r.choice("ab"), r.choice(["x", "y", None, f"v{r.randint(0, 300)}"]), r.randint(0, 70000), None if r.random() < 0.2 else Decimal(r.randint(0, 9))) for _ in range(4000)]
