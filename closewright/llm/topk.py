@@ -20,7 +20,8 @@ from closewright.llm.shared import written
 SCALE = 1024
 #: Rows of a block of candidates and of queries: what one task holds at a time.
 BLOCK_ROWS, QUERY_ROWS = 2048, 512
-BLOCKS_PER_CELL = 2
+#: A cell holds BLOCKS_PER_CELL blocks of candidates, or as many as leave CELLS cells, but at most MOST_BLOCKS: a join holds them at once.
+BLOCKS_PER_CELL, CELLS, MOST_BLOCKS = 2, 256, 64
 PACKED = "block long, ids array<long>, sizes array<int>, cells binary"
 
 
@@ -87,32 +88,54 @@ def best_of_block(q_ids, q_sizes, q_cells, ids, sizes, cells, k: int) -> Iterato
         yield query, ids[able], scores[able]
 
 
+def cells_of(blocks: int) -> int:
+    """Number of cells that so many blocks of candidates lie in. Each block of queries is copied to every cell."""
+    return max(1, min(blocks // BLOCKS_PER_CELL, CELLS), -(-blocks // MOST_BLOCKS))
+
+
+def best_of_run(parts: list[tuple[int, np.ndarray, np.ndarray]], k: int) -> pa.RecordBatch:
+    """The k best of each query of what several blocks gave for the same queries."""
+    query = np.repeat(np.array([p[0] for p in parts], np.int64), [len(p[1]) for p in parts])
+    ids, scores = (np.concatenate([np.empty(0, np.int64), *(p[at] for p in parts)]) for at in (1, 2))
+    order = np.lexsort((ids, ~scores, query))  # ~ turns the order round and never overflows
+    query = query[order]
+    kept = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return pa.RecordBatch.from_arrays([pa.array(query[kept]), pa.array(ids[order][kept]), pa.array(scores[order][kept])], names=["query_id", "vec_id", "score"])
+
+
 def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k highest integer inner products of each query, ties to the smaller id.
 
     Queries are the rows whose id is divisible by `every`; candidates are all rows with another id. Vectors of
     different length meet in the components both have. Repeated rows are candidates each; a repeated query row is
     one query (its smallest vector). Fewer than k candidates give fewer rows; an empty table gives none. Blocks of
-    queries meet blocks of candidates by an equality join on a cell number; a task holds one pair at a time.
+    queries meet blocks of candidates by an equality join on a cell number; a task scores one pair at a time and
+    passes on the k best of a cell.
     """
     rows = quantised(vectors, key, vector)
     queries = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("cells").alias("cells"))
     data = written(packed(rows, BLOCK_ROWS), "candidate-blocks")
     asked = packed(queries, QUERY_ROWS)
     # Each block of candidates lies in one cell and each block of queries is dealt to all cells, so every two meet once.
-    cells = max(1, data.count() // BLOCKS_PER_CELL)
+    cells = cells_of(data.count())
     data = data.withColumn("cell", F.pmod(F.xxhash64("block"), F.lit(cells)))
-    dealt = asked.select(F.col("ids").alias("q_ids"), F.col("sizes").alias("q_sizes"), F.col("cells").alias("q_cells"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell"))
-    pairs = dealt.join(data, "cell").select("q_ids", "q_sizes", "q_cells", "ids", "sizes", "cells")
+    dealt = asked.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("sizes").alias("q_sizes"), F.col("cells").alias("q_cells"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell"))
+    # Spark takes the dealt blocks for no larger than the queries and would send all copies through the driver: hence the hint.
+    pairs = dealt.join(data.hint("merge"), "cell").select("q_block", "cell", "q_ids", "q_sizes", "q_cells", "ids", "sizes", "cells")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, parts = None, []
         for batch in batches:
             for n in range(len(batch)):
-                got = list(best_of_block(*(batch.column(c)[n].as_py() for c in range(6)), k))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([g[0] for g in got], [len(g[1]) for g in got]).astype(np.int64)), pa.array(np.concatenate([g[1] for g in got])), pa.array(np.concatenate([g[2] for g in got]))],
-                    names=["query_id", "vec_id", "score"],
-                )
+                # The join gives the pairs of a block of queries and a cell one after the other.
+                at = tuple(batch.column(c)[n].as_py() for c in range(2))
+                if at != run and parts:
+                    yield best_of_run(parts, k)
+                    parts = []
+                run = at
+                parts += best_of_block(*(batch.column(c)[n].as_py() for c in range(2, 8)), k)
+        if parts:
+            yield best_of_run(parts, k)
 
     found = pairs.mapInArrow(score, "query_id long, vec_id long, score long")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id")))

@@ -42,3 +42,31 @@ def test_repeated_rows_and_empty_tables(spark):
     got = sorted(run(spark, [(*r, 1, 2, 3) for r in rows]))
     assert [(r[1], r[2]) for r in got] == [(1, 2), (2, 1), (3, 1)]
     assert run(spark, []) == set()
+
+
+def plain_rows(n):
+    random = np.random.default_rng(6)
+    return [(i, [float(np.float32(x)) for x in random.standard_normal(4).round(1)]) for i in range(n)]
+
+
+def test_copies_of_queries_do_not_pass_the_driver(spark):
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in plain_rows(300)], "vec_id long, embedding array<float>, ids int, block int, cell int")
+    found = topk.exact_top_k(df)
+    assert len(found.collect()) == 30
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_cells_are_few_and_bounded():
+    assert [topk.cells_of(n) for n in (0, 1, 10, 400, 10_000, 1_000_000)] == [1, 1, 5, 200, 256, 15625]
+
+
+def test_blocks_of_a_cell_are_merged(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 5)
+    monkeypatch.setattr(topk, "CELLS", 2)
+    rows = plain_rows(250)
+    assert run(spark, [(*r, 1, 2, 3) for r in rows], k=4, every=10) == brute(rows, 4, 10)
+    parts = [(7, np.array([5, 3]), np.array([2, 9])), (8, np.array([1]), np.array([-(2**63)])), (7, np.array([4, 2]), np.array([9, 1])), (9, np.array([], np.int64), np.array([], np.int64))]
+    got = topk.best_of_run(parts, 3)
+    assert list(zip(*(c.to_pylist() for c in got.columns))) == [(7, 3, 9), (7, 4, 9), (7, 5, 2), (8, 1, -(2**63))]
